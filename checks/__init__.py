@@ -1,0 +1 @@
+"""Registered driver queries, their DuckDB oracles and the deterministic stub client."""

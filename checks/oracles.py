@@ -1,0 +1,67 @@
+"""DuckDB SQL oracles for the registered queries.
+
+These restate each query independently in SQL over the same parquet views.
+The chunkers are restated as recursive CTEs: one recursion step per chunk,
+the separator search done by a greedy regular expression
+(``(?s)^(.*)SEP`` captures everything before the *last* occurrence).
+"""
+
+from __future__ import annotations
+
+from checks import fixtures as FX
+
+
+def _rfind_rel(window: str, regex_sep: str) -> str:
+    """0-based offset of the last occurrence of a separator inside ``window``;
+    0 when absent (a hit at offset 0 can never pass the distance test)."""
+    return f"length(regexp_extract({window}, '(?s)^(.*){regex_sep}', 1))"
+
+
+# separator -> RE2 spelling inside a SQL literal (RE2 reads \n as newline)
+_RE = {"\n\n": r"\n\n", "\n": r"\n", ". ": r"\. ", "? ": r"\? ", "! ": r"! ",
+       "; ": r"; ", ", ": r", ", ": ": r": "}
+
+
+def _re(sep: str) -> str:
+    return _RE.get(sep, sep)
+
+
+def plain_chunks_sql(table_sql: str, size: int, overlap: int, seps: list[str]) -> str:
+    """Recursive CTE for C1 over ``table_sql`` (doc_id, text) -> doc_id, chunk_id, s, e, text."""
+    reach = size // 4
+    rs = ",\n".join(f"{_rfind_rel('w', _re(sep))} AS r{i}" for i, sep in enumerate(seps))
+    whens = " ".join(
+        f"WHEN r{i} > {reach} THEN s + r{i} + {len(sep)}" for i, sep in enumerate(seps)
+    )
+    end_of = f"""
+      SELECT doc_id, chunk_id, s, text, n,
+             CASE WHEN s + {size} >= n THEN n ELSE (CASE {whens} ELSE s + {size} END) END AS e
+      FROM (SELECT *, {rs} FROM (SELECT *, substring(text, s + 1, {size}) AS w FROM {{src}}))"""
+    return f"""
+    WITH RECURSIVE d AS (
+      SELECT doc_id, text, length(text)::BIGINT AS n FROM ({table_sql})
+    ),
+    c(doc_id, chunk_id, s, text, n, e) AS (
+      SELECT doc_id, chunk_id, s, text, n,
+             CASE WHEN n <= {size} THEN n ELSE e END
+      FROM ({end_of.format(src="(SELECT doc_id, 0::BIGINT AS chunk_id, 0::BIGINT AS s, text, n FROM d)")})
+      UNION ALL
+      SELECT * FROM ({end_of.format(src=f'''(
+          SELECT doc_id, chunk_id + 1 AS chunk_id,
+                 CASE WHEN e - s <= {overlap} THEN e ELSE e - {overlap} END AS s, text, n
+          FROM c
+          WHERE n > {size} AND e - {overlap} < n
+            AND (CASE WHEN e - s <= {overlap} THEN e ELSE e - {overlap} END) < n)''')})
+    )
+    SELECT doc_id, chunk_id, s, e, text FROM c"""
+
+
+def chunk_text() -> str:
+    inner = plain_chunks_sql(
+        "SELECT doc_id, text FROM documents", FX.CHUNK_SIZE, FX.CHUNK_OVERLAP, FX.PLAIN_SEPS
+    )
+    return f"""
+    SELECT doc_id::BIGINT AS doc_id, chunk_id::BIGINT AS chunk_id,
+           s::BIGINT AS chunk_start, e::BIGINT AS chunk_end,
+           substring(text, s + 1, e - s) AS chunk
+    FROM ({inner})"""

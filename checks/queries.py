@@ -1,0 +1,30 @@
+"""Spark side of the registered queries: each takes (spark, sf_dir) -> DataFrame."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from checks import fixtures as FX
+from sftprep.operators.chunking import chunk_documents
+from sftprep.sources.tables import read_table
+
+
+def flat(df: DataFrame) -> DataFrame:
+    """INT -> BIGINT so both engines report the same integer type."""
+    return df.select(
+        *[
+            F.col(f.name).cast("bigint").alias(f.name)
+            if isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType))
+            else F.col(f.name)
+            for f in df.schema.fields
+        ]
+    )
+
+
+def chunk_text(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents")
+    return flat(
+        chunk_documents(docs, keep=["doc_id"], chunk_size=FX.CHUNK_SIZE, overlap=FX.CHUNK_OVERLAP)
+    )
