@@ -1,14 +1,30 @@
-"""Spark side of the registered queries: each takes (spark, sf_dir) -> DataFrame."""
+"""Spark side of the registered queries: each takes (spark, sf_dir) -> DataFrame.
+
+Every query reads whole driver tables (or data Spark derives from them);
+outputs are flat scalar columns, INT widened to BIGINT, aliased to the same
+names as the SQL oracles in ``checks.oracles``.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import fixtures as FX
+from checks.stub_client import make_client
+from sftprep.functions import chat as C
+from sftprep.functions import prompts as P
+from sftprep.functions.tokens import whitespace_tokens
+from sftprep.operators import ranking as R
+from sftprep.operators import resume as RS
+from sftprep.operators import vlm as V
 from sftprep.operators.chunking import chunk_documents
+from sftprep.operators.generate import attach_replies, request_id
+from sftprep.plans.qa import generate_qa_pairs
+from sftprep.sources.files import extension, has_document_extension, source_id
 from sftprep.sources.tables import read_table
+from sftprep.streaming.incremental import stream_chunks_once
 
 
 def flat(df: DataFrame) -> DataFrame:
@@ -23,8 +39,460 @@ def flat(df: DataFrame) -> DataFrame:
     )
 
 
+# ------------------------------------------------------------------ chunking
+def _plain_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents")
+    return chunk_documents(docs, keep=["doc_id"], chunk_size=FX.CHUNK_SIZE, overlap=FX.CHUNK_OVERLAP)
+
+
 def chunk_text(spark: SparkSession, sf: str) -> DataFrame:
+    """S4/C1/C7 at the generation defaults 1024/200."""
+    return flat(_plain_chunks(spark, sf))
+
+
+def chunk_text_defaults(spark: SparkSession, sf: str) -> DataFrame:
+    """C1 at the chunker's own defaults 1000/100."""
+    docs = read_table(spark, sf, "documents")
+    return flat(chunk_documents(docs, keep=["doc_id"]))
+
+
+INJECTED = "\n```\ncode\n```\n| a | b |\n"
+INJECT_LANG = "de"
+
+
+def markdown_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with a fenced block and a table injected mid-text for one language."""
+    docs = read_table(spark, sf, "documents")
+    half = F.floor(F.length("text") / 2).cast("int")
+    injected = F.concat(
+        F.substring(F.col("text"), F.lit(1), half), F.lit(INJECTED), F.substr(F.col("text"), half + 1)
+    )
+    return docs.select(
+        "doc_id", F.when(F.col("lang") == INJECT_LANG, injected).otherwise(F.col("text")).alias("text")
+    )
+
+
+def chunk_markdown(spark: SparkSession, sf: str) -> DataFrame:
+    """C2–C7 at 1000/100 over documents, some with a fence and a table."""
+    docs = markdown_documents(spark, sf)
+    return flat(
+        chunk_documents(
+            docs, keep=["doc_id"], chunk_size=FX.MD_CHUNK_SIZE, overlap=FX.MD_OVERLAP, markdown=True
+        )
+    )
+
+
+# ------------------------------------------------------------------ sources
+def file_names(spark: SparkSession, sf: str) -> DataFrame:
+    """A file listing derived from documents: names with assorted extensions."""
     docs = read_table(spark, sf, "documents")
+    ext = (
+        F.when(F.col("lang") == "en", F.lit("txt"))
+        .when(F.col("lang") == "fr", F.lit("PDF"))
+        .when(F.col("lang") == "de", F.lit("html"))
+        .otherwise(F.lit("Md"))
+    )
+    name = F.when(
+        F.col("source") == "src3", F.concat(F.lit("doc"), F.col("doc_id").cast("string"))
+    ).otherwise(F.concat(F.lit("doc."), F.col("doc_id").cast("string"), F.lit("."), ext))
+    return docs.select("doc_id", name.alias("name"))
+
+
+def doc_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """Extension filter and source id over a listing."""
+    names = file_names(spark, sf)
+    return flat(
+        names.filter(has_document_extension(F.col("name"))).select(
+            "doc_id", "name", extension(F.col("name")).alias("ext"),
+            source_id(F.col("name")).alias("source"),
+        )
+    )
+
+
+# ------------------------------------------------------------------ prompts
+def question_prompts(spark: SparkSession, sf: str) -> DataFrame:
+    """P1 over every chunk."""
+    ch = _plain_chunks(spark, sf)
+    return flat(
+        ch.select("doc_id", "chunk_id", P.question_prompt(F.col("chunk"), FX.GENERATE_NUM).alias("prompt"))
+    )
+
+
+def stub_question_reply(chunk: Column) -> Column:
+    """The stub model's question reply as a Column (same as checks.stub_client)."""
+    return F.concat(
+        F.lit("What about "), F.substring(chunk, 1, 40), F.lit("?,Why "), F.substring(chunk, 41, 40), F.lit("?")
+    )
+
+
+def answer_prompts(spark: SparkSession, sf: str) -> DataFrame:
+    """Split the replies and build an answer prompt per question."""
+    ch = _plain_chunks(spark, sf).withColumn("reply", stub_question_reply(F.col("chunk")))
+    qs = P.explode_questions(ch, "reply", keep=["doc_id", "chunk_id", "chunk"])
+    return flat(
+        qs.select(
+            "doc_id", "chunk_id", "question_no", "question",
+            P.answer_prompt(F.col("chunk"), F.col("question")).alias("prompt"),
+        )
+    )
+
+
+def parse_questions(spark: SparkSession, sf: str) -> DataFrame:
+    """P3/P4 over every assistant reply in conversations."""
+    conv = read_table(spark, sf, "conversations").filter(F.col("role") == "assistant")
+    return flat(P.explode_questions(conv, "text", keep=["conv_id", "turn"]))
+
+
+# ------------------------------------------------------------------ resume / pairs
+def _named_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    ch = _plain_chunks(spark, sf)
+    return ch.withColumn(
+        "source", source_id(F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")))
+    )
+
+
+def _existing_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Earlier-run pairs derived from conversations: two turns per chunk id."""
+    conv = read_table(spark, sf, "conversations")
+    return conv.select(
+        F.col("text").alias("question"),
+        F.col("role").alias("answer"),
+        source_id(F.concat(F.lit("doc_"), F.col("conv_id").cast("string"), F.lit(".txt"))).alias("source"),
+        F.expr("turn div 2").cast("int").alias("chunk_id"),
+        F.col("text").alias("chunk"),
+    )
+
+
+def resume_skip(spark: SparkSession, sf: str) -> DataFrame:
+    """Chunks still to generate given earlier pairs (generate_num = 2)."""
+    todo = RS.skip_done_chunks(_named_chunks(spark, sf), _existing_pairs(spark, sf), FX.GENERATE_NUM)
+    return flat(todo.select("source", "chunk_id", "chunk_start", "chunk_end"))
+
+
+def _qa_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    conv = read_table(spark, sf, "conversations")
+    requests = conv.filter(F.col("role") == "user").select(
+        request_id(F.col("conv_id"), F.col("turn")).alias("request_id"),
+        "conv_id", "turn", F.col("text").alias("question"),
+    )
+    replies = conv.filter(F.col("role") == "assistant").select(
+        request_id(F.col("conv_id"), F.col("turn") - 1).alias("request_id"),
+        F.col("text").alias("answer"),
+    )
+    joined = attach_replies(requests, replies)
+    return P.qa_pair(
+        joined.select(
+            "question", "answer",
+            F.concat(F.lit("conv_"), F.col("conv_id").cast("string")).alias("source"),
+            F.col("turn").alias("chunk_id"),
+            F.col("question").alias("chunk"),
+        )
+    )
+
+
+def qa_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Each user turn joined with the assistant reply that follows it."""
+    return flat(_qa_pairs(spark, sf))
+
+
+def merge_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Three per-source pair sets merged back into one."""
+    pairs = _qa_pairs(spark, sf)
+    a = pairs.filter(F.col("chunk_id") < 2)
+    b = pairs.filter((F.col("chunk_id") >= 2) & (F.col("chunk_id") < 4))
+    c = pairs.filter(F.col("chunk_id") >= 4)
+    return flat(RS.merge_pairs(a, b, c))
+
+
+def alpaca_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Instruction / input / output records."""
+    return flat(P.training_record(_qa_pairs(spark, sf)))
+
+
+# ------------------------------------------------------------------ records / chat
+def merged_prompt(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with an optional input built from labels."""
+    docs = read_table(spark, sf, "documents")
+    labels = read_table(spark, sf, "labels")
+    j = docs.join(labels, "doc_id", "left")
+    inp = F.when(
+        F.col("quality").isNull(), F.lit("")
+    ).otherwise(F.concat(F.lit("quality="), F.col("quality").cast("string"),
+                         F.lit(" toxic="), F.col("toxic").cast("string")))
+    return flat(
+        j.select("doc_id", C.merged_prompt({"instruction": F.col("text"), "input": inp}).alias("merged"))
+    )
+
+
+def _records(spark: SparkSession, sf: str) -> DataFrame:
+    pairs = _qa_pairs(spark, sf)
+    rec = pairs.select("source", "chunk_id", F.col("question").alias("instruction"),
+                       F.lit("").alias("input"), F.col("answer").alias("output"))
+    return rec.withColumn(
+        "conversation",
+        C.sharegpt_conversation(
+            C.merged_prompt({"instruction": F.col("instruction"), "input": F.col("input")}), F.col("output")
+        ),
+    )
+
+
+def sharegpt(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations exploded to one row per turn."""
+    rec = _records(spark, sf)
+    return flat(
+        rec.select("source", "chunk_id", F.posexplode("conversation").alias("msg_no", "m")).select(
+            "source", "chunk_id", "msg_no", F.col("m.from").alias("from_"), F.col("m.value").alias("value")
+        )
+    )
+
+
+def normalized_roles(spark: SparkSession, sf: str) -> DataFrame:
+    """role/content after normalization."""
+    rec = _records(spark, sf).withColumn("messages", C.normalize_roles(F.col("conversation")))
     return flat(
-        chunk_documents(docs, keep=["doc_id"], chunk_size=FX.CHUNK_SIZE, overlap=FX.CHUNK_OVERLAP)
+        rec.select("source", "chunk_id", F.posexplode("messages").alias("msg_no", "m")).select(
+            "source", "chunk_id", "msg_no", F.col("m.role").alias("role"), F.col("m.content").alias("content")
+        )
+    )
+
+
+def chat_text(spark: SparkSession, sf: str) -> DataFrame:
+    """P10: rendered training text."""
+    rec = _records(spark, sf)
+    return flat(rec.select("source", "chunk_id",
+                           C.render_chat(C.normalize_roles(F.col("conversation"))).alias("text")))
+
+
+SYSTEM_PROMPT = "You are a helpful assistant."
+
+
+def chat_text_system(spark: SparkSession, sf: str) -> DataFrame:
+    """Rendered with a configured system prompt."""
+    rec = _records(spark, sf)
+    return flat(rec.select(
+        "source", "chunk_id",
+        C.render_chat(C.normalize_roles(F.col("conversation")), SYSTEM_PROMPT).alias("text"),
+    ))
+
+
+def conversation_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Validated messages assembled per conversation in turn order."""
+    conv = read_table(spark, sf, "conversations")
+    msgs = C.assemble_messages(
+        conv.select("conv_id", "turn", C.llm_message(F.col("role"), F.col("text")).alias("m"))
+        .select("conv_id", "turn", F.col("m.role").alias("role"), F.col("m.content").alias("content")),
+        key="conv_id", order="turn",
+    )
+    return flat(msgs.select(
+        "conv_id",
+        F.size("messages").alias("n_messages"),
+        F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"])),
+                     "\n").alias("transcript"),
+    ))
+
+
+def role_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """P13 quarantine: rows whose role is not system/user/assistant."""
+    conv = read_table(spark, sf, "conversations").withColumn(
+        "role", F.when(F.col("role") == "system", F.lit("tool")).otherwise(F.col("role"))
+    )
+    _, bad = C.split_valid_roles(conv)
+    return flat(bad.select("conv_id", "turn", "role", "error"))
+
+
+def _record_conversations(spark: SparkSession, sf: str) -> DataFrame:
+    rec = _records(spark, sf)
+    return rec.select(
+        F.concat(F.col("source"), F.lit(":"), F.col("chunk_id").cast("string")).alias("rec_id"),
+        F.transform("conversation", lambda m: m["value"]).alias("turns"),
+    )
+
+
+def extend_conversations(spark: SparkSession, sf: str) -> DataFrame:
+    """Each record extended with the records at its position in two shuffled copies."""
+    rec = _record_conversations(spark, sf)
+    ext = R.extend_conversations(rec, "rec_id", "turns", FX.EXTENSION_K, FX.EXTENSION_SEED)
+    return flat(ext.select("rec_id", F.size("turns").alias("n_turns"),
+                           F.array_join("turns", "\u001e").alias("joined")))
+
+
+# ------------------------------------------------------------------ calibration
+def _sampled_conversations(spark: SparkSession, sf: str) -> DataFrame:
+    conv = read_table(spark, sf, "conversations")
+    ids = R.seeded_sample(conv.select("conv_id").distinct(), FX.CALIBRATION_N, "conv_id", FX.CALIBRATION_SEED)
+    return conv.join(F.broadcast(ids), "conv_id", "left_semi")  # at most N ids
+
+
+def calibration_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """O1: N conversation ids chosen by a seeded hash order."""
+    conv = read_table(spark, sf, "conversations")
+    return flat(R.seeded_sample(conv.select("conv_id").distinct(), FX.CALIBRATION_N, "conv_id",
+                                FX.CALIBRATION_SEED))
+
+
+def _calibration_text(spark: SparkSession, sf: str) -> DataFrame:
+    msgs = C.assemble_messages(_sampled_conversations(spark, sf), key="conv_id", order="turn",
+                               content="text")
+    return msgs.select("conv_id", C.render_chat(F.col("messages")).alias("text"))
+
+
+def calibration_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Sampled conversations rendered to one text each."""
+    return flat(_calibration_text(spark, sf))
+
+
+def calibration_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """Whitespace tokens truncated to max_seq_len; other columns dropped."""
+    t = _calibration_text(spark, sf).select(
+        "conv_id", whitespace_tokens(F.col("text"), FX.CALIBRATION_MAX_TOKENS).alias("tokens")
+    )
+    return flat(t.select("conv_id", F.size("tokens").alias("n_tokens"),
+                         F.array_join("tokens", " ").alias("tokens")))
+
+
+# ------------------------------------------------------------------ images
+IMAGE_MAGIC = {"com": "89504E470D0A1A0A", "net": "FFD8FFE0", "org": "4E4F54494D47"}
+
+
+def image_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Image listing derived from pages: p<id>.png, header bytes chosen by the URL's domain."""
+    pages = read_table(spark, sf, "pages")
+    tld = F.regexp_extract(F.col("url"), "\\.example\\.([a-z]+)", 1)
+    magic = F.lit(None).cast("binary")
+    for k, v in IMAGE_MAGIC.items():
+        magic = F.when(tld == k, F.unhex(F.lit(v))).otherwise(magic)
+    name = F.concat(F.lit("p"), F.col("page_id").cast("string"), F.lit(".png"))
+    return pages.select(
+        name.alias("rel_path"),
+        F.concat(F.lit("images/"), name).alias("path"),
+        F.concat(magic, F.encode(F.col("html"), "UTF-8")).alias("content"),
+    )
+
+
+def image_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Manifest from documents: repeated and missing file names, optional instruction."""
+    docs = read_table(spark, sf, "documents")
+    page = F.expr("doc_id div 3").cast("string")
+    return docs.select(
+        "doc_id",
+        F.concat(F.lit("p"), page, F.lit(".png")).alias("file_name"),
+        F.when(F.col("lang") == "en", F.concat(F.lit("What is on page "), page, F.lit("?"))).alias("instruction"),
+        "text",
+    )
+
+
+def _joined_images(spark: SparkSession, sf: str) -> DataFrame:
+    return V.join_images(image_manifest(spark, sf), image_files(spark, sf))
+
+
+def images_joined(spark: SparkSession, sf: str) -> DataFrame:
+    """Manifest rows whose image exists."""
+    j = _joined_images(spark, sf)
+    return flat(j.select("doc_id", "file_name", "image_path", F.length("content").alias("n_bytes"),
+                         F.col("text")))
+
+
+def _valid_images(spark: SparkSession, sf: str) -> DataFrame:
+    good, _ = V.split_valid_images(_joined_images(spark, sf))
+    return good
+
+
+def images_valid(spark: SparkSession, sf: str) -> DataFrame:
+    """rows whose header is an image signature."""
+    good = _valid_images(spark, sf)
+    return flat(good.select("doc_id", "file_name", "image_path", "image_format",
+                            F.length("content").alias("n_bytes")))
+
+
+def vlm_conversation(spark: SparkSession, sf: str) -> DataFrame:
+    """User [instruction text, image], assistant [text], exploded to parts."""
+    good = _valid_images(spark, sf)
+    rows = good.select("doc_id", "instruction", "text", "image_path",
+                       V.image_struct(F.col("content"), F.col("image_path")).alias("image"))
+    conv = V.vlm_conversation(rows)
+    msgs = conv.select("doc_id", F.posexplode("messages").alias("msg_no", "m"))
+    parts = msgs.select("doc_id", "msg_no", F.col("m.role").alias("role"),
+                        F.posexplode("m.content").alias("part_no", "p"))
+    return flat(parts.select(
+        "doc_id", "msg_no", "role", "part_no", F.col("p.type").alias("type"), F.col("p.text").alias("text"),
+        F.col("p.image.path").alias("image_path"),
+    ))
+
+
+VLM_SYSTEM = "You are a helpful assistant that can answer questions about images."
+
+
+def vlm_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """System / user (image URL first) / assistant messages, exploded to parts."""
+    good = _valid_images(spark, sf)
+    msgs = good.select(
+        "doc_id",
+        F.array(
+            C.vlm_message(F.lit("system"), F.lit(VLM_SYSTEM)),
+            C.vlm_message(F.lit("user"), F.coalesce(F.col("instruction"), F.lit(V.DEFAULT_VLM_INSTRUCTION)),
+                          F.col("image_path")),
+            C.vlm_message(F.lit("assistant"), F.col("text")),
+        ).alias("messages"),
+    )
+    m = msgs.select("doc_id", F.posexplode("messages").alias("msg_no", "m"))
+    parts = m.select("doc_id", "msg_no", F.col("m.role").alias("role"),
+                     F.posexplode("m.content").alias("part_no", "p"))
+    return flat(parts.select("doc_id", "msg_no", "role", "part_no", F.col("p.type").alias("type"),
+                             F.col("p.text").alias("text"), F.col("p.url").alias("url")))
+
+
+def _vendor(spark: SparkSession, sf: str) -> DataFrame:
+    j = _joined_images(spark, sf)
+    good, _ = V.vendor_rows(j)
+    return good
+
+
+def vendor_qa(spark: SparkSession, sf: str) -> DataFrame:
+    """question/answer/image rows; rows without an instruction skipped."""
+    g = _vendor(spark, sf)
+    return flat(g.select("question", "answer", "image_path", F.length("image.bytes").alias("n_bytes")))
+
+
+def keyed_qa(spark: SparkSession, sf: str) -> DataFrame:
+    """Configured keys rendered to system / user / assistant turns."""
+    k = V.keyed_qa(_vendor(spark, sf))
+    return flat(k.select("system", "user", "assistant", F.col("image.path").alias("image_path")))
+
+
+# ------------------------------------------------------------------ shards
+def _shards(spark: SparkSession, sf: str):
+    docs = read_table(spark, sf, "documents").select("doc_id", "n_chars")
+    return R.assign_shards(docs, ["doc_id"], FX.SHARDS)
+
+
+def shard_assign(spark: SparkSession, sf: str) -> DataFrame:
+    """A3: contiguous shard of every document in doc_id order."""
+    sharded, _ = _shards(spark, sf)
+    return flat(sharded.select("doc_id", "row_idx", "shard"))
+
+
+def shard_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Every shard's file name and row count."""
+    sharded, _ = _shards(spark, sf)
+    return flat(R.shard_manifest(spark, sharded, "train", FX.SHARDS))
+
+
+# ------------------------------------------------------------------ streaming
+def incremental_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents chunked by a Structured Streaming query (availableNow)."""
+    return flat(stream_chunks_once(spark, f"{sf}/documents.parquet",
+                                   read_table(spark, sf, "documents").schema,
+                                   chunk_size=FX.CHUNK_SIZE, overlap=FX.CHUNK_OVERLAP))
+
+
+# ------------------------------------------------------------------ flagship
+def qa_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    """Program A end to end with the stub model: chunks -> questions -> answers -> pairs."""
+    docs = read_table(spark, sf, "documents").withColumn(
+        "name", F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    )
+    res = generate_qa_pairs(
+        docs, make_client, source=source_id(F.col("name")), chunk_size=FX.CHUNK_SIZE,
+        overlap=FX.CHUNK_OVERLAP, generate_num=FX.GENERATE_NUM,
     )
+    return flat(res.pairs.select("source", "chunk_id", "question_no", "question", "answer", "chunk"))

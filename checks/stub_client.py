@@ -1,0 +1,51 @@
+"""Deterministic stand-in for a text-generation model (tests and driver queries).
+
+Question prompt -> "What about <context[0:40]>?,Why <context[40:80]>?"
+Answer prompt   -> "<reference><context[0:60]></reference><answer><question></answer>"
+
+Both replies are simple functions of the chunk and question, so the whole
+generation program has a SQL oracle.  Any comma inside the quoted context
+splits into extra questions, as a real model's reply would.
+"""
+
+from __future__ import annotations
+
+from sftprep.functions.prompts import ANSWER_PROMPT, QUESTION_PROMPT
+
+_Q_HEAD = QUESTION_PROMPT.split("{context}")[0]
+_Q_TAIL = "\n</context>\nGenerate "
+_A_HEAD = ANSWER_PROMPT.split("{context}")[0]
+_A_MID = "\n</context>\n<question>\n"
+_A_TAIL = "\n</question>\n"
+
+
+def question_reply(context: str) -> str:
+    return f"What about {context[:40]}?,Why {context[40:80]}?"
+
+
+def answer_reply(context: str, question: str) -> str:
+    return f"<reference>{context[:60]}</reference><answer>{question}</answer>"
+
+
+def reply(messages: list[dict]) -> str:
+    prompt = messages[-1]["content"]
+    if prompt.startswith(_Q_HEAD):
+        return question_reply(prompt[len(_Q_HEAD) : prompt.rindex(_Q_TAIL)])
+    if prompt.startswith(_A_HEAD):
+        body = prompt[len(_A_HEAD) : prompt.rindex(_A_TAIL)]
+        context, question = body.rsplit(_A_MID, 1)
+        return answer_reply(context, question)
+    return ""
+
+
+class StubClient:
+    def __init__(self):
+        self.calls = 0
+
+    def __call__(self, batch: list[list[dict]], **_opts) -> list[str]:
+        self.calls += len(batch)
+        return [reply(m) for m in batch]
+
+
+def make_client() -> StubClient:
+    return StubClient()
