@@ -30,10 +30,10 @@ INVALID_ROLE_MESSAGE = "Invalid role: "
 
 # The template splits into a preamble (the default system text) and the turn
 # block; the turn block splits into the instruction part and the response part.
-PREAMBLE, _TURN = CHAT_TEMPLATE.split("\n\n", 1)
-INSTRUCTION_HEAD, _rest = _TURN.split("{INPUT}", 1)
-RESPONSE_HEAD = _rest.split("{OUTPUT}", 1)[0]
 TURN_GLUE = "\n\n"
+PREAMBLE, _TURN = CHAT_TEMPLATE.split(TURN_GLUE, 1)
+INSTRUCTION_HEAD, _rest = _TURN.split("{INPUT}", 1)
+RESPONSE_HEAD = _rest.split("{OUTPUT}", 1)[0].removeprefix(TURN_GLUE)
 
 
 def merged_prompt(values: Mapping[str, ColumnLike], template: str = MERGED_PROMPT) -> Column:
