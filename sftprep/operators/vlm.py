@@ -115,9 +115,13 @@ def vlm_conversation(rows: DataFrame, system_prompt: str = DEFAULT_VLM_INSTRUCTI
     (even if NULL), else ``system_prompt``.
     """
     instr = F.col("instruction") if "instruction" in rows.columns else F.lit(system_prompt)
+    if "image" in rows.columns:
+        image = F.col("image")
+    else:  # joined rows straight from F2/F3
+        image = image_struct(F.col("content"), F.col("image_path"))
     user = F.struct(
         F.lit("user").alias("role"),
-        F.array(text_part(instr), image_part(image=F.col("image"))).alias("content"),
+        F.array(text_part(instr), image_part(image=image)).alias("content"),
     )
     assistant = F.struct(
         F.lit("assistant").alias("role"), F.array(text_part(F.col("text"))).alias("content")

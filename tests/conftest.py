@@ -4,7 +4,12 @@ import sys
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+TESTS = os.path.join(ROOT, "tests")
 sys.path.insert(0, ROOT)
+# Python workers unpickle client factories defined in the package and in tests.
+os.environ["PYTHONPATH"] = os.pathsep.join(
+    [ROOT, TESTS] + [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+)
 
 SF001 = "/root/testdata/sf0.001"
 
