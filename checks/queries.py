@@ -278,17 +278,9 @@ def chat_text_system(spark: SparkSession, sf: str) -> DataFrame:
 def conversation_messages(spark: SparkSession, sf: str) -> DataFrame:
     """Validated messages assembled per conversation in turn order."""
     conv = read_table(spark, sf, "conversations")
-    msgs = C.assemble_messages(
-        conv.select("conv_id", "turn", C.llm_message(F.col("role"), F.col("text")).alias("m"))
-        .select("conv_id", "turn", F.col("m.role").alias("role"), F.col("m.content").alias("content")),
-        key="conv_id", order="turn",
-    )
-    return flat(msgs.select(
-        "conv_id",
-        F.size("messages").alias("n_messages"),
-        F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"])),
-                     "\n").alias("transcript"),
-    ))
+    checked = conv.select("conv_id", "turn", C.llm_message(F.col("role"), F.col("text")).alias("m")).select(
+        "conv_id", "turn", F.col("m.role").alias("role"), F.col("m.content").alias("content"))
+    return flat(C.transcripts(checked, "conv_id", "turn"))
 
 
 def role_quarantine(spark: SparkSession, sf: str) -> DataFrame:
@@ -331,9 +323,7 @@ def calibration_sample(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _calibration_text(spark: SparkSession, sf: str) -> DataFrame:
-    msgs = C.assemble_messages(_sampled_conversations(spark, sf), key="conv_id", order="turn",
-                               content="text")
-    return msgs.select("conv_id", C.render_chat(F.col("messages")).alias("text"))
+    return C.render_conversations(_sampled_conversations(spark, sf), "conv_id", "turn", content="text")
 
 
 def calibration_text(spark: SparkSession, sf: str) -> DataFrame:

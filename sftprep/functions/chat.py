@@ -165,3 +165,88 @@ def assemble_messages(
             "messages"
         ),
     )
+
+
+# ---------------------------------------------------------------------------
+# Message rows -> one text per conversation, without gathering a whole
+# conversation's rows in one aggregation buffer.
+#
+# Level 1 groups by (key, turn block) so every group holds at most
+# ``block_size`` turns and is partially aggregated map-side; level 2 joins
+# the per-block strings (one per block) in block order.  A conversation that
+# holds a third of all rows is therefore split into many bounded groups
+# before the shuffle.
+
+DEFAULT_BLOCK = 256
+
+
+def ordered_join(
+    df: DataFrame,
+    key: str,
+    order: str,
+    piece: Column,
+    sep: str,
+    block_size: int = DEFAULT_BLOCK,
+    keep: Column | None = None,
+) -> DataFrame:
+    """``key, text, n``: ``piece`` of the kept rows joined with ``sep`` in ``order``."""
+    kept = F.lit(True) if keep is None else keep
+    blk = F.floor(F.col(order) / F.lit(block_size)).alias("_blk")
+    lvl1 = df.groupBy(key, blk).agg(
+        F.array_join(
+            F.transform(
+                F.sort_array(F.collect_list(F.when(kept, F.struct(F.col(order).alias("o"), piece.alias("p"))))),
+                lambda x: x["p"],
+            ),
+            sep,
+        ).alias("_t"),
+        F.count(F.when(kept, F.lit(1))).alias("_n"),
+    )
+    return lvl1.groupBy(key).agg(
+        F.array_join(
+            F.transform(
+                F.sort_array(F.collect_list(F.when(F.col("_n") > 0, F.struct(F.col("_blk"), F.col("_t"))))),
+                lambda x: x["_t"],
+            ),
+            sep,
+        ).alias("text"),
+        F.sum("_n").alias("n"),
+    )
+
+
+def render_conversations(
+    df: DataFrame,
+    key: str,
+    order: str,
+    role: str = "role",
+    content: str = "content",
+    system_prompt: str | None = None,
+    block_size: int = DEFAULT_BLOCK,
+) -> DataFrame:
+    """P18 over message rows: ``key, text`` equal to ``render_chat`` of the ordered list."""
+    is_sys = F.col(role) == "system"
+    piece = F.concat(
+        F.when(F.col(role) == "assistant", F.lit(RESPONSE_HEAD)).otherwise(F.lit(INSTRUCTION_HEAD)),
+        F.coalesce(F.col(content), F.lit("")),
+    )
+    body = ordered_join(df, key, order, piece, TURN_GLUE, block_size, keep=~is_sys)
+    first_sys = (
+        df.filter(is_sys)
+        .groupBy(key)
+        .agg(F.min_by(F.col(content), F.col(order)).alias("_sys"))
+    )
+    default = F.lit(PREAMBLE if system_prompt is None else system_prompt)
+    return body.join(first_sys, key, "left").select(
+        key, F.concat(F.coalesce(F.col("_sys"), default), F.lit(TURN_GLUE), F.col("text")).alias("text")
+    )
+
+
+def transcripts(
+    df: DataFrame, key: str, order: str, role: str = "role", content: str = "content",
+    block_size: int = DEFAULT_BLOCK,
+) -> DataFrame:
+    """A2 as text: ``key, n_messages, transcript`` with ``role: content`` lines in order."""
+    piece = F.concat(F.col(role), F.lit(": "), F.coalesce(F.col(content), F.lit("")))
+    return ordered_join(df, key, order, piece, "\n", block_size).select(
+        key, F.col("n").alias("n_messages"), F.col("text").alias("transcript")
+    )

@@ -106,3 +106,17 @@ def test_assemble_messages_in_turn_order(spark):
                                "cid int, turn int, role string, content string")
     m = C.assemble_messages(df, "cid", "turn").first()["messages"]
     assert [x.content for x in m] == ["s", "a", "b"]
+
+
+def test_block_rendering_equals_list_rendering(spark):
+    rows = [(1, t, "system" if t == 0 else ("user" if t % 2 else "assistant"), f"m{t}") for t in range(23)]
+    rows += [(2, 0, "user", "only"), (3, 0, "system", "s-only"), (4, 5, "assistant", "late"), (4, 2, "system", "S4")]
+    df = spark.createDataFrame(rows, "cid int, turn int, role string, content string")
+    listed = C.assemble_messages(df, "cid", "turn").select("cid", C.render_chat(F.col("messages")).alias("t"))
+    exp = {r.cid: r.t for r in listed.collect()}
+    for block in (1, 2, 5, 256):
+        got = {r.cid: r.text for r in C.render_conversations(df, "cid", "turn", block_size=block).collect()}
+        assert got == exp
+    tr = {r.cid: (r.n_messages, r.transcript) for r in C.transcripts(df, "cid", "turn", block_size=3).collect()}
+    assert tr[1][0] == 23 and tr[1][1].split("\n")[:2] == ["system: m0", "user: m1"]
+    assert tr[4] == (2, "system: S4\nassistant: late")
