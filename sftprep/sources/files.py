@@ -87,7 +87,7 @@ def scan_documents(spark: SparkSession, path: str, extensions: Sequence[str] = D
     '_' or '.'.)
     """
     reader = spark.read.format("binaryFile")
-    if os.path.isdir(path):
+    if _is_dir(path):
         listing = reader.load(path)
         listing = listing.filter(~F.col("path").rlike(_nested_pattern(path)))
         listing = listing.filter(has_document_extension(base_name(F.col("path")), extensions))
@@ -107,9 +107,18 @@ def scan_documents(spark: SparkSession, path: str, extensions: Sequence[str] = D
     return out
 
 
+def _norm_dir(path: str) -> str:
+    """Absolute local path, or a URI (``s3a://``, ``hdfs://``) as given."""
+    return path.rstrip("/") if "://" in path else os.path.abspath(path).rstrip("/")
+
+
+def _is_dir(path: str) -> bool:
+    """Local paths are asked; a URI names a folder when it ends with '/'."""
+    return path.endswith("/") if "://" in path else os.path.isdir(path)
+
+
 def _nested_pattern(directory: str) -> str:
-    d = os.path.abspath(directory).rstrip("/")
-    return "\\Q" + d + "/\\E[^/]+/"
+    return "\\Q" + _norm_dir(directory) + "/\\E[^/]+/"
 
 
 def load_chunks(
@@ -153,7 +162,7 @@ def scan_images(spark: SparkSession, image_dir: str) -> DataFrame:
     ``rel_path`` (the join key with manifest ``file_name``) is the path
     relative to the directory.  ``content`` is read lazily.
     """
-    root = os.path.abspath(image_dir).rstrip("/")
+    root = _norm_dir(image_dir)
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     rel = F.regexp_extract(F.col("path"), "\\Q" + root + "/\\E(.*)$", 1)
     return listing.select(rel.alias("rel_path"), "path", "length", "content")

@@ -120,3 +120,17 @@ def test_block_rendering_equals_list_rendering(spark):
     tr = {r.cid: (r.n_messages, r.transcript) for r in C.transcripts(df, "cid", "turn", block_size=3).collect()}
     assert tr[1][0] == 23 and tr[1][1].split("\n")[:2] == ["system: m0", "user: m1"]
     assert tr[4] == (2, "system: S4\nassistant: late")
+
+
+def _len_tokenizer():
+    return lambda s: [len(w) for w in s.split()]
+
+
+def test_token_truncation(spark):
+    from sftprep.functions.tokens import subword_token_ids, whitespace_tokens
+
+    df = spark.createDataFrame([("a  bb\tccc\n dddd ",), ("",)], "t string")
+    rows = df.select(whitespace_tokens(F.col("t"), 3).alias("w"),
+                     subword_token_ids(F.col("t"), _len_tokenizer, 2).alias("s")).collect()
+    assert rows[0].w == ["a", "bb", "ccc"] and rows[0].s == [1, 2]
+    assert rows[1].w == [] and rows[1].s == []
