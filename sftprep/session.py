@@ -34,6 +34,8 @@ def build_session(
         "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
         "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
         "spark.sql.session.timeZone": "UTC",
+        # delete checkpoint files once their DataFrame is garbage collected
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -92,7 +94,11 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     spreading it lets the Python chunker use every core.
     """
     spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or spark.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave as is
+        return df
+    if have >= want:
         return df
     return df.repartition(want)
