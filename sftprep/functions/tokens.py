@@ -28,6 +28,14 @@ def whitespace_tokens(text: Column, max_tokens: int = DEFAULT_MAX_TOKENS) -> Col
 _TOKENIZERS: dict[str, object] = {}
 
 
+def worker_tokenizer(key: str, factory: Callable) -> object:
+    """This worker's tokenizer, built once (top-level so workers share the cache)."""
+    tok = _TOKENIZERS.get(key)
+    if tok is None:
+        tok = _TOKENIZERS[key] = factory()
+    return tok
+
+
 def subword_token_ids(
     text: Column,
     tokenizer_factory: Callable[[], Callable[[str], list[int]]],
@@ -35,13 +43,14 @@ def subword_token_ids(
     cache_key: str | None = None,
 ) -> Column:
     """ARRAY<INT> ids from a user tokenizer, truncated; one tokenizer per worker."""
-    key = cache_key or f"{tokenizer_factory.__module__}.{tokenizer_factory.__qualname__}"
+    key = cache_key or (
+        f"{getattr(tokenizer_factory, '__module__', '')}.{tokenizer_factory.__qualname__}"
+        if hasattr(tokenizer_factory, "__qualname__") else repr(tokenizer_factory)
+    )
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def ids(texts: pd.Series) -> pd.Series:
-        tok = _TOKENIZERS.get(key)
-        if tok is None:
-            tok = _TOKENIZERS[key] = tokenizer_factory()
+        tok = worker_tokenizer(key, tokenizer_factory)
         return pd.Series([None if t is None else list(tok(t))[:max_tokens] for t in texts])
 
     return ids(text)

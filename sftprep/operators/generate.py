@@ -31,6 +31,27 @@ Client = Callable[..., Sequence[str | None]]
 _CLIENTS: dict[str, Any] = {}
 
 
+def worker_client(key: str, factory: Callable[[], Any]) -> Any:
+    """The client of this Python worker process, built on first use.
+
+    A top-level function, so closures shipped to workers reach it by
+    reference and share this module's cache (a dict captured by a closure
+    would be copied into every task).
+    """
+    client = _CLIENTS.get(key)
+    if client is None:
+        client = _CLIENTS[key] = factory()
+    return client
+
+
+def _factory_key(factory: Callable) -> str:
+    """Cache key computed once on the driver (so it is the same in every worker)."""
+    name = getattr(factory, "__qualname__", None)
+    if name:
+        return f"{getattr(factory, '__module__', '')}.{name}"
+    return repr(factory)
+
+
 def _messages_to_py(v: Any) -> list[dict]:
     if v is None:
         return []
@@ -65,7 +86,7 @@ def generate_replies(
     replies back to their prompts.  A client exception or a NULL reply is
     reported in ``error`` with a NULL ``response``; it never fails the task.
     """
-    key = cache_key or f"{client_factory.__module__}.{client_factory.__qualname__}"
+    key = cache_key or _factory_key(client_factory)
     carry = list(carry)
     if request_id_col and request_id_col not in carry:
         carry.append(request_id_col)
@@ -81,9 +102,7 @@ def generate_replies(
     opts = {"max_tokens": max_tokens, "temperature": temperature}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client = _CLIENTS.get(key)
-        if client is None:
-            client = _CLIENTS[key] = client_factory()
+        client = worker_client(key, client_factory)
         for pdf in batches:
             prompts = [_messages_to_py(v) for v in pdf["_messages"]]
             try:

@@ -129,11 +129,12 @@ def vlm_conversation(rows: DataFrame, system_prompt: str = DEFAULT_VLM_INSTRUCTI
     return rows.select(*rows.columns, F.array(user, assistant).alias("messages"))
 
 
-def vendor_rows(joined: DataFrame) -> tuple[DataFrame, DataFrame]:
+def vendor_rows(joined: DataFrame, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """(question, answer, image_path, image) rows; rows without an
     instruction are skipped; rows without text are returned as errors."""
     has_q = F.col("instruction").isNotNull()
     good = joined.filter(has_q & F.col("text").isNotNull()).select(
+        *keep,
         F.col("instruction").alias("question"),
         F.col("text").alias("answer"),
         F.col("image_path"),

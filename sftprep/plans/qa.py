@@ -22,13 +22,15 @@ from sftprep.operators.chunking import chunk_documents
 from sftprep.operators.generate import generate_replies, request_id
 from sftprep.operators.resume import merge_pairs, skip_done_chunks
 from sftprep.session import cut_lineage
-from sftprep.sources.files import source_id
+from sftprep.sources.files import read_pairs_or_empty, source_id
+from sftprep.sources.sinks import append_pairs, write_training_json
 
 
 @dataclass
 class QAResult:
-    pairs: DataFrame  # question, answer, source, chunk_id, chunk, question_no
+    pairs: DataFrame  # question, answer, source, chunk_id, chunk, question_no (existing + new)
     errors: DataFrame  # stage, source, chunk_id, question_no, error
+    new_pairs: DataFrame  # the pairs generated by this run only
 
 
 def question_requests(chunks: DataFrame, generate_num: int) -> DataFrame:
@@ -128,7 +130,32 @@ def generate_qa_pairs(
             F.col("question_no").cast("int"), "error",
         )
     )
-    return QAResult(pairs=pairs, errors=errors)
+    return QAResult(pairs=pairs, errors=errors, new_pairs=new_pairs)
+
+
+def run_generation(
+    docs: DataFrame,
+    client_factory: Callable,
+    pairs_dir: str,
+    train_path: str | None = None,
+    fmt: str = "json",
+    **options,
+) -> QAResult:
+    """Resumable program A over a pair sink (S9 -> J1 -> ... -> S8 [-> X1 -> S10]).
+
+    Earlier pairs are read from ``pairs_dir``; only this run's pairs are
+    appended.  The model stages are checkpointed before the append, so the
+    write never re-reads the folder it appends to.  With ``train_path`` the
+    merged training set (all sources) is rewritten as JSON lines.
+    """
+    spark = docs.sparkSession
+    existing = read_pairs_or_empty(spark, pairs_dir, fmt)
+    res = generate_qa_pairs(docs, client_factory, existing=existing, checkpoint=True, **options)
+    append_pairs(res.new_pairs.select(*P.QA_PAIR_COLUMNS), pairs_dir, fmt)
+    if train_path:
+        merged = read_pairs_or_empty(spark, pairs_dir, fmt)
+        write_training_json(P.training_record(merged), train_path)
+    return res
 
 
 def documents_with_source(docs: DataFrame, name_col: str = "name") -> DataFrame:

@@ -39,7 +39,7 @@ def write_sharded_parquet(
     """
     sharded, _ = assign_shards(df, order, num_shards)
     spark = df.sparkSession
-    payload = [c for c in df.columns]
+    payload = [c for c in df.columns if not c.startswith("_")]
     out = sharded.withColumn("shard_file", shard_file_name(name, F.col("shard"), num_shards))
     (
         out.repartitionByRange("row_idx")
