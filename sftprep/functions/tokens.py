@@ -14,6 +14,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sftprep.session import ensure_library_on_workers
+
 # whitespace class spelled out so every regex engine reads it the same way
 WHITESPACE = "[ \\t\\n\\r\\f]+"
 DEFAULT_MAX_TOKENS = 2048
@@ -48,6 +50,8 @@ def subword_token_ids(
         if hasattr(tokenizer_factory, "__qualname__") else repr(tokenizer_factory)
     )
 
+    ensure_library_on_workers()
+
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def ids(texts: pd.Series) -> pd.Series:
         tok = worker_tokenizer(key, tokenizer_factory)

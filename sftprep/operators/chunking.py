@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sftprep.session import ensure_parallelism
+from sftprep.session import ensure_library_on_workers, ensure_parallelism
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference behaviour).
@@ -98,10 +98,13 @@ def plain_bounds(
     separators: Sequence[str] = PLAIN_SEPARATORS,
 ) -> list[tuple[int, int]]:
     """C1 chunk ranges of one text, as half-open code-point ranges."""
+    return _plain_bounds(text, chunk_size, overlap, effective_separators(separators))
+
+
+def _plain_bounds(text: str, chunk_size: int, overlap: int, seps: Sequence[str]) -> list[tuple[int, int]]:
     n = len(text)
     if chunk_size == 0 or n <= chunk_size:
         return [(0, n)]
-    seps = effective_separators(separators)
     reach = chunk_size // 4
     out: list[tuple[int, int]] = []
     start: int | None = 0
@@ -188,11 +191,11 @@ def markdown_bounds(
 
 def _bounds_udf(kind: str, chunk_size: int, overlap: int, separators: Sequence[str] | None):
     _check_params(chunk_size, overlap)
-    seps = tuple(separators) if separators is not None else PLAIN_SEPARATORS
+    seps = effective_separators(separators if separators is not None else PLAIN_SEPARATORS)
 
     if kind == "plain":
         def one(t: str):
-            return plain_bounds(t, chunk_size, overlap, seps)
+            return _plain_bounds(t, chunk_size, overlap, seps)
     elif kind == "markdown":
         def one(t: str):
             return markdown_bounds(t, chunk_size, overlap)
@@ -220,6 +223,7 @@ def chunk_bounds(
 ) -> Column:
     """ARRAY<STRUCT<start INT, end INT>> Column of chunk ranges for a text Column."""
     col = F.col(text) if isinstance(text, str) else text
+    ensure_library_on_workers()
     return _bounds_udf("markdown" if markdown else "plain", chunk_size, overlap, separators)(col)
 
 

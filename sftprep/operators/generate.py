@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sftprep.session import ensure_library_on_workers
+
 # Generation defaults.
 DEFAULT_MAX_TOKENS = 4096
 DEFAULT_TEMPERATURE = 0.5
@@ -87,6 +89,7 @@ def generate_replies(
     reported in ``error`` with a NULL ``response``; it never fails the task.
     """
     key = cache_key or _factory_key(client_factory)
+    ensure_library_on_workers(df.sparkSession)
     carry = list(carry)
     if request_id_col and request_id_col not in carry:
         carry.append(request_id_col)

@@ -102,3 +102,53 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     if have >= want:
         return df
     return df.repartition(want)
+
+
+_SHIPPED: set[tuple[str, str]] = set()
+
+
+def ship_code(spark: SparkSession, *package_dirs: str) -> None:
+    """Make packages importable in every Python worker (``--py-files`` at run time).
+
+    Python UDF closures refer to functions of these packages by module name,
+    so workers must be able to import them whatever their working folder.
+    Each package folder is zipped once per application on the driver and
+    added with ``addPyFile``, which distributes it to the executors.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    dirs = package_dirs or (os.path.dirname(os.path.abspath(__file__)),)
+    for d in dirs:
+        d = os.path.abspath(d)
+        if (app, d) in _SHIPPED:
+            continue
+        # staged on the driver only; addPyFile serves it to every executor
+        out_dir = tempfile.mkdtemp(prefix="sftprep-pyfiles-")
+        zpath = os.path.join(out_dir, os.path.basename(d) + ".zip")
+        parent = os.path.dirname(d)
+        with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as zf:
+            for root, _dirs, files in os.walk(d):
+                if "__pycache__" in root:
+                    continue
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(root, f)
+                        zf.write(full, os.path.relpath(full, parent))
+        sc.addPyFile(zpath)
+        _SHIPPED.add((app, d))
+
+
+def ensure_library_on_workers(spark: SparkSession | None = None) -> None:
+    """Ship ``sftprep`` itself before a Python UDF is planned (never raises).
+
+    A no-op after the first call in an application; harmless when the
+    package is already installed on the cluster.
+    """
+    try:
+        s = spark or SparkSession.getActiveSession()
+        if s is not None:
+            ship_code(s)
+    except Exception:  # noqa: BLE001 - e.g. a Connect session without addPyFile
+        pass
