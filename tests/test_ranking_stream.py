@@ -91,3 +91,11 @@ def test_stream_equals_batch_and_is_idempotent(spark, tmp_path):
     batch = chunk_documents(docs, keep=["doc_id"], chunk_size=1024, overlap=200)
     assert streamed.count() == batch.count() == 803
     assert streamed.select("doc_id", "chunk_id", "chunk").exceptAll(batch.select("doc_id", "chunk_id", "chunk")).count() == 0
+
+
+@pytest.mark.parametrize("parts", [1, 4, 9])
+def test_shards_deterministic_across_partitionings(spark, parts):
+    df = spark.range(0, 101).select((F.col("id") * 37 % 101).alias("k")).repartition(parts)
+    sharded, n = R.assign_shards(df, ["k"], 7)
+    got = sorted((r.k, r.row_idx, r.shard) for r in sharded.collect())
+    assert n == 101 and got == [(i, i, i // 15) for i in range(101)]

@@ -31,11 +31,13 @@ def test_scan_documents_directory(spark, tmp_path):
     (tmp_path / "c.html").write_text("<p>", encoding="utf-8")
     (tmp_path / "noext").write_text("x", encoding="utf-8")
     (tmp_path / "d.pdf").write_bytes(b"%PDF-1.4")
+    (tmp_path / "sp ace+plus.txt").write_text("ok", encoding="utf-8")
     sub = tmp_path / "sub"
     sub.mkdir()
     (sub / "e.txt").write_text("nested", encoding="utf-8")
     rows = {r.name: r for r in S.scan_documents(spark, str(tmp_path)).collect()}
-    assert set(rows) == {"a.txt", "B.MD", "d.pdf"}
+    assert set(rows) == {"a.txt", "B.MD", "d.pdf", "sp ace+plus.txt"}
+    assert rows["sp ace+plus.txt"].source == "sp ace+plus_txt"  # names are not URL-encoded
     assert rows["a.txt"].text == "héllo" and rows["a.txt"].source == "a_txt"
     assert rows["d.pdf"].text is None  # needs a codec
     single = S.scan_documents(spark, str(tmp_path / "c.html")).collect()
