@@ -71,6 +71,7 @@ def generate_qa_pairs(
     checkpoint: bool = True,
     max_tokens: int = 4096,
     temperature: float = 0.5,
+    call_partitions: int | None = None,
 ) -> QAResult:
     """The whole generation program over a document table.
 
@@ -78,6 +79,12 @@ def generate_qa_pairs(
     ``source_id(file_name)``).  ``existing`` holds pairs of earlier runs:
     chunks with at least ``generate_num`` of them are skipped before any call,
     and the returned pairs are the existing ones plus the new ones.
+
+    Model calls dominate the cost, so the chunks to process are hash-spread
+    on ``(source, chunk_id)`` into ``call_partitions`` tasks (default: the
+    shuffle partition count) before the first call: a document holding a
+    third of the corpus still spreads its calls over every task.  The count
+    is explicit, so AQE does not coalesce the (byte-small) stage away.
     """
     src = F.col(source) if isinstance(source, str) else source
     named = docs.select(src.alias("source"), F.col(text_col).alias("text"))
@@ -85,6 +92,9 @@ def generate_qa_pairs(
         named, keep=["source"], chunk_size=chunk_size, overlap=overlap, markdown=markdown
     ).select("source", "chunk_id", "chunk")
     todo = skip_done_chunks(chunks, existing, generate_num)
+    spark = docs.sparkSession
+    parts = call_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    todo = todo.repartition(parts, "source", "chunk_id")
 
     opts = {"max_tokens": max_tokens, "temperature": temperature}
     q = generate_replies(
