@@ -470,3 +470,54 @@ def qa_pipeline() -> str:
     SELECT source, chunk_id::BIGINT AS chunk_id, question_no::BIGINT AS question_no, question,
            {STUB_A} AS answer, chunk
     FROM {qs}"""
+
+
+# ---------------------------------------------------------------- more coverage
+def training_json() -> str:
+    return f"""SELECT source, chunk_id, json_object('instruction', question, 'input', '', 'output', answer)::VARCHAR
+                      AS record FROM {QA_PAIRS}"""
+
+
+def llm_dataset() -> str:
+    seed = FX.EXTENSION_SEED + 1
+    ih, rh, g = _C.INSTRUCTION_HEAD, _C.RESPONSE_HEAD, _C.TURN_GLUE
+    return f"""
+    WITH rec AS (SELECT source || ':' || chunk_id AS rec_id, question AS q, answer AS a FROM {QA_PAIRS}),
+    base AS (SELECT *, row_number() OVER (ORDER BY rec_id) - 1 AS pos FROM rec),
+    p1 AS (SELECT q AS q1, a AS a1, row_number() OVER (ORDER BY md5('{seed}:' || rec_id), rec_id) - 1 AS pos FROM rec)
+    SELECT rec_id, 4::BIGINT AS n_messages,
+           {lit(_Q.SYSTEM_PROMPT + g + ih)} || q || {lit(g + rh)} || a || {lit(g + ih)} || q1 || {lit(g + rh)} || a1
+             AS text
+    FROM base JOIN p1 USING (pos)"""
+
+
+def source_collisions_report() -> str:
+    return """
+    SELECT source, count(DISTINCT name)::BIGINT AS n_names FROM (
+      SELECT name, replace(name, '.', '_') AS source FROM (
+        SELECT 'doc.' || doc_id || '.txt' AS name FROM documents
+        UNION ALL SELECT 'doc_' || doc_id || '.txt' FROM documents WHERE lang = 'fr'))
+    GROUP BY source HAVING count(DISTINCT name) > 1"""
+
+
+def image_quarantine() -> str:
+    return f"""SELECT doc_id::BIGINT AS doc_id, file_name, image_path, n_bytes::BIGINT AS n_bytes
+               FROM {JOINED} WHERE image_format IS NULL"""
+
+
+def keyed_qa_inference() -> str:
+    return f"""SELECT {lit(_V.VENDOR_SYSTEM_PROMPT)} AS system, instruction AS "user", text AS label, image_path
+               FROM {JOINED} WHERE instruction IS NOT NULL AND text IS NOT NULL"""
+
+
+def resume_pipeline() -> str:
+    k = FX.GENERATE_NUM
+    return f"""
+    WITH ch AS (SELECT 'doc_' || doc_id || '_txt' AS source, chunk_id, chunk FROM {CHUNKS}),
+    ex AS (SELECT 'doc_' || conv_id || '_txt' AS source, turn // 2 AS chunk_id, count(*) AS n
+           FROM conversations GROUP BY ALL),
+    new AS (SELECT ch.source, ch.chunk_id, len(string_split({STUB_Q}, ',')) AS n
+            FROM ch LEFT JOIN ex ON ex.source = ch.source AND ex.chunk_id = ch.chunk_id
+            WHERE coalesce(ex.n, 0) < {k})
+    SELECT source, chunk_id::BIGINT AS chunk_id, sum(n)::BIGINT AS n_pairs
+    FROM (SELECT * FROM ex UNION ALL SELECT * FROM new) GROUP BY ALL"""

@@ -21,8 +21,9 @@ from sftprep.operators import resume as RS
 from sftprep.operators import vlm as V
 from sftprep.operators.chunking import chunk_documents
 from sftprep.operators.generate import attach_replies, request_id
+from sftprep.plans.llm_dataset import prepare_llm_dataset
 from sftprep.plans.qa import generate_qa_pairs
-from sftprep.sources.files import extension, has_document_extension, source_id
+from sftprep.sources.files import extension, has_document_extension, source_collisions, source_id
 from sftprep.sources.tables import read_table
 from sftprep.streaming.incremental import stream_chunks_once
 
@@ -486,3 +487,53 @@ def qa_pipeline(spark: SparkSession, sf: str) -> DataFrame:
         overlap=FX.CHUNK_OVERLAP, generate_num=FX.GENERATE_NUM,
     )
     return flat(res.pairs.select("source", "chunk_id", "question_no", "question", "answer", "chunk"))
+
+
+# ------------------------------------------------------------------ more coverage
+def training_json(spark: SparkSession, sf: str) -> DataFrame:
+    """P6 as JSON text (instruction / input / output)."""
+    return flat(P.training_record_json(_qa_pairs(spark, sf), keep=("source", "chunk_id")))
+
+
+def llm_dataset(spark: SparkSession, sf: str) -> DataFrame:
+    """Program B: records -> conversations extended by one shuffled copy -> text with a system prompt."""
+    pairs = _qa_pairs(spark, sf)
+    recs = pairs.select(
+        F.concat(F.col("source"), F.lit(":"), F.col("chunk_id").cast("string")).alias("rec_id"),
+        F.col("question").alias("instruction"), F.lit("").alias("input"), F.col("answer").alias("output"),
+    )
+    out = prepare_llm_dataset(recs, id_col="rec_id", conversation_extension=2,
+                              system_prompt=SYSTEM_PROMPT, seed=FX.EXTENSION_SEED)
+    return flat(out.select("rec_id", F.size("conversations").alias("n_messages"), "text"))
+
+
+def source_collisions_report(spark: SparkSession, sf: str) -> DataFrame:
+    """S3: source ids shared by different file names (a.b.txt vs a_b.txt)."""
+    docs = read_table(spark, sf, "documents")
+    dotted = docs.select(F.concat(F.lit("doc."), F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"))
+    under = docs.filter(F.col("lang") == "fr").select(
+        F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"))
+    return flat(source_collisions(dotted.unionByName(under)))
+
+
+def image_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """F3 rejects: joined rows whose header is no image signature."""
+    _, bad = V.split_valid_images(_joined_images(spark, sf))
+    return flat(bad.select("doc_id", "file_name", "image_path", F.length("content").alias("n_bytes")))
+
+
+def keyed_qa_inference(spark: SparkSession, sf: str) -> DataFrame:
+    """P15 inference mode: no assistant turn, label kept."""
+    k = V.keyed_qa(_vendor(spark, sf), exp_type="inference")
+    return flat(k.select("system", "user", "label", F.col("image.path").alias("image_path")))
+
+
+def resume_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    """J1 + X2 inside program A: pairs per chunk after resuming from earlier pairs."""
+    docs = read_table(spark, sf, "documents").withColumn(
+        "name", F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")))
+    res = generate_qa_pairs(
+        docs, make_client, source=source_id(F.col("name")), chunk_size=FX.CHUNK_SIZE,
+        overlap=FX.CHUNK_OVERLAP, generate_num=FX.GENERATE_NUM, existing=_existing_pairs(spark, sf),
+    )
+    return flat(RS.pairs_per_chunk(res.pairs))

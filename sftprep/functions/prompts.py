@@ -100,9 +100,10 @@ def training_record(df: DataFrame, output_name: str = "output") -> DataFrame:
     )
 
 
-def training_record_json(df: DataFrame, output_name: str = "output") -> DataFrame:
+def training_record_json(df: DataFrame, output_name: str = "output", keep: tuple[str, ...] = ()) -> DataFrame:
     """P6 as one JSON object string per row in column ``record`` (non-ASCII kept)."""
     return df.select(
+        *keep,
         F.to_json(
             F.struct(
                 F.col("question").alias("instruction"),
