@@ -99,7 +99,7 @@ def image_struct(content: Column, path: Column) -> Column:
     return F.struct(content.alias("bytes"), path.alias("path"))
 
 
-def unsloth_rows(valid: DataFrame) -> DataFrame:
+def image_text_rows(valid: DataFrame) -> DataFrame:
     """``image STRUCT<bytes, path>, text, image_path``."""
     return valid.select(
         image_struct(F.col("content"), F.col("image_path")).alias("image"),

@@ -1,6 +1,6 @@
 """Program C: image manifest + image files -> VLM training rows.
 
-Unsloth path: S6, S7 -> F2 -> F3 -> P17 -> S11 -> P12.
+Image-text path: S6, S7 -> F2 -> F3 -> P17 -> S11 -> P12.
 Vendor path:  S6, S7 -> F2 -> P16 -> A3 -> S12.
 """
 
@@ -35,7 +35,7 @@ def prepare_vlm_dataset(
     images = scan_images(spark, image_dir or base)
     joined = V.join_images(manifest, images)
     good, bad = V.split_valid_images(joined)
-    converted = save_and_reload(V.unsloth_rows(good), save_path or os.path.join(base, "converted_dataset"))
+    converted = save_and_reload(V.image_text_rows(good), save_path or os.path.join(base, "converted_dataset"))
     return V.vlm_conversation(converted, system_prompt), bad
 
 

@@ -99,12 +99,12 @@ def test_images_join_validate_and_project(spark, tmp_path):
     assert sorted(r.file_name for r in good.collect()) == ["a.png", "a.png", "b.jpg"]
     assert [r.file_name for r in bad.collect()] == ["c.png"]
     assert {r.image_format for r in good.collect()} == {"png", "jpeg"}
-    uns = V.unsloth_rows(good).first()
+    uns = V.image_text_rows(good).first()
     assert uns.image.bytes[:4] == PNG[:4] or uns.image.bytes[:3] == JPG[:3]
     conv = V.vlm_conversation(good).filter(F.col("file_name") == "b.jpg").first().messages
     assert conv[0].content[0].type == "text" and conv[0].content[0].text is None  # column exists, value null
     assert conv[0].content[1].type == "image" and conv[1].content[0].text == "B"
-    no_col = V.vlm_conversation(V.unsloth_rows(good)).first().messages
+    no_col = V.vlm_conversation(V.image_text_rows(good)).first().messages
     assert no_col[0].content[0].text == V.DEFAULT_VLM_INSTRUCTION
     vend, errs = V.vendor_rows(joined)
     assert sorted(r.question for r in vend.collect()) == ["Q3", "Q?", "Q?"]
