@@ -148,19 +148,31 @@ def assemble_messages(
     order: str,
     role: str = "role",
     content: str = "content",
+    block_size: int | None = None,
 ) -> DataFrame:
     """A2: one row per ``key`` with ``messages`` ordered by ``order``.
 
     ``collect_list`` is partially aggregated map-side; ``sort_array`` on the
     (order, role, content) struct restores turn order after the shuffle.
+    The nested list is the whole conversation by definition; with
+    ``block_size`` the output is one row per (key, ``block``) of at most that
+    many turns instead, so no group is unbounded (``render_conversations``
+    and ``transcripts`` build whole-conversation text from such blocks).
     """
-    return df.groupBy(key).agg(
+    if block_size:
+        blk = F.floor(F.col(order) / F.lit(block_size)).alias("block")
+        grouped = df.groupBy(key, blk)
+        keys = [key, "block"]
+    else:
+        grouped = df.groupBy(key)
+        keys = [key]
+    return grouped.agg(
         F.sort_array(
             F.collect_list(F.struct(F.col(order).alias("o"), F.col(role).alias("role"),
                                     F.col(content).alias("content")))
         ).alias("_m")
     ).select(
-        key,
+        *keys,
         F.transform("_m", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))).alias(
             "messages"
         ),

@@ -1,11 +1,14 @@
 """Incremental ingest - new documents are chunked (and prompted) exactly once.
 
 A Structured Streaming file source over the document folder feeds
-``foreachBatch``; each micro-batch is chunked, turned into question prompts,
-anti-joined against what the sink already holds (so a replayed batch after a
-failure adds nothing) and appended.  Progress lives in the checkpoint
-folder, under the cluster's shared ``spark.checkpoint.dir``.  The work is
-stateless, so no watermark is needed.
+``foreachBatch``.  Each micro-batch is chunked, turned into question prompts
+and written to its own ``batch_id=<epoch>`` folder with overwrite, so a batch
+replayed after a failure replaces its own output and nothing is written
+twice; no batch ever re-reads the sink.  The file source's checkpoint (in the
+cluster's shared ``spark.checkpoint.dir``) records which files are done.
+The work is stateless, so no watermark is needed.  ``skip_existing`` adds
+a key-level anti-join against the sink for inputs that may repeat documents
+under new file names (costs a read of the sink keys per batch).
 """
 
 from __future__ import annotations
@@ -52,6 +55,7 @@ def run_incremental(
     generate_num: int | None = None,
     num_partitions: int | None = None,
     max_files_per_trigger: int | None = None,
+    skip_existing: bool = False,
 ) -> None:
     """Process every file present now (``availableNow``) and stop.
 
@@ -67,10 +71,12 @@ def run_incremental(
                              overlap=overlap, spread=False)
         if generate_num is not None:
             ch = ch.withColumn("prompt", question_prompt(F.col("chunk"), generate_num))
-        done = _existing(df.sparkSession, sink_path)
-        if done is not None:
-            ch = ch.join(done.select(key_col, "chunk_id"), [key_col, "chunk_id"], "left_anti")
-        ch.write.mode("append").parquet(sink_path)
+        if skip_existing:
+            done = _existing(df.sparkSession, sink_path)
+            if done is not None:
+                prior = done.filter(F.col("batch_id") != epoch_id).select(key_col, "chunk_id")
+                ch = ch.join(prior, [key_col, "chunk_id"], "left_anti")
+        ch.write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/batch_id={epoch_id}")
 
     q = (
         stream.writeStream.foreachBatch(batch)
@@ -99,4 +105,4 @@ def stream_chunks_once(
         chunk_size=chunk_size, overlap=overlap,
         num_partitions=spark.sparkContext.defaultParallelism,
     )
-    return spark.read.parquet(sink)
+    return spark.read.parquet(sink).drop("batch_id")

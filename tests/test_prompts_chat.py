@@ -134,3 +134,9 @@ def test_token_truncation(spark):
                      subword_token_ids(F.col("t"), _len_tokenizer, 2).alias("s")).collect()
     assert rows[0].w == ["a", "bb", "ccc"] and rows[0].s == [1, 2]
     assert rows[1].w == [] and rows[1].s == []
+
+
+def test_assemble_messages_blocks(spark):
+    df = spark.createDataFrame([(1, t, "user", f"m{t}") for t in range(7)], "cid int, turn int, role string, content string")
+    rows = sorted((r.block, [m.content for m in r.messages]) for r in C.assemble_messages(df, "cid", "turn", block_size=3).collect())
+    assert rows == [(0, ["m0", "m1", "m2"]), (1, ["m3", "m4", "m5"]), (2, ["m6"])]

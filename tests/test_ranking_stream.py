@@ -99,3 +99,23 @@ def test_shards_deterministic_across_partitionings(spark, parts):
     sharded, n = R.assign_shards(df, ["k"], 7)
     got = sorted((r.k, r.row_idx, r.shard) for r in sharded.collect())
     assert n == 101 and got == [(i, i, i // 15) for i in range(101)]
+
+
+def test_stream_skip_existing_drops_repeated_documents(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    docs = read_table(spark, SF001, "documents").select("doc_id", "text")
+    base = scratch_path(spark, "test-stream-skip")
+    sink, ck = os.path.join(base, "sink"), os.path.join(base, "ck")
+    for i, cond in enumerate(["doc_id < 50", "doc_id < 80"]):  # second file repeats docs 0..49
+        part = src / f"p{i}"
+        docs.filter(cond).coalesce(1).write.parquet(str(part))
+        for f in os.listdir(part):
+            if f.endswith(".parquet"):
+                os.rename(part / f, src / f"{i}-{f}")
+        run_incremental(spark, str(src), docs.schema, sink, ck, skip_existing=True, generate_num=2)
+    out = spark.read.parquet(sink)
+    assert "prompt" in out.columns
+    exp = chunk_documents(docs.filter("doc_id < 80"), keep=["doc_id"], chunk_size=1024, overlap=200)
+    assert out.count() == exp.count()
+    assert out.groupBy("doc_id", "chunk_id").count().filter("count > 1").count() == 0
