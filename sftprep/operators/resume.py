@@ -40,16 +40,26 @@ def skip_done_chunks(
     generate_num: int,
     keys: Sequence[str] = KEYS,
     broadcast_bytes: int | None = None,
+    match_chunk_text: bool = False,
 ) -> DataFrame:
     """Chunks whose existing pair count is below ``generate_num``.
 
     A left-anti join placed *before* any model call.  The done-key side is
     broadcast only after measuring it (rows and key bytes) against the budget;
     beyond the budget both sides shuffle on the chunk key.
+
+    With ``match_chunk_text`` the key also includes ``md5(chunk)``, so pairs
+    made under other chunk settings (same chunk id, different text) do not
+    count as done.
     """
     if pairs is None:
         return chunks
     keys = list(keys)
+    if match_chunk_text:
+        chunks = chunks.withColumn("_chunk_md5", F.md5(F.col("chunk")))
+        pairs = pairs.withColumn("_chunk_md5", F.md5(F.col("chunk")))
+        return skip_done_chunks(chunks, pairs, generate_num, keys + ["_chunk_md5"],
+                                broadcast_bytes).drop("_chunk_md5")
     done = done_chunks(pairs, generate_num, keys)
     budget = _broadcast_budget(chunks.sparkSession) if broadcast_bytes is None else broadcast_bytes
     size = done.agg(

@@ -87,6 +87,13 @@ def join_images(
     return m.join(imgs, m[name_col] == imgs["rel_path"], "inner").drop("rel_path")
 
 
+def rows_with_image(manifest: DataFrame, images: DataFrame, name_col: str = "file_name") -> DataFrame:
+    """F2 without bytes: manifest rows whose file exists (left-semi on names only,
+    so no image content is read)."""
+    names = images.select(F.col("rel_path"))
+    return manifest.join(names, manifest[name_col] == names["rel_path"], "left_semi")
+
+
 def split_valid_images(joined: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows whose header is a known image format, quarantined rows)."""
     tagged = joined.withColumn("image_format", image_format(F.col("content")))

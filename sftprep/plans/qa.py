@@ -72,6 +72,7 @@ def generate_qa_pairs(
     max_tokens: int = 4096,
     temperature: float = 0.5,
     call_partitions: int | None = None,
+    match_chunk_text: bool = False,
 ) -> QAResult:
     """The whole generation program over a document table.
 
@@ -91,7 +92,7 @@ def generate_qa_pairs(
     chunks = chunk_documents(
         named, keep=["source"], chunk_size=chunk_size, overlap=overlap, markdown=markdown
     ).select("source", "chunk_id", "chunk")
-    todo = skip_done_chunks(chunks, existing, generate_num)
+    todo = skip_done_chunks(chunks, existing, generate_num, match_chunk_text=match_chunk_text)
     spark = docs.sparkSession
     parts = call_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     todo = todo.repartition(parts, "source", "chunk_id")

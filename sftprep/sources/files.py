@@ -151,6 +151,18 @@ def read_training_json(
     return spark.read.schema(schema).option("multiLine", multiline).option("mode", "FAILFAST").json(path)
 
 
+def load_training_dataset(
+    spark: SparkSession, dataset_name: str | None = None, dataset_path: str | None = None
+) -> DataFrame:
+    """S5 entry: a catalog table by name (stands in for a named dataset's train
+    split), else a JSON array / JSON-lines path; neither is an error."""
+    if dataset_name:
+        return spark.table(dataset_name)
+    if dataset_path:
+        return read_training_json(spark, dataset_path)
+    raise ValueError("dataset_name or dataset_path is required")
+
+
 def read_manifest(spark: SparkSession, path: str, schema: T.StructType = MANIFEST_SCHEMA) -> DataFrame:
     """JSON lines manifest, explicit schema, malformed line fails the job."""
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)

@@ -126,3 +126,12 @@ def test_resume_join_is_below_the_model_call(spark):
     plan = generate_replies(question_requests(todo, 2), make_client, carry=["source", "chunk_id"])
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.index("MapInPandas") < text.index("LeftAnti")  # anti-join is a child of the Python stage
+
+
+def test_skip_done_with_chunk_text(spark):
+    chunks = spark.createDataFrame([("s", 0, "new text"), ("s", 1, "same")], "source string, chunk_id int, chunk string")
+    pairs = spark.createDataFrame([("q", "a", "s", 0, "old text")] * 2 + [("q", "a", "s", 1, "same")] * 2,
+                                  QA_PAIR_SCHEMA)
+    assert skip_done_chunks(chunks, pairs, 2).count() == 0
+    left = skip_done_chunks(chunks, pairs, 2, match_chunk_text=True).collect()
+    assert [(r.chunk_id, r.chunk) for r in left] == [(0, "new text")]

@@ -169,3 +169,23 @@ def test_assign_shards_contiguous(spark):
     rows = sorted((r.k, r.row_idx, r.shard) for r in sharded.collect())
     assert [r[1] for r in rows] == list(range(23))
     assert [r[2] for r in rows] == [i // 6 for i in range(23)]
+
+
+def test_load_training_dataset_by_name_or_path(spark, tmp_path):
+    p = tmp_path / "t.jsonl"
+    p.write_text('{"instruction": "i", "input": "", "output": "o"}\n', encoding="utf-8")
+    assert S.load_training_dataset(spark, dataset_path=str(p)).count() == 1
+    spark.createDataFrame([("i", "", "o")], S.TRAINING_SCHEMA).createOrReplaceTempView("train_tbl")
+    assert S.load_training_dataset(spark, dataset_name="train_tbl").count() == 1
+    with pytest.raises(ValueError):
+        S.load_training_dataset(spark)
+
+
+def test_rows_with_image_reads_no_bytes(spark, tmp_path):
+    (tmp_path / "a.png").write_bytes(PNG)
+    man = spark.createDataFrame([("a.png", "x"), ("b.png", "y"), ("a.png", "z")], "file_name string, text string")
+    out = V.rows_with_image(man, S.scan_images(spark, str(tmp_path)))
+    assert sorted(r.text for r in out.collect()) == ["x", "z"]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    scan = next(ln for ln in plan.splitlines() if "FileScan binaryFile" in ln)
+    assert "ReadSchema: struct<path:string>" in scan  # file bodies are never read
