@@ -33,6 +33,13 @@ class QAResult:
     new_pairs: DataFrame  # the pairs generated by this run only
 
 
+def _default_call_partitions(spark) -> int:
+    try:
+        return 2 * spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no SparkContext view (Connect)
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def question_requests(chunks: DataFrame, generate_num: int) -> DataFrame:
     """P1 prompts as one-message conversations, keyed by ``request_id``."""
     return chunks.select(
@@ -82,10 +89,11 @@ def generate_qa_pairs(
     and the returned pairs are the existing ones plus the new ones.
 
     Model calls dominate the cost, so the chunks to process are hash-spread
-    on ``(source, chunk_id)`` into ``call_partitions`` tasks (default: the
-    shuffle partition count) before the first call: a document holding a
-    third of the corpus still spreads its calls over every task.  The count
-    is explicit, so AQE does not coalesce the (byte-small) stage away.
+    on ``(source, chunk_id)`` into ``call_partitions`` tasks before the first
+    call: a document holding a third of the corpus still spreads its calls
+    over every task.  The default is twice the cluster's task slots (every
+    slot busy, with slack for uneven reply times); the count is explicit, so
+    AQE does not coalesce the byte-small stage away.
     """
     src = F.col(source) if isinstance(source, str) else source
     named = docs.select(src.alias("source"), F.col(text_col).alias("text"))
@@ -94,7 +102,7 @@ def generate_qa_pairs(
     ).select("source", "chunk_id", "chunk")
     todo = skip_done_chunks(chunks, existing, generate_num, match_chunk_text=match_chunk_text)
     spark = docs.sparkSession
-    parts = call_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    parts = call_partitions or _default_call_partitions(spark)
     todo = todo.repartition(parts, "source", "chunk_id")
 
     opts = {"max_tokens": max_tokens, "temperature": temperature}
