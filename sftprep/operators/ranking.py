@@ -142,7 +142,9 @@ def extend_conversations(
 
     Row at position ``p`` (in ``id_col`` order) gets the conversation of the
     row at position ``p`` of each shuffled copy ``i`` (order ``md5(seed+i:id)``).
-    Only the ids are ranked; conversations are joined back by id.
+    Only the ids are ranked.  The partners of all copies are matched with one
+    position join and fetched with one join on id; the per-row group holds
+    exactly ``k-1`` partners (a fixed bound).
     """
     if k < 1:
         raise ValueError("k must be >= 1")
@@ -150,17 +152,21 @@ def extend_conversations(
         return df
     keys = df.select(id_col)
     base = with_row_index(keys, [id_col], "_pos")
-    out = df
+    partners = None
     for i in range(1, k):
         perm = with_row_index(
             keys.withColumn("_h", seeded_key(seed + i, id_col)), ["_h", id_col], "_pos"
-        ).select("_pos", F.col(id_col).alias("_other"))
-        partner = (
-            base.join(perm, "_pos")
-            .join(df.select(F.col(id_col).alias("_other"), F.col(conv_col).alias(f"_c{i}")), "_other")
-            .select(id_col, f"_c{i}")
-        )
-        out = out.join(partner, id_col).withColumn(
-            conv_col, F.concat(F.col(conv_col), F.col(f"_c{i}"))
-        ).drop(f"_c{i}")
-    return out
+        ).select("_pos", F.col(id_col).alias("_other"), F.lit(i).alias("_copy"))
+        partners = perm if partners is None else partners.unionByName(perm)
+    pairs = base.join(partners, "_pos")
+    fetched = pairs.join(
+        df.select(F.col(id_col).alias("_other"), F.col(conv_col).alias("_conv")), "_other"
+    )
+    extra = fetched.groupBy(id_col).agg(
+        F.sort_array(F.collect_list(F.struct("_copy", "_conv"))).alias("_parts")
+    )
+    return (
+        df.join(extra, id_col)
+        .withColumn(conv_col, F.concat(F.col(conv_col), F.flatten(F.transform("_parts", lambda p: p["_conv"]))))
+        .drop("_parts")
+    )
