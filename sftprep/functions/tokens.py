@@ -58,3 +58,21 @@ def subword_token_ids(
         return pd.Series([None if t is None else list(tok(t))[:max_tokens] for t in texts])
 
     return ids(text)
+
+
+def tokenizer_file_factory(path: str) -> Callable[[], Callable[[str], list[int]]]:
+    """Factory for a serialized ``tokenizers`` tokenizer (``tokenizer.json``).
+
+    Encodes without special tokens and without padding; truncation is done
+    by ``subword_token_ids``.  The file must be readable from every worker
+    (shared storage or shipped with ``SparkContext.addFile``).
+    """
+
+    def factory():
+        from tokenizers import Tokenizer
+
+        tok = Tokenizer.from_file(path)
+        return lambda text: tok.encode(text, add_special_tokens=False).ids
+
+    factory.__qualname__ = f"tokenizer_file[{path}]"
+    return factory

@@ -112,7 +112,12 @@ def generate_replies(
                 replies = list(client(prompts, **opts))
                 if len(replies) != len(prompts):
                     raise RuntimeError(f"client returned {len(replies)} replies for {len(prompts)} prompts")
-                errors = [None if r is not None else "empty reply" for r in replies]
+                errors = [
+                    f"{type(r).__name__}: {r}" if isinstance(r, BaseException)
+                    else (None if r is not None else "empty reply")
+                    for r in replies
+                ]
+                replies = [None if isinstance(r, BaseException) else r for r in replies]
             except Exception as exc:  # noqa: BLE001 - reported per row
                 replies = [None] * len(prompts)
                 errors = [f"{type(exc).__name__}: {exc}"] * len(prompts)
