@@ -18,12 +18,7 @@ from sftprep.functions.templates import fill
 # ---------------------------------------------------------------------------
 # Fixed values.
 DEFAULT_VLM_INSTRUCTION = "Describe the image in detail."
-VENDOR_SYSTEM_PROMPT = (
-    "This is a chat between a user and an artificial intelligence assistant. "
-    "The assistant gives helpful, detailed, and polite answers to the user's questions "
-    "based on the context. The assistant should also indicate when the answer cannot "
-    "be found in the context."
-)
+VENDOR_SYSTEM_PROMPT = "This is a chat between a user and an artificial intelligence assistant. The assistant gives helpful, detailed, and polite answers to the user's questions based on the context. The assistant should also indicate when the answer cannot be found in the context."  # noqa: E501
 VENDOR_USER_PROMPT = "{question}"
 VENDOR_KEYS = {"question": "question", "answer": "answer", "image": "image", "label": "answer"}
 # Image header signatures (public file-format constants), as upper-case hex.
