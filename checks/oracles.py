@@ -221,8 +221,10 @@ def question_prompts() -> str:
     return f"SELECT doc_id::BIGINT AS doc_id, chunk_id::BIGINT AS chunk_id, {p} AS prompt FROM {CHUNKS}"
 
 
-STUB_Q = "('What about ' || substring(chunk, 1, 40) || '?,Why ' || substring(chunk, 41, 40) || '?')"
-STUB_A = "('<reference>' || substring(chunk, 1, 60) || '</reference><answer>' || question || '</answer>')"
+STUB_Q = """('What does ' || md5(chunk) || ' cover?,Which points fill ' || length(chunk) || ' characters?'
+           || CASE WHEN contains(chunk, ',') THEN ',Why the commas?' ELSE '' END
+           || CASE WHEN length(chunk) % 7 = 0 THEN ',' ELSE '' END)"""
+STUB_A = "('<reference>' || md5(chunk) || '</reference><answer>' || question || '</answer>')"
 
 
 def _split_sql(keys: str, text: str, src: str) -> str:

@@ -122,7 +122,10 @@ def question_prompts(spark: SparkSession, sf: str) -> DataFrame:
 def stub_question_reply(chunk: Column) -> Column:
     """The stub model's question reply as a Column (same as checks.stub_client)."""
     return F.concat(
-        F.lit("What about "), F.substring(chunk, 1, 40), F.lit("?,Why "), F.substring(chunk, 41, 40), F.lit("?")
+        F.lit("What does "), F.md5(chunk), F.lit(" cover?,Which points fill "),
+        F.length(chunk).cast("string"), F.lit(" characters?"),
+        F.when(F.instr(chunk, ",") > 0, F.lit(",Why the commas?")).otherwise(F.lit("")),
+        F.when(F.length(chunk) % 7 == 0, F.lit(",")).otherwise(F.lit("")),
     )
 
 

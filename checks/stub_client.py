@@ -1,15 +1,18 @@
 """Deterministic stand-in for a text-generation model (tests and driver queries).
 
-Question prompt -> "What about <context[0:40]>?,Why <context[40:80]>?"
-Answer prompt   -> "<reference><context[0:60]></reference><answer><question></answer>"
+Both replies are functions of the *whole* chunk (its md5 and length), so the
+generation program has a SQL oracle:
 
-Both replies are simple functions of the chunk and question, so the whole
-generation program has a SQL oracle.  Any comma inside the quoted context
-splits into extra questions, as a real model's reply would.
+Question prompt -> "What does <md5> cover?,Which points fill <length> characters?"
+                   plus ",Why the commas?" when the chunk has a comma, plus a
+                   trailing "," (a blank question) when the length is a multiple of 7
+Answer prompt   -> "<reference><md5></reference><answer><question></answer>"
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from sftprep.functions.prompts import ANSWER_PROMPT, QUESTION_PROMPT
 
 _Q_HEAD = QUESTION_PROMPT.split("{context}")[0]
@@ -19,12 +22,21 @@ _A_MID = "\n</context>\n<question>\n"
 _A_TAIL = "\n</question>\n"
 
 
+def _md5(text: str) -> str:
+    return hashlib.md5(text.encode("utf-8")).hexdigest()
+
+
 def question_reply(context: str) -> str:
-    return f"What about {context[:40]}?,Why {context[40:80]}?"
+    reply = f"What does {_md5(context)} cover?,Which points fill {len(context)} characters?"
+    if "," in context:
+        reply += ",Why the commas?"
+    if len(context) % 7 == 0:
+        reply += ","
+    return reply
 
 
 def answer_reply(context: str, question: str) -> str:
-    return f"<reference>{context[:60]}</reference><answer>{question}</answer>"
+    return f"<reference>{_md5(context)}</reference><answer>{question}</answer>"
 
 
 def reply(messages: list[dict]) -> str:
