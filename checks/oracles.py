@@ -465,7 +465,7 @@ def incremental_chunks() -> str:
     return chunk_text()
 
 
-def qa_pipeline() -> str:
+def qa_generation() -> str:
     named = f"(SELECT 'doc_' || doc_id || '_txt' AS source, chunk_id, chunk FROM {CHUNKS})"
     qs = _split_sql("source, chunk_id, chunk", STUB_Q, named)
     return f"""
@@ -480,7 +480,7 @@ def training_json() -> str:
                       AS record FROM {QA_PAIRS}"""
 
 
-def llm_dataset() -> str:
+def chat_dataset() -> str:
     seed = FX.EXTENSION_SEED + 1
     ih, rh, g = _C.INSTRUCTION_HEAD, _C.RESPONSE_HEAD, _C.TURN_GLUE
     return f"""
@@ -512,7 +512,7 @@ def keyed_qa_inference() -> str:
                FROM {JOINED} WHERE instruction IS NOT NULL AND text IS NOT NULL"""
 
 
-def resume_pipeline() -> str:
+def qa_generation_resumed() -> str:
     k = FX.GENERATE_NUM
     return f"""
     WITH ch AS (SELECT 'doc_' || doc_id || '_txt' AS source, chunk_id, chunk FROM {CHUNKS}),

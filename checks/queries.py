@@ -21,7 +21,7 @@ from sftprep.operators import resume as RS
 from sftprep.operators import vlm as V
 from sftprep.operators.chunking import chunk_documents
 from sftprep.operators.generate import attach_replies, request_id
-from sftprep.plans.llm_dataset import prepare_llm_dataset
+from sftprep.plans.chat_dataset import prepare_chat_dataset
 from sftprep.plans.qa import generate_qa_pairs
 from sftprep.sources.files import extension, has_document_extension, source_collisions, source_id
 from sftprep.sources.tables import read_table
@@ -480,7 +480,7 @@ def incremental_chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ flagship
-def qa_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+def qa_generation(spark: SparkSession, sf: str) -> DataFrame:
     """Program A end to end with the stub model: chunks -> questions -> answers -> pairs."""
     docs = read_table(spark, sf, "documents").withColumn(
         "name", F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt"))
@@ -498,14 +498,14 @@ def training_json(spark: SparkSession, sf: str) -> DataFrame:
     return flat(P.training_record_json(_qa_pairs(spark, sf), keep=("source", "chunk_id")))
 
 
-def llm_dataset(spark: SparkSession, sf: str) -> DataFrame:
+def chat_dataset(spark: SparkSession, sf: str) -> DataFrame:
     """Program B: records -> conversations extended by one shuffled copy -> text with a system prompt."""
     pairs = _qa_pairs(spark, sf)
     recs = pairs.select(
         F.concat(F.col("source"), F.lit(":"), F.col("chunk_id").cast("string")).alias("rec_id"),
         F.col("question").alias("instruction"), F.lit("").alias("input"), F.col("answer").alias("output"),
     )
-    out = prepare_llm_dataset(recs, id_col="rec_id", conversation_extension=2,
+    out = prepare_chat_dataset(recs, id_col="rec_id", conversation_extension=2,
                               system_prompt=SYSTEM_PROMPT, seed=FX.EXTENSION_SEED)
     return flat(out.select("rec_id", F.size("conversations").alias("n_messages"), "text"))
 
@@ -531,7 +531,7 @@ def keyed_qa_inference(spark: SparkSession, sf: str) -> DataFrame:
     return flat(k.select("system", "user", "label", F.col("image.path").alias("image_path")))
 
 
-def resume_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+def qa_generation_resumed(spark: SparkSession, sf: str) -> DataFrame:
     """J1 + X2 inside program A: pairs per chunk after resuming from earlier pairs."""
     docs = read_table(spark, sf, "documents").withColumn(
         "name", F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")))

@@ -15,7 +15,7 @@ from sftprep.functions import chat as C
 from sftprep.operators.ranking import extend_conversations
 
 
-def prepare_llm_dataset(
+def prepare_chat_dataset(
     records: DataFrame,
     id_col: str | None = None,
     conversation_extension: int = 1,

@@ -69,7 +69,7 @@ def _docs(spark):
     ).withColumn("source", F.regexp_replace("name", "\\.", "_"))
 
 
-def test_pipeline_end_to_end(spark):
+def test_generation_end_to_end(spark):
     res = generate_qa_pairs(_docs(spark), make_client, chunk_size=64, overlap=16, generate_num=2)
     pairs = res.pairs.collect()
     assert res.errors.count() == 0

@@ -11,7 +11,7 @@ from sftprep.functions import chat as C
 from sftprep.operators.generate import generate_replies
 from sftprep.operators.resume import pairs_per_chunk
 from sftprep.plans.calibration import calibration_set
-from sftprep.plans.llm_dataset import prepare_llm_dataset
+from sftprep.plans.chat_dataset import prepare_chat_dataset
 from sftprep.plans.qa import run_generation
 from sftprep.plans.vlm_dataset import create_vendor_dataset, prepare_vlm_dataset
 from sftprep.functions.prompts import user_message
@@ -44,13 +44,13 @@ def test_run_generation_resumes_from_sink(spark, tmp_path):
     assert read_training_json(spark, train).count() == merged.count()
 
 
-def test_llm_dataset(spark):
+def test_chat_dataset(spark):
     recs = spark.createDataFrame([(i, f"do {i}", "" if i % 2 else "ctx", f"ans {i}") for i in range(6)],
                                  "id int, instruction string, input string, output string")
-    out = {r.id: r for r in prepare_llm_dataset(recs, id_col="id").collect()}
+    out = {r.id: r for r in prepare_chat_dataset(recs, id_col="id").collect()}
     assert out[1].text == C.CHAT_TEMPLATE.replace("{INPUT}", "do 1").replace("{OUTPUT}", "ans 1")
     assert out[0].conversations[0].content == "do 0\nYour input is:\nctx"
-    ext = prepare_llm_dataset(recs, id_col="id", conversation_extension=2, system_prompt="SYS").collect()
+    ext = prepare_chat_dataset(recs, id_col="id", conversation_extension=2, system_prompt="SYS").collect()
     assert all(len(r.conversations) == 4 and r.text.startswith("SYS\n\n") for r in ext)
 
 
