@@ -33,17 +33,19 @@ def write_sharded_parquet(
 ) -> DataFrame:
     """S12 with A3: contiguous shards written under ``shard_file=<name>-0000i-of-0000n.parquet``.
 
-    Rows are range-partitioned on the position, so every task writes a
-    contiguous slice and no shard is funnelled through one task.  Returns the
-    manifest of all shards with row counts (empty shards included).
+    The ranked rows are already range-partitioned and sorted in position
+    order (A3 ranks through a global sort), so every task writes a contiguous
+    slice of one or two shards with no further shuffle and no shard is
+    funnelled through one task.  A local sort on (shard file, position) keeps
+    row order inside each file and satisfies the writer's partition ordering.
+    Returns the manifest of all shards with row counts (empty shards included).
     """
     sharded, _ = assign_shards(df, order, num_shards)
     spark = df.sparkSession
     payload = [c for c in df.columns if not c.startswith("_")]
     out = sharded.withColumn("shard_file", shard_file_name(name, F.col("shard"), num_shards))
     (
-        out.repartitionByRange("row_idx")
-        .sortWithinPartitions("row_idx")
+        out.sortWithinPartitions("shard_file", "row_idx")
         .select(*payload, "row_idx", "shard_file")
         .write.mode("overwrite")
         .partitionBy("shard_file")
