@@ -122,7 +122,8 @@ def ship_code(spark: SparkSession, *package_dirs: str) -> None:
     dirs = package_dirs or (os.path.dirname(os.path.abspath(__file__)),)
     for d in dirs:
         d = os.path.abspath(d)
-        if (app, d) in _SHIPPED:
+        # Spark serves added files by name, so one package name ships once
+        if (app, os.path.basename(d)) in _SHIPPED:
             continue
         # staged on the driver only; addPyFile serves it to every executor
         out_dir = tempfile.mkdtemp(prefix="sftprep-pyfiles-")
@@ -137,7 +138,7 @@ def ship_code(spark: SparkSession, *package_dirs: str) -> None:
                         full = os.path.join(root, f)
                         zf.write(full, os.path.relpath(full, parent))
         sc.addPyFile(zpath)
-        _SHIPPED.add((app, d))
+        _SHIPPED.add((app, os.path.basename(d)))
 
 
 def ensure_library_on_workers(spark: SparkSession | None = None) -> None:
