@@ -61,12 +61,20 @@ def join_images(
     images: DataFrame,
     name_col: str = "file_name",
     broadcast_bytes: int | None = None,
+    salt_buckets: int = 16,
 ) -> DataFrame:
     """manifest rows whose image file exists (inner join; repeats kept).
 
-    ``images`` is ``rel_path, path, content`` (``scan_images``).  When the
-    measured manifest fits the broadcast budget the image side is streamed
-    without a shuffle of its bytes.
+    ``images`` is ``rel_path, path, content`` (``scan_images``).
+
+    * When the measured manifest fits the broadcast budget, the image side
+      is streamed without any shuffle of its bytes.
+    * Otherwise both sides shuffle on the file name, and names referenced by
+      more rows than one reducer's fair share (``rows / shuffle partitions``)
+      are salted.  There are fewer such names than partitions (a proven
+      bound), so they are collected.  Their manifest rows spread over
+      ``salt_buckets`` salts and only their image rows are replicated that
+      many times.
     """
     spark = manifest.sparkSession
     if broadcast_bytes is None:
@@ -75,11 +83,35 @@ def join_images(
             broadcast_bytes = int(str(raw).lower().rstrip("b"))
         except ValueError:
             broadcast_bytes = 10 * 1024 * 1024
-    m = manifest
+    imgs = images.select(F.col("rel_path"), F.col("path").alias("image_path"), "content")
     if broadcast_bytes > 0 and _estimate_bytes(manifest) <= broadcast_bytes:
         m = F.broadcast(manifest)
-    imgs = images.select(F.col("rel_path"), F.col("path").alias("image_path"), "content")
-    return m.join(imgs, m[name_col] == imgs["rel_path"], "inner").drop("rel_path")
+        return m.join(imgs, m[name_col] == imgs["rel_path"], "inner").drop("rel_path")
+    return _salted_join(manifest, imgs, name_col, salt_buckets)
+
+
+def _salted_join(manifest: DataFrame, imgs: DataFrame, name_col: str, buckets: int) -> DataFrame:
+    spark = manifest.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    counts = manifest.groupBy(F.col(name_col).alias("_n")).agg(F.count(F.lit(1)).alias("_c"))
+    total = counts.agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("t")).first()["t"]
+    share = max(1, int(total) // max(parts, 1))
+    hot = [r["_n"] for r in counts.filter(F.col("_c") > share).select("_n").collect()]  # < parts names
+    if not hot or buckets <= 1:
+        return manifest.join(imgs, manifest[name_col] == imgs["rel_path"], "inner").drop("rel_path")
+    is_hot_m = F.col(name_col).isin(hot)
+    salt_m = F.when(is_hot_m, F.pmod(F.xxhash64(*[F.col(c) for c in manifest.columns]), F.lit(buckets))
+                    ).otherwise(F.lit(0))
+    m = manifest.withColumn("_salt", salt_m.cast("int"))
+    is_hot_i = F.col("rel_path").isin(hot)
+    i = imgs.withColumn(
+        "_salt",
+        F.explode(F.when(is_hot_i, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))),
+    )
+    return (
+        m.join(i, (m[name_col] == i["rel_path"]) & (m["_salt"] == i["_salt"]), "inner")
+        .drop("rel_path", "_salt")
+    )
 
 
 def rows_with_image(manifest: DataFrame, images: DataFrame, name_col: str = "file_name") -> DataFrame:

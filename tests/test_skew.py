@@ -33,3 +33,27 @@ def test_model_calls_spread_on_chunk_key(spark):
     ch = chunk_documents(spread, keep=["source"], chunk_size=64, overlap=8).repartition(6, "source", "chunk_id")
     per_part = ch.groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert len(per_part) == 6 and max(r["count"] for r in per_part) < 2 * min(r["count"] for r in per_part)
+
+
+def test_salted_image_join_equals_plain_join(spark):
+    from sftprep.operators import vlm as V
+
+    man = spark.range(0, 3000).select(
+        F.when(F.col("id") < 1500, F.lit("hot.png")).otherwise(
+            F.concat(F.lit("p"), (F.col("id") % 300).cast("string"), F.lit(".png"))).alias("file_name"),
+        F.col("id").cast("string").alias("text"),
+    )
+    imgs = spark.range(0, 320).select(
+        F.when(F.col("id") == 0, F.lit("hot.png")).otherwise(
+            F.concat(F.lit("p"), F.col("id").cast("string"), F.lit(".png"))).alias("rel_path"),
+        F.concat(F.lit("/img/"), F.col("id").cast("string")).alias("path"),
+        F.encode(F.col("id").cast("string"), "UTF-8").alias("content"),
+    )
+    salted = V.join_images(man, imgs, broadcast_bytes=0, salt_buckets=8)
+    plain = man.join(imgs.withColumnRenamed("path", "image_path"), man.file_name == imgs.rel_path).drop("rel_path")
+    assert salted.count() == plain.count() == 1500 + 1500 - 5  # p0 has no image file
+    cols = ["file_name", "text", "image_path", "content"]
+    assert salted.select(cols).exceptAll(plain.select(cols)).count() == 0
+    assert plain.select(cols).exceptAll(salted.select(cols)).count() == 0
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in plan  # hot name salted (Catalyst may still broadcast a tiny image side)
