@@ -14,11 +14,14 @@ def build_session(
     app_name: str = "sftprep",
     shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
+    partition_bytes: int = 256 * 1024 * 1024,
 ) -> SparkSession:
     """A session with AQE on and the UI off.
 
     ``master`` is left to spark-submit when None.  On a cluster pass no
     ``shuffle_partitions`` and let AQE coalesce; locally use about the core count.
+    ``partition_bytes`` sizes both input splits and AQE's post-shuffle
+    partitions, so a task's working set stays a few hundred MB at any scale.
     """
     b = SparkSession.builder.appName(app_name)
     if master:
@@ -34,6 +37,10 @@ def build_session(
         "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
         "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
         "spark.sql.session.timeZone": "UTC",
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        # paid model calls must not be duplicated by speculative copies
+        "spark.speculation": "false",
         # delete checkpoint files once their DataFrame is garbage collected
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
