@@ -44,11 +44,13 @@ def write_sharded_parquet(
     spark = df.sparkSession
     payload = [c for c in df.columns if not c.startswith("_")]
     out = sharded.withColumn("shard_file", shard_file_name(name, F.col("shard"), num_shards))
-    (
-        out.sortWithinPartitions("shard_file", "row_idx")
-        .select(*payload, "row_idx", "shard_file")
-        .write.mode("overwrite")
-        .partitionBy("shard_file")
-        .parquet(out_dir)
-    )
-    return shard_manifest(spark, sharded, name, num_shards)
+    rows = out.sortWithinPartitions("shard_file", "row_idx").select(*payload, "row_idx", "shard_file")
+    rows.write.mode("overwrite").partitionBy("shard_file").parquet(out_dir)
+    manifest = shard_manifest(spark, sharded, name, num_shards)
+    # empty shards get a file too (schema only); at most num_shards names
+    empty_schema = rows.drop("shard_file").schema
+    for r in manifest.filter(F.col("n_rows") == 0).select("file_name").collect():
+        spark.createDataFrame([], empty_schema).coalesce(1).write.mode("overwrite").parquet(
+            f"{out_dir.rstrip('/')}/shard_file={r['file_name']}"
+        )
+    return manifest

@@ -153,6 +153,8 @@ def test_shard_sizes(spark, tmp_path, n, num, sizes):
     got = sorted((r.shard, r.file_name, r.n_rows) for r in man.collect())
     assert [g[2] for g in got] == sizes
     assert got[0][1] == f"train-00000-of-{num:05d}.parquet"
+    for _, fname, _ in got:  # every shard, empty ones included, has its folder
+        assert os.path.isdir(tmp_path / "data" / f"shard_file={fname}")
     if n:
         back = spark.read.parquet(str(tmp_path / "data"))
         firsts = back.groupBy("shard_file").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).collect()
