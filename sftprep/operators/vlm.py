@@ -114,6 +114,49 @@ def _salted_join(manifest: DataFrame, imgs: DataFrame, name_col: str, buckets: i
     )
 
 
+def _local_or_uri(path: str) -> str:
+    # Spark lists local files as file:/abs/path; pyarrow wants a plain path or file:///
+    if path.startswith("file:") and not path.startswith("file://"):
+        return path[len("file:"):]
+    return path
+
+
+def _read_files(batches):
+    """mapInPandas body: add ``content`` bytes for each ``path`` (one read per file)."""
+    from pyarrow import fs as pafs
+
+    for pdf in batches:
+        data = []
+        for p in pdf["path"]:
+            target = _local_or_uri(p)
+            filesystem, inner = pafs.FileSystem.from_uri(target) if "://" in target else (
+                pafs.LocalFileSystem(), target)
+            with filesystem.open_input_stream(inner) as f:
+                data.append(f.read())
+        out = pdf.copy()
+        out["content"] = data
+        yield out
+
+
+def referenced_images(manifest: DataFrame, listing: DataFrame, name_col: str = "file_name",
+                      partitions: int | None = None) -> DataFrame:
+    """``rel_path, path, content`` for the listed files the manifest names, read once each.
+
+    The listing is used by name only (no bytes in its scan); referenced
+    files are read in Arrow-batched tasks, so a sparse manifest over a large
+    image store never reads the files it does not name.
+    """
+    from sftprep.session import ensure_library_on_workers
+
+    ensure_library_on_workers(manifest.sparkSession)
+    names = manifest.select(F.col(name_col).alias("_name")).distinct()
+    refs = listing.select("rel_path", "path").join(names, F.col("rel_path") == F.col("_name"), "left_semi")
+    if partitions:
+        refs = refs.repartition(partitions, "path")
+    schema = "rel_path string, path string, content binary"
+    return refs.mapInPandas(_read_files, schema)
+
+
 def rows_with_image(manifest: DataFrame, images: DataFrame, name_col: str = "file_name") -> DataFrame:
     """F2 without bytes: manifest rows whose file exists (left-semi on names only,
     so no image content is read)."""

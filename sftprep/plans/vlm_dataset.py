@@ -16,12 +16,22 @@ from sftprep.sources.files import read_manifest, scan_images
 from sftprep.sources.sinks import save_and_reload, write_sharded_parquet
 
 
+def _images(spark: SparkSession, manifest: DataFrame, image_dir: str, read: str) -> DataFrame:
+    listing = scan_images(spark, image_dir)
+    if read == "referenced":
+        return V.referenced_images(manifest, listing)
+    if read == "listing":
+        return listing
+    raise ValueError("read must be 'referenced' or 'listing'")
+
+
 def prepare_vlm_dataset(
     spark: SparkSession,
     manifest_path: str,
     image_dir: str | None = None,
     save_path: str | None = None,
     system_prompt: str = V.DEFAULT_VLM_INSTRUCTION,
+    read: str = "referenced",
 ) -> tuple[DataFrame, DataFrame]:
     """(conversations, rejected images).
 
@@ -29,11 +39,12 @@ def prepare_vlm_dataset(
     saved to ``save_path`` (default ``<manifest dir>/converted_dataset``) and
     the conversations are built from the saved copy.  The converted rows
     carry no ``instruction`` column, so every row gets ``system_prompt``.
+    ``read="referenced"`` reads only the files the manifest names (once
+    each); ``"listing"`` lets the binaryFile scan read every listed file.
     """
     base = os.path.dirname(manifest_path.rstrip("/"))
     manifest = read_manifest(spark, manifest_path)
-    images = scan_images(spark, image_dir or base)
-    joined = V.join_images(manifest, images)
+    joined = V.join_images(manifest, _images(spark, manifest, image_dir or base, read))
     good, bad = V.split_valid_images(joined)
     converted = save_and_reload(V.image_text_rows(good), save_path or os.path.join(base, "converted_dataset"))
     return V.vlm_conversation(converted, system_prompt), bad
@@ -45,6 +56,7 @@ def create_vendor_dataset(
     out_dir: str | None = None,
     name: str = "train",
     num_shards: int = 1,
+    read: str = "referenced",
 ) -> tuple[DataFrame, DataFrame]:
     """(shard manifest, rows missing text) for ``<dir>/metadata.jsonl`` + ``<dir>/image``.
 
@@ -55,8 +67,7 @@ def create_vendor_dataset(
     manifest = read_manifest(spark, os.path.join(dataset_dir, "metadata.jsonl")).withColumn(
         "_line", F.monotonically_increasing_id()
     )
-    images = scan_images(spark, os.path.join(dataset_dir, "image"))
-    joined = V.join_images(manifest, images)
+    joined = V.join_images(manifest, _images(spark, manifest, os.path.join(dataset_dir, "image"), read))
     good, bad = V.vendor_rows(joined, keep=("_line",))
     shards = write_sharded_parquet(
         good, out_dir or os.path.join(dataset_dir, "data"), name, num_shards, ["_line"]

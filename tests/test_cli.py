@@ -56,3 +56,16 @@ def test_calibration_command(spark, tmp_path):
               "--max-tokens", "16"], spark=spark)
     rows = spark.read.parquet(out).collect()
     assert len(rows) == 9 and all(len(r.tokens) <= 16 for r in rows)
+
+
+def test_vlm_dataset_command(spark, tmp_path, capsys):
+    (tmp_path / "ok.png").write_bytes(bytes.fromhex("89504E470D0A1A0A") + b"1")
+    (tmp_path / "bad.png").write_bytes(b"text")
+    (tmp_path / "train_data.jsonl").write_text("\n".join(json.dumps(r) for r in [
+        {"file_name": "ok.png", "text": "an image"}, {"file_name": "bad.png", "text": "not"},
+        {"file_name": "none.png", "text": "missing"}]), encoding="utf-8")
+    out = str(tmp_path / "vlm")
+    cli.main(["vlm-dataset", "--manifest", str(tmp_path / "train_data.jsonl"), "--output", out], spark=spark)
+    assert "rejected images: 1" in capsys.readouterr().out
+    rows = spark.read.parquet(out).collect()
+    assert len(rows) == 1 and rows[0].messages[1].content[0].text == "an image"

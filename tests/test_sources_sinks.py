@@ -191,3 +191,20 @@ def test_rows_with_image_reads_no_bytes(spark, tmp_path):
     plan = out._jdf.queryExecution().executedPlan().toString()
     scan = next(ln for ln in plan.splitlines() if "FileScan binaryFile" in ln)
     assert "ReadSchema: struct<path:string>" in scan  # file bodies are never read
+
+
+def test_referenced_images_reads_only_named_files(spark, tmp_path):
+    img = tmp_path / "image"
+    img.mkdir()
+    (img / "a.png").write_bytes(PNG)
+    (img / "unused.png").write_bytes(b"never read")
+    man = spark.createDataFrame([("a.png", "x"), ("a.png", "y"), ("gone.png", "z")], "file_name string, text string")
+    listing = S.scan_images(spark, str(img))
+    refs = V.referenced_images(man, listing)
+    got = refs.collect()
+    assert [(r.rel_path, bytes(r.content)) for r in got] == [("a.png", PNG)]
+    plan = refs._jdf.queryExecution().executedPlan().toString()
+    scan = next(ln for ln in plan.splitlines() if "FileScan binaryFile" in ln)
+    assert "content" not in scan.split("ReadSchema")[1]
+    joined = V.join_images(man, refs)
+    assert sorted(r.text for r in joined.collect()) == ["x", "y"]
