@@ -56,6 +56,7 @@ def run_incremental(
     num_partitions: int | None = None,
     max_files_per_trigger: int | None = None,
     skip_existing: bool = False,
+    markdown: bool = False,
 ) -> None:
     """Process every file present now (``availableNow``) and stop.
 
@@ -68,7 +69,7 @@ def run_incremental(
         if num_partitions:
             df = df.repartition(num_partitions)
         ch = chunk_documents(df, text_col=text_col, keep=[key_col], chunk_size=chunk_size,
-                             overlap=overlap, spread=False)
+                             overlap=overlap, markdown=markdown, spread=False)
         if generate_num is not None:
             ch = ch.withColumn("prompt", question_prompt(F.col("chunk"), generate_num))
         if skip_existing:
