@@ -1,12 +1,14 @@
 """Program A: documents -> chunks -> questions -> answers -> QA pairs -> training records.
 
-Plan shape (only the UDF steps cross to Python; only the resume join shuffles)::
+Plan shape (only the UDF steps cross to Python)::
 
-    scan -> C1/C2 -> J1 (left-anti, below the model) -> P1 -> U1 -> lineage cut
-         -> P3/P4 -> P2 -> U1 -> lineage cut -> P5 [-> X2 append to existing]
+    scan -> C1/C2 -> J1 (left-anti, below the model) -> spread on (source, chunk_id)
+         -> P1 -> U1 -> lineage cut -> P3/P4 -> P2 -> U1 -> lineage cut -> P5
+         [-> X2 append to existing]
 
-The chunk text is carried through both generation stages, so no join back
-to the chunk table is needed.
+Shuffles: the resume join (keys, or a broadcast of measured size) and the
+spread that balances model calls.  The chunk text is carried through both
+generation stages, so no join back to the chunk table is needed.
 """
 
 from __future__ import annotations
