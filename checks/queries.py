@@ -315,15 +315,15 @@ def extend_conversations(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------------------ calibration
 def _sampled_conversations(spark: SparkSession, sf: str) -> DataFrame:
     conv = read_table(spark, sf, "conversations")
-    ids = R.seeded_sample(conv.select("conv_id").distinct(), FX.CALIBRATION_N, "conv_id", FX.CALIBRATION_SEED)
+    ids = R.seeded_sample(conv.select("conv_id"), FX.CALIBRATION_N, "conv_id", FX.CALIBRATION_SEED, distinct=True)
     return conv.join(F.broadcast(ids), "conv_id", "left_semi")  # at most N ids
 
 
 def calibration_sample(spark: SparkSession, sf: str) -> DataFrame:
     """O1: N conversation ids chosen by a seeded hash order."""
     conv = read_table(spark, sf, "conversations")
-    return flat(R.seeded_sample(conv.select("conv_id").distinct(), FX.CALIBRATION_N, "conv_id",
-                                FX.CALIBRATION_SEED))
+    return flat(R.seeded_sample(conv.select("conv_id"), FX.CALIBRATION_N, "conv_id",
+                                FX.CALIBRATION_SEED, distinct=True))
 
 
 def _calibration_text(spark: SparkSession, sf: str) -> DataFrame:

@@ -68,21 +68,55 @@ def seeded_key(seed: int | str, key: Column | str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), k.cast("string")))
 
 
+def _hash_threshold(fraction: float) -> str | None:
+    """32-hex-digit md5 value below which ``fraction`` of uniform hashes fall (None: all)."""
+    if fraction >= 1.0:
+        return None
+    t = int(fraction * (1 << 128))
+    return f"{max(t, 1):032x}"
+
+
 def seeded_sample(
-    df: DataFrame, n: int, key: Column | str, seed: int = 42, strict: bool = True
+    df: DataFrame,
+    n: int,
+    key: Column | str,
+    seed: int = 42,
+    strict: bool = True,
+    distinct: bool = False,
+    oversample: float = 4.0,
 ) -> DataFrame:
-    """O1: exactly ``n`` rows, chosen by a seeded hash order (no replacement).
+    """O1: the ``n`` rows with the smallest ``md5(seed:key)`` (no replacement).
+
+    Exact threshold sampling instead of a plain ``orderBy.limit``, which would
+    ship every partition's local top ``n`` to one task (partitions × n rows at
+    scale):
+
+    1. estimate the number of keys (HyperLogLog, partially aggregated);
+    2. keep rows whose hash is below the threshold that admits about
+       ``oversample × n`` keys - a map-only filter, applied before ``distinct``;
+    3. take the exact top ``n`` of those candidates.  Every row left out has
+       a larger hash than every candidate, so the result equals the global
+       top ``n``; if fewer than ``n`` candidates survive, the threshold widens
+       and step 3 repeats.
 
-    Planned as TakeOrderedAndProject: each partition keeps its best ``n``,
-    so only ``n`` rows per partition move.  ``n`` larger than the row count is
-    an error unless ``strict`` is False.
+    ``n`` larger than the number of keys is an error unless ``strict`` is False.
     """
     k = F.col(key) if isinstance(key, str) else key
-    out = df.orderBy(seeded_key(seed, k), k).limit(n)
-    if strict:
+    h = seeded_key(seed, k)
+    est = int(df.agg(F.approx_count_distinct(k).alias("d")).first()["d"] or 0)
+    fraction = oversample * n / est if est else 1.0
+    while True:
+        t = _hash_threshold(fraction)
+        cand = df if t is None else df.filter(h < F.lit(t))
+        if distinct:
+            cand = cand.distinct()
+        out = cand.orderBy(h, k).limit(n)
         got = out.count()
-        if got < n:
-            raise ValueError(f"sample of {n} rows requested but only {got} rows exist")
+        if got >= n or t is None:
+            break
+        fraction *= 4
+    if strict and got < n:
+        raise ValueError(f"sample of {n} rows requested but only {got} rows exist")
     return out
 
 

@@ -31,7 +31,7 @@ def calibration_set(
     whitespace tokens are the default.  The N sampled ids are broadcast, a
     bound fixed by ``num_samples``.
     """
-    ids = seeded_sample(messages.select(key).distinct(), num_samples, key, seed)
+    ids = seeded_sample(messages.select(key), num_samples, key, seed, distinct=True)
     sampled = messages.join(F.broadcast(ids), key, "left_semi")
     text = C.render_conversations(sampled, key, order, role=role, content=content)
     tok = tokens(F.col("text")) if tokens else whitespace_tokens(F.col("text"), max_tokens)

@@ -119,3 +119,12 @@ def test_stream_skip_existing_drops_repeated_documents(spark, tmp_path):
     exp = chunk_documents(docs.filter("doc_id < 80"), keep=["doc_id"], chunk_size=1024, overlap=200)
     assert out.count() == exp.count()
     assert out.groupBy("doc_id", "chunk_id").count().filter("count > 1").count() == 0
+
+
+@pytest.mark.parametrize("oversample", [4.0, 0.05])
+def test_threshold_sample_equals_global_top_n(spark, oversample):
+    df = spark.range(0, 5000).select((F.col("id") % 1700).alias("k"))  # repeated keys
+    got = [r.k for r in R.seeded_sample(df, 40, "k", seed=7, distinct=True, oversample=oversample)
+           .orderBy(R.seeded_key(7, "k")).collect()]
+    exp = [r.k for r in df.distinct().orderBy(R.seeded_key(7, "k"), "k").limit(40).collect()]
+    assert got == exp
