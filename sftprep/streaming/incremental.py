@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from sftprep.functions.prompts import question_prompt
 from sftprep.operators.chunking import chunk_documents
-from sftprep.session import scratch_path
+from sftprep.session import ensure_library_on_workers, scratch_path
 
 
 def _source(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None) -> DataFrame:
@@ -63,6 +63,7 @@ def run_incremental(
     Writes ``key, chunk_id, chunk_start, chunk_end, chunk`` (plus ``prompt``
     when ``generate_num`` is given) to ``sink_path`` as Parquet.
     """
+    ensure_library_on_workers(spark)  # foreachBatch runs on another thread
     stream = _source(spark, source_path, schema, max_files_per_trigger).select(key_col, text_col)
 
     def batch(df: DataFrame, epoch_id: int) -> None:
