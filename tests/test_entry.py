@@ -45,3 +45,6 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(df.columns) == sorted(rel.columns)
     assert len(rows) == len(orows)
     assert _digest(df.columns, rows) == _digest(rel.columns, orows)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for banned in ("Window", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert banned not in plan, f"{name}: {banned} in plan"
