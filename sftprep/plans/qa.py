@@ -96,6 +96,10 @@ def generate_qa_pairs(
     over every task.  The default is twice the cluster's task slots (every
     slot busy, with slack for uneven reply times); the count is explicit, so
     AQE does not coalesce the byte-small stage away.
+
+    ``checkpoint=False`` keeps everything lazy (tests, plan inspection); the
+    returned pairs and errors then share uncut model stages, so evaluating
+    both would call the model twice.
     """
     src = F.col(source) if isinstance(source, str) else source
     named = docs.select(src.alias("source"), F.col(text_col).alias("text"))
