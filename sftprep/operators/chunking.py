@@ -2,10 +2,14 @@
 
 The boundary search is inherently sequential inside one document (each
 chunk starts where the previous one ended, minus the overlap), so it runs as
-a small Python helper inside an Arrow ``pandas_udf`` that returns only the
-``[start, end)`` code-point ranges.  Everything around it is native:
-``posexplode`` numbers the chunks (C7) and ``substring`` cuts the text, so the
-text travels to Python once and only integers come back.
+a small Python helper inside an Arrow ``pandas_udf`` that returns, per
+document, the ``[start, end)`` code-point ranges with the chunk text cut in
+Python.  ``posexplode`` numbers the chunks (C7) natively.
+
+The text is cut in Python on purpose: a Python ``str`` indexes code points in
+O(1), while a JVM ``substring`` by code point walks the string from its start,
+which makes cutting every chunk of one document quadratic in its length
+(measured: 0.7M characters 1.3 s, 2.7M 18 s, 10.8M 277 s).
 
 Documents are independent, so the work partitions by document with no
 shuffle; ``ensure_parallelism`` spreads a corpus that arrives in fewer splits
@@ -56,6 +60,15 @@ BOUNDS_TYPE = T.ArrayType(
         ]
     )
 )
+CHUNKS_TYPE = T.ArrayType(
+    T.StructType(
+        [
+            T.StructField("start", T.IntegerType(), False),
+            T.StructField("end", T.IntegerType(), False),
+            T.StructField("chunk", T.StringType(), False),
+        ]
+    )
+)
 
 
 def _check_params(chunk_size: int, overlap: int) -> None:
@@ -189,7 +202,8 @@ def markdown_bounds(
     return out
 
 
-def _bounds_udf(kind: str, chunk_size: int, overlap: int, separators: Sequence[str] | None):
+def _bounds_udf(kind: str, chunk_size: int, overlap: int, separators: Sequence[str] | None,
+                with_text: bool = False):
     _check_params(chunk_size, overlap)
     seps = effective_separators(separators if separators is not None else PLAIN_SEPARATORS)
 
@@ -202,6 +216,18 @@ def _bounds_udf(kind: str, chunk_size: int, overlap: int, separators: Sequence[s
     else:
         raise ValueError(f"unknown chunker {kind!r}")
 
+    if with_text:
+        @F.pandas_udf(CHUNKS_TYPE)
+        def chunks(texts: pd.Series) -> pd.Series:
+            return pd.Series(
+                [
+                    None if t is None else [{"start": s, "end": e, "chunk": t[s:e]} for s, e in one(t)]
+                    for t in texts
+                ]
+            )
+
+        return chunks
+
     @F.pandas_udf(BOUNDS_TYPE)
     def bounds(texts: pd.Series) -> pd.Series:
         return pd.Series(
@@ -245,19 +271,14 @@ def chunk_documents(
     src = docs.select(*keep, F.col(text_col).alias("_text"))
     if spread:
         src = ensure_parallelism(src)
-    exploded = src.select(
-        *keep,
-        "_text",
-        F.posexplode(chunk_bounds("_text", chunk_size, overlap, markdown, separators)).alias(
-            "chunk_id", "_b"
-        ),
-    )
-    start = F.col("_b.start")
-    end = F.col("_b.end")
+    _check_params(chunk_size, overlap)
+    ensure_library_on_workers(docs.sparkSession)
+    cut = _bounds_udf("markdown" if markdown else "plain", chunk_size, overlap, separators, with_text=True)
+    exploded = src.select(*keep, F.posexplode(cut(F.col("_text"))).alias("chunk_id", "_c"))
     return exploded.select(
         *keep,
         F.col("chunk_id").cast("int").alias("chunk_id"),
-        start.alias("chunk_start"),
-        end.alias("chunk_end"),
-        F.substring(F.col("_text"), start + 1, end - start).alias("chunk"),
+        F.col("_c.start").alias("chunk_start"),
+        F.col("_c.end").alias("chunk_end"),
+        F.col("_c.chunk").alias("chunk"),
     )
