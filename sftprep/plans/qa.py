@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from sftprep.functions import prompts as P
 from sftprep.operators.chunking import chunk_documents
-from sftprep.operators.generate import generate_replies, request_id
+from sftprep.operators.generate import attach_replies, dedupe_replies, generate_replies, request_id
 from sftprep.operators.resume import merge_pairs, skip_done_chunks
 from sftprep.session import cut_lineage
 from sftprep.sources.files import read_pairs_or_empty, source_id
@@ -43,29 +43,68 @@ def _default_call_partitions(spark) -> int:
 
 
 def question_requests(chunks: DataFrame, generate_num: int) -> DataFrame:
-    """P1 prompts as one-message conversations, keyed by ``request_id``."""
+    """P1 prompts as one-message conversations, keyed by ``request_id``.
+
+    The id covers the kind, the chunk key and the prompt text, so replies made
+    for another template or other chunk settings are never reused.
+    """
+    prompt = P.question_prompt(F.col("chunk"), generate_num)
     return chunks.select(
         "source",
         "chunk_id",
         "chunk",
-        request_id(F.lit("q"), "source", "chunk_id").alias("request_id"),
-        P.user_message(P.question_prompt(F.col("chunk"), generate_num)).alias("messages"),
+        request_id(F.lit("q"), "source", "chunk_id", F.md5(prompt)).alias("request_id"),
+        P.user_message(prompt).alias("messages"),
     )
 
 
 def answer_requests(questions: DataFrame) -> DataFrame:
-    """P2 prompts for every (chunk, question)."""
+    """P2 prompts for every (chunk, question), keyed like ``question_requests``."""
+    prompt = P.answer_prompt(F.col("chunk"), F.col("question"))
     return questions.select(
         "source",
         "chunk_id",
         "chunk",
         "question_no",
         "question",
-        request_id(F.lit("a"), "source", "chunk_id", "question_no").alias("request_id"),
-        P.user_message(P.answer_prompt(F.col("chunk"), F.col("question"))).alias("messages"),
+        request_id(F.lit("a"), "source", "chunk_id", "question_no", F.md5(prompt)).alias("request_id"),
+        P.user_message(prompt).alias("messages"),
     )
 
 
+# ---------------------------------------------------------------- J2: offline replies
+# For replies produced outside Spark (a batch inference service): export the
+# requests, let the service answer them, and join the replies back on
+# ``request_id``.  Replies are de-duplicated first (a service may answer twice).
+
+
+def offline_question_requests(
+    docs: DataFrame, *, source: Column | str = "source", text_col: str = "text",
+    chunk_size: int = 1024, overlap: int = 200, generate_num: int = 2, markdown: bool = False,
+    existing: DataFrame | None = None,
+) -> DataFrame:
+    """Question requests for the chunks still to do (resume applied)."""
+    src = F.col(source) if isinstance(source, str) else source
+    named = docs.select(src.alias("source"), F.col(text_col).alias("text"))
+    chunks = chunk_documents(named, keep=["source"], chunk_size=chunk_size, overlap=overlap,
+                             markdown=markdown).select("source", "chunk_id", "chunk")
+    return question_requests(skip_done_chunks(chunks, existing, generate_num), generate_num)
+
+
+def offline_answer_requests(q_requests: DataFrame, q_replies: DataFrame) -> DataFrame:
+    """J2 + P3/P4 + P2: answer requests from question replies (``request_id, response``)."""
+    replies = dedupe_replies(q_replies.select("request_id", "response"))
+    joined = attach_replies(q_requests.drop("messages"), replies)
+    return answer_requests(P.explode_questions(joined, "response", keep=["source", "chunk_id", "chunk"]))
+
+
+def offline_pairs(a_requests: DataFrame, a_replies: DataFrame) -> DataFrame:
+    """J2 + P5: QA pairs from answer replies (``request_id, response``)."""
+    replies = dedupe_replies(a_replies.select("request_id", "response"))
+    joined = attach_replies(a_requests.drop("messages"), replies)
+    return P.qa_pair(joined.withColumnRenamed("response", "answer"))
+
+
 def generate_qa_pairs(
     docs: DataFrame,
     client_factory: Callable,

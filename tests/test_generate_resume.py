@@ -135,3 +135,19 @@ def test_skip_done_with_chunk_text(spark):
     assert skip_done_chunks(chunks, pairs, 2).count() == 0
     left = skip_done_chunks(chunks, pairs, 2, match_chunk_text=True).collect()
     assert [(r.chunk_id, r.chunk) for r in left] == [(0, "new text")]
+
+
+def test_offline_replies_equal_inline(spark):
+    from sftprep.plans.qa import offline_answer_requests, offline_pairs, offline_question_requests
+
+    docs = _docs(spark)
+    qreq = offline_question_requests(docs, chunk_size=64, overlap=16)
+    # the "external service": the stub run over the exported requests, answering twice
+    qrep = generate_replies(qreq, make_client, carry=["request_id"])
+    qrep = qrep.unionByName(qrep)
+    areq = offline_answer_requests(qreq, qrep)
+    arep = generate_replies(areq, make_client, carry=["request_id"])
+    offline = offline_pairs(areq, arep)
+    inline = generate_qa_pairs(docs, make_client, chunk_size=64, overlap=16).pairs.drop("question_no")
+    assert offline.count() == inline.count()
+    assert offline.exceptAll(inline).count() == 0 and inline.exceptAll(offline).count() == 0
