@@ -18,6 +18,8 @@ from sftprep.sources.tables import read_table
 
 from conftest import SF001
 
+SF01 = "/root/testdata/sf0.01"
+
 PLAIN_GOLDEN = [
     ("abcdefghij", 4, 1, [(0, 4), (3, 7), (6, 10), (9, 10)]),
     ("aa bb cc dd ee", 6, 2, [(0, 6), (4, 9), (7, 12), (10, 14), (12, 14)]),
@@ -118,10 +120,11 @@ def test_spark_equals_python_on_documents(spark):
         assert sorted(got[doc_id]) == exp
 
 
-@pytest.mark.parametrize("markdown,size,overlap,count", [
-    (False, 1024, 200, 803), (False, 1000, 100, 775), (True, 1000, 100, 833)])
-def test_whole_table_counts(spark, markdown, size, overlap, count):
-    docs = read_table(spark, SF001, "documents")
+@pytest.mark.parametrize("sf,markdown,size,overlap,count", [
+    (SF001, False, 1024, 200, 803), (SF001, False, 1000, 100, 775), (SF001, True, 1000, 100, 833),
+    (SF01, False, 1024, 200, 3891), (SF01, False, 1000, 100, 3784), (SF01, True, 1000, 100, 4118)])
+def test_whole_table_counts(spark, sf, markdown, size, overlap, count):
+    docs = read_table(spark, sf, "documents")
     ch = chunk_documents(docs, keep=["doc_id"], chunk_size=size, overlap=overlap, markdown=markdown)
     assert ch.count() == count
 
