@@ -161,3 +161,13 @@ def test_random_long_texts_match_naive():
         text = " ".join(rng.choice(words) for _ in range(rng.randint(0, 600)))
         size, overlap = rng.randint(50, 400), rng.randint(0, 120)
         assert plain_bounds(text, size, overlap) == _naive_plain(text, size, overlap, PLAIN_SEPARATORS)
+
+
+def test_markdown_injected_count_matches_fixture(spark):
+    """FIXTURES §3: fence + table injected mid-text into every fifth document -> 3,877 chunks."""
+    docs = read_table(spark, SF01, "documents")
+    half = F.floor(F.length("text") / 2).cast("int")
+    inj = F.concat(F.substring("text", F.lit(1), half), F.lit("\n```\ncode\n```\n| a | b |\n"),
+                   F.substr(F.col("text"), half + 1))
+    shaped = docs.select("doc_id", F.when(F.col("doc_id") % 5 == 0, inj).otherwise(F.col("text")).alias("text"))
+    assert chunk_documents(shaped, keep=["doc_id"], chunk_size=1000, overlap=100, markdown=True).count() == 3877
