@@ -41,25 +41,34 @@ def skip_done_chunks(
     keys: Sequence[str] = KEYS,
     broadcast_bytes: int | None = None,
     match_chunk_text: bool = False,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Chunks whose existing pair count is below ``generate_num``.
 
-    A left-anti join placed *before* any model call.  The done-key side is
-    broadcast only after measuring it (rows and key bytes) against the budget;
-    beyond the budget both sides shuffle on the chunk key.
+    Placed *before* any model call.  The done-key side is broadcast only
+    after measuring it (rows and key bytes) against the budget; beyond the
+    budget both sides shuffle on the chunk key.
+
+    With ``partitions`` the result comes out hash-partitioned on the keys into
+    exactly that many partitions (the model-call spread), and a shuffled join
+    reuses that partitioning: the join is written as a left-outer join with a
+    done flag (same rows as a left-anti join, done keys being unique) so the
+    optimizer keeps it above the spread, and the small done-key side is
+    repartitioned to match.  Chunk rows then move once, not twice.
 
     With ``match_chunk_text`` the key also includes ``md5(chunk)``, so pairs
     made under other chunk settings (same chunk id, different text) do not
     count as done.
     """
-    if pairs is None:
-        return chunks
     keys = list(keys)
-    if match_chunk_text:
+    if match_chunk_text and pairs is not None:
         chunks = chunks.withColumn("_chunk_md5", F.md5(F.col("chunk")))
         pairs = pairs.withColumn("_chunk_md5", F.md5(F.col("chunk")))
         return skip_done_chunks(chunks, pairs, generate_num, keys + ["_chunk_md5"],
-                                broadcast_bytes).drop("_chunk_md5")
+                                broadcast_bytes, partitions=partitions).drop("_chunk_md5")
+    spread = chunks.repartition(partitions, *keys) if partitions else chunks
+    if pairs is None:
+        return spread
     done = done_chunks(pairs, generate_num, keys)
     budget = _broadcast_budget(chunks.sparkSession) if broadcast_bytes is None else broadcast_bytes
     size = done.agg(
@@ -68,7 +77,14 @@ def skip_done_chunks(
     ).first()
     est = int(size["key_bytes"]) + 48 * int(size["rows"])
     if budget > 0 and est <= budget:
-        return chunks.join(F.broadcast(done), on=keys, how="left_anti")
+        return spread.join(F.broadcast(done), on=keys, how="left_anti")
+    if partitions:
+        flagged = done.withColumn("_done", F.lit(True)).repartition(partitions, *keys)
+        return (
+            spread.join(flagged, on=keys, how="left")
+            .filter(F.col("_done").isNull())
+            .drop("_done")
+        )
     return chunks.join(done, on=keys, how="left_anti")
 
 

@@ -145,10 +145,10 @@ def generate_qa_pairs(
     chunks = chunk_documents(
         named, keep=["source"], chunk_size=chunk_size, overlap=overlap, markdown=markdown
     ).select("source", "chunk_id", "chunk")
-    todo = skip_done_chunks(chunks, existing, generate_num, match_chunk_text=match_chunk_text)
-    spark = docs.sparkSession
-    parts = call_partitions or _default_call_partitions(spark)
-    todo = todo.repartition(parts, "source", "chunk_id")
+    parts = call_partitions or _default_call_partitions(docs.sparkSession)
+    # resume, then spread on the chunk key; a shuffled resume join shares the spread
+    todo = skip_done_chunks(chunks, existing, generate_num, match_chunk_text=match_chunk_text,
+                            partitions=parts)
 
     opts = {"max_tokens": max_tokens, "temperature": temperature}
     q = generate_replies(

@@ -73,3 +73,22 @@ def test_long_document_is_linear(spark):
     assert time.perf_counter() - t < 15  # was ~18 s with a code-point substring per chunk
     assert rows[0].chunk_start == 0 and max(r.chunk_end for r in rows) == len(text)
     assert all(r.n == r.chunk_end - r.chunk_start for r in rows)
+
+
+def test_shuffled_resume_join_shares_the_call_spread(spark):
+    from sftprep.operators.chunking import chunk_documents
+    from sftprep.operators.resume import skip_done_chunks
+    from sftprep.sources.files import QA_PAIR_SCHEMA
+
+    docs = spark.createDataFrame([("a", "word " * 2000), ("b", "x " * 900)], "source string, text string")
+    ch = chunk_documents(docs, keep=["source"], chunk_size=64, overlap=8, spread=False).select(
+        "source", "chunk_id", "chunk")
+    existing = spark.createDataFrame([("q", "a", "a", i, "c") for i in range(5) for _ in range(2)], QA_PAIR_SCHEMA)
+    todo = skip_done_chunks(ch, existing, 2, broadcast_bytes=0, partitions=6)
+    plan = todo._jdf.queryExecution().executedPlan().toString()
+    chunk_side = [ln for ln in plan.splitlines() if "Exchange" in ln and "REPARTITION_BY_NUM" in ln]
+    assert len(chunk_side) == 2  # one per side, both with the call partition count
+    assert all(", 6)" in ln for ln in chunk_side)
+    assert todo.rdd.getNumPartitions() == 6
+    assert 0 not in {r.chunk_id for r in todo.filter("source = 'a'").collect()}
+    assert skip_done_chunks(ch, existing, 2, broadcast_bytes=0).count() == todo.count()
