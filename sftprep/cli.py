@@ -48,7 +48,7 @@ def cmd_generate(spark, args) -> None:
     docs = scan_documents(spark, args.input)
     res = run_generation(
         docs, _factory(args), os.path.join(args.output, "pairs"),
-        train_path=os.path.join(args.output, "train_data"),
+        train_path=os.path.join(args.output, "train_data"), fmt=args.pairs_format,
         chunk_size=args.chunk_size, overlap=args.chunk_overlap, generate_num=args.generate_num,
         markdown=args.markdown, max_tokens=args.max_tokens, temperature=args.temperature,
         call_partitions=args.call_partitions,
@@ -116,6 +116,8 @@ def parser() -> argparse.ArgumentParser:
     g.add_argument("--max-tokens", type=int, default=4096)
     g.add_argument("--temperature", type=float, default=0.5)
     g.add_argument("--call-partitions", type=int, default=None)
+    g.add_argument("--pairs-format", choices=["json", "parquet"], default="json",
+                   help="pair sink format; parquet lets resume read only the key columns")
     g.set_defaults(run=cmd_generate)
 
     c = sub.add_parser("chat-dataset")

@@ -211,6 +211,8 @@ def run_generation(
     appended.  The model stages are checkpointed before the append, so the
     write never re-reads the folder it appends to.  With ``train_path`` the
     merged training set (all sources) is rewritten as JSON lines.
+    ``fmt="json"`` keeps the pairs as JSON lines per source; ``"parquet"``
+    lets the resume scan read only the key columns (preferable at scale).
     """
     spark = docs.sparkSession
     existing = read_pairs_or_empty(spark, pairs_dir, fmt)

@@ -69,3 +69,17 @@ def test_vlm_dataset_command(spark, tmp_path, capsys):
     assert "rejected images: 1" in capsys.readouterr().out
     rows = spark.read.parquet(out).collect()
     assert len(rows) == 1 and rows[0].messages[1].content[0].text == "an image"
+
+
+def test_generate_command_parquet_sink(spark, tmp_path, capsys):
+    src = tmp_path / "docs"
+    src.mkdir()
+    (src / "one.txt").write_text("First sentence here. " * 20, encoding="utf-8")
+    out = tmp_path / "out"
+    args = ["generate", "--input", str(src), "--output", str(out), "--client", "checks.stub_client:make_client",
+            "--chunk-size", "100", "--chunk-overlap", "20", "--pairs-format", "parquet"]
+    cli.main(args, spark=spark)
+    first = spark.read.parquet(str(out / "pairs")).count()
+    cli.main(args, spark=spark)
+    assert "new pairs: 0" in capsys.readouterr().out.splitlines()[-1]
+    assert spark.read.parquet(str(out / "pairs")).count() == first > 0
