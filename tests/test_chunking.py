@@ -171,3 +171,13 @@ def test_markdown_injected_count_matches_fixture(spark):
                    F.substr(F.col("text"), half + 1))
     shaped = docs.select("doc_id", F.when(F.col("doc_id") % 5 == 0, inj).otherwise(F.col("text")).alias("text"))
     assert chunk_documents(shaped, keep=["doc_id"], chunk_size=1000, overlap=100, markdown=True).count() == 3877
+
+
+def test_chunk_bounds_column(spark):
+    from sftprep.operators.chunking import chunk_bounds
+
+    df = spark.createDataFrame([("abcdefghij",), (M2,)], "t string")
+    got = [[(b.start, b.end) for b in r.b] for r in df.select(chunk_bounds("t", 4, 1).alias("b")).collect()]
+    assert got[0] == [(0, 4), (3, 7), (6, 10), (9, 10)]
+    md = df.select(chunk_bounds(F.col("t"), 24, 4, markdown=True).alias("b")).collect()[1].b
+    assert [(b.start, b.end) for b in md] == [(0, 22), (18, 93), (89, 93)]
