@@ -22,6 +22,8 @@ from pyspark.sql import types as T
 
 from sftprep.functions.prompts import question_prompt
 from sftprep.operators.chunking import chunk_documents
+from sftprep.operators.resume import skip_done_chunks
+from sftprep.sources.files import read_pairs_or_empty
 from sftprep.session import ensure_library_on_workers, scratch_path
 
 
@@ -57,11 +59,16 @@ def run_incremental(
     max_files_per_trigger: int | None = None,
     skip_existing: bool = False,
     markdown: bool = False,
+    resume_from: str | None = None,
+    resume_format: str = "json",
+    resume_generate_num: int = 2,
 ) -> None:
     """Process every file present now (``availableNow``) and stop.
 
     Writes ``key, chunk_id, chunk_start, chunk_end, chunk`` (plus ``prompt``
-    when ``generate_num`` is given) to ``sink_path`` as Parquet.
+    when ``generate_num`` is given) to ``sink_path`` as Parquet.  With
+    ``resume_from`` (a QA-pair sink, ``source`` = the key as text) chunks that
+    already have ``resume_generate_num`` pairs are skipped inside each batch (J1).
     """
     ensure_library_on_workers(spark)  # foreachBatch runs on another thread
     stream = _source(spark, source_path, schema, max_files_per_trigger).select(key_col, text_col)
@@ -71,6 +78,10 @@ def run_incremental(
             df = df.repartition(num_partitions)
         ch = chunk_documents(df, text_col=text_col, keep=[key_col], chunk_size=chunk_size,
                              overlap=overlap, markdown=markdown, spread=False)
+        if resume_from:
+            pairs = read_pairs_or_empty(df.sparkSession, resume_from, resume_format)
+            keyed = ch.withColumn("source", F.col(key_col).cast("string"))
+            ch = skip_done_chunks(keyed, pairs, resume_generate_num).drop("source")
         if generate_num is not None:
             ch = ch.withColumn("prompt", question_prompt(F.col("chunk"), generate_num))
         if skip_existing:

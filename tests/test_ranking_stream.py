@@ -128,3 +128,27 @@ def test_threshold_sample_equals_global_top_n(spark, oversample):
            .orderBy(R.seeded_key(7, "k")).collect()]
     exp = [r.k for r in df.distinct().orderBy(R.seeded_key(7, "k"), "k").limit(40).collect()]
     assert got == exp
+
+
+def test_stream_resumes_against_pair_sink(spark, tmp_path):
+    from sftprep.sources.files import QA_PAIR_SCHEMA
+    from sftprep.sources.sinks import append_pairs
+
+    src = tmp_path / "in"
+    src.mkdir()
+    docs = read_table(spark, SF001, "documents").select("doc_id", "text").filter("doc_id < 20")
+    docs.coalesce(1).write.parquet(str(tmp_path / "stage"))
+    for f in os.listdir(tmp_path / "stage"):
+        if f.endswith(".parquet"):
+            os.rename(tmp_path / "stage" / f, src / f)
+    pairs_dir = str(tmp_path / "pairs")
+    done = spark.createDataFrame([("q", "a", "0", 0, "c"), ("q", "a", "0", 0, "c"), ("q", "a", "1", 0, "c")],
+                                 QA_PAIR_SCHEMA)
+    append_pairs(done, pairs_dir)
+    base = scratch_path(spark, "test-stream-resume")
+    sink = os.path.join(base, "sink")
+    run_incremental(spark, str(src), docs.schema, sink, os.path.join(base, "ck"), resume_from=pairs_dir)
+    out = {(r.doc_id, r.chunk_id) for r in spark.read.parquet(sink).collect()}
+    batch = {(r.doc_id, r.chunk_id) for r in chunk_documents(docs, keep=["doc_id"], chunk_size=1024,
+                                                              overlap=200).collect()}
+    assert out == batch - {(0, 0)}  # doc 0 chunk 0 has 2 pairs; doc 1 chunk 0 only 1
