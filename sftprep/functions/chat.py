@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -262,3 +263,42 @@ def transcripts(
     return ordered_join(df, key, order, piece, "\n", block_size).select(
         key, F.col("n").alias("n_messages"), F.col("text").alias("transcript")
     )
+
+
+_RENDERERS: dict[str, object] = {}
+
+
+def worker_renderer(key: str, factory) -> object:
+    """This worker's renderer, built once (top-level so workers share the cache)."""
+    r = _RENDERERS.get(key)
+    if r is None:
+        r = _RENDERERS[key] = factory()
+    return r
+
+
+def render_with(messages: Column, renderer_factory, cache_key: str | None = None) -> Column:
+    """P18 with a model-specific chat template supplied by the user.
+
+    ``renderer_factory()`` (called once per Python worker) returns a function
+    ``list[{"role", "content"}] -> str``; it runs in Arrow batches.
+    """
+    from sftprep.session import ensure_library_on_workers
+
+    key = cache_key or (
+        f"{getattr(renderer_factory, '__module__', '')}.{renderer_factory.__qualname__}"
+        if hasattr(renderer_factory, "__qualname__") else repr(renderer_factory)
+    )
+    ensure_library_on_workers()
+
+    @F.pandas_udf("string")
+    def rendered(batch: pd.Series) -> pd.Series:
+        fn = worker_renderer(key, renderer_factory)
+        out = []
+        for msgs in batch:
+            if msgs is None:
+                out.append(None)
+                continue
+            out.append(fn([{"role": m["role"], "content": m["content"]} for m in msgs]))
+        return pd.Series(out)
+
+    return rendered(messages)

@@ -23,16 +23,23 @@ def calibration_set(
     seed: int = 42,
     max_tokens: int = 2048,
     tokens=None,
+    renderer_factory=None,
 ) -> DataFrame:
     """``tokens`` per sampled conversation; all other columns dropped.
 
     ``messages`` is one row per message.  ``tokens`` may be a function
     Column -> Column (e.g. ``subword_token_ids`` bound to a tokenizer);
     whitespace tokens are the default.  The N sampled ids are broadcast, a
-    bound fixed by ``num_samples``.
+    bound fixed by ``num_samples``.  ``renderer_factory`` plugs in a
+    model-specific chat template (``chat.render_with``); the default is the
+    built-in template, rendered from bounded turn blocks.
     """
     ids = seeded_sample(messages.select(key), num_samples, key, seed, distinct=True)
     sampled = messages.join(F.broadcast(ids), key, "left_semi")
-    text = C.render_conversations(sampled, key, order, role=role, content=content)
+    if renderer_factory is None:
+        text = C.render_conversations(sampled, key, order, role=role, content=content)
+    else:  # a user template needs the whole (sampled) conversation as one list
+        msgs = C.assemble_messages(sampled, key, order, role=role, content=content)
+        text = msgs.select(key, C.render_with(F.col("messages"), renderer_factory).alias("text"))
     tok = tokens(F.col("text")) if tokens else whitespace_tokens(F.col("text"), max_tokens)
     return text.select(tok.alias("tokens"))

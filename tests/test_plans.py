@@ -110,3 +110,13 @@ def test_client_built_once_per_worker(spark, tmp_path):
         generate_replies(df, factory, carry=["id"]).count()
     pids = [n.split("-")[0] for n in os.listdir(marker)]
     assert len(pids) == len(set(pids))  # at most one build per worker process
+
+
+def bracket_renderer():
+    return lambda msgs: "".join(f"<{m['role']}>{m['content']}</{m['role']}>" for m in msgs)
+
+
+def test_calibration_with_model_template(spark):
+    conv = read_table(spark, SF001, "conversations")
+    toks = calibration_set(conv, num_samples=4, max_tokens=5, renderer_factory=bracket_renderer).collect()
+    assert len(toks) == 4 and all(r.tokens[0].startswith("<") for r in toks)
