@@ -236,21 +236,44 @@ def render_conversations(
     system_prompt: str | None = None,
     block_size: int = DEFAULT_BLOCK,
 ) -> DataFrame:
-    """P18 over message rows: ``key, text`` equal to ``render_chat`` of the ordered list."""
+    """P18 over message rows: ``key, text`` equal to ``render_chat`` of the ordered list.
+
+    One two-level aggregation carries both the joined turn blocks and the
+    first system message (``min_by`` over the system rows' turn numbers;
+    rows whose ordering value is NULL are skipped), so no extra scan or join.
+    """
     is_sys = F.col(role) == "system"
     piece = F.concat(
         F.when(F.col(role) == "assistant", F.lit(RESPONSE_HEAD)).otherwise(F.lit(INSTRUCTION_HEAD)),
         F.coalesce(F.col(content), F.lit("")),
     )
-    body = ordered_join(df, key, order, piece, TURN_GLUE, block_size, keep=~is_sys)
-    first_sys = (
-        df.filter(is_sys)
-        .groupBy(key)
-        .agg(F.min_by(F.col(content), F.col(order)).alias("_sys"))
+    sys_order = F.when(is_sys, F.col(order))
+    blk = F.floor(F.col(order) / F.lit(block_size)).alias("_blk")
+    lvl1 = df.groupBy(key, blk).agg(
+        F.array_join(
+            F.transform(
+                F.sort_array(F.collect_list(F.when(~is_sys, F.struct(F.col(order).alias("o"), piece.alias("p"))))),
+                lambda x: x["p"],
+            ),
+            TURN_GLUE,
+        ).alias("_t"),
+        F.count(F.when(~is_sys, F.lit(1))).alias("_n"),
+        F.min_by(F.col(content), sys_order).alias("_sys"),
+        F.min(sys_order).alias("_sys_o"),
+    )
+    lvl2 = lvl1.groupBy(key).agg(
+        F.array_join(
+            F.transform(
+                F.sort_array(F.collect_list(F.when(F.col("_n") > 0, F.struct(F.col("_blk"), F.col("_t"))))),
+                lambda x: x["_t"],
+            ),
+            TURN_GLUE,
+        ).alias("_body"),
+        F.min_by(F.col("_sys"), F.col("_sys_o")).alias("_sys"),
     )
     default = F.lit(PREAMBLE if system_prompt is None else system_prompt)
-    return body.join(first_sys, key, "left").select(
-        key, F.concat(F.coalesce(F.col("_sys"), default), F.lit(TURN_GLUE), F.col("text")).alias("text")
+    return lvl2.select(
+        key, F.concat(F.coalesce(F.col("_sys"), default), F.lit(TURN_GLUE), F.col("_body")).alias("text")
     )
 
 
