@@ -177,8 +177,8 @@ def extend_conversations(
     Row at position ``p`` (in ``id_col`` order) gets the conversation of the
     row at position ``p`` of each shuffled copy ``i`` (order ``md5(seed+i:id)``).
     Only the ids are ranked.  The partners of all copies are matched with one
-    position join and fetched with one join on id; the per-row group holds
-    exactly ``k-1`` partners (a fixed bound).
+    position join and fetched with one join on id; each row's own conversation
+    and its partners form a group of exactly ``k`` (a fixed bound).
     """
     if k < 1:
         raise ValueError("k must be >= 1")
@@ -195,12 +195,16 @@ def extend_conversations(
     pairs = base.join(partners, "_pos")
     fetched = pairs.join(
         df.select(F.col(id_col).alias("_other"), F.col(conv_col).alias("_conv")), "_other"
+    ).select(id_col, "_copy", "_conv")
+    own = df.select(F.col(id_col), F.lit(0).alias("_copy"), F.col(conv_col).alias("_conv"))
+    # each row's own conversation (copy 0) and its k-1 partners: a group of exactly k
+    extended = (
+        own.unionByName(fetched)
+        .groupBy(id_col)
+        .agg(F.sort_array(F.collect_list(F.struct("_copy", "_conv"))).alias("_parts"))
+        .select(id_col, F.flatten(F.transform("_parts", lambda p: p["_conv"])).alias(conv_col))
     )
-    extra = fetched.groupBy(id_col).agg(
-        F.sort_array(F.collect_list(F.struct("_copy", "_conv"))).alias("_parts")
-    )
-    return (
-        df.join(extra, id_col)
-        .withColumn(conv_col, F.concat(F.col(conv_col), F.flatten(F.transform("_parts", lambda p: p["_conv"]))))
-        .drop("_parts")
-    )
+    others = [c for c in df.columns if c not in (id_col, conv_col)]
+    if others:
+        extended = df.select(id_col, *others).join(extended, id_col)
+    return extended.select(*df.columns)
