@@ -8,7 +8,13 @@ the separator search done by a greedy regular expression
 
 from __future__ import annotations
 
+import string as _string
+
 from checks import fixtures as FX
+from checks import queries as _Q
+from sftprep.functions import chat as _C
+from sftprep.functions import prompts as _P
+from sftprep.operators import vlm as _V
 
 
 def _rfind_rel(window: str, regex_sep: str) -> str:
@@ -68,12 +74,6 @@ def chunk_text() -> str:
 
 
 # ---------------------------------------------------------------- helpers
-import string as _string  # noqa: E402
-
-from checks import queries as _Q  # noqa: E402
-from sftprep.functions import chat as _C  # noqa: E402
-from sftprep.functions import prompts as _P  # noqa: E402
-from sftprep.operators import vlm as _V  # noqa: E402
 
 
 def lit(s: str) -> str:
