@@ -140,3 +140,20 @@ def test_assemble_messages_blocks(spark):
     df = spark.createDataFrame([(1, t, "user", f"m{t}") for t in range(7)], "cid int, turn int, role string, content string")
     rows = sorted((r.block, [m.content for m in r.messages]) for r in C.assemble_messages(df, "cid", "turn", block_size=3).collect())
     assert rows == [(0, ["m0", "m1", "m2"]), (1, ["m3", "m4", "m5"]), (2, ["m6"])]
+
+
+def test_fill_equals_str_format_on_random_templates(spark):
+    import random
+
+    from sftprep.functions.templates import fill
+
+    rng = random.Random(11)
+    atoms = ["x", " ", "\n", "é", "{{", "}}", "{a}", "{b}", "{a}{a}", "<ctx>", "甲"]
+    templates = ["".join(rng.choice(atoms) for _ in range(rng.randint(0, 12))) for _ in range(40)]
+    values = [("v{a}" + "é" * i, "{b}} w" * (i % 3)) for i in range(5)]
+    df = spark.createDataFrame(values, "a string, b string")
+    cols = [fill(t, {"a": F.col("a"), "b": F.col("b")}).alias(f"t{i}") for i, t in enumerate(templates)]
+    rows = df.select("a", "b", *cols).collect()
+    for r in rows:
+        for i, t in enumerate(templates):
+            assert r[f"t{i}"] == t.format(a=r.a, b=r.b), (t, r.a, r.b)
