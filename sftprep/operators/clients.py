@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import os
+import time
 import urllib.request
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -21,13 +22,14 @@ from typing import Any
 
 class OpenAICompatibleClient:
     def __init__(self, base_url: str, model: str, api_key: str | None, concurrency: int,
-                 timeout: float, retries: int):
+                 timeout: float, retries: int, backoff: float = 1.0):
         self.url = base_url.rstrip("/") + "/chat/completions"
         self.model = model
         self.api_key = api_key
         self.pool = ThreadPoolExecutor(max_workers=max(1, concurrency))
         self.timeout = timeout
         self.retries = retries
+        self.backoff = backoff
 
     def _one(self, messages: list[dict], max_tokens: int, temperature: float) -> Any:
         body = json.dumps({
@@ -38,7 +40,9 @@ class OpenAICompatibleClient:
         if self.api_key:
             headers["Authorization"] = f"Bearer {self.api_key}"
         last: Exception | None = None
-        for _ in range(self.retries + 1):
+        for attempt in range(self.retries + 1):
+            if attempt:  # exponential backoff for rate limits and transient server errors
+                time.sleep(min(self.backoff * 2 ** (attempt - 1), 60.0))
             try:
                 req = urllib.request.Request(self.url, data=body, headers=headers, method="POST")
                 with urllib.request.urlopen(req, timeout=self.timeout) as resp:
@@ -59,6 +63,7 @@ def openai_compatible(
     concurrency: int = 8,
     timeout: float = 120.0,
     retries: int = 2,
+    backoff: float = 1.0,
 ) -> Callable[[], OpenAICompatibleClient]:
     """Factory for a chat-completions endpoint.
 
@@ -69,7 +74,7 @@ def openai_compatible(
 
     def factory() -> OpenAICompatibleClient:
         key = os.environ.get(api_key_env) if api_key_env else None
-        return OpenAICompatibleClient(base_url, model, key, concurrency, timeout, retries)
+        return OpenAICompatibleClient(base_url, model, key, concurrency, timeout, retries, backoff)
 
     factory.__qualname__ = f"openai_compatible[{base_url}|{model}]"
     return factory

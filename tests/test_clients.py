@@ -31,6 +31,8 @@ def test_openai_compatible_client_protocol(monkeypatch):
         return _Resp(json.dumps({"choices": [{"message": {"content": text.upper()}}]}).encode())
 
     monkeypatch.setattr(clients.urllib.request, "urlopen", fake_urlopen)
+    sleeps = []
+    monkeypatch.setattr(clients.time, "sleep", sleeps.append)
     monkeypatch.setenv("TEST_KEY", "k123")
     client = clients.openai_compatible("http://llm.invalid/v1", "m", api_key_env="TEST_KEY", retries=1)()
     out = client([[{"role": "user", "content": "hi"}], [{"role": "user", "content": "fail"}]],
@@ -40,6 +42,7 @@ def test_openai_compatible_client_protocol(monkeypatch):
     assert url == "http://llm.invalid/v1/chat/completions" and auth == "Bearer k123"
     assert body["max_tokens"] == 7 and body["temperature"] == 0.1 and body["model"] == "m"
     assert sum(1 for s in seen if s[2]["messages"][-1]["content"] == "fail") == 2  # one retry
+    assert sleeps == [1.0]  # backoff before the retry
 
 
 def exception_client():
