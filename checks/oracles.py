@@ -523,3 +523,15 @@ def qa_generation_resumed() -> str:
             WHERE coalesce(ex.n, 0) < {k})
     SELECT source, chunk_id::BIGINT AS chunk_id, sum(n)::BIGINT AS n_pairs
     FROM (SELECT * FROM ex UNION ALL SELECT * FROM new) GROUP BY ALL"""
+
+
+def images_present() -> str:
+    return f"""SELECT doc_id::BIGINT AS doc_id, file_name FROM {MANIFEST} m
+               WHERE EXISTS (SELECT 1 FROM {IMAGES} i WHERE i.rel_path = m.file_name)"""
+
+
+def qa_generation_offline() -> str:
+    named = f"(SELECT 'doc_' || doc_id || '_txt' AS source, chunk_id, chunk FROM {CHUNKS})"
+    qs = _split_sql("source, chunk_id, chunk", STUB_Q, named)
+    return f"""
+    SELECT source, chunk_id::BIGINT AS chunk_id, question, {STUB_A} AS answer, chunk FROM {qs}"""

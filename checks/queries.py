@@ -540,3 +540,28 @@ def qa_generation_resumed(spark: SparkSession, sf: str) -> DataFrame:
         overlap=FX.CHUNK_OVERLAP, generate_num=FX.GENERATE_NUM, existing=_existing_pairs(spark, sf),
     )
     return flat(RS.pairs_per_chunk(res.pairs))
+
+
+def images_present(spark: SparkSession, sf: str) -> DataFrame:
+    """F2 without bytes: manifest rows whose image file exists (left-semi on names)."""
+    man = image_manifest(spark, sf)
+    listing = image_files(spark, sf).select("rel_path", "path")
+    return flat(V.rows_with_image(man, listing).select("doc_id", "file_name"))
+
+
+def qa_generation_offline(spark: SparkSession, sf: str) -> DataFrame:
+    """J2 offline path: exported requests answered by a separate batch job, joined back by request_id."""
+    from sftprep.operators.generate import generate_replies
+    from sftprep.plans.qa import offline_answer_requests, offline_pairs, offline_question_requests
+    from sftprep.session import cut_lineage
+
+    docs = read_table(spark, sf, "documents").withColumn(
+        "name", F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")))
+    qreq = cut_lineage(offline_question_requests(
+        docs, source=source_id(F.col("name")), chunk_size=FX.CHUNK_SIZE, overlap=FX.CHUNK_OVERLAP,
+        generate_num=FX.GENERATE_NUM))
+    qrep = cut_lineage(generate_replies(qreq, make_client, carry=["request_id"]))  # the "service"
+    areq = cut_lineage(offline_answer_requests(qreq, qrep))
+    arep = cut_lineage(generate_replies(areq, make_client, carry=["request_id"]))
+    pairs = offline_pairs(areq, arep)
+    return flat(pairs.select("source", "chunk_id", "question", "answer", "chunk"))
