@@ -78,13 +78,14 @@ def source_collisions(docs: DataFrame, name_col: str = "name") -> DataFrame:
 
 
 def scan_documents(spark: SparkSession, path: str, extensions: Sequence[str] = DOCUMENT_EXTENSIONS) -> DataFrame:
-    """S1 + S2: ``path, name, ext, source, text`` for the files of a directory.
+    """S1 + S2: ``path, name, ext, source, text, valid_utf8`` for the files of a directory.
 
     A directory keeps its direct files whose extension is listed; a single
-    file is taken whatever its extension.  Text formats are decoded as
-    UTF-8; office/PDF formats need a codec and get a NULL ``text``.  No
-    matching file is an error.  (Spark's listing skips names beginning with
-    '_' or '.'.)
+    file is taken whatever its extension.  Text formats are read as UTF-8;
+    invalid byte sequences become U+FFFD (one bad file must not fail a corpus
+    job) and ``valid_utf8`` flags such files.  Office/PDF formats need a codec
+    and get a NULL ``text``.  No matching file is an error.  (Spark's listing
+    skips names beginning with '_' or '.'.)
     """
     reader = spark.read.format("binaryFile")
     if _is_dir(path):
@@ -95,12 +96,15 @@ def scan_documents(spark: SparkSession, path: str, extensions: Sequence[str] = D
         listing = reader.load(path)
     name = base_name(F.col("path"))
     ext = extension(name)
+    raw = F.col("content").cast("string")  # bytes as-is; repaired below, never an error
+    is_text = ext.isin(*TEXT_EXTENSIONS)
     out = listing.select(
         "path",
         name.alias("name"),
         ext.alias("ext"),
         source_id(F.col("path")).alias("source"),
-        F.when(ext.isin(*TEXT_EXTENSIONS), F.decode(F.col("content"), "UTF-8")).alias("text"),
+        F.when(is_text, F.make_valid_utf8(raw)).alias("text"),
+        F.when(is_text, F.is_valid_utf8(raw)).alias("valid_utf8"),
     )
     if out.select("path").limit(1).count() == 0:
         raise ValueError(f"No valid documents found in input path: ({path})")

@@ -208,3 +208,12 @@ def test_referenced_images_reads_only_named_files(spark, tmp_path):
     assert "content" not in scan.split("ReadSchema")[1]
     joined = V.join_images(man, refs)
     assert sorted(r.text for r in joined.collect()) == ["x", "y"]
+
+
+def test_scan_documents_repairs_invalid_utf8(spark, tmp_path):
+    (tmp_path / "latin.txt").write_bytes(b"caf\xe9 au lait")
+    (tmp_path / "ok.txt").write_text("café", encoding="utf-8")
+    rows = {r.name: r for r in S.scan_documents(spark, str(tmp_path)).collect()}
+    assert rows["latin.txt"].text == b"caf\xe9 au lait".decode("utf-8", "replace")
+    assert rows["latin.txt"].valid_utf8 is False and rows["ok.txt"].valid_utf8 is True
+    assert rows["ok.txt"].text == "café"
