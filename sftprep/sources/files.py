@@ -167,9 +167,24 @@ def load_training_dataset(
     raise ValueError("dataset_name or dataset_path is required")
 
 
-def read_manifest(spark: SparkSession, path: str, schema: T.StructType = MANIFEST_SCHEMA) -> DataFrame:
-    """JSON lines manifest, explicit schema, malformed line fails the job."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+def read_manifest(
+    spark: SparkSession, path: str, schema: T.StructType = MANIFEST_SCHEMA, quarantine: bool = False
+) -> DataFrame:
+    """JSON lines manifest with an explicit schema.
+
+    By default a malformed line fails the job (as in the reference).  With
+    ``quarantine`` every line is kept and a malformed one carries its text in
+    ``_corrupt_record`` (other fields NULL), to be routed to a reject output.
+    """
+    if not quarantine:
+        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    with_bad = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
+    return (
+        spark.read.schema(with_bad)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "_corrupt_record")
+        .json(path)
+    )
 
 
 def scan_images(spark: SparkSession, image_dir: str) -> DataFrame:

@@ -217,3 +217,14 @@ def test_scan_documents_repairs_invalid_utf8(spark, tmp_path):
     assert rows["latin.txt"].text == b"caf\xe9 au lait".decode("utf-8", "replace")
     assert rows["latin.txt"].valid_utf8 is False and rows["ok.txt"].valid_utf8 is True
     assert rows["ok.txt"].text == "café"
+
+
+def test_manifest_quarantine_keeps_bad_lines(spark, tmp_path):
+    p = tmp_path / "m.jsonl"
+    p.write_text('{"file_name": "a.png", "text": "t"}\n{not json\n{"file_name": "b.png", "text": "u"}\n',
+                 encoding="utf-8")
+    df = S.read_manifest(spark, str(p), quarantine=True).cache()
+    good = df.filter(F.col("_corrupt_record").isNull())
+    bad = df.filter(F.col("_corrupt_record").isNotNull())
+    assert sorted(r.file_name for r in good.collect()) == ["a.png", "b.png"]
+    assert [r._corrupt_record for r in bad.collect()] == ["{not json"]
