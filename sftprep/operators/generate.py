@@ -54,6 +54,17 @@ def _factory_key(factory: Callable) -> str:
     return repr(factory)
 
 
+def _reply_error(reply: Any) -> str | None:
+    """None for a usable reply, else the text recorded in the ``error`` column."""
+    if isinstance(reply, str):
+        return None
+    if reply is None:
+        return "empty reply"
+    if isinstance(reply, BaseException):
+        return f"{type(reply).__name__}: {reply}"
+    return f"non-string reply: {type(reply).__name__}"
+
+
 def _messages_to_py(v: Any) -> list[dict]:
     if v is None:
         return []
@@ -112,12 +123,8 @@ def generate_replies(
                 replies = list(client(prompts, **opts))
                 if len(replies) != len(prompts):
                     raise RuntimeError(f"client returned {len(replies)} replies for {len(prompts)} prompts")
-                errors = [
-                    f"{type(r).__name__}: {r}" if isinstance(r, BaseException)
-                    else (None if r is not None else "empty reply")
-                    for r in replies
-                ]
-                replies = [None if isinstance(r, BaseException) else r for r in replies]
+                errors = [_reply_error(r) for r in replies]
+                replies = [r if e is None else None for r, e in zip(replies, errors)]
             except Exception as exc:  # noqa: BLE001 - reported per row
                 replies = [None] * len(prompts)
                 errors = [f"{type(exc).__name__}: {exc}"] * len(prompts)

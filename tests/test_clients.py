@@ -46,14 +46,21 @@ def test_openai_compatible_client_protocol(monkeypatch):
 
 
 def exception_client():
-    return lambda batch, **_: [ValueError("bad row") if "x" in m[-1]["content"] else "ok" for m in batch]
+    def reply(m):
+        text = m[-1]["content"]
+        if "x" in text:
+            return ValueError("bad row")
+        if "d" in text:
+            return {"not": "a string"}
+        return "ok"
+    return lambda batch, **_: [reply(m) for m in batch]
 
 
 def test_exceptions_become_row_errors(spark):
-    df = spark.createDataFrame([(1, "a"), (2, "x")], "k int, t string").select(
+    df = spark.createDataFrame([(1, "a"), (2, "x"), (3, "d")], "k int, t string").select(
         "k", user_message(F.col("t")).alias("messages"))
     got = {r.k: (r.response, r.error) for r in generate_replies(df, exception_client, carry=["k"]).collect()}
-    assert got == {1: ("ok", None), 2: (None, "ValueError: bad row")}
+    assert got == {1: ("ok", None), 2: (None, "ValueError: bad row"), 3: (None, "non-string reply: dict")}
 
 
 def test_tokenizer_file_factory(spark, tmp_path):
