@@ -2,9 +2,9 @@
 
 The boundary search is inherently sequential inside one document (each
 chunk starts where the previous one ended, minus the overlap), so it runs as
-a small Python helper inside an Arrow ``pandas_udf`` that returns, per
-document, the ``[start, end)`` code-point ranges with the chunk text cut in
-Python.  ``posexplode`` numbers the chunks (C7) natively.
+a small Python helper over Arrow batches (``mapInArrow``): each batch of
+documents becomes a batch of flat chunk rows with the ``[start, end)``
+code-point ranges, the chunk number (C7) and the chunk text cut in Python.
 
 The text is cut in Python on purpose: a Python ``str`` indexes code points in
 O(1), while a JVM ``substring`` by code point walks the string from its start,
@@ -266,19 +266,61 @@ def chunk_documents(
     """C1/C2 + C7: one row per chunk: ``keep…, chunk_id, chunk_start, chunk_end, chunk``.
 
     ``chunk_id`` numbers chunks from 0 inside each document; positions are
-    0-based half-open code-point offsets.
+    0-based half-open code-point offsets.  Runs as ``mapInArrow``: each Arrow
+    batch of documents becomes a batch of flat chunk rows, the ``keep``
+    columns carried with an Arrow ``take`` (no pandas conversion, no nested
+    result to explode).  A NULL text yields no chunk.
     """
+    _check_params(chunk_size, overlap)
     src = docs.select(*keep, F.col(text_col).alias("_text"))
     if spread:
         src = ensure_parallelism(src)
-    _check_params(chunk_size, overlap)
     ensure_library_on_workers(docs.sparkSession)
-    cut = _bounds_udf("markdown" if markdown else "plain", chunk_size, overlap, separators, with_text=True)
-    exploded = src.select(*keep, F.posexplode(cut(F.col("_text"))).alias("chunk_id", "_c"))
-    return exploded.select(
-        *keep,
-        F.col("chunk_id").cast("int").alias("chunk_id"),
-        F.col("_c.start").alias("chunk_start"),
-        F.col("_c.end").alias("chunk_end"),
-        F.col("_c.chunk").alias("chunk"),
+    keep = list(keep)
+    if markdown:
+        def bounds(t: str):
+            return markdown_bounds(t, chunk_size, overlap)
+    else:
+        seps = effective_separators(separators if separators is not None else PLAIN_SEPARATORS)
+
+        def bounds(t: str):
+            return _plain_bounds(t, chunk_size, overlap, seps)
+
+    out_schema = T.StructType(
+        [src.schema[k] for k in keep]
+        + [
+            T.StructField("chunk_id", T.IntegerType(), False),
+            T.StructField("chunk_start", T.IntegerType(), False),
+            T.StructField("chunk_end", T.IntegerType(), False),
+            T.StructField("chunk", T.StringType(), False),
+        ]
     )
+
+    def cut(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            texts = batch.column(len(keep)).to_pylist()
+            rows, ids, starts, ends, pieces = [], [], [], [], []
+            for i, text in enumerate(texts):
+                if text is None:
+                    continue
+                for n, (s, e) in enumerate(bounds(text)):
+                    rows.append(i)
+                    ids.append(n)
+                    starts.append(s)
+                    ends.append(e)
+                    pieces.append(text[s:e])
+            take = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(j).take(take) for j in range(len(keep))]
+                + [pa.array(ids, pa.int32()), pa.array(starts, pa.int32()),
+                   pa.array(ends, pa.int32()), pa.array(pieces, pa.string())],
+                schema=pa.schema(
+                    [batch.schema.field(j) for j in range(len(keep))]
+                    + [pa.field("chunk_id", pa.int32(), False), pa.field("chunk_start", pa.int32(), False),
+                       pa.field("chunk_end", pa.int32(), False), pa.field("chunk", pa.string(), False)]
+                ),
+            )
+
+    return src.mapInArrow(cut, out_schema)
