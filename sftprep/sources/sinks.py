@@ -11,10 +11,19 @@ from sftprep.operators.ranking import assign_shards, shard_file_name, shard_mani
 def append_pairs(pairs: DataFrame, path: str, fmt: str = "json") -> None:
     """Append pairs, one folder per source (no rewrite of earlier output).
 
-    Not repartitioned by source: a source holding a third of the rows would
-    land in one task.  Each task writes its own files per source instead.
+    Rows are range-partitioned on ``(source, chunk_id)`` first, so each task
+    holds a contiguous run of sources: about tasks + sources files in total
+    instead of one file per (task, source) pair, and a source holding a third
+    of the rows is still split across tasks by ``chunk_id``.
     """
-    pairs.write.mode("append").partitionBy("source").format(fmt).save(path)
+    (
+        pairs.repartitionByRange("source", "chunk_id")
+        .sortWithinPartitions("source", "chunk_id")
+        .write.mode("append")
+        .partitionBy("source")
+        .format(fmt)
+        .save(path)
+    )
 
 
 def write_training_json(records: DataFrame, path: str) -> None:

@@ -228,3 +228,15 @@ def test_manifest_quarantine_keeps_bad_lines(spark, tmp_path):
     bad = df.filter(F.col("_corrupt_record").isNotNull())
     assert sorted(r.file_name for r in good.collect()) == ["a.png", "b.png"]
     assert [r._corrupt_record for r in bad.collect()] == ["{not json"]
+
+
+def test_pair_sink_file_count_is_bounded(spark, tmp_path):
+    rows = [("q", "a", f"s{i % 3}", i, "c") for i in range(600)]
+    df = spark.createDataFrame(rows, S.QA_PAIR_SCHEMA).repartition(8)  # every task holds every source
+    out = tmp_path / "pairs"
+    K.append_pairs(df, str(out), fmt="parquet")
+    files = [f for d in os.listdir(out) if d.startswith("source=")
+             for f in os.listdir(out / d) if f.endswith(".parquet")]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(files) <= parts + 3  # not 8 tasks x 3 sources
+    assert S.read_pairs_or_empty(spark, str(out), "parquet").count() == 600
