@@ -10,8 +10,8 @@ from __future__ import annotations
 
 import string as _string
 
-from checks import fixtures as FX
-from checks import queries as _Q
+from sftprep_checks import fixtures as FX
+from sftprep_checks import queries as _Q
 from sftprep.functions import chat as _C
 from sftprep.functions import prompts as _P
 from sftprep.operators import vlm as _V

@@ -2,7 +2,7 @@
 
 Every query reads whole driver tables (or data Spark derives from them);
 outputs are flat scalar columns, INT widened to BIGINT, aliased to the same
-names as the SQL oracles in ``checks.oracles``.
+names as the SQL oracles in ``sftprep_checks.oracles``.
 """
 
 from __future__ import annotations
@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks import fixtures as FX
-from checks.stub_client import make_client
+from sftprep_checks import fixtures as FX
+from sftprep_checks.stub_client import make_client
 from sftprep.functions import chat as C
 from sftprep.functions import prompts as P
 from sftprep.functions.tokens import whitespace_tokens
@@ -120,7 +120,7 @@ def question_prompts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stub_question_reply(chunk: Column) -> Column:
-    """The stub model's question reply as a Column (same as checks.stub_client)."""
+    """The stub model's question reply as a Column (same as sftprep_checks.stub_client)."""
     return F.concat(
         F.lit("What does "), F.md5(chunk), F.lit(" cover?,Which points fill "),
         F.length(chunk).cast("string"), F.lit(" characters?"),

@@ -6,8 +6,8 @@ import duckdb
 import pandas as pd
 import pytest
 
-from checks.fixtures import PLAIN_SEPS
-from checks.oracles import markdown_chunks_sql, plain_chunks_sql
+from sftprep_checks.fixtures import PLAIN_SEPS
+from sftprep_checks.oracles import markdown_chunks_sql, plain_chunks_sql
 from sftprep.operators.chunking import markdown_bounds, plain_bounds
 
 PIECES = ["word", "two words", "a. ", "b? ", "c! ", "d: ", "e; ", ".\n", "\n", "\n\n", "| x | y |", "+--+",

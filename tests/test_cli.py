@@ -15,7 +15,7 @@ def test_generate_command(spark, tmp_path, capsys):
     (src / "two.md").write_text("Second, with commas. " * 10, encoding="utf-8")
     (src / "skip.html").write_text("<p>no</p>", encoding="utf-8")
     out = tmp_path / "out"
-    cli.main(["generate", "--input", str(src), "--output", str(out), "--client", "checks.stub_client:make_client",
+    cli.main(["generate", "--input", str(src), "--output", str(out), "--client", "sftprep_checks.stub_client:make_client",
               "--chunk-size", "100", "--chunk-overlap", "20"], spark=spark)
     assert "new pairs:" in capsys.readouterr().out
     pairs = spark.read.json(str(out / "pairs"))
@@ -23,7 +23,7 @@ def test_generate_command(spark, tmp_path, capsys):
     train = spark.read.json(str(out / "train_data"))
     assert train.columns == ["input", "instruction", "output"] and train.count() == pairs.count()
     # a second run resumes: nothing new
-    cli.main(["generate", "--input", str(src), "--output", str(out), "--client", "checks.stub_client:make_client",
+    cli.main(["generate", "--input", str(src), "--output", str(out), "--client", "sftprep_checks.stub_client:make_client",
               "--chunk-size", "100", "--chunk-overlap", "20"], spark=spark)
     assert "new pairs: 0" in capsys.readouterr().out
 
@@ -76,7 +76,7 @@ def test_generate_command_parquet_sink(spark, tmp_path, capsys):
     src.mkdir()
     (src / "one.txt").write_text("First sentence here. " * 20, encoding="utf-8")
     out = tmp_path / "out"
-    args = ["generate", "--input", str(src), "--output", str(out), "--client", "checks.stub_client:make_client",
+    args = ["generate", "--input", str(src), "--output", str(out), "--client", "sftprep_checks.stub_client:make_client",
             "--chunk-size", "100", "--chunk-overlap", "20", "--pairs-format", "parquet"]
     cli.main(args, spark=spark)
     first = spark.read.parquet(str(out / "pairs")).count()

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from checks.stub_client import answer_reply, make_client, question_reply
+from sftprep_checks.stub_client import answer_reply, make_client, question_reply
 from sftprep.functions.prompts import user_message
 from sftprep.operators.generate import attach_replies, dedupe_replies, generate_replies, request_id
 from sftprep.operators.resume import merge_pairs, pairs_per_chunk, skip_done_chunks
@@ -12,7 +12,7 @@ from sftprep.sources.files import QA_PAIR_SCHEMA
 
 def three_questions():
     """Replies with three questions to every question prompt."""
-    from checks.stub_client import StubClient, reply
+    from sftprep_checks.stub_client import StubClient, reply
 
     class Three(StubClient):
         def __call__(self, batch, **_):

@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from checks.stub_client import make_client
+from sftprep_checks.stub_client import make_client
 from sftprep.functions import chat as C
 from sftprep.operators.generate import generate_replies
 from sftprep.operators.resume import pairs_per_chunk

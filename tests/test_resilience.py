@@ -29,20 +29,20 @@ SCRIPT = textwrap.dedent(
             os.close(fd)
             raise RuntimeError("worker lost")
         except FileExistsError:
-            from checks.stub_client import make_client
+            from sftprep_checks.stub_client import make_client
             return make_client()
 
     spark = (SparkSession.builder.master("local[2,4]").config("spark.ui.enabled", "false")
              .config("spark.sql.shuffle.partitions", "4").getOrCreate())
     spark.sparkContext.setLogLevel("OFF")
-    ship_code(spark, os.path.join({root!r}, "checks"))
+    ship_code(spark, os.path.join({root!r}, "sftprep_checks"))
     docs = spark.createDataFrame([("d%d" % i, "Sentence number %d here. " % i * 30) for i in range(6)],
                                  "source string, text string")
     res = generate_qa_pairs(docs, flaky_factory, chunk_size=120, overlap=20, call_partitions=4)
     pairs = res.pairs
     out = dict(n=pairs.count(), distinct=pairs.select("source", "chunk_id", "question_no").distinct().count(),
                errors=res.errors.count(), failed_once=os.path.exists(MARK))
-    ref = generate_qa_pairs(docs, lambda: __import__("checks.stub_client", fromlist=["x"]).make_client(),
+    ref = generate_qa_pairs(docs, lambda: __import__("sftprep_checks.stub_client", fromlist=["x"]).make_client(),
                             chunk_size=120, overlap=20, call_partitions=4).pairs
     out["same"] = pairs.drop("question_no").exceptAll(ref.drop("question_no")).count() == 0 and \\
         ref.drop("question_no").exceptAll(pairs.drop("question_no")).count() == 0

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from checks.stub_client import make_client
+from sftprep_checks.stub_client import make_client
 from sftprep.functions import chat as C
 from sftprep.plans.qa import generate_qa_pairs
 
