@@ -64,7 +64,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     setting (tests) gets a private folder; a cluster session without it is an
     error, because a machine-local folder does not survive executor loss.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext view (Connect): the server owns the folder
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise RuntimeError("spark.checkpoint.dir is not set on the server session")
+        return root
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not _is_local(spark):
