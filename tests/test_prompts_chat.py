@@ -157,3 +157,14 @@ def test_fill_equals_str_format_on_random_templates(spark):
     for r in rows:
         for i, t in enumerate(templates):
             assert r[f"t{i}"] == t.format(a=r.a, b=r.b), (t, r.a, r.b)
+
+
+def test_fill_rejects_format_specs_and_missing_fields():
+    from sftprep.functions.templates import fill, fill_optional
+
+    with pytest.raises(ValueError):
+        fill("{a:>5}", {"a": F.lit("x")})
+    with pytest.raises(KeyError):
+        fill("{a} {b}", {"a": F.lit("x")})
+    with pytest.raises(ValueError):
+        fill_optional("{a}[[ unclosed", {"a": F.lit("x")})
