@@ -159,7 +159,7 @@ def test_fill_equals_str_format_on_random_templates(spark):
             assert r[f"t{i}"] == t.format(a=r.a, b=r.b), (t, r.a, r.b)
 
 
-def test_fill_rejects_format_specs_and_missing_fields():
+def test_fill_rejects_format_specs_and_missing_fields(spark):
     from sftprep.functions.templates import fill, fill_optional
 
     with pytest.raises(ValueError):
