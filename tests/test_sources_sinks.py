@@ -240,3 +240,13 @@ def test_pair_sink_file_count_is_bounded(spark, tmp_path):
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert len(files) <= parts + 3  # not 8 tasks x 3 sources
     assert S.read_pairs_or_empty(spark, str(out), "parquet").count() == 600
+
+
+def test_keyed_qa_custom_keys_and_template(spark):
+    df = spark.createDataFrame([("What?", "That.", "img.png")], "q string, a string, p string").select(
+        "q", "a", F.struct(F.lit(b"x").alias("bytes"), F.col("p").alias("path")).alias("pic"))
+    keys = {"question": "q", "answer": "a", "image": "pic", "label": "a"}
+    row = V.keyed_qa(df, keys=keys, system_prompt="S", user_prompt="Q: {question}").first()
+    assert (row.system, row.user, row.assistant, row.image.path) == ("S", "Q: What?", "That.", "img.png")
+    with pytest.raises(ValueError):
+        V.keyed_qa(df, keys=keys, exp_type="eval")
