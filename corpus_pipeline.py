@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sftprep.llm import bpe, quality_rules
+from sftprep.llm import bpe, decontaminate, line_dedup, near_dups, quality_rules
 from sftprep.llm.common import stored, table
 
 
@@ -17,6 +17,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(docs, length="n_chars")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dups.drop_near_duplicates(docs, shingle=5, percent=80)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -25,6 +37,9 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality),
+    ("line_dedup", lines),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
     ("bpe", tokens),
 ]
 
