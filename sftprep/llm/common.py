@@ -24,14 +24,14 @@ def ship(spark: SparkSession) -> None:
     ship_code(spark)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to a fresh folder below ``spark.checkpoint.dir`` and read it back.
 
     The lineage ends at the files, so a lost executor costs a reread only.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

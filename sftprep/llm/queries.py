@@ -9,6 +9,7 @@ from sftprep.llm.line_dedup import OP8_SQL, op8_line_dedup
 from sftprep.llm.near_dups import op1_near_duplicates
 from sftprep.llm.quality_model import op5_quality
 from sftprep.llm.quality_rules import op9_quality_rules
+from sftprep.llm.token_files import op6_token_files
 from sftprep.llm.toxicity import op3_toxicity
 from sftprep.llm.url_filter import op4_url_rules
 
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_url_rules": op4_url_rules,
     "op5_quality": op5_quality,
+    "op6_token_files": op6_token_files,
     "op7_chat_format": op7_chat_format,
     "op8_line_dedup": op8_line_dedup,
     "op9_quality_rules": op9_quality_rules,

@@ -7,7 +7,7 @@ among all training labels), the risk of a linear logistic model is
     p * E_P[l(+)] + max(0, E_U[l(-)] - p * E_P[l(-)])
 
 where a negative second part is climbed back instead of followed, so the model
-cannot overfit the positives.  Features are the presence of words; Spark counts
+cannot overfit the positives.  Features are the presence of words and of word beginnings; Spark counts
 in how many positives and unlabelled rows each word occurs and the words most
 typical of positives become the model's vocabulary.  Up to MODELS models are trained
 in numpy, one task each, on separate parts of the sample, and their scores
@@ -45,6 +45,8 @@ PER_MODEL = 500
 ROUNDS, RATE, DECAY = 600, 0.05, 1e-4
 PUNCTUATION = b".,;:!?\"'()[]{}<>|#*$%&=+-_/\\@~`^"
 SPACED = bytes.maketrans(PUNCTUATION, b" " * len(PUNCTUATION))
+#: bytes of a word's beginning that count as a feature: one stem has many endings
+BEGINNINGS = (5, 6, 7, 8)
 SEED = 17
 
 
@@ -52,9 +54,14 @@ def held_out(key: Column) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % 5 == 0
 
 
+def words_of(text: bytes) -> set[bytes]:
+    """Distinct words of a text, ASCII lower case and without punctuation, and the beginnings of the longer ones."""
+    words = set(text.lower().translate(SPACED).split())
+    return words.union(*({b"^" + w[:n] for w in words if len(w) > n} for n in BEGINNINGS))
+
+
 def word_ids(text: bytes, hashes: WordHashes) -> np.ndarray:
-    """Distinct word hashes of a text: ASCII lower case, punctuation apart."""
-    return np.unique(hashes.of(text.lower().translate(SPACED).split()).view(np.int64))
+    return np.unique(hashes.of(list(words_of(text))).view(np.int64))
 
 
 def presence(rows: DataFrame) -> DataFrame:
@@ -138,12 +145,14 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
 def score(text: Column, at: dict[int, int], weights: np.ndarray) -> Column:
     """The mean probability of the models."""
 
+    at = {h % (1 << 64): k for h, k in at.items()}
+
     @arrow_udf("double")
     def probability(texts: pa.Array) -> pa.Array:
         hashes, out = WordHashes(), []
         linear, bias = weights[:, :-1], weights[:, -1]
         for t in utf8_values(texts):
-            held = [k for w in set(t.lower().translate(SPACED).split()) if (k := at.get(_signed(hashes[w]))) is not None]
+            held = [k for w in words_of(t) if (k := at.get(hashes[w])) is not None]
             z = linear[:, held].sum(1) + bias
             out.append(float((1 / (1 + np.exp(-np.clip(z, -30, 30)))).mean()))
         return pa.array(out, pa.float64())
@@ -151,10 +160,6 @@ def score(text: Column, at: dict[int, int], weights: np.ndarray) -> Column:
     return probability(text)
 
 
-def _signed(h: int) -> int:
-    return h - (1 << 64) if h >> 63 else h
-
-
 def score_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", **sizes) -> DataFrame:
     """(key, held_out, score, predicted) for every row; rows that ``held_out`` names are never trained on."""
     ship(docs.sparkSession)
