@@ -9,7 +9,8 @@ Sub-packages:
 * ``streaming`` – incremental chunking / prompt building (T1)
 
 Every public function takes DataFrames and plain keyword parameters and
-returns a DataFrame; nothing is collected to the driver.  The most used
+returns a DataFrame; what reaches the driver is bounded by partitions, shards or
+other parameters, never by the data.  The most used
 entry points are re-exported here (imported lazily).
 """
 

@@ -38,17 +38,23 @@ def _factory(args) -> Callable:
 def cmd_generate(spark, args) -> None:
     from sftprep.plans.qa import run_generation
     from sftprep.session import ship_code
-    from sftprep.sources.files import scan_documents
+    from sftprep.sources.files import scan_documents, unreadable_documents
 
     if args.client:
         mod = args.client.partition(":")[0].split(".")[0]
         spec = importlib.util.find_spec(mod)
         if spec and spec.submodule_search_locations:
             ship_code(spark, list(spec.submodule_search_locations)[0])
+        elif spec and spec.origin and spec.origin.endswith(".py"):  # a single-file client module
+            spark.sparkContext.addPyFile(spec.origin)
     docs = scan_documents(spark, args.input)
+    unread = unreadable_documents(docs).count()
+    if unread and not args.skip_unreadable:
+        raise SystemExit(f"{unread} documents have no text reader (see --skip-unreadable)")
     res = run_generation(
         docs, _factory(args), os.path.join(args.output, "pairs"),
         train_path=os.path.join(args.output, "train_data"), fmt=args.pairs_format,
+        errors_path=os.path.join(args.output, "errors"),
         chunk_size=args.chunk_size, overlap=args.chunk_overlap, generate_num=args.generate_num,
         markdown=args.markdown, max_tokens=args.max_tokens, temperature=args.temperature,
         call_partitions=args.call_partitions,
@@ -63,7 +69,7 @@ def cmd_chat_dataset(spark, args) -> None:
 
     recs = load_training_dataset(spark, dataset_name=args.table, dataset_path=args.input)
     if args.extension > 1:
-        recs = recs.withColumn("_id", F.md5(F.to_json(F.struct(*recs.columns))))
+        recs = recs.withColumn("_id", F.monotonically_increasing_id())  # equal records stay apart
     out = prepare_chat_dataset(recs, id_col="_id" if args.extension > 1 else None,
                                conversation_extension=args.extension, system_prompt=args.system_prompt)
     out.drop("_id").write.mode("overwrite").parquet(args.output)
@@ -74,6 +80,7 @@ def cmd_vlm_dataset(spark, args) -> None:
 
     conv, bad = prepare_vlm_dataset(spark, args.manifest, args.image_dir)
     conv.write.mode("overwrite").parquet(args.output)
+    bad.drop("content").write.mode("overwrite").parquet(args.output.rstrip("/") + "_rejected")
     print(f"rejected images: {bad.count()}")
 
 
@@ -118,6 +125,8 @@ def parser() -> argparse.ArgumentParser:
     g.add_argument("--call-partitions", type=int, default=None)
     g.add_argument("--pairs-format", choices=["json", "parquet"], default="json",
                    help="pair sink format; parquet lets resume read only the key columns")
+    g.add_argument("--skip-unreadable", action="store_true",
+                   help="go on without documents that have no text reader; they are listed in errors/")
     g.set_defaults(run=cmd_generate)
 
     c = sub.add_parser("chat-dataset")

@@ -70,12 +70,10 @@ def render_chat(messages: Column, system_prompt: str | Column | None = None) ->
     are joined by a blank line, so a one-turn conversation reproduces the
     template exactly.
     """
-    if system_prompt is None:
-        default = F.lit(PREAMBLE)
-    elif isinstance(system_prompt, Column):
-        default = system_prompt
+    if isinstance(system_prompt, Column):
+        default = F.when(system_prompt != "", system_prompt).otherwise(F.lit(PREAMBLE))
     else:
-        default = F.lit(system_prompt)
+        default = F.lit(system_prompt or PREAMBLE)  # an empty prompt is no prompt
     systems = F.filter(messages, lambda m: m["role"] == "system")
     head = F.coalesce(F.try_element_at(systems, F.lit(1))["content"], default)
     turns = F.filter(messages, lambda m: m["role"] != "system")
@@ -271,7 +269,7 @@ def render_conversations(
         ).alias("_body"),
         F.min_by(F.col("_sys"), F.col("_sys_o")).alias("_sys"),
     )
-    default = F.lit(PREAMBLE if system_prompt is None else system_prompt)
+    default = F.lit(system_prompt or PREAMBLE)
     return lvl2.select(
         key, F.concat(F.coalesce(F.col("_sys"), default), F.lit(TURN_GLUE), F.col("_body")).alias("text")
     )
@@ -305,12 +303,9 @@ def render_with(messages: Column, renderer_factory, cache_key: str | None = None
     ``renderer_factory()`` (called once per Python worker) returns a function
     ``list[{"role", "content"}] -> str``; it runs in Arrow batches.
     """
-    from sftprep.session import ensure_library_on_workers
+    from sftprep.session import ensure_library_on_workers, factory_key
 
-    key = cache_key or (
-        f"{getattr(renderer_factory, '__module__', '')}.{renderer_factory.__qualname__}"
-        if hasattr(renderer_factory, "__qualname__") else repr(renderer_factory)
-    )
+    key = cache_key or factory_key(renderer_factory)
     ensure_library_on_workers()
 
     @F.pandas_udf("string")

@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sftprep.session import ensure_library_on_workers
+from sftprep.session import ensure_library_on_workers, factory_key
 
 # whitespace class spelled out so every regex engine reads it the same way
 WHITESPACE = "[ \\t\\n\\r\\f]+"
@@ -45,11 +45,7 @@ def subword_token_ids(
     cache_key: str | None = None,
 ) -> Column:
     """ARRAY<INT> ids from a user tokenizer, truncated; one tokenizer per worker."""
-    key = cache_key or (
-        f"{getattr(tokenizer_factory, '__module__', '')}.{tokenizer_factory.__qualname__}"
-        if hasattr(tokenizer_factory, "__qualname__") else repr(tokenizer_factory)
-    )
-
+    key = cache_key or factory_key(tokenizer_factory)
     ensure_library_on_workers()
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
@@ -74,5 +70,4 @@ def tokenizer_file_factory(path: str) -> Callable[[], Callable[[str], list[int]]
         tok = Tokenizer.from_file(path)
         return lambda text: tok.encode(text, add_special_tokens=False).ids
 
-    factory.__qualname__ = f"tokenizer_file[{path}]"
     return factory

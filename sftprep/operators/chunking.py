@@ -78,8 +78,8 @@ def effective_separators(separators: Sequence[str]) -> list[str]:
     """
     kept: list[str] = []
     for sep in separators:
-        if not sep:
-            continue
+        if not sep:  # an empty separator is found at the window's end: the search stops there
+            break
         if any(prev in sep for prev in kept):
             continue
         kept.append(sep)

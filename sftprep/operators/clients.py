@@ -14,12 +14,17 @@ from __future__ import annotations
 import json
 import os
 import time
+import urllib.error
 import urllib.request
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
 
+#: client errors worth another attempt: timeout, conflict, too early, rate limit
+RETRIED_STATUS = (408, 409, 425, 429)
+
+
 class OpenAICompatibleClient:
     def __init__(self, base_url: str, model: str, api_key: str | None, concurrency: int,
                  timeout: float, retries: int, backoff: float = 1.0):
@@ -48,6 +53,10 @@ class OpenAICompatibleClient:
                 with urllib.request.urlopen(req, timeout=self.timeout) as resp:
                     payload = json.loads(resp.read().decode("utf-8"))
                 return payload["choices"][0]["message"]["content"]
+            except urllib.error.HTTPError as exc:
+                last = exc
+                if exc.code < 500 and exc.code not in RETRIED_STATUS:
+                    break  # the request itself is wrong: asking again cannot help
             except Exception as exc:  # noqa: BLE001 - retried, then reported per row
                 last = exc
         return last
@@ -76,5 +85,4 @@ def openai_compatible(
         key = os.environ.get(api_key_env) if api_key_env else None
         return OpenAICompatibleClient(base_url, model, key, concurrency, timeout, retries, backoff)
 
-    factory.__qualname__ = f"openai_compatible[{base_url}|{model}]"
     return factory

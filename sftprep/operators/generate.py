@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sftprep.session import ensure_library_on_workers
+from sftprep.session import ensure_library_on_workers, factory_key
 
 # Generation defaults.
 DEFAULT_MAX_TOKENS = 4096
@@ -46,14 +46,6 @@ def worker_client(key: str, factory: Callable[[], Any]) -> Any:
     return client
 
 
-def _factory_key(factory: Callable) -> str:
-    """Cache key computed once on the driver (so it is the same in every worker)."""
-    name = getattr(factory, "__qualname__", None)
-    if name:
-        return f"{getattr(factory, '__module__', '')}.{name}"
-    return repr(factory)
-
-
 def _reply_error(reply: Any) -> str | None:
     """None for a usable reply, else the text recorded in the ``error`` column."""
     if isinstance(reply, str):
@@ -99,7 +91,7 @@ def generate_replies(
     replies back to their prompts.  A client exception or a NULL reply is
     reported in ``error`` with a NULL ``response``; it never fails the task.
     """
-    key = cache_key or _factory_key(client_factory)
+    key = cache_key or factory_key(client_factory)
     ensure_library_on_workers(df.sparkSession)
     carry = list(carry)
     if request_id_col and request_id_col not in carry:
@@ -136,9 +128,24 @@ def generate_replies(
     return in_df.mapInPandas(run, out_schema)
 
 
-def dedupe_replies(replies: DataFrame, request_id_col: str = "request_id") -> DataFrame:
-    """Keep one reply per request (retried or speculative tasks may repeat calls)."""
-    return replies.dropDuplicates([request_id_col])
+def dedupe_replies(
+    replies: DataFrame, request_id_col: str = "request_id", response_col: str = "response"
+) -> DataFrame:
+    """One reply per request (retried or speculative tasks may repeat calls).
+
+    NULL replies answer nothing; of several answers the smallest is kept, so the
+    choice does not depend on the order of rows.  ``unanswered`` reports the rest.
+    """
+    usable = replies.filter(F.col(response_col).isNotNull())
+    return usable.groupBy(request_id_col).agg(F.min(response_col).alias(response_col))
+
+
+def unanswered(
+    requests: DataFrame, replies: DataFrame, request_id_col: str = "request_id", response_col: str = "response"
+) -> DataFrame:
+    """Requests without any usable reply: nothing was returned, or only NULLs."""
+    usable = replies.filter(F.col(response_col).isNotNull()).select(request_id_col)
+    return requests.join(usable, request_id_col, "left_anti")
 
 
 def attach_replies(

@@ -127,7 +127,8 @@ def shard_size(n_rows: int, num_shards: int) -> int:
 
 
 def assign_shards(
-    df: DataFrame, order: Sequence[Column | str], num_shards: int, index_col: str = "row_idx"
+    df: DataFrame, order: Sequence[Column | str], num_shards: int, index_col: str = "row_idx",
+    shard_col: str = "shard",
 ) -> tuple[DataFrame, int]:
     """A3: contiguous shards, ``size = ceil(n / num)``; returns (rows with ``shard``, n).
 
@@ -138,7 +139,7 @@ def assign_shards(
     n = ranked.count()
     size = shard_size(n, num_shards)
     shard = F.floor(F.col(index_col) / F.lit(max(size, 1))).cast("int")
-    return ranked.withColumn("shard", shard), n
+    return ranked.withColumn(shard_col, shard), n
 
 
 def shard_file_name(name: str, shard: Column, num_shards: int) -> Column:
@@ -176,22 +177,27 @@ def extend_conversations(
 
     Row at position ``p`` (in ``id_col`` order) gets the conversation of the
     row at position ``p`` of each shuffled copy ``i`` (order ``md5(seed+i:id)``).
-    Only the ids are ranked.  The partners of all copies are matched with one
+    The input is saved once; only its ids are ranked, all copies in one sort on
+    ``(copy, md5, id)``.  The partners of all copies are matched with one
     position join and fetched with one join on id; each row's own conversation
     and its partners form a group of exactly ``k`` (a fixed bound).
+    ``id_col`` must be unique: rows that share an id would collapse.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
     if k == 1:
         return df
-    keys = df.select(id_col)
-    base = with_row_index(keys, [id_col], "_pos")
-    partners = None
-    for i in range(1, k):
-        perm = with_row_index(
-            keys.withColumn("_h", seeded_key(seed + i, id_col)), ["_h", id_col], "_pos"
-        ).select("_pos", F.col(id_col).alias("_other"), F.lit(i).alias("_copy"))
-        partners = perm if partners is None else partners.unionByName(perm)
+    df = cut_lineage(df)
+    sizes = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(id_col).alias("d")).first()
+    if sizes["n"] != sizes["d"]:
+        raise ValueError(f"{id_col} is not unique: {sizes['n']} rows, {sizes['d']} ids")
+    copies = df.select(id_col, F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_copy"))
+    shuffled = F.md5(F.concat_ws(":", (F.lit(seed) + F.col("_copy")).cast("string"), F.col(id_col).cast("string")))
+    copies = copies.withColumn("_h", F.when(F.col("_copy") > 0, shuffled).otherwise(F.lit("")))
+    ranked = with_row_index(copies, ["_copy", "_h", id_col], "_idx")
+    ranked = ranked.withColumn("_pos", F.col("_idx") - F.col("_copy") * F.lit(sizes["n"]))
+    base = ranked.filter("_copy = 0").select(id_col, "_pos")
+    partners = ranked.filter("_copy > 0").select("_pos", F.col(id_col).alias("_other"), "_copy")
     pairs = base.join(partners, "_pos")
     fetched = pairs.join(
         df.select(F.col(id_col).alias("_other"), F.col(conv_col).alias("_conv")), "_other"

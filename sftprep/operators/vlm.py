@@ -100,7 +100,7 @@ def _salted_join(manifest: DataFrame, imgs: DataFrame, name_col: str, buckets: i
     if not hot or buckets <= 1:
         return manifest.join(imgs, manifest[name_col] == imgs["rel_path"], "inner").drop("rel_path")
     is_hot_m = F.col(name_col).isin(hot)
-    salt_m = F.when(is_hot_m, F.pmod(F.xxhash64(*[F.col(c) for c in manifest.columns]), F.lit(buckets))
+    salt_m = F.when(is_hot_m, F.pmod(F.monotonically_increasing_id(), F.lit(buckets))
                     ).otherwise(F.lit(0))
     m = manifest.withColumn("_salt", salt_m.cast("int"))
     is_hot_i = F.col("rel_path").isin(hot)
@@ -121,21 +121,40 @@ def _local_or_uri(path: str) -> str:
     return path
 
 
+READ_BYTES = 64 * 1024 * 1024
+
+
 def _read_files(batches):
-    """mapInPandas body: add ``content`` bytes for each ``path`` (one read per file)."""
+    """mapInPandas body: add ``content`` bytes for each ``path`` (one read per file).
+
+    Rows are handed on whenever about READ_BYTES are held, however many paths a
+    batch has.
+    """
     from pyarrow import fs as pafs
 
     for pdf in batches:
-        data = []
-        for p in pdf["path"]:
+        data, start, size = [], 0, 0
+        for i, p in enumerate(pdf["path"]):
             target = _local_or_uri(p)
             filesystem, inner = pafs.FileSystem.from_uri(target) if "://" in target else (
                 pafs.LocalFileSystem(), target)
             with filesystem.open_input_stream(inner) as f:
                 data.append(f.read())
-        out = pdf.copy()
-        out["content"] = data
-        yield out
+            size += len(data[-1])
+            if size >= READ_BYTES or i + 1 == len(pdf):
+                yield pdf.iloc[start : i + 1].assign(content=data)
+                data, start, size = [], i + 1, 0
+
+
+def read_by_path(files: DataFrame) -> DataFrame:
+    """``files`` (with a ``path``) plus ``content``, read in tasks."""
+    from pyspark.sql import types as T
+
+    from sftprep.session import ensure_library_on_workers
+
+    ensure_library_on_workers(files.sparkSession)
+    schema = T.StructType([*files.schema.fields, T.StructField("content", T.BinaryType())])
+    return files.mapInPandas(_read_files, schema)
 
 
 def referenced_images(manifest: DataFrame, listing: DataFrame, name_col: str = "file_name",

@@ -21,13 +21,16 @@ from pyspark.sql import functions as F
 
 from sftprep.functions import prompts as P
 from sftprep.operators.chunking import chunk_documents
-from sftprep.operators.generate import attach_replies, dedupe_replies, generate_replies, request_id
+from sftprep.operators.generate import attach_replies, dedupe_replies, generate_replies, request_id, unanswered
 from sftprep.operators.resume import merge_pairs, skip_done_chunks
 from sftprep.session import cut_lineage
 from sftprep.sources.files import read_pairs_or_empty, source_id
 from sftprep.sources.sinks import append_pairs, write_training_json
 
 
+NO_TEXT = "document has no text"
+
+
 @dataclass
 class QAResult:
     pairs: DataFrame  # question, answer, source, chunk_id, chunk, question_no (existing + new)
@@ -99,12 +102,20 @@ def offline_answer_requests(q_requests: DataFrame, q_replies: DataFrame) -> Data
 
 
 def offline_pairs(a_requests: DataFrame, a_replies: DataFrame) -> DataFrame:
-    """J2 + P5: QA pairs from answer replies (``request_id, response``)."""
+    """J2 + P5: QA pairs from answer replies (``request_id, response``).
+
+    Requests without a usable reply give no pair; ``offline_unanswered`` lists them.
+    """
     replies = dedupe_replies(a_replies.select("request_id", "response"))
     joined = attach_replies(a_requests.drop("messages"), replies)
     return P.qa_pair(joined.withColumnRenamed("response", "answer"))
 
 
+def offline_unanswered(requests: DataFrame, replies: DataFrame) -> DataFrame:
+    """Requests of either kind that no usable reply answers, to be asked again."""
+    return unanswered(requests.drop("messages"), replies.select("request_id", "response"))
+
+
 def generate_qa_pairs(
     docs: DataFrame,
     client_factory: Callable,
@@ -193,6 +204,11 @@ def generate_qa_pairs(
             F.lit("answer").alias("stage"), "source", "chunk_id",
             F.col("question_no").cast("int"), "error",
         )
+    ).unionByName(
+        named.filter(F.col("text").isNull()).select(
+            F.lit("document").alias("stage"), "source", F.lit(None).cast("int").alias("chunk_id"),
+            F.lit(None).cast("int").alias("question_no"), F.lit(NO_TEXT).alias("error"),
+        )
     )
     return QAResult(pairs=pairs, errors=errors, new_pairs=new_pairs)
 
@@ -203,6 +219,7 @@ def run_generation(
     pairs_dir: str,
     train_path: str | None = None,
     fmt: str = "json",
+    errors_path: str | None = None,
     **options,
 ) -> QAResult:
     """Resumable program A over a pair sink (S9 -> J1 -> ... -> S8 [-> X1 -> S10]).
@@ -218,6 +235,8 @@ def run_generation(
     existing = read_pairs_or_empty(spark, pairs_dir, fmt)
     res = generate_qa_pairs(docs, client_factory, existing=existing, checkpoint=True, **options)
     append_pairs(res.new_pairs.select(*P.QA_PAIR_COLUMNS), pairs_dir, fmt)
+    if errors_path:  # failed calls and documents without text, run after run
+        res.errors.write.mode("append").json(errors_path)
     if train_path:
         merged = read_pairs_or_empty(spark, pairs_dir, fmt)
         write_training_json(P.training_record(merged), train_path)

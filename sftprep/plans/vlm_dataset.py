@@ -70,6 +70,7 @@ def create_vendor_dataset(
     joined = V.join_images(manifest, _images(spark, manifest, os.path.join(dataset_dir, "image"), read))
     good, bad = V.vendor_rows(joined, keep=("_line",))
     shards = write_sharded_parquet(
-        good, out_dir or os.path.join(dataset_dir, "data"), name, num_shards, ["_line"]
+        good, out_dir or os.path.join(dataset_dir, "data"), name, num_shards, ["_line"],
+        drop=("_line",),
     )
     return shards, bad

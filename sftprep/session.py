@@ -110,6 +110,10 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     spark = df.sparkSession
     try:
         want = min_partitions or spark.sparkContext.defaultParallelism
+        # a plan with an exchange is dealt out already, and asking for its
+        # partitions would run the upstream stages while planning
+        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+            return df
         have = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave as is
         return df
@@ -118,6 +122,19 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     return df.repartition(want)
 
 
+def factory_key(factory) -> str:
+    """Cache key of a user factory, computed on the driver: a digest of its pickled form.
+
+    Covers code, closure cells and defaults, so two closures made by one
+    function never share a worker's client, tokenizer or renderer.
+    """
+    import hashlib
+
+    from pyspark import cloudpickle
+
+    return hashlib.md5(cloudpickle.dumps(factory)).hexdigest()
+
+
 _SHIPPED: set[tuple[str, str]] = set()
 
 

@@ -7,7 +7,6 @@ file names never touches file bodies.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -84,16 +83,15 @@ def scan_documents(spark: SparkSession, path: str, extensions: Sequence[str] = D
     file is taken whatever its extension.  Text formats are read as UTF-8;
     invalid byte sequences become U+FFFD (one bad file must not fail a corpus
     job) and ``valid_utf8`` flags such files.  Office/PDF formats need a codec
-    and get a NULL ``text``.  No matching file is an error.  (Spark's listing
-    skips names beginning with '_' or '.'.)
+    and get a NULL ``text``; ``unreadable_documents`` lists them.  Names that
+    begin with '_' or '.' are documents like any other.  No matching file is an
+    error.
     """
-    reader = spark.read.format("binaryFile")
-    if _is_dir(path):
-        listing = reader.load(path)
-        listing = listing.filter(~F.col("path").rlike(_nested_pattern(path)))
+    root, is_dir = _located(spark, path)
+    listing = _all_files(spark, root, is_dir, recursive=False).select("path", "content")
+    if is_dir:
+        listing = listing.filter(~F.col("path").rlike(_nested_pattern(root)))
         listing = listing.filter(has_document_extension(base_name(F.col("path")), extensions))
-    else:
-        listing = reader.load(path)
     name = base_name(F.col("path"))
     ext = extension(name)
     raw = F.col("content").cast("string")  # bytes as-is; repaired below, never an error
@@ -111,18 +109,64 @@ def scan_documents(spark: SparkSession, path: str, extensions: Sequence[str] = D
     return out
 
 
-def _norm_dir(path: str) -> str:
-    """Absolute local path, or a URI (``s3a://``, ``hdfs://``) as given."""
-    return path.rstrip("/") if "://" in path else os.path.abspath(path).rstrip("/")
+def unreadable_documents(docs: DataFrame) -> DataFrame:
+    """Rows of ``scan_documents`` whose format has no text reader here (NULL ``text``)."""
+    return docs.filter(F.col("text").isNull()).drop("text")
 
 
-def _is_dir(path: str) -> bool:
-    """Local paths are asked; a URI names a folder when it ends with '/'."""
-    return path.endswith("/") if "://" in path else os.path.isdir(path)
+def _located(spark: SparkSession, path: str) -> tuple[str, bool]:
+    """The path as Spark lists it (scheme and authority filled in), and whether it is a folder.
 
+    The path's own Hadoop file system is asked, so ``/docs``, ``file:///docs``
+    and ``hdfs:///docs`` are all understood the way the readers do.
+    """
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+    p = fs.makeQualified(p)
+    if not fs.exists(p):
+        raise FileNotFoundError(path)
+    return p.toString().rstrip("/"), fs.getFileStatus(p).isDirectory()
+
+
+def _hidden_files(spark: SparkSession, root: str, recursive: bool) -> list[tuple[str, int]]:
+    """(path, length) of the files that Spark's listing leaves out: a name begins with '_' or '.'."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+    found, files = [], fs.listFiles(p, recursive)
+    while files.hasNext():
+        status = files.next()
+        full = status.getPath().toString()
+        names = full[len(root) :].strip("/").split("/") if full != root else [full.rsplit("/", 1)[-1]]
+        if any(n.startswith(("_", ".")) for n in names) and not full.endswith(".crc"):
+            found.append((full, int(status.getLen())))
+    return found
+
+
+def _all_files(spark: SparkSession, root: str, is_dir: bool, recursive: bool) -> DataFrame:
+    """``path, length, content`` of a file, or of a folder's files whatever their names.
+
+    Files that Spark's listing hides are listed through Hadoop and read by
+    path in tasks; all others stay in the ``binaryFile`` scan.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+    hidden = _hidden_files(spark, root, recursive)
+    if not is_dir and hidden:
+        seen = None
+    else:
+        seen = reader.load(root).select("path", "length", "content")
+    if not hidden:
+        return seen
+    from sftprep.operators.vlm import read_by_path
 
-def _nested_pattern(directory: str) -> str:
-    return "\\Q" + _norm_dir(directory) + "/\\E[^/]+/"
+    listed = spark.createDataFrame(hidden, "path string, length long")
+    rest = read_by_path(listed)
+    return rest if seen is None else seen.unionByName(rest)
+
+
+def _nested_pattern(root: str) -> str:
+    return "\\Q" + root + "/\\E[^/]+/"
 
 
 def load_chunks(
@@ -193,15 +237,24 @@ def scan_images(spark: SparkSession, image_dir: str) -> DataFrame:
     ``rel_path`` (the join key with manifest ``file_name``) is the path
     relative to the directory.  ``content`` is read lazily.
     """
-    root = _norm_dir(image_dir)
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    rel = F.regexp_extract(F.col("path"), "\\Q" + root + "/\\E(.*)$", 1)
+    root, is_dir = _located(spark, image_dir)
+    listing = _all_files(spark, root, is_dir, recursive=True)
+    # a listed path outside the folder is an error, not an empty name
+    inside = F.startswith(F.col("path"), F.lit(root + "/"))
+    rel = F.when(inside, F.substring(F.col("path"), len(root) + 2, 1 << 30)).otherwise(
+        F.raise_error(F.concat(F.lit(f"not below {root}: "), F.col("path")))
+    )
     return listing.select(rel.alias("rel_path"), "path", "length", "content")
 
 
 def read_pairs_or_empty(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Pairs written by earlier runs, or an empty table with the pair schema."""
+    reader = spark.read.schema(QA_PAIR_SCHEMA).format(fmt)
+    if fmt == "json":
+        reader = reader.option("mode", "FAILFAST")  # a broken line is an error, not an empty pair
     try:
-        return spark.read.schema(QA_PAIR_SCHEMA).format(fmt).load(path)
-    except AnalysisException:
+        return reader.load(path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], QA_PAIR_SCHEMA)

@@ -38,7 +38,7 @@ def save_and_reload(df: DataFrame, path: str) -> DataFrame:
 
 
 def write_sharded_parquet(
-    df: DataFrame, out_dir: str, name: str, num_shards: int, order: list
+    df: DataFrame, out_dir: str, name: str, num_shards: int, order: list, drop: tuple = ()
 ) -> DataFrame:
     """S12 with A3: contiguous shards written under ``shard_file=<name>-0000i-of-0000n.parquet``.
 
@@ -47,13 +47,15 @@ def write_sharded_parquet(
     slice of one or two shards with no further shuffle and no shard is
     funnelled through one task.  A local sort on (shard file, position) keeps
     row order inside each file and satisfies the writer's partition ordering.
+    Every column of ``df`` but those in ``drop`` is written, and no other.
     Returns the manifest of all shards with row counts (empty shards included).
     """
-    sharded, _ = assign_shards(df, order, num_shards)
     spark = df.sparkSession
-    payload = [c for c in df.columns if not c.startswith("_")]
+    row = F.struct(*[F.col(c) for c in df.columns if c not in drop])
+    keyed = df.select(row.alias("_row"), *[F.col(c).alias(f"_order{i}") for i, c in enumerate(order)])
+    sharded, _ = assign_shards(keyed, [f"_order{i}" for i in range(len(order))], num_shards)
     out = sharded.withColumn("shard_file", shard_file_name(name, F.col("shard"), num_shards))
-    rows = out.sortWithinPartitions("shard_file", "row_idx").select(*payload, "row_idx", "shard_file")
+    rows = out.sortWithinPartitions("shard_file", "row_idx").select("_row.*", "shard_file")
     rows.write.mode("overwrite").partitionBy("shard_file").parquet(out_dir)
     manifest = shard_manifest(spark, sharded, name, num_shards)
     # empty shards get a file too (schema only); at most num_shards names

@@ -2,9 +2,10 @@
 
 A Structured Streaming file source over the document folder feeds
 ``foreachBatch``.  Each micro-batch is chunked, turned into question prompts
-and written to its own ``batch_id=<epoch>`` folder with overwrite, so a batch
-replayed after a failure replaces its own output and nothing is written
-twice; no batch ever re-reads the sink.  The file source's checkpoint (in the
+and written to its own ``run_id=<query>/batch_id=<epoch>`` folder with
+overwrite, so a batch replayed after a failure replaces its own output, nothing
+is written twice, and a query under another checkpoint never touches it; no
+batch ever re-reads the sink.  The file source's checkpoint (in the
 cluster's shared ``spark.checkpoint.dir``) records which files are done.
 The work is stateless, so no watermark is needed.  ``skip_existing`` adds
 a key-level anti-join against the sink for inputs that may repeat documents
@@ -44,6 +45,11 @@ def _existing(spark: SparkSession, sink: str) -> DataFrame | None:
         return None
 
 
+def _checkpoint_id(spark: SparkSession, checkpoint_path: str) -> str:
+    """The query id kept in the checkpoint: the same after a restart, another for another checkpoint."""
+    return spark.read.schema("id string").json(f"{checkpoint_path.rstrip('/')}/metadata").first()["id"]
+
+
 def run_incremental(
     spark: SparkSession,
     source_path: str,
@@ -84,12 +90,14 @@ def run_incremental(
             ch = skip_done_chunks(keyed, pairs, resume_generate_num).drop("source")
         if generate_num is not None:
             ch = ch.withColumn("prompt", question_prompt(F.col("chunk"), generate_num))
+        run_id = _checkpoint_id(df.sparkSession, checkpoint_path)
         if skip_existing:
             done = _existing(df.sparkSession, sink_path)
             if done is not None:
-                prior = done.filter(F.col("batch_id") != epoch_id).select(key_col, "chunk_id")
+                own = (F.col("run_id") == run_id) & (F.col("batch_id") == epoch_id)
+                prior = done.filter(~own).select(key_col, "chunk_id")
                 ch = ch.join(prior, [key_col, "chunk_id"], "left_anti")
-        ch.write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/batch_id={epoch_id}")
+        ch.write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/run_id={run_id}/batch_id={epoch_id}")
 
     q = (
         stream.writeStream.foreachBatch(batch)
@@ -118,4 +126,4 @@ def stream_chunks_once(
         chunk_size=chunk_size, overlap=overlap,
         num_partitions=spark.sparkContext.defaultParallelism,
     )
-    return spark.read.parquet(sink).drop("batch_id")
+    return spark.read.parquet(sink).drop("run_id", "batch_id")

@@ -1,13 +1,10 @@
 """Parameters shared by the Spark queries and their SQL oracles."""
 
-from sftprep.operators.chunking import PLAIN_SEPARATORS, effective_separators
-
 CHUNK_SIZE = 1024  # the generation defaults
 CHUNK_OVERLAP = 200
 GENERATE_NUM = 2
 MD_CHUNK_SIZE = 1000  # the markdown chunker's own defaults
 MD_OVERLAP = 100
-PLAIN_SEPS = effective_separators(PLAIN_SEPARATORS)
 SHARDS = 7
 CALIBRATION_N = 15
 CALIBRATION_SEED = 42

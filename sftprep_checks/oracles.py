@@ -10,11 +10,9 @@ from __future__ import annotations
 
 import string as _string
 
+from sftprep_checks import fixed as K
 from sftprep_checks import fixtures as FX
 from sftprep_checks import queries as _Q
-from sftprep.functions import chat as _C
-from sftprep.functions import prompts as _P
-from sftprep.operators import vlm as _V
 
 
 def _rfind_rel(window: str, regex_sep: str) -> str:
@@ -64,7 +62,7 @@ def plain_chunks_sql(table_sql: str, size: int, overlap: int, seps: list[str]) -
 
 def chunk_text() -> str:
     inner = plain_chunks_sql(
-        "SELECT doc_id, text FROM documents", FX.CHUNK_SIZE, FX.CHUNK_OVERLAP, FX.PLAIN_SEPS
+        "SELECT doc_id, text FROM documents", FX.CHUNK_SIZE, FX.CHUNK_OVERLAP, K.PLAIN_SEPS
     )
     return f"""
     SELECT doc_id::BIGINT AS doc_id, chunk_id::BIGINT AS chunk_id,
@@ -95,13 +93,13 @@ def source_id_sql(name: str) -> str:
     return f"replace(string_split({name}, '/')[-1], '.', '_')"
 
 
-PLAIN = f"""({plain_chunks_sql("SELECT doc_id, text FROM documents", FX.CHUNK_SIZE, FX.CHUNK_OVERLAP, FX.PLAIN_SEPS)})"""
+PLAIN = f"""({plain_chunks_sql("SELECT doc_id, text FROM documents", FX.CHUNK_SIZE, FX.CHUNK_OVERLAP, K.PLAIN_SEPS)})"""
 CHUNKS = f"""(SELECT doc_id, chunk_id, s AS chunk_start, e AS chunk_end,
                      substring(text, s + 1, e - s) AS chunk FROM {PLAIN})"""
 
 
 def chunk_text_defaults() -> str:
-    inner = plain_chunks_sql("SELECT doc_id, text FROM documents", 1000, 100, FX.PLAIN_SEPS)
+    inner = plain_chunks_sql("SELECT doc_id, text FROM documents", 1000, 100, K.PLAIN_SEPS)
     return f"""
     SELECT doc_id::BIGINT AS doc_id, chunk_id::BIGINT AS chunk_id,
            s::BIGINT AS chunk_start, e::BIGINT AS chunk_end,
@@ -217,7 +215,7 @@ def doc_filter() -> str:
 
 # ---------------------------------------------------------------- prompts
 def question_prompts() -> str:
-    p = fill_sql(_P.QUESTION_PROMPT, {"context": "chunk", "target_num": str(FX.GENERATE_NUM)})
+    p = fill_sql(K.QUESTION_PROMPT, {"context": "chunk", "target_num": str(FX.GENERATE_NUM)})
     return f"SELECT doc_id::BIGINT AS doc_id, chunk_id::BIGINT AS chunk_id, {p} AS prompt FROM {CHUNKS}"
 
 
@@ -236,7 +234,7 @@ QUESTIONS = _split_sql("doc_id, chunk_id, chunk", STUB_Q, CHUNKS)
 
 
 def answer_prompts() -> str:
-    p = fill_sql(_P.ANSWER_PROMPT, {"context": "chunk", "question": "question"})
+    p = fill_sql(K.ANSWER_PROMPT, {"context": "chunk", "question": "question"})
     return f"""SELECT doc_id::BIGINT AS doc_id, chunk_id::BIGINT AS chunk_id,
                       question_no::BIGINT AS question_no, question, {p} AS prompt FROM {QUESTIONS}"""
 
@@ -306,12 +304,12 @@ def normalized_roles() -> str:
 
 
 def _render_pair(system: str) -> str:
-    return (f"{lit(system + _C.TURN_GLUE + _C.INSTRUCTION_HEAD)} || question || "
-            f"{lit(_C.TURN_GLUE + _C.RESPONSE_HEAD)} || answer")
+    return (f"{lit(system + K.TURN_GLUE + K.INSTRUCTION_HEAD)} || question || "
+            f"{lit(K.TURN_GLUE + K.RESPONSE_HEAD)} || answer")
 
 
 def chat_text() -> str:
-    return f"SELECT source, chunk_id, {_render_pair(_C.PREAMBLE)} AS text FROM {QA_PAIRS}"
+    return f"SELECT source, chunk_id, {_render_pair(K.PREAMBLE)} AS text FROM {QA_PAIRS}"
 
 
 def chat_text_system() -> str:
@@ -361,9 +359,9 @@ def calibration_sample() -> str:
 
 CAL_TEXT = f"""(
   SELECT conv_id,
-    coalesce(arg_min(text, turn) FILTER (WHERE role = 'system'), {lit(_C.PREAMBLE)}) || {lit(_C.TURN_GLUE)} ||
-    coalesce(string_agg(CASE WHEN role = 'assistant' THEN {lit(_C.RESPONSE_HEAD)} ELSE {lit(_C.INSTRUCTION_HEAD)} END
-                        || text, {lit(_C.TURN_GLUE)} ORDER BY turn) FILTER (WHERE role <> 'system'), '') AS text
+    coalesce(arg_min(text, turn) FILTER (WHERE role = 'system'), {lit(K.PREAMBLE)}) || {lit(K.TURN_GLUE)} ||
+    coalesce(string_agg(CASE WHEN role = 'assistant' THEN {lit(K.RESPONSE_HEAD)} ELSE {lit(K.INSTRUCTION_HEAD)} END
+                        || text, {lit(K.TURN_GLUE)} ORDER BY turn) FILTER (WHERE role <> 'system'), '') AS text
   FROM conversations WHERE conv_id IN {SAMPLE} GROUP BY conv_id)"""
 
 
@@ -419,7 +417,7 @@ def vlm_conversation() -> str:
 
 
 def vlm_messages() -> str:
-    instr = f"coalesce(instruction, {lit(_V.DEFAULT_VLM_INSTRUCTION)})"
+    instr = f"coalesce(instruction, {lit(K.DEFAULT_VLM_INSTRUCTION)})"
     return f"""
     SELECT doc_id::BIGINT AS doc_id, 0::BIGINT AS msg_no, 'system' AS role, 0::BIGINT AS part_no,
            'text' AS type, {lit(_Q.VLM_SYSTEM)} AS text, NULL::VARCHAR AS url FROM {VALID}
@@ -434,7 +432,7 @@ def vendor_qa() -> str:
 
 
 def keyed_qa() -> str:
-    return f"""SELECT {lit(_V.VENDOR_SYSTEM_PROMPT)} AS system, instruction AS "user", text AS assistant,
+    return f"""SELECT {lit(K.VENDOR_SYSTEM_PROMPT)} AS system, instruction AS "user", text AS assistant,
                       image_path
                FROM {JOINED} WHERE instruction IS NOT NULL AND text IS NOT NULL"""
 
@@ -482,7 +480,7 @@ def training_json() -> str:
 
 def chat_dataset() -> str:
     seed = FX.EXTENSION_SEED + 1
-    ih, rh, g = _C.INSTRUCTION_HEAD, _C.RESPONSE_HEAD, _C.TURN_GLUE
+    ih, rh, g = K.INSTRUCTION_HEAD, K.RESPONSE_HEAD, K.TURN_GLUE
     return f"""
     WITH rec AS (SELECT source || ':' || chunk_id AS rec_id, question AS q, answer AS a FROM {QA_PAIRS}),
     base AS (SELECT *, row_number() OVER (ORDER BY rec_id) - 1 AS pos FROM rec),
@@ -508,7 +506,7 @@ def image_quarantine() -> str:
 
 
 def keyed_qa_inference() -> str:
-    return f"""SELECT {lit(_V.VENDOR_SYSTEM_PROMPT)} AS system, instruction AS "user", text AS label, image_path
+    return f"""SELECT {lit(K.VENDOR_SYSTEM_PROMPT)} AS system, instruction AS "user", text AS label, image_path
                FROM {JOINED} WHERE instruction IS NOT NULL AND text IS NOT NULL"""
 
 
@@ -535,3 +533,50 @@ def qa_generation_offline() -> str:
     qs = _split_sql("source, chunk_id, chunk", STUB_Q, named)
     return f"""
     SELECT source, chunk_id::BIGINT AS chunk_id, question, {STUB_A} AS answer, chunk FROM {qs}"""
+
+
+# ---------------------------------------------------------------- written and read back
+def pairs_sink_roundtrip() -> str:
+    return """SELECT 'q' || doc_id AS question, substring(text, 1, 40) AS answer, source,
+                     doc_id::BIGINT AS chunk_id, text AS chunk FROM documents"""
+
+
+def sharded_sink_roundtrip() -> str:
+    n = FX.SHARDS
+    return f"""
+    SELECT doc_id, _label, n_chars,
+           'train-' || lpad(CAST(rn // size AS VARCHAR), 5, '0') || '-of-{n:05d}.parquet' AS shard_file
+    FROM (SELECT doc_id, lang AS _label, n_chars, row_number() OVER (ORDER BY doc_id) - 1 AS rn,
+                 CAST(ceil(count(*) OVER () / {n}.0) AS BIGINT) AS size FROM documents)"""
+
+
+def document_files() -> str:
+    return """
+    SELECT name, lower(ext) AS ext, replace(name, '.', '_') AS source, text
+    FROM (SELECT CASE doc_id % 5 WHEN 1 THEN '_' WHEN 2 THEN '.' ELSE '' END || 'd' || doc_id || '.' || ext AS name, ext, text
+          FROM (SELECT *, CASE lang WHEN 'en' THEN 'txt' WHEN 'fr' THEN 'MD' WHEN 'de' THEN 'html' ELSE 'csv' END AS ext FROM documents))
+    WHERE ext <> 'html'"""
+
+
+def image_files_roundtrip() -> str:
+    return """SELECT source || '/' || CASE doc_id % 7 WHEN 1 THEN '_' WHEN 2 THEN '.' ELSE '' END || doc_id || '.png' AS name,
+                     lang AS text, 8 + octet_length(encode(text)) AS n_bytes FROM documents"""
+
+
+def training_json_roundtrip() -> str:
+    return "SELECT lang AS instruction, source AS input, text AS output FROM documents"
+
+
+def manifest_roundtrip() -> str:
+    return "SELECT source || '/' || doc_id AS file_name, lang AS instruction, text FROM documents"
+
+
+ALL_TEXT = CAL_TEXT.replace(f"WHERE conv_id IN {SAMPLE} ", "")
+
+
+def render_all_conversations() -> str:
+    return f"SELECT conv_id, text FROM {ALL_TEXT}"
+
+
+def tokenize_all_conversations() -> str:
+    return calibration_tokens().replace(CAL_TEXT, ALL_TEXT)

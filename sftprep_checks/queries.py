@@ -565,3 +565,125 @@ def qa_generation_offline(spark: SparkSession, sf: str) -> DataFrame:
     arep = cut_lineage(generate_replies(areq, make_client, carry=["request_id"]))
     pairs = offline_pairs(areq, arep)
     return flat(pairs.select("source", "chunk_id", "question", "answer", "chunk"))
+
+
+# ------------------------------------------------------------------ written and read back
+def _folder(spark: SparkSession, name: str) -> str:
+    from sftprep.session import scratch_path
+
+    return scratch_path(spark, name)
+
+
+def _pairs_of_documents(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents")
+    return docs.select(
+        F.concat(F.lit("q"), F.col("doc_id").cast("string")).alias("question"), F.substring("text", 1, 40).alias("answer"),
+        "source", F.col("doc_id").cast("int").alias("chunk_id"), "text",
+    ).withColumnRenamed("text", "chunk")
+
+
+def pairs_sink_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs appended in two runs and read back."""
+    from sftprep.sources.files import read_pairs_or_empty
+    from sftprep.sources.sinks import append_pairs
+
+    pairs, path = _pairs_of_documents(spark, sf), _folder(spark, "pairs")
+    append_pairs(pairs.filter("chunk_id % 2 = 0"), path)
+    append_pairs(pairs.filter("chunk_id % 2 = 1"), path)
+    return flat(read_pairs_or_empty(spark, path))
+
+
+def sharded_sink_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Contiguous shards written and read back; a column named with '_' stays."""
+    from sftprep.sources.sinks import write_sharded_parquet
+
+    path = _folder(spark, "shards")
+    rows = read_table(spark, sf, "documents").select("doc_id", F.col("lang").alias("_label"), "n_chars")
+    write_sharded_parquet(rows, path, "train", FX.SHARDS, ["doc_id"])
+    return flat(spark.read.parquet(path))
+
+
+def document_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents written as files, some with '_' or '.' names, and scanned."""
+    from sftprep.sources.files import scan_documents
+
+    path = _folder(spark, "files")
+    ext = F.when(F.col("lang") == "en", "txt").when(F.col("lang") == "fr", "MD").when(F.col("lang") == "de", "html").otherwise("csv")
+    lead = F.when(F.col("doc_id") % 5 == 1, "_").when(F.col("doc_id") % 5 == 2, ".").otherwise("")
+    docs = read_table(spark, sf, "documents").select(F.concat(lead, F.lit("d"), F.col("doc_id").cast("string"), F.lit("."), ext).alias("name"), "text")
+    write_files(docs.select("name", F.col("text").cast("binary").alias("content")), path)
+    return scan_documents(spark, path).select("name", "ext", "source", "text")
+
+
+def write_files(files: DataFrame, folder: str) -> None:
+    """One file per row (name, content) below ``folder``, written by the tasks through pyarrow."""
+    from sftprep.operators.vlm import _local_or_uri
+
+    sc = files.sparkSession.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).mkdirs(p)
+
+    def write(batches):
+        import pandas as pd
+        from pyarrow import fs as pafs
+
+        target = _local_or_uri(folder)
+        filesystem, inner = pafs.FileSystem.from_uri(target) if "://" in target else (pafs.LocalFileSystem(), target)
+        n = 0
+        for pdf in batches:
+            for name, content in zip(pdf["name"], pdf["content"]):
+                filesystem.create_dir(f"{inner}/{name}".rpartition("/")[0])
+                with filesystem.open_output_stream(f"{inner}/{name}") as f:
+                    f.write(content)
+            n += len(pdf)
+        yield pd.DataFrame({"n": [n]})
+
+    files.mapInPandas(write, "n long").write.format("noop").mode("overwrite").save()
+
+
+def image_files_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Image files in sub-folders, some with hidden names, scanned and joined by name."""
+    from sftprep.sources.files import scan_images
+
+    path = _folder(spark, "images")
+    docs = read_table(spark, sf, "documents")
+    lead = F.when(F.col("doc_id") % 7 == 1, "_").when(F.col("doc_id") % 7 == 2, ".").otherwise("")
+    name = F.concat(F.col("source"), F.lit("/"), lead, F.col("doc_id").cast("string"), F.lit(".png"))
+    files = docs.select(name.alias("name"), F.concat(F.unhex(F.lit("89504E470D0A1A0A")), F.col("text").cast("binary")).alias("content"))
+    write_files(files, path)
+    manifest = docs.select("doc_id", name.alias("file_name"), F.lit(None).cast("string").alias("instruction"), F.col("lang").alias("text"))
+    good, _ = V.split_valid_images(V.join_images(manifest, scan_images(spark, path)))
+    rows = V.image_text_rows(good)
+    relative = F.regexp_extract("image_path", r"/(src[0-9]+/[^/]+)$", 1)
+    return rows.select(relative.alias("name"), "text", F.length(F.col("image.bytes")).cast("long").alias("n_bytes"))
+
+
+def training_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Training records written as JSON lines and read back."""
+    from sftprep.sources.files import load_training_dataset
+    from sftprep.sources.sinks import write_training_json
+
+    path = _folder(spark, "training")
+    write_training_json(read_table(spark, sf, "documents").select(F.col("lang").alias("instruction"), F.col("source").alias("input"), F.col("text").alias("output")), path)
+    return load_training_dataset(spark, dataset_path=path)
+
+
+def manifest_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """A manifest written as JSON lines and read back."""
+    from sftprep.sources.files import read_manifest
+
+    path = _folder(spark, "manifest")
+    rows = read_table(spark, sf, "documents").select(F.concat("source", F.lit("/"), F.col("doc_id").cast("string")).alias("file_name"), F.col("lang").alias("instruction"), "text")
+    rows.write.json(path)
+    return read_manifest(spark, path)
+
+
+def render_all_conversations(spark: SparkSession, sf: str) -> DataFrame:
+    """P18 over every conversation."""
+    return C.render_conversations(read_table(spark, sf, "conversations"), "conv_id", "turn", content="text")
+
+
+def tokenize_all_conversations(spark: SparkSession, sf: str) -> DataFrame:
+    """P19 over every conversation."""
+    toks = whitespace_tokens(F.col("text"), FX.CALIBRATION_MAX_TOKENS)
+    return render_all_conversations(spark, sf).select("conv_id", F.size(toks).cast("long").alias("n_tokens"), F.array_join(toks, " ").alias("tokens"))

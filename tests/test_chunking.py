@@ -1,7 +1,5 @@
 """C1/C2 golden cases, invariants and Spark-vs-Python equality."""
 
-import random
-
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -60,39 +58,6 @@ def test_effective_separators_default():
     assert effective_separators(PLAIN_SEPARATORS) == ["。", "，", "！", "？", "；", "：", " ", "\n\n", "\n"]
 
 
-def _naive_plain(text, size, overlap, seps):
-    """Brute-force restatement of C1 with every separator tried (no pruning)."""
-    if size == 0 or len(text) <= size:
-        return [(0, len(text))]
-    out, s = [], 0
-    while s < len(text):
-        e = min(s + size, len(text))
-        if e < len(text):
-            for sep in seps:
-                p = text.rfind(sep, s, e)
-                if p != -1 and p > s + size // 4:
-                    e = p + len(sep)
-                    break
-        out.append((s, e))
-        nxt = e - overlap
-        if nxt >= len(text):
-            break
-        s = e if e - s <= overlap else nxt
-    return out
-
-
-@settings(max_examples=300, deadline=None)
-@given(
-    st.lists(st.sampled_from(list("ab .,;?!\n。，") + ["\n\n"]), max_size=300).map("".join),
-    st.integers(min_value=1, max_value=40),
-    st.integers(min_value=0, max_value=45),
-    st.lists(st.sampled_from([" ", "\n", ". ", ", ", "a", "ab", "。", "\n\n", "b "]), max_size=6),
-)
-def test_plain_pruning_is_exact(text, size, overlap, seps):
-    seps = seps or list(PLAIN_SEPARATORS)
-    assert plain_bounds(text, size, overlap, seps) == _naive_plain(text, size, overlap, seps)
-
-
 @settings(max_examples=200, deadline=None)
 @given(
     st.lists(st.sampled_from(list("ab .?!:;|+-`\n") + ["```", "| x |", "\n\n"]), max_size=300).map("".join),
@@ -154,15 +119,6 @@ def test_negative_parameters_rejected(spark):
         chunk_documents(df, keep=["id"], chunk_size=-1, overlap=0)
 
 
-def test_random_long_texts_match_naive():
-    rng = random.Random(7)
-    words = ["alpha", "beta", "。", "，", "gamma.", "delta?", "\n", "\n\n", "x" * 30]
-    for _ in range(50):
-        text = " ".join(rng.choice(words) for _ in range(rng.randint(0, 600)))
-        size, overlap = rng.randint(50, 400), rng.randint(0, 120)
-        assert plain_bounds(text, size, overlap) == _naive_plain(text, size, overlap, PLAIN_SEPARATORS)
-
-
 def test_markdown_injected_count_matches_fixture(spark):
     """FIXTURES §3: fence + table injected mid-text into every fifth document -> 3,877 chunks."""
     docs = read_table(spark, SF01, "documents")

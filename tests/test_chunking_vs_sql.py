@@ -6,7 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from sftprep_checks.fixtures import PLAIN_SEPS
+from sftprep_checks.fixed import PLAIN_SEPARATORS
 from sftprep_checks.oracles import markdown_chunks_sql, plain_chunks_sql
 from sftprep.operators.chunking import markdown_bounds, plain_bounds
 
@@ -44,6 +44,19 @@ def test_markdown_matches_sql(size, overlap):
 @pytest.mark.parametrize("size,overlap", [(40, 8), (64, 0), (25, 30), (100, 20)])
 def test_plain_matches_sql(size, overlap):
     texts = _texts(250, size * 11 + overlap)
-    sql = _sql_bounds(plain_chunks_sql, texts, size, overlap, PLAIN_SEPS)
+    sql = _sql_bounds(plain_chunks_sql, texts, size, overlap, PLAIN_SEPARATORS)
     for doc_id, text in texts:
         assert plain_bounds(text, size, overlap) == sql[doc_id], (doc_id, text)
+
+
+@pytest.mark.parametrize("seps", [[" ", "\n", ". ", "a", "ab"], ["b ", "word", "\n\n"], ["x" * 3, ", ", " "]])
+def test_custom_separators_match_sql(seps):
+    """Dropping separators that cannot win changes no result: the SQL tries every one."""
+    texts = _texts(150, len(seps))
+    sql = _sql_bounds(plain_chunks_sql, texts, 30, 6, seps)
+    for doc_id, text in texts:
+        assert plain_bounds(text, 30, 6, seps) == sql[doc_id], (doc_id, text)
+
+
+def test_empty_separator_stops_the_search():
+    assert plain_bounds("aa bb cc dd", 6, 0, ["", " "]) == [(0, 6), (6, 11)]
