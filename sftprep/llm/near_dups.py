@@ -2,8 +2,8 @@
 
 A document's set is its distinct word shingles, as 64-bit hashes.  SIGNATURE
 minhashes, cut to 16 bits, form its signature: similar sets differ in few
-positions.  The signature is split into CHUNKS of WIDTH positions.  Two
-signatures that differ in fewer than ``CHUNKS * 2`` positions agree in some
+positions.  INDEXED of them are split into CHUNKS of WIDTH positions.  Two
+of these that differ in fewer than ``CHUNKS * 2`` positions agree in some
 chunk up to one position (pigeonhole), so every chunk is filed once for each
 position that may be wrong, with that position left out: all pairs below that
 distance share a key.  At similarity 0.8 a pair beyond it still shares a key
@@ -37,9 +37,11 @@ from pyspark.sql import functions as F
 from sftprep.llm.common import WordHashes, column, list_array, mixed, ship, stored, table, utf8_values
 
 CHUNKS, WIDTH = 12, 5
-SIGNATURE = CHUNKS * WIDTH
-#: signature positions that a pair of at least 80 % similarity may differ in: 12 expected, 5.8 deviations above
-MAX_DISTANCE = 30
+INDEXED = CHUNKS * WIDTH
+#: all positions: those of the index, and more that only sharpen the distance of candidates
+SIGNATURE = 128
+#: signature positions that a pair of at least 80 % similarity may differ in: 26 expected, 5 deviations above
+MAX_DISTANCE = 49
 #: rows of a key that are compared at once, and shingles that one task compares at once
 BLOCK = 512
 WEIGHT = 1_000_000
@@ -72,9 +74,9 @@ def signature(items: np.ndarray) -> np.ndarray:
 
 
 def keys_of(signatures: np.ndarray) -> np.ndarray:
-    """The CHUNKS * WIDTH keys of each signature: a chunk without one of its positions."""
+    """The INDEXED keys of each signature: a chunk without one of its positions."""
     n = len(signatures)
-    chunks = signatures.reshape(n, CHUNKS, WIDTH).astype(np.uint64)
+    chunks = signatures[:, :INDEXED].reshape(n, CHUNKS, WIDTH).astype(np.uint64)
     out = np.empty((n, CHUNKS, WIDTH), dtype=np.uint64)
     for j in range(WIDTH):
         packed = np.zeros((n, CHUNKS), dtype=np.uint64)
@@ -82,7 +84,7 @@ def keys_of(signatures: np.ndarray) -> np.ndarray:
             if k != j:
                 packed = packed << np.uint64(16) | chunks[:, :, k]
         out[:, :, j] = mixed(packed ^ TAGS[None, :, j])
-    return out.reshape(n, SIGNATURE).view(np.int64)
+    return out.reshape(n, INDEXED).view(np.int64)
 
 
 def fingerprints(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
@@ -137,7 +139,7 @@ def filed(nodes: DataFrame) -> DataFrame:
             ids = column(batch, "id").to_numpy(zero_copy_only=False)
             for i in range(0, len(ids), 2_000):
                 keys = keys_of(matrix(column(batch, "sig").slice(i, 2_000)))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(ids[i : i + 2_000], SIGNATURE))], names=["key", "id"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(ids[i : i + 2_000], INDEXED))], names=["key", "id"])
 
     return nodes.select("id", "sig").mapInArrow(rows, "key long, id long")
 
@@ -277,7 +279,7 @@ def crossing(shared: DataFrame, comps: DataFrame, nodes: DataFrame) -> DataFrame
                 p, q = np.nonzero(close)
                 if not p.size:
                     continue
-                errors = differ[p, q].reshape(-1, CHUNKS, WIDTH)
+                errors = differ[p, q][:, :INDEXED].reshape(-1, CHUNKS, WIDTH)
                 shares = errors.sum(2) <= 1
                 chunk = shares.argmax(1)
                 first = chunk * WIDTH + errors[np.arange(len(p)), chunk].argmax(1)
