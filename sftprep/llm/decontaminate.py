@@ -20,15 +20,15 @@ What reaches the driver grows with the benchmark, not with the corpus: its
 words' counts and SPACE-sized matrices.  Benchmarks beyond GROUP spaces take
 further scans.
 
-Defined results: null or empty texts and items match nothing; an item whose
-words are all too common to weigh anything matches nothing; repeated rows give
-repeated pairs; an empty table on either side gives no rows; other columns are
+Defined results: null or empty texts and items match nothing; an item made only
+of words that most pieces and passages share matches nothing; rows that
+share a doc_id give one pair, the best; an empty table on either side gives no rows; other columns are
 not read.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -42,7 +42,9 @@ from sftprep.llm.common import column, ship, stored, table
 PIECE, WINDOW, STRIDE = 40, 80, 40
 SPACE, RANK = 128, 144
 GROUP = 8
-MAX_FREQUENCY = 0.02
+#: a word weighs nothing if it is in more than this share of all passages and of a space's pieces (and in 3)
+MAX_FREQUENCY, MAX_SHARE = 0.02, 0.1
+MIN_WEIGHT = 0.5
 MIN_COSINE = 0.35
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.6, 0.8
 PUNCTUATION = b".,;:!?\"'()[]{}<>|#*$%&=+-_/\\@~`^"
@@ -71,8 +73,11 @@ class Space:
     def weigh(self, seen: dict[bytes, int], passages: int) -> None:
         n = passages + len(self.pieces)
         df = np.array([seen.get(w, 0) + 1 for w in self.at], dtype=float)
-        idf = np.log((1 + n) / df)
-        self.idf = np.where(df > max(MAX_FREQUENCY * n, 2 * len(self.pieces)), 0, idf).astype(np.float32)
+        idf = np.maximum(np.log((1 + n) / df), MIN_WEIGHT)
+        held = Counter(w for _, words in self.pieces for w in set(words))
+        # a word of few pieces keeps its weight however often the corpus has it: its item may have leaked widely
+        common = np.array([held[w] >= max(3, MAX_SHARE * len(self.pieces)) for w in self.at])
+        self.idf = np.where((df > MAX_FREQUENCY * n) & common, 0, idf).astype(np.float32)
         self.at = {w: k for w, k in self.at.items() if self.idf[k] > 0}
         rows = np.zeros((len(self.pieces), len(self.idf)), dtype=np.float32)
         for r, (_, words) in enumerate(self.pieces):
@@ -190,7 +195,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
         found = _search(rows, part, own, benchmark.schema[item].dataType.simpleString())
         out = found if out is None else out.union(found)
     best = F.max(F.struct("lcs", "cosine", "answer_share"))
-    out = out.groupBy("k", "item").agg(best.alias("b")) if len(pieces) > SPACE * GROUP else out.select("k", "item", F.struct("lcs", "cosine", "answer_share").alias("b"))
+    out = out.groupBy("k", "item").agg(best.alias("b"))
     kind = F.when(F.col("b.lcs") >= VERBATIM, "verbatim").otherwise("paraphrase")
     return out.select(F.col("k").alias(key), F.col("item").alias(item), "b.cosine", "b.lcs", "b.answer_share", kind.alias("kind"))
 

@@ -37,6 +37,12 @@ def test_paraphrase_needs_the_answer(spark, bench):
     assert (1, 1, "verbatim") in out and any(d == 2 for d, _, _ in out) and not any(d in (3, 4) for d, _, _ in out)
 
 
+def test_an_item_that_a_third_of_all_rows_hold(spark, bench):
+    rows = [(k, f"{filler(k)} {ITEM} {filler(k + 500)}" if k % 3 == 0 else f"{filler(k)} {filler(k + 500)}") for k in range(60)]
+    out = M.leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert sorted((r.doc_id, r.item_id) for r in out) == [(k, 1) for k in range(0, 60, 3)]
+
+
 def test_lcs_equals_the_table():
     def table(a, b):
         row = [0] * (len(b) + 1)
