@@ -34,8 +34,6 @@ from pyspark.sql import functions as F
 from sftprep.llm.common import column, list_array, ship, table
 
 VOCABULARY = "word_bpe_49k.json"
-#: the pre-tokenizer's pattern (fixed value of the file format)
-PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 NONE = np.int32(2**31 - 1)
 #: bytes that UTF-8 never has: the end of a pre-tokenizer piece, the end of a word
 END, WORD = b"\xff", b"\xfe"
@@ -66,11 +64,19 @@ def byte_alphabet() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+def common_pieces() -> re.Pattern:
+    """The pre-tokenizer's pattern, or a space, with the classes of the lower-cased common letters spelled out."""
+    import regex
+
+    lowered = sorted({c for i in range(0x250) for c in chr(i).lower()})
+    letters, numbers = ("".join(c for c in lowered if regex.match(rf"\p{{{kind}}}", c)) for kind in "LN")
+    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{SPACES}{letters}{numbers}]+| ")
+
+
 class Vocabulary:
     """Tables built once per worker from the bytes of a tokenizer file."""
 
     def __init__(self, raw: bytes):
-        import regex
         from tokenizers import Tokenizer
 
         spec = json.loads(raw)
@@ -79,7 +85,7 @@ class Vocabulary:
         self.end = model["end_of_word_suffix"]
         self.ids = dict(model["vocab"])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.pieces = regex.compile(PIECES + "| ")
+        self.pieces = common_pieces()
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         size = max([*self.ids.values(), *self.special.values()]) + 1
         self.kind = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
@@ -250,9 +256,10 @@ class Vocabulary:
         fragments = [plain[x:y] for x, y in zip([0, *stops[:-1]], stops)]
         self._learn_fragments(set(fragments) - self.fragments.keys())
         ids = list(map(self.fragments.__getitem__, fragments))
-        upto = np.searchsorted(bounds, word_ends, side="right").tolist()
-        for w, x, y in zip([*common, *rare], [0, *upto[:-1]], upto):
-            self.words[w] = ids[x] if y == x + 1 else b"".join(ids[x:y])
+        joined = b"".join(ids)
+        ends = np.cumsum(np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)))
+        upto = ends[np.searchsorted(bounds, word_ends, side="right") - 1].tolist()
+        self.words.update(zip([*common, *rare], [joined[x:y] for x, y in zip([0, *upto[:-1]], upto)]))
 
     def _plain(self, segments: list[str]) -> list[bytes]:
         split = [WORDS.findall(s) if SEPARATORS.search(s) else s.split() for s in segments]
