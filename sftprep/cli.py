@@ -76,8 +76,13 @@ def cmd_chat_dataset(spark, args) -> None:
 
 
 def cmd_vlm_dataset(spark, args) -> None:
-    from sftprep.plans.vlm_dataset import prepare_vlm_dataset
+    from sftprep.plans.vlm_dataset import prepare_vlm_dataset, vlm_dataset_from_table
 
+    if args.table:
+        vlm_dataset_from_table(spark.table(args.table)).write.mode("overwrite").parquet(args.output)
+        return
+    if not args.manifest:
+        raise SystemExit("vlm-dataset needs --manifest or --table")
     conv, bad = prepare_vlm_dataset(spark, args.manifest, args.image_dir)
     conv.write.mode("overwrite").parquet(args.output)
     bad.drop("content").write.mode("overwrite").parquet(args.output.rstrip("/") + "_rejected")
@@ -99,7 +104,8 @@ def cmd_calibration(spark, args) -> None:
 
     msgs = spark.read.parquet(args.input)
     calibration_set(msgs, num_samples=args.samples, seed=args.seed, max_tokens=args.max_tokens,
-                    key=args.key, order=args.order, role=args.role, content=args.content
+                    key=args.key, order=args.order, role=args.role, content=args.content,
+                    messages_col=args.messages_col,
                     ).write.mode("overwrite").parquet(args.output)
 
 
@@ -138,7 +144,8 @@ def parser() -> argparse.ArgumentParser:
     c.set_defaults(run=cmd_chat_dataset)
 
     v = sub.add_parser("vlm-dataset")
-    v.add_argument("--manifest", required=True)
+    v.add_argument("--manifest")
+    v.add_argument("--table", help="catalog table with image, text and optionally instruction")
     v.add_argument("--image-dir", default=None)
     v.add_argument("--output", required=True)
     v.set_defaults(run=cmd_vlm_dataset)
@@ -158,6 +165,7 @@ def parser() -> argparse.ArgumentParser:
     k.add_argument("--max-tokens", type=int, default=2048)
     k.add_argument("--key", default="conv_id")
     k.add_argument("--order", default="turn")
+    k.add_argument("--messages-col", default=None, help="one row per conversation: its array of role/content")
     k.add_argument("--role", default="role")
     k.add_argument("--content", default="text")
     k.set_defaults(run=cmd_calibration)

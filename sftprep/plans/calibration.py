@@ -24,10 +24,12 @@ def calibration_set(
     max_tokens: int = 2048,
     tokens=None,
     renderer_factory=None,
+    messages_col: str | None = None,
 ) -> DataFrame:
     """``tokens`` per sampled conversation; all other columns dropped.
 
-    ``messages`` is one row per message.  ``tokens`` may be a function
+    ``messages`` is one row per message, or with ``messages_col`` one row per
+    conversation whose messages are that ``ARRAY<STRUCT<role, content>>``.  ``tokens`` may be a function
     Column -> Column (e.g. ``subword_token_ids`` bound to a tokenizer);
     whitespace tokens are the default.  The N sampled ids are broadcast, a
     bound fixed by ``num_samples``.  ``renderer_factory`` plugs in a
@@ -36,7 +38,11 @@ def calibration_set(
     """
     ids = seeded_sample(messages.select(key), num_samples, key, seed, distinct=True)
     sampled = messages.join(F.broadcast(ids), key, "left_semi")
-    if renderer_factory is None:
+    if messages_col:
+        listed = F.col(messages_col)
+        rendered = C.render_with(listed, renderer_factory) if renderer_factory else C.render_chat(listed)
+        text = sampled.select(key, rendered.alias("text"))
+    elif renderer_factory is None:
         text = C.render_conversations(sampled, key, order, role=role, content=content)
     else:  # a user template needs the whole (sampled) conversation as one list
         msgs = C.assemble_messages(sampled, key, order, role=role, content=content)

@@ -50,6 +50,18 @@ def prepare_vlm_dataset(
     return V.vlm_conversation(converted, system_prompt), bad
 
 
+def vlm_dataset_from_table(rows: DataFrame, system_prompt: str = V.DEFAULT_VLM_INSTRUCTION) -> DataFrame:
+    """Conversations of a ready table (``image STRUCT<bytes, path>, text``, e.g. a catalog table).
+
+    A table with an ``instruction`` column asks each row's own instruction;
+    without one every row gets ``system_prompt``.  All columns are kept.
+    """
+    missing = [c for c in ("image", "text") if c not in rows.columns]
+    if missing:
+        raise ValueError(f"the table has no column {', '.join(missing)}")
+    return V.vlm_conversation(rows, system_prompt)
+
+
 def create_vendor_dataset(
     spark: SparkSession,
     dataset_dir: str,

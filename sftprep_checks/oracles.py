@@ -580,3 +580,11 @@ def render_all_conversations() -> str:
 
 def tokenize_all_conversations() -> str:
     return calibration_tokens().replace(CAL_TEXT, ALL_TEXT)
+
+
+def vlm_from_table() -> str:
+    return f"""SELECT doc_id, instruction, image_path, n_bytes::BIGINT AS n_bytes, text AS answer FROM {VALID}"""
+
+
+def calibration_messages_array() -> str:
+    return f"SELECT n_tokens, tokens FROM ({calibration_tokens()})"

@@ -687,3 +687,29 @@ def tokenize_all_conversations(spark: SparkSession, sf: str) -> DataFrame:
     """P19 over every conversation."""
     toks = whitespace_tokens(F.col("text"), FX.CALIBRATION_MAX_TOKENS)
     return render_all_conversations(spark, sf).select("conv_id", F.size(toks).cast("long").alias("n_tokens"), F.array_join(toks, " ").alias("tokens"))
+
+
+def vlm_from_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Program C on a saved table whose rows carry their own instruction."""
+    from sftprep.plans.vlm_dataset import vlm_dataset_from_table
+    from sftprep.sources.sinks import save_and_reload
+
+    rows = _valid_images(spark, sf).select(
+        "doc_id", "instruction", "text", V.image_struct(F.col("content"), F.col("image_path")).alias("image")
+    )
+    conv = vlm_dataset_from_table(save_and_reload(rows, _folder(spark, "vlm-table")))
+    m = F.col("messages")
+    return conv.select(
+        "doc_id", m[0]["content"][0]["text"].alias("instruction"), m[0]["content"][1]["image"]["path"].alias("image_path"),
+        F.length(m[0]["content"][1]["image"]["bytes"]).cast("long").alias("n_bytes"), m[1]["content"][0]["text"].alias("answer"),
+    )
+
+
+def calibration_messages_array(spark: SparkSession, sf: str) -> DataFrame:
+    """Program D on one row per conversation with a messages array: the sampled token lists."""
+    from sftprep.plans.calibration import calibration_set
+
+    talks = C.assemble_messages(read_table(spark, sf, "conversations"), "conv_id", "turn", content="text")
+    toks = calibration_set(talks, num_samples=FX.CALIBRATION_N, seed=FX.CALIBRATION_SEED,
+                           max_tokens=FX.CALIBRATION_MAX_TOKENS, messages_col="messages")
+    return toks.select(F.size("tokens").cast("long").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
