@@ -24,9 +24,11 @@ from pyspark.sql import types as T
 from sftprep.functions.prompts import question_prompt
 from sftprep.operators.chunking import chunk_documents
 from sftprep.operators.resume import skip_done_chunks
-from sftprep.sources.files import read_pairs_or_empty
+from sftprep.sources.files import TEXT_EXTENSIONS, base_name, extension, read_pairs_or_empty, source_id
 from sftprep.session import ensure_library_on_workers, scratch_path
 
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
 
 def _source(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None) -> DataFrame:
     reader = spark.readStream.schema(schema)
@@ -38,6 +40,19 @@ def _source(spark: SparkSession, path: str, schema: T.StructType, max_files: int
     return reader.parquet(path)
 
 
+def _documents(spark: SparkSession, path: str, max_files: int | None) -> DataFrame:
+    """S1/S2 as a stream: ``source, text`` of the text documents that arrive in a folder.
+
+    Spark's file stream leaves out names that begin with '_' or '.'.
+    """
+    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    name = base_name(F.col("path"))
+    files = reader.load(path).filter(extension(name).isin(*TEXT_EXTENSIONS))
+    return files.select(source_id(F.col("path")).alias("source"), F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
+
+
 def _existing(spark: SparkSession, sink: str) -> DataFrame | None:
     try:
         return spark.read.parquet(sink)
@@ -53,7 +68,7 @@ def _checkpoint_id(spark: SparkSession, checkpoint_path: str) -> str:
 def run_incremental(
     spark: SparkSession,
     source_path: str,
-    schema: T.StructType,
+    schema: T.StructType | None,
     sink_path: str,
     checkpoint_path: str,
     key_col: str = "doc_id",
@@ -75,9 +90,15 @@ def run_incremental(
     when ``generate_num`` is given) to ``sink_path`` as Parquet.  With
     ``resume_from`` (a QA-pair sink, ``source`` = the key as text) chunks that
     already have ``resume_generate_num`` pairs are skipped inside each batch (J1).
+    Without a ``schema`` the folder holds document files, keyed by ``source``.
     """
+    if schema is None:
+        key_col, text_col = "source", "text"
     ensure_library_on_workers(spark)  # foreachBatch runs on another thread
-    stream = _source(spark, source_path, schema, max_files_per_trigger).select(key_col, text_col)
+    if schema is None:
+        stream = _documents(spark, source_path, max_files_per_trigger)
+    else:
+        stream = _source(spark, source_path, schema, max_files_per_trigger).select(key_col, text_col)
 
     def batch(df: DataFrame, epoch_id: int) -> None:
         if num_partitions:
@@ -87,7 +108,8 @@ def run_incremental(
         if resume_from:
             pairs = read_pairs_or_empty(df.sparkSession, resume_from, resume_format)
             keyed = ch.withColumn("source", F.col(key_col).cast("string"))
-            ch = skip_done_chunks(keyed, pairs, resume_generate_num).drop("source")
+            ch = skip_done_chunks(keyed, pairs, resume_generate_num)
+            ch = ch if key_col == "source" else ch.drop("source")
         if generate_num is not None:
             ch = ch.withColumn("prompt", question_prompt(F.col("chunk"), generate_num))
         run_id = _checkpoint_id(df.sparkSession, checkpoint_path)

@@ -588,3 +588,14 @@ def vlm_from_table() -> str:
 
 def calibration_messages_array() -> str:
     return f"SELECT n_tokens, tokens FROM ({calibration_tokens()})"
+
+
+def incremental_documents() -> str:
+    inner = plain_chunks_sql(
+        "SELECT 'd_' || doc_id || CASE lang WHEN 'en' THEN '_txt' ELSE '_MD' END AS doc_id, text FROM documents",
+        FX.CHUNK_SIZE, FX.CHUNK_OVERLAP, K.PLAIN_SEPS,
+    )
+    return f"""
+    SELECT doc_id AS source, chunk_id::BIGINT AS chunk_id, s::BIGINT AS chunk_start, e::BIGINT AS chunk_end,
+           substring(text, s + 1, e - s) AS chunk
+    FROM ({inner})"""

@@ -713,3 +713,19 @@ def calibration_messages_array(spark: SparkSession, sf: str) -> DataFrame:
     toks = calibration_set(talks, num_samples=FX.CALIBRATION_N, seed=FX.CALIBRATION_SEED,
                            max_tokens=FX.CALIBRATION_MAX_TOKENS, messages_col="messages")
     return toks.select(F.size("tokens").cast("long").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
+
+
+def incremental_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """T1 over document files: the chunks of every text file that arrived in a folder."""
+    import os
+
+    from sftprep.streaming.incremental import run_incremental
+
+    base = _folder(spark, "incremental-files")
+    name = F.concat(F.lit("d."), F.col("doc_id").cast("string"), F.when(F.col("lang") == "en", ".txt").otherwise(".MD"))
+    docs = read_table(spark, sf, "documents")
+    write_files(docs.select(name.alias("name"), F.col("text").cast("binary").alias("content")), os.path.join(base, "in"))
+    sink = os.path.join(base, "sink")
+    run_incremental(spark, os.path.join(base, "in"), None, sink, os.path.join(base, "checkpoint"),
+                    chunk_size=FX.CHUNK_SIZE, overlap=FX.CHUNK_OVERLAP)
+    return flat(spark.read.parquet(sink).select("source", "chunk_id", "chunk_start", "chunk_end", "chunk"))
