@@ -43,7 +43,7 @@ PIECE, WINDOW, STRIDE = 40, 80, 40
 SPACE, RANK = 128, 144
 GROUP = 8
 #: a word weighs nothing if it is in more than this share of all passages and of a space's pieces (and in 3)
-MAX_FREQUENCY, MAX_SHARE = 0.02, 0.1
+MAX_FREQUENCY, MAX_SHARE = 0.02, 0.02
 MIN_WEIGHT = 0.5
 MIN_COSINE = 0.35
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.6, 0.8
@@ -68,7 +68,7 @@ class Space:
         self.items = np.array([i for i, _ in pieces])
         self.at = {w: k for k, w in enumerate(names)}
         self.pieces = pieces
-        self.idf = self.basis = self.latent = None
+        self.idf = self.basis = self.latent = self.own = None
 
     def weigh(self, seen: dict[bytes, int], passages: int) -> None:
         n = passages + len(self.pieces)
@@ -98,20 +98,27 @@ class Space:
         self.rows = None
 
 
-def passage_rows(space: Space, docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The space's words in the passages of some documents.
+def places_of(at: dict[bytes, int], docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, position and number of every word of some documents that ``at`` knows."""
+    places, found, owner = [], [], []
+    for d, words in enumerate(docs):
+        ids = np.fromiter(map(at.get, words, repeat(-1)), dtype=np.int32, count=len(words))
+        here = np.flatnonzero(ids >= 0)
+        places.append(here)
+        found.append(ids[here])
+        owner.append(np.full(len(here), d))
+    return tuple(np.concatenate(x) if x else np.empty(0, np.int64) for x in (owner, places, found))
+
+
+def passage_rows(space: Space, owner: np.ndarray, at: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The space's words in the passages of some documents, from the places of all known words.
 
     Returns, by passage: its document, its first word, where its entries start;
     and by entry: the word and its weight, scaled to unit length by passage.
     """
-    places, found, owner = [], [], []
-    for d, words in enumerate(docs):
-        ids = np.fromiter(map(space.at.get, words, repeat(-1)), dtype=np.int32, count=len(words))
-        at = np.flatnonzero(ids >= 0)
-        places.append(at)
-        found.append(ids[at])
-        owner.append(np.full(len(at), d))
-    at, ids, owner = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (places, found, owner))
+    ids = space.own[ids]
+    here = ids >= 0
+    owner, at, ids = owner[here], at[here], ids[here]
     step = at // STRIDE  # a word lies in the passage that starts at its step, and in the one before
     back = step > 0
     window = np.concatenate([step, step[back] - 1])
@@ -231,6 +238,10 @@ def _search(rows: DataFrame, pieces: list, items: dict, item_kind: str) -> DataF
     seen = {w: counts.get(k, 0) for w, k in known.value.items()}
     for s in spaces:
         s.weigh(seen, passages)
+    weighty = list(dict.fromkeys(w for s in spaces for w in s.at))
+    for s in spaces:
+        s.own = np.array([s.at.get(w, -1) for w in weighty], dtype=np.int32)
+    numbers = spark.sparkContext.broadcast({w: k for k, w in enumerate(weighty)})
     weighed = spark.sparkContext.broadcast(spaces)
 
     def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,8 +250,9 @@ def _search(rows: DataFrame, pieces: list, items: dict, item_kind: str) -> DataF
         sums = [np.zeros(r.shape, dtype=np.float32) for r in randoms]
         for batch in batches:
             for _, docs in grouped(column(batch, "t")):
+                places = places_of(numbers.value, docs)
                 for s, r, total in zip(spaces, randoms, sums):
-                    _, _, starts, ids, weight = passage_rows(s, docs)
+                    _, _, starts, ids, weight = passage_rows(s, *places)
                     for a in range(0, len(starts), 20_000):
                         cut = starts[a : a + 20_000]
                         stop = starts[a + 20_000] if a + 20_000 < len(starts) else len(ids)
@@ -291,8 +303,9 @@ def _search(rows: DataFrame, pieces: list, items: dict, item_kind: str) -> DataF
             keys = column(batch, "k")
             for first, docs in grouped(column(batch, "t")):
                 best: dict[tuple[int, int], tuple] = {}
+                places = places_of(numbers.value, docs)
                 for s in spaces:
-                    owner, begin, starts, ids, weight = passage_rows(s, docs)
+                    owner, begin, starts, ids, weight = passage_rows(s, *places)
                     for a in range(0, len(starts), 8_000):
                         cut = starts[a : a + 8_000]
                         stop = starts[a + 8_000] if a + 8_000 < len(starts) else len(ids)
