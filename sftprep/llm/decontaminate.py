@@ -4,10 +4,10 @@ Benchmark items are cut into pieces of at most PIECE words, documents into
 passages of WINDOW words every STRIDE words.  Pieces and passages are TF-IDF
 vectors over the benchmark's words; document frequencies are counted over the
 passages of all documents.  A distributed randomised SVD finds the latent
-space: every task adds up its share of A'(A R) for a fixed random R, the shares
-are summed by word, and the orthonormal basis of the sum spans the space.
-Benchmark rows are part of A, weighted so that their span is always kept; SPACE
-pieces share a space that has more dimensions than pieces.  All passages of all
+space: every task adds up its share of A'(A R) for a fixed random R of RANDOM
+columns, and the shares are summed by word.  The left singular vectors of that
+sum beside the weighted benchmark rows span the space: the benchmark's own span
+and the corpus's strongest directions, for SPACE pieces each.  All passages of all
 documents are compared with all pieces by cosine, in blocks, inside the scan.
 
 Each candidate is then checked on the words themselves: the longest common
@@ -20,15 +20,15 @@ What reaches the driver grows with the benchmark, not with the corpus: its
 words' counts and SPACE-sized matrices.  Benchmarks beyond GROUP spaces take
 further scans.
 
-Defined results: null or empty texts and items match nothing; an item made only
-of words that most pieces and passages share matches nothing; rows that
+Defined results: null or empty texts and items match nothing; an item without
+words matches nothing; rows that
 share a doc_id give one pair, the best; an empty table on either side gives no rows; other columns are
 not read.
 """
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -40,10 +40,12 @@ from pyspark.sql import functions as F
 from sftprep.llm.common import column, ship, stored, table
 
 PIECE, WINDOW, STRIDE = 40, 80, 40
-SPACE, RANK = 128, 144
+SPACE, RANDOM = 128, 24
 GROUP = 8
-#: a word weighs nothing if it is in more than this share of all passages and of a space's pieces (and in 3)
-MAX_FREQUENCY, MAX_SHARE = 0.02, 0.02
+#: a word weighs nothing if it is in more than this share of all passages ...
+MAX_FREQUENCY = 0.02
+#: ... and in LEAKED times more of them than the rarest words (this quantile) of each piece that has it
+LEAKED, RAREST = 3, 0.2
 MIN_WEIGHT = 0.5
 MIN_COSINE = 0.35
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.6, 0.8
@@ -74,10 +76,12 @@ class Space:
         n = passages + len(self.pieces)
         df = np.array([seen.get(w, 0) + 1 for w in self.at], dtype=float)
         idf = np.maximum(np.log((1 + n) / df), MIN_WEIGHT)
-        held = Counter(w for _, words in self.pieces for w in set(words))
-        # a word of few pieces keeps its weight however often the corpus has it: its item may have leaked widely
-        common = np.array([held[w] >= max(3, MAX_SHARE * len(self.pieces)) for w in self.at])
-        self.idf = np.where((df > MAX_FREQUENCY * n) & common, 0, idf).astype(np.float32)
+        # where a piece's rarest words are frequent too, it has leaked widely: its words keep their weight
+        allowed = np.full(len(df), MAX_FREQUENCY * n)
+        for _, words in self.pieces:
+            at = [self.at[w] for w in set(words)]
+            allowed[at] = np.maximum(allowed[at], LEAKED * np.quantile(df[at], RAREST))
+        self.idf = np.where(df > allowed, 0, idf).astype(np.float32)
         self.at = {w: k for w, k in self.at.items() if self.idf[k] > 0}
         rows = np.zeros((len(self.pieces), len(self.idf)), dtype=np.float32)
         for r, (_, words) in enumerate(self.pieces):
@@ -87,11 +91,12 @@ class Space:
         self.rows = rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
 
     def random(self) -> np.ndarray:
-        return np.random.default_rng(len(self.idf)).standard_normal((len(self.idf), RANK)).astype(np.float32)
+        return np.random.default_rng(len(self.idf)).standard_normal((len(self.idf), RANDOM)).astype(np.float32)
 
     def solve(self, share: np.ndarray, passages: int) -> None:
-        """The basis from the corpus share of A'(A R) and the weighted benchmark rows."""
-        total = share + max(1, passages) * (self.rows.T.astype(float) @ (self.rows @ self.random()))
+        """The basis of the weighted benchmark rows and the corpus share of A'(A R)."""
+        scale = np.sqrt(max(1, passages))
+        total = np.concatenate([scale * self.rows.T.astype(float), share / scale], 1)
         u, s, _ = np.linalg.svd(total, full_matrices=False)
         self.basis = u[:, s > s[0] * 1e-12].astype(np.float32) if s.size and s[0] > 0 else np.zeros((len(self.idf), 1), np.float32)
         self.latent = self.rows @ self.basis
@@ -266,7 +271,7 @@ def _search(rows: DataFrame, pieces: list, items: dict, item_kind: str) -> DataF
             held = np.flatnonzero(total.any(1))
             for a in range(0, len(held), 2_000):
                 part = held[a : a + 2_000]
-                lists = pa.FixedSizeListArray.from_arrays(pa.array(total[part].ravel()), RANK).cast(pa.list_(pa.float32()))
+                lists = pa.FixedSizeListArray.from_arrays(pa.array(total[part].ravel()), RANDOM).cast(pa.list_(pa.float32()))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), k)), pa.array(part), lists], names=["s", "w", "v"])
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,7 +279,7 @@ def _search(rows: DataFrame, pieces: list, items: dict, item_kind: str) -> DataF
         held, total = None, None
         for batch in batches:
             s, w = column(batch, "s").to_numpy(), column(batch, "w").to_numpy()
-            v = column(batch, "v").values.to_numpy().reshape(-1, RANK)
+            v = column(batch, "v").values.to_numpy().reshape(-1, RANDOM)
             cuts = np.append(0, np.flatnonzero((s[1:] != s[:-1]) | (w[1:] != w[:-1])) + 1) if len(s) else np.empty(0, int)
             sums = np.add.reduceat(v.astype(float), cuts) if len(s) else v
             for i, c in enumerate(cuts):
@@ -288,7 +293,7 @@ def _search(rows: DataFrame, pieces: list, items: dict, item_kind: str) -> DataF
             yield _share(held, total)
 
     partial = rows.select("t").mapInArrow(shares, "s long, w long, v array<float>")
-    sums = [np.zeros((len(s.idf), RANK)) for s in spaces]
+    sums = [np.zeros((len(s.idf), RANDOM)) for s in spaces]
     if pieces:
         dealt = partial.repartition("s", "w").sortWithinPartitions("s", "w")
         for r in dealt.mapInArrow(summed, "s long, w long, v array<double>").toLocalIterator():
