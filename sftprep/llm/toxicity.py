@@ -14,7 +14,9 @@ in numpy, one task each, on separate parts of the sample, and their scores
 averaged; every whole text is scored.
 
 The sample is bounded: at most ``positives`` toxic and ``unlabelled`` training
-rows, the first by a hash of their id.  Prior and scores cover all rows.
+rows, the first by a hash of their id.  Only the second draw is the mixture: toxic
+rows beyond it are positives alone, so that the mixture keeps its share of toxic
+rows whatever the input's size.  Prior and scores cover all rows.
 
 Defined results: a null or empty text has no words and scores the models' bias;
 without any positive training row every score is the prior, without training
@@ -65,39 +67,41 @@ def word_ids(text: bytes, hashes: WordHashes) -> np.ndarray:
 
 
 def presence(rows: DataFrame) -> DataFrame:
-    """(label, words) of rows (label, text)."""
+    """(id, label, mixed, words) of rows (id, label, mixed, text)."""
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             for i in range(0, len(batch), 200):
                 lists = [word_ids(t, hashes) for t in utf8_values(column(batch, "text").slice(i, 200))]
-                yield pa.RecordBatch.from_arrays([column(batch, c).slice(i, 200) for c in ("id", "label")] + [list_array(lists, pa.int64())], names=["id", "label", "words"])
+                yield pa.RecordBatch.from_arrays([column(batch, c).slice(i, 200) for c in ("id", "label", "mixed")] + [list_array(lists, pa.int64())], names=["id", "label", "mixed", "words"])
 
-    return rows.select("id", "label", "text").mapInArrow(words, "id long, label int, words array<long>")
+    return rows.select("id", "label", "mixed", "text").mapInArrow(words, "id long, label int, mixed boolean, words array<long>")
 
 
 def sample(labels: DataFrame, positives: int, unlabelled: int) -> DataFrame:
-    """(id, label): the bounded training sample, the first rows of each kind by a hash of their id."""
+    """(id, label, mixed): the bounded training sample, the first rows of each kind by a hash of their id; ``mixed`` rows are the unlabelled draw."""
     order = [F.xxhash64("id", F.lit(SEED)), "id"]
     rows = labels.select("id", "label").groupBy("id").agg(F.max("label").alias("label"))
-    return rows.filter("label = 1").orderBy(*order).limit(positives).union(rows.orderBy(*order).limit(unlabelled)).distinct()
+    draws = (rows.filter("label = 1").orderBy(*order).limit(positives), False), (rows.orderBy(*order).limit(unlabelled), True)
+    both = [draw.withColumn("mixed", F.lit(mixed)) for draw, mixed in draws]
+    return both[0].union(both[1]).groupBy("id", "label").agg(F.max("mixed").alias("mixed"))
 
 
-def trained(x: np.ndarray, positive: np.ndarray, prior: float) -> np.ndarray:
-    """Weights of the non-negative risk's minimum, the bias last."""
-    n, width = x.shape
-    x = np.concatenate([x, np.ones((n, 1), np.float32)], 1)
+def trained(x: np.ndarray, positive: np.ndarray, prior: float, mixed: np.ndarray | None = None) -> np.ndarray:
+    """Weights of the non-negative risk's minimum, the bias last; the ``mixed`` rows (all if None) are the unlabelled mixture."""
+    width = x.shape[1]
+    x = np.concatenate([x, np.ones((len(x), 1))], 1)  # doubles as the weights, or each product converts it anew
     w = np.zeros(width + 1)
     w[-1] = np.log(prior / (1 - prior))
     m, v = np.zeros_like(w), np.zeros_like(w)
-    p = x[positive]
+    p, u = x[positive], x if mixed is None else x[mixed]
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     for t in range(1, ROUNDS + 1):
-        sp, su = sigmoid(p @ w), sigmoid(x @ w)
+        sp, su = sigmoid(p @ w), sigmoid(u @ w)
         loss_u = -np.log(np.maximum(1 - su, 1e-12)).mean()
         loss_p = -np.log(np.maximum(1 - sp, 1e-12)).mean()
-        grad_negative = x.T @ su / n - prior * (p.T @ sp) / len(p)
+        grad_negative = u.T @ su / len(u) - prior * (p.T @ sp) / len(p)
         if loss_u - prior * loss_p >= 0:
             grad = prior * (p.T @ (sp - 1)) / len(p) + grad_negative
         else:  # the estimate went below zero: climb back
@@ -116,12 +120,14 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
     prior = min(max(prior, 1e-4), 0.9)
     picked = stored(sample(labels, positives, unlabelled), "toxic-sample")
     rows = stored(presence(docs.join(F.broadcast(picked), "id").dropDuplicates(["id"])), "toxic-words")  # bounded by the sample
-    n = rows.agg(F.count_if(F.col("label") == 1).alias("p"), F.count("*").alias("u")).first()
-    if not n.p:
+    counts = F.count_if(F.col("label") == 1).alias("p"), F.count_if("mixed").alias("u")
+    n = rows.agg(*counts).first()
+    if not n.p or not n.u:
         return {}, np.array([[float(np.log(prior / (1 - prior)))]])
-    each = rows.select("label", F.explode("words").alias("w")).groupBy("w").agg(F.count_if(F.col("label") == 1).alias("p"), F.count("*").alias("u"))
-    gain = F.col("p") / n.p - F.col("u") / n.u
-    spread = F.sqrt(F.col("u") / n.u * (1 - F.col("u") / n.u) / n.p + F.lit(1e-9))
+    each = rows.select("label", "mixed", F.explode("words").alias("w")).groupBy("w").agg(*counts)
+    share = F.greatest(F.col("u") / n.u, prior * F.col("p") / n.p)  # the mixture holds the positives, also of a word that its draw missed
+    gain = F.col("p") / n.p - share
+    spread = F.sqrt(share * (1 - share) / n.p + F.lit(1e-9))
     often = (F.col("p") >= max(MIN_POSITIVES, MIN_SHARE * n.p)) & (gain / spread >= MIN_DEVIATIONS)
     typical = each.filter(often).orderBy((gain / spread).desc(), "w").limit(VOCABULARY)
     at = {r.w: k for k, r in enumerate(typical.select("w").collect())}  # at most VOCABULARY rows
@@ -131,14 +137,16 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
         x = np.zeros((len(part), width), dtype=np.float32)
         for r, words in enumerate(part["words"]):
             x[r, [at[w] for w in words if w in at]] = 1
-        positive = part["label"].to_numpy() == 1
-        if not positive.any():
+        positive, mixed = part["label"].to_numpy() == 1, part["mixed"].to_numpy(dtype=bool)
+        if not positive.any() or not mixed.any():
             return pd.DataFrame({"weights": []})
-        return pd.DataFrame({"weights": [trained(x, positive, prior).tolist()]})
+        return pd.DataFrame({"weights": [trained(x, positive, prior, mixed).tolist()]})
 
     models = max(1, min(MODELS, n.p // PER_MODEL))
     parts = rows.withColumn("part", F.pmod(F.xxhash64("id", F.lit(SEED + 1)), F.lit(models)))
     weights = parts.groupBy("part").applyInPandas(model, "weights array<double>").collect()
+    if not weights:
+        return {}, np.array([[float(np.log(prior / (1 - prior)))]])
     return at, np.array([r.weights for r in weights])
 
 

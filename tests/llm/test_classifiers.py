@@ -41,6 +41,21 @@ def test_risk_estimator_finds_the_positive_word():
     assert ((score >= 0.5) == toxic).mean() > 0.97
 
 
+def test_bounded_toxicity_sample_predicts_like_the_whole(spark):
+    """Positives beyond the unlabelled draw leave the mixture's share of toxic rows as it is."""
+    rng = np.random.default_rng(3)
+    toxic = rng.random(4000) < 0.12
+    words = [[f"w{k}" for k in rng.integers(0, 60, 12)] + [f"bad{k}" for k in rng.integers(0, 12, 5 if t else 0)] for t in toxic]
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(words)], "doc_id long, text string")
+    known = labels(spark, [(k, 1, int(t)) for k, t in enumerate(toxic)])
+    picked = TX.sample(known.selectExpr("doc_id AS id", "toxic AS label"), 100, 300)
+    assert picked.filter("mixed").count() == 300 and picked.filter("label = 1").count() == 100
+    for sizes in ({}, {"positives": 100, "unlabelled": 300}):
+        rows = TX.score_documents(docs, known, **sizes).collect()
+        right = np.array([r.predicted == toxic[r.doc_id] for r in rows])
+        assert right[toxic[[r.doc_id for r in rows]]].mean() > 0.95 and right.mean() > 0.97, sizes
+
+
 def test_toxicity_edges(spark):
     df = edge_documents(spark)
     assert TX.score_documents(no_documents(spark), labels(spark)).count() == 0
