@@ -5,7 +5,12 @@ character classes and of common words are compared with references of each
 language by Jensen-Shannon distance (base 2, 0 to 1).  References are sums over
 all base-passing documents that declare the language, so they follow the
 corpus.  A document is measured against its nearest language; it is rejected if
-a distance is above its limit.  Short documents are guarded: below
+a distance is above its limit.  All words that are not common share one bin, so
+even a text without any common word stays near the references by its words; the
+share of common words is therefore measured on its own, as a fraction of the
+distance that a text without them has, and rejected beyond half of it (a share above
+the reference's is never divergent).  Prose of a language without reference has few
+common words, so it is rejected like other divergent text.  Short documents are guarded: below
 ``min_words`` words no divergence verdict is given.
 
 Defined results: null text counts as empty; empty text has no words and fails
@@ -36,6 +41,8 @@ COMMON_WORDS = {
 MIN_WORDS = 50
 MAX_CLASS_DISTANCE = 0.30
 MAX_WORD_DISTANCE = 0.50
+#: half way from the reference's share of common words to none
+MAX_SHARE_DISTANCE = 0.50
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
 WHITE = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -142,30 +149,41 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.where(total[:, 0] > 0, np.sqrt(np.clip((half[0] + half[1]) / 2, 0, 1)), 1.0)
 
 
+def share_distance(words: np.ndarray, ref: np.ndarray) -> np.ndarray:
+    """How far the share of common words falls below the reference's: 0 as common or more, 1 without any common word."""
+    two = lambda x: np.stack([x[:, :-1].sum(1), x[:, -1]], 1)
+    q, p = two(ref[None, :])[0], two(words)
+    none = js_distance(np.array([[0.0, 1.0]]), q)[0]
+    rarer = p[:, 0] * q.sum() < q[0] * p.sum(1)
+    return np.where(rarer, js_distance(p, q) / (none or 1), 0.0)
+
+
 def distances(f: Column, refs: dict[str, tuple[np.ndarray, np.ndarray]]) -> Column:
-    """Distances to the nearest language: struct<language, class_distance, word_distance>."""
+    """Distances to the nearest language: struct<language, class_distance, word_distance, share_distance>."""
     langs = sorted(refs)
 
-    @arrow_udf("struct<language:string,class_distance:double,word_distance:double>")
+    @arrow_udf("struct<language:string,class_distance:double,word_distance:double,share_distance:double>")
     def nearest(classes: pa.Array, words: pa.Array) -> pa.Array:
         n = len(classes)
-        kind = pa.struct([("language", pa.string()), ("class_distance", pa.float64()), ("word_distance", pa.float64())])
+        names = ["class_distance", "word_distance", "share_distance"]
+        kind = pa.struct([("language", pa.string()), *[(k, pa.float64()) for k in names]])
         if not n or not langs:
-            return pa.array([{"language": None, "class_distance": 0.0, "word_distance": 0.0}] * n, type=kind)
+            return pa.array([{"language": None} | dict.fromkeys(names, 0.0)] * n, type=kind)
         c = np.array(classes.to_pylist(), dtype=float)
         w = np.array(words.to_pylist(), dtype=float)
         dc = np.stack([js_distance(c, refs[k][0]) for k in langs])
         dw = np.stack([js_distance(w, refs[k][1]) for k in langs])
+        ds = np.stack([share_distance(w, refs[k][1]) for k in langs])
         at = (dc + dw).argmin(0)
         each = np.arange(n)
-        return pa.StructArray.from_arrays([pa.array([langs[i] for i in at]), pa.array(dc[at, each]), pa.array(dw[at, each])], fields=list(kind))
+        return pa.StructArray.from_arrays([pa.array([langs[i] for i in at]), *[pa.array(d[at, each]) for d in (dc, dw, ds)]], fields=list(kind))
 
     return nearest(f["classes"], f["words"])
 
 
-def rejected(f: Column, d: Column, min_words: int = MIN_WORDS, max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> Column:
+def rejected(f: Column, d: Column, min_words: int = MIN_WORDS, max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE, max_share: float = MAX_SHARE_DISTANCE) -> Column:
     """The base rule, or a divergence above its limit in a document that is long enough to measure."""
-    divergent = (f["n_words"] >= min_words) & ((d["class_distance"] > max_class) | (d["word_distance"] > max_word))
+    divergent = (f["n_words"] >= min_words) & ((d["class_distance"] > max_class) | (d["word_distance"] > max_word) | (d["share_distance"] > max_share))
     return base_failed(f) | divergent
 
 
@@ -184,6 +202,7 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
         "d.language",
         "d.class_distance",
         "d.word_distance",
+        "d.share_distance",
     )
 
 

@@ -42,6 +42,31 @@ def test_divergent_text_goes_and_prose_stays(spark):
     assert np.mean(verdicts) > 0.9
 
 
+def test_text_without_common_words_goes_and_short_prose_stays(spark):
+    good = spark.read.parquet(f"{SF001}/documents.parquet").filter("lang = 'en'")
+    rng = np.random.default_rng(5)
+    made = ["".join(rng.choice(list("eeeeeeetttttaaaaooooiiiinnnnsssshhhhrrrrddllluucmwfgypbvk"), rng.integers(4, 8))) for _ in range(400)]
+    prose = (
+        "The old mill stood at the end of the lane, and in the evening light it was as quiet as a church. We walked there with "
+        "our father, who had worked in it for many years. He told us that on busy days carts would wait from the gate to the "
+        "river, and that nobody went home until the last sack was filled."
+    )
+    texts = [". ".join(" ".join(made[k : k + 8]).capitalize() for k in range(0, 400, 8)), " | ".join(made[:200]), " | ".join(made[200:255]), prose, " ".join(made[:30])]
+    odd = spark.createDataFrame([(10**6 + k, t, "en", "x", len(t)) for k, t in enumerate(texts)], good.schema)
+    both = good.unionByName(odd)
+    out = {r.doc_id - 10**6: r for r in Q.judge(both).filter("doc_id >= 1000000").collect()}
+    assert [out[k].kept for k in range(5)] == [False, False, False, True, True]  # the last is too short to measure
+    assert not any(out[k].base_failed or out[k].class_distance > Q.MAX_CLASS_DISTANCE or out[k].word_distance > Q.MAX_WORD_DISTANCE for k in range(5))
+    kept = {r.doc_id - 10**6 for r in Q.keep_good(both).filter("doc_id >= 1000000").collect()}
+    assert kept == {3, 4}
+
+
+def test_share_distance_runs_from_0_to_1():
+    ref = np.array([3.0, 1, 12])
+    assert Q.share_distance(np.array([[3.0, 1, 12], [9, 0, 1], [0, 0, 7], [1, 0, 30]]), ref)[:3].tolist() == [0, 0, 1]
+    assert 0 < Q.share_distance(np.array([[1.0, 0, 30]]), ref)[0] < 1 and Q.share_distance(np.array([[0.0, 0, 5]]), np.array([0.0, 0, 9]))[0] == 0
+
+
 def test_distance_is_a_metric_from_0_to_1():
     p = np.array([[1.0, 3, 0], [5, 0, 0], [0, 0, 7], [0, 0, 0]])
     d = Q.js_distance(p, np.array([5.0, 0, 0]))
