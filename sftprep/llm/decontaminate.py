@@ -1,4 +1,4 @@
-"""Operator 2: benchmark decontamination by latent semantic retrieval.
+"""Operator 2: benchmark decontamination by TF-IDF retrieval.
 
 Benchmark items are cut into pieces of at most PIECE words, documents into
 passages of WINDOW words every STRIDE words.  Pieces and passages are TF-IDF
@@ -7,7 +7,9 @@ passages of all documents.  A distributed randomised SVD finds the latent
 space: every task adds up its share of A'(A R) for a fixed random R of RANDOM
 columns, and the shares are summed by word.  The left singular vectors of that
 sum beside the weighted benchmark rows span the space: the benchmark's own span
-and the corpus's strongest directions, for SPACE pieces each.  All passages of all
+and the corpus's strongest directions, for SPACE pieces each.  As the space holds
+every benchmark row, the cosines in it equal those of the plain TF-IDF vectors;
+the corpus's directions change none.  All passages of all
 documents are compared with all pieces by cosine, in blocks, inside the scan.
 
 Each candidate is then checked on the words themselves: the longest common
