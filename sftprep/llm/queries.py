@@ -7,8 +7,10 @@ from sftprep.llm.chat_format import OP7_SQL, op7_chat_format
 from sftprep.llm.decontaminate import op2_decontamination
 from sftprep.llm.line_dedup import OP8_SQL, op8_line_dedup
 from sftprep.llm.near_dups import op1_near_duplicates
+from sftprep.llm.periodic_runs import op11_periodic_runs
 from sftprep.llm.quality_model import op5_quality
 from sftprep.llm.quality_rules import op9_quality_rules
+from sftprep.llm.token_counts import op13_token_counts
 from sftprep.llm.token_files import op6_token_files
 from sftprep.llm.toxicity import op3_toxicity
 from sftprep.llm.url_filter import op4_url_rules
@@ -24,6 +26,8 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_bpe": op10_bpe,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op13_token_counts": op13_token_counts,
 }
 #: the others are compared with brute force, round trips or held-out labels in tests/llm
 ORACLES = {"op7_chat_format": OP7_SQL, "op8_line_dedup": OP8_SQL}
