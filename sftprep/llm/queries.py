@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from sftprep.llm.bpe import op10_bpe
 from sftprep.llm.chat_format import OP7_SQL, op7_chat_format
+from sftprep.llm.conversation_repair import OP12_SQL, op12_conversation_repair
 from sftprep.llm.decontaminate import op2_decontamination
 from sftprep.llm.line_dedup import OP8_SQL, op8_line_dedup
 from sftprep.llm.near_dups import op1_near_duplicates
@@ -27,7 +28,8 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_bpe": op10_bpe,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_token_counts": op13_token_counts,
 }
 #: the others are compared with brute force, round trips or held-out labels in tests/llm
-ORACLES = {"op7_chat_format": OP7_SQL, "op8_line_dedup": OP8_SQL}
+ORACLES = {"op7_chat_format": OP7_SQL, "op8_line_dedup": OP8_SQL, "op12_conversation_repair": OP12_SQL}
