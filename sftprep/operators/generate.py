@@ -84,9 +84,13 @@ def generate_replies(
     max_tokens: int = DEFAULT_MAX_TOKENS,
     temperature: float = DEFAULT_TEMPERATURE,
     cache_key: str | None = None,
+    known_col: str | None = None,
 ) -> DataFrame:
     """``carry…, [request_id], response STRING, error STRING`` per input row.
 
+    With ``known_col`` rows that have a reply there keep it and are not sent to
+    the client; ``reused`` tells them apart.
+
     ``carry`` columns pass through Python unchanged, which avoids joining the
     replies back to their prompts.  A client exception or a NULL reply is
     reported in ``error`` with a NULL ``response``; it never fails the task.
@@ -96,7 +100,8 @@ def generate_replies(
     carry = list(carry)
     if request_id_col and request_id_col not in carry:
         carry.append(request_id_col)
-    in_df = df.select(*carry, F.col(messages_col).alias("_messages"))
+    known = [F.col(known_col).alias("_known")] if known_col else []
+    in_df = df.select(*carry, F.col(messages_col).alias("_messages"), *known)
     fields = [in_df.schema[c] for c in carry]
     out_schema = T.StructType(
         fields
@@ -104,15 +109,17 @@ def generate_replies(
             T.StructField("response", T.StringType(), True),
             T.StructField("error", T.StringType(), True),
         ]
+        + ([T.StructField("reused", T.BooleanType(), False)] if known_col else [])
     )
     opts = {"max_tokens": max_tokens, "temperature": temperature}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = worker_client(key, client_factory)
         for pdf in batches:
-            prompts = [_messages_to_py(v) for v in pdf["_messages"]]
+            ask = pdf["_known"].isna() if known_col else pd.Series(True, index=pdf.index)
+            prompts = [_messages_to_py(v) for v in pdf.loc[ask, "_messages"]]
             try:
-                replies = list(client(prompts, **opts))
+                replies = list(client(prompts, **opts)) if prompts else []
                 if len(replies) != len(prompts):
                     raise RuntimeError(f"client returned {len(replies)} replies for {len(prompts)} prompts")
                 errors = [_reply_error(r) for r in replies]
@@ -121,8 +128,12 @@ def generate_replies(
                 replies = [None] * len(prompts)
                 errors = [f"{type(exc).__name__}: {exc}"] * len(prompts)
             out = pdf[carry].copy() if carry else pd.DataFrame(index=pdf.index)
-            out["response"] = replies
-            out["error"] = errors
+            out["response"] = pdf["_known"].astype(object) if known_col else None
+            out["error"] = None
+            out.loc[ask, "response"] = pd.Series(replies, index=pdf.index[ask], dtype=object)
+            out.loc[ask, "error"] = pd.Series(errors, index=pdf.index[ask], dtype=object)
+            if known_col:
+                out["reused"] = ~ask
             yield out
 
     return in_df.mapInPandas(run, out_schema)

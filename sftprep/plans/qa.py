@@ -22,13 +22,18 @@ from pyspark.sql import functions as F
 from sftprep.functions import prompts as P
 from sftprep.operators.chunking import chunk_documents
 from sftprep.operators.generate import attach_replies, dedupe_replies, generate_replies, request_id, unanswered
+from sftprep.operators.reply_log import WAVE, ReplyLog, Waves, by_wave, of_wave, with_known
 from sftprep.operators.resume import merge_pairs, skip_done_chunks
-from sftprep.session import cut_lineage
+from sftprep.session import cut_lineage, scratch_path
 from sftprep.sources.files import read_pairs_or_empty, source_id
-from sftprep.sources.sinks import append_pairs, write_training_json
+from sftprep.sources.sinks import PAIR_BUCKETS, append_pairs, recover_pairs, write_training_json
 
 
 NO_TEXT = "document has no text"
+#: a wave's pairs go to one file for each of these, at most PAIR_BUCKETS
+PAIRS_PER_FILE = 10_000
+PAIR_ROW_SCHEMA = "question string, answer string, source string, chunk_id int, chunk string, question_no int"
+ERROR_SCHEMA = "stage string, source string, chunk_id int, question_no int, error string"
 
 
 @dataclass
@@ -162,41 +167,59 @@ def generate_qa_pairs(
                             partitions=parts)
 
     opts = {"max_tokens": max_tokens, "temperature": temperature}
-    q = generate_replies(
-        question_requests(todo, generate_num),
-        client_factory,
-        carry=["source", "chunk_id", "chunk", "request_id"],
-        **opts,
-    )
-    if checkpoint:
-        q = cut_lineage(q)
-    q_ok = q.filter(F.col("error").isNull())
-    questions = P.explode_questions(q_ok, "response", keep=["source", "chunk_id", "chunk"])
-
-    a = generate_replies(
-        answer_requests(questions),
-        client_factory,
-        carry=["source", "chunk_id", "chunk", "question_no", "question", "request_id"],
-        **opts,
-    )
-    if checkpoint:
-        a = cut_lineage(a)
-    new_pairs = a.filter(F.col("error").isNull()).select(
+    q, a = _ask(todo, client_factory, generate_num, opts, cut_lineage if checkpoint else None)
+    new_pairs = _pairs_of(a)
+    pairs = new_pairs
+    if existing is not None:
+        old = existing.select(*P.QA_PAIR_COLUMNS).withColumn(
+            "question_no", F.lit(None).cast("int")
+        )
+        pairs = merge_pairs(old, new_pairs)
+    errors = _call_errors(q, a).unionByName(_without_text(named))
+    return QAResult(pairs=pairs, errors=errors, new_pairs=new_pairs)
+
+
+def _ask(
+    todo: DataFrame, client_factory: Callable, generate_num: int, opts: dict,
+    save: Callable | None, known: DataFrame | None = None, logged: Callable | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Question and answer replies for some chunks: the two model stages.
+
+    ``save`` cuts the lineage after each.  With ``logged`` (kind, replies) a
+    stage's new replies are handed to the log before the next stage begins, and
+    requests that ``known`` answers are not sent.
+    """
+    stages = {"q": ["source", "chunk_id", "chunk", "request_id"], "a": ["source", "chunk_id", "chunk", "question_no", "question", "request_id"]}
+
+    def replies(requests: DataFrame, kind: str) -> DataFrame:
+        extra = {}
+        if logged:
+            requests, extra = with_known(requests, known, kind), {"known_col": "known_reply"}
+        out = generate_replies(requests, client_factory, carry=stages[kind], **extra, **opts)
+        out = save(out) if save else out
+        if logged:
+            logged(kind, out.filter(~F.col("reused")))
+        return out
+
+    q = replies(question_requests(todo, generate_num), "q")
+    questions = P.explode_questions(q.filter(F.col("error").isNull()), "response", keep=["source", "chunk_id", "chunk"])
+    return q, replies(answer_requests(questions), "a")
+
+
+def _pairs_of(answers: DataFrame, *extra: str) -> DataFrame:
+    return answers.filter(F.col("error").isNull()).select(
         "question",
         F.col("response").alias("answer"),
         "source",
         F.col("chunk_id").cast("int").alias("chunk_id"),
         "chunk",
         F.col("question_no").cast("int").alias("question_no"),
+        *extra,
     )
-    pairs = new_pairs
-    if existing is not None:
-        old = existing.select(*P.QA_PAIR_COLUMNS).withColumn(
-            "question_no", F.lit(None).cast("int")
-        )
-        pairs = merge_pairs(old, new_pairs)
 
-    errors = q.filter(F.col("error").isNotNull()).select(
+
+def _call_errors(q: DataFrame, a: DataFrame) -> DataFrame:
+    return q.filter(F.col("error").isNotNull()).select(
         F.lit("question").alias("stage"), "source", "chunk_id",
         F.lit(None).cast("int").alias("question_no"), "error",
     ).unionByName(
@@ -204,13 +227,14 @@ def generate_qa_pairs(
             F.lit("answer").alias("stage"), "source", "chunk_id",
             F.col("question_no").cast("int"), "error",
         )
-    ).unionByName(
-        named.filter(F.col("text").isNull()).select(
-            F.lit("document").alias("stage"), "source", F.lit(None).cast("int").alias("chunk_id"),
-            F.lit(None).cast("int").alias("question_no"), F.lit(NO_TEXT).alias("error"),
-        )
     )
-    return QAResult(pairs=pairs, errors=errors, new_pairs=new_pairs)
+
+
+def _without_text(named: DataFrame) -> DataFrame:
+    return named.filter(F.col("text").isNull()).select(
+        F.lit("document").alias("stage"), "source", F.lit(None).cast("int").alias("chunk_id"),
+        F.lit(None).cast("int").alias("question_no"), F.lit(NO_TEXT).alias("error"),
+    )
 
 
 def run_generation(
@@ -220,27 +244,83 @@ def run_generation(
     train_path: str | None = None,
     fmt: str = "json",
     errors_path: str | None = None,
-    **options,
+    *,
+    source: Column | str = "source",
+    text_col: str = "text",
+    chunk_size: int = 1024,
+    overlap: int = 200,
+    generate_num: int = 2,
+    markdown: bool = False,
+    max_tokens: int = 4096,
+    temperature: float = 0.5,
+    call_partitions: int | None = None,
+    match_chunk_text: bool = False,
+    log_dir: str | None = None,
+    wave_chunks: int = 50_000,
+    max_waves: int | None = None,
 ) -> QAResult:
     """Resumable program A over a pair sink (S9 -> J1 -> ... -> S8 [-> X1 -> S10]).
 
-    Earlier pairs are read from ``pairs_dir``; only this run's pairs are
-    appended.  The model stages are checkpointed before the append, so the
-    write never re-reads the folder it appends to.  With ``train_path`` the
-    merged training set (all sources) is rewritten as JSON lines.
-    ``fmt="json"`` keeps the pairs as JSON lines per source; ``"parquet"``
+    Chunks that have ``generate_num`` pairs in ``pairs_dir`` are skipped; the
+    rest is processed in waves of about ``wave_chunks`` chunks.  A wave's replies
+    go to the reply log (``log_dir``, default ``<pairs_dir>.replies``) as soon as
+    its calls end, then its pairs to the sink.  A run that stops anywhere is
+    continued by running it again: requests that the log answers are never
+    sent again, pairs that the sink holds are not appended again, and at most
+    the calls of one unfinished stage of one wave are repeated.  ``max_waves``
+    ends a run early on purpose (a budget); the next one goes on.
+
+    With ``train_path`` the merged training set (all sources) is rewritten as
+    JSON lines.  ``fmt="json"`` keeps the pairs as JSON lines; ``"parquet"``
     lets the resume scan read only the key columns (preferable at scale).
     """
     spark = docs.sparkSession
+    recover_pairs(spark, pairs_dir)
     existing = read_pairs_or_empty(spark, pairs_dir, fmt)
-    res = generate_qa_pairs(docs, client_factory, existing=existing, checkpoint=True, **options)
-    append_pairs(res.new_pairs.select(*P.QA_PAIR_COLUMNS), pairs_dir, fmt)
+    src = F.col(source) if isinstance(source, str) else source
+    named = docs.select(src.alias("source"), F.col(text_col).alias("text"))
+    chunks = chunk_documents(named, keep=["source"], chunk_size=chunk_size, overlap=overlap, markdown=markdown)
+    todo = skip_done_chunks(
+        chunks.select("source", "chunk_id", "chunk"), existing, generate_num, match_chunk_text=match_chunk_text
+    )
+    waves = Waves(todo, wave_chunks, call_partitions or _default_call_partitions(spark))
+    log = ReplyLog(spark, log_dir or f"{pairs_dir.rstrip('/')}.replies")
+    known = log.known(waves.rows)
+    # pairs of unfinished chunks, by wave: only asked for pairs that come from the log
+    held = None
+    if known is not None:
+        keys = waves.rows.select("source", "chunk_id", *WAVE)
+        held = by_wave(existing.select("source", "chunk_id", "question").join(keys, ["source", "chunk_id"]).distinct(), "held-pairs")
+    opts = {"max_tokens": max_tokens, "temperature": temperature}
+    done = scratch_path(spark, "generated")
+    empty = spark.createDataFrame([], PAIR_ROW_SCHEMA), spark.createDataFrame([], ERROR_SCHEMA)
+    for df, name in zip(empty, ("pairs", "errors")):  # a run without waves has a result too
+        df.write.parquet(f"{done}/{name}/wave=-1")
+    for number, wave in enumerate(waves):
+        if max_waves is not None and number >= max_waves:
+            break
+        q, a = _ask(
+            waves.chunks(wave), client_factory, generate_num, opts, cut_lineage,
+            known=None if known is None else of_wave(known, wave),
+            logged=lambda kind, replies, n=number: log.append(replies, kind, n),
+        )
+        pairs = _pairs_of(a, "reused")
+        if held is not None:
+            old = of_wave(held, wave)
+            again = pairs.filter("reused").join(old, ["source", "chunk_id", "question"], "left_anti")
+            pairs = pairs.filter("NOT reused").unionByName(again)
+        pairs.drop("reused").write.parquet(f"{done}/pairs/wave={number}")
+        mine = spark.read.schema(PAIR_ROW_SCHEMA).parquet(f"{done}/pairs/wave={number}")
+        append_pairs(mine.select(*P.QA_PAIR_COLUMNS), pairs_dir, fmt, buckets=min(PAIR_BUCKETS, 1 + waves.sizes[wave][0] * generate_num // PAIRS_PER_FILE))
+        _call_errors(q, a).write.parquet(f"{done}/errors/wave={number}")
+    new_pairs = spark.read.schema(PAIR_ROW_SCHEMA).parquet(f"{done}/pairs").select(*empty[0].columns)
+    errors = spark.read.schema(ERROR_SCHEMA).parquet(f"{done}/errors").select(*empty[1].columns).unionByName(_without_text(named))
     if errors_path:  # failed calls and documents without text, run after run
-        res.errors.write.mode("append").json(errors_path)
+        errors.write.mode("append").json(errors_path)
+    merged = read_pairs_or_empty(spark, pairs_dir, fmt)
     if train_path:
-        merged = read_pairs_or_empty(spark, pairs_dir, fmt)
         write_training_json(P.training_record(merged), train_path)
-    return res
+    return QAResult(pairs=merged.withColumn("question_no", F.lit(None).cast("int")), errors=errors, new_pairs=new_pairs)
 
 
 def documents_with_source(docs: DataFrame, name_col: str = "name") -> DataFrame:

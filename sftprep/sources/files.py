@@ -46,6 +46,9 @@ QA_PAIR_SCHEMA = T.StructType(
     ]
 )
 
+#: folder of the bucketed segments of a pair sink
+SEGMENTS = "segments"
+
 
 def base_name(path: Column) -> Column:
     """Last path segment."""
@@ -248,13 +251,28 @@ def scan_images(spark: SparkSession, image_dir: str) -> DataFrame:
 
 
 def read_pairs_or_empty(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    """Pairs written by earlier runs, or an empty table with the pair schema."""
+    """Pairs written by earlier runs, or an empty table with the pair schema.
+
+    Both layouts of the pair sink are read, also beside each other: one folder
+    per source, and bucketed segments.
+    """
+    root = path.rstrip("/")
+    parts = [_pairs_in(spark, f"{root}/source=*", fmt, root), _pairs_in(spark, f"{root}/{SEGMENTS}", fmt)]
+    found = [p for p in parts if p is not None]
+    if not found:
+        return spark.createDataFrame([], QA_PAIR_SCHEMA)
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
+
+
+def _pairs_in(spark: SparkSession, path: str, fmt: str, base: str | None = None) -> DataFrame | None:
     reader = spark.read.schema(QA_PAIR_SCHEMA).format(fmt)
+    if base:
+        reader = reader.option("basePath", base)
     if fmt == "json":
         reader = reader.option("mode", "FAILFAST")  # a broken line is an error, not an empty pair
     try:
-        return reader.load(path)
+        return reader.load(path).select(*QA_PAIR_SCHEMA.names)
     except AnalysisException as exc:
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], QA_PAIR_SCHEMA)
+        return None

@@ -2,28 +2,92 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sftprep.operators.ranking import assign_shards, shard_file_name, shard_manifest
+from sftprep.sources.files import QA_PAIR_SCHEMA, SEGMENTS
+
+
+#: files of one append to the bucketed pair log
+PAIR_BUCKETS = 64
 
 
-def append_pairs(pairs: DataFrame, path: str, fmt: str = "json") -> None:
-    """Append pairs, one folder per source (no rewrite of earlier output).
+def append_pairs(pairs: DataFrame, path: str, fmt: str = "json", buckets: int | None = None) -> None:
+    """Append pairs (no rewrite of earlier output).
 
-    Rows are range-partitioned on ``(source, chunk_id)`` first, so each task
-    holds a contiguous run of sources: about tasks + sources files in total
-    instead of one file per (task, source) pair, and a source holding a third
-    of the rows is still split across tasks by ``chunk_id``.
+    Without ``buckets`` there is one folder per source: readable by eye, but as many
+    folders as documents.  Rows are then range-partitioned on ``(source, chunk_id)``
+    first, so each task holds a contiguous run of sources.
+
+    With ``buckets`` the append is one segment of at most that many files below
+    ``<path>/segments``, hashed on ``(source, chunk_id)`` (a source holding a third of
+    the rows fills all of them) and sorted, however many sources there are.
+    ``read_pairs_or_empty`` reads both layouts; ``compact_pairs`` joins segments.
     """
-    (
-        pairs.repartitionByRange("source", "chunk_id")
-        .sortWithinPartitions("source", "chunk_id")
-        .write.mode("append")
-        .partitionBy("source")
-        .format(fmt)
-        .save(path)
-    )
+    if buckets is None:
+        (
+            pairs.repartitionByRange("source", "chunk_id")
+            .sortWithinPartitions("source", "chunk_id")
+            .write.mode("append")
+            .partitionBy("source")
+            .format(fmt)
+            .save(path)
+        )
+        return
+    _bucketed(pairs, buckets).write.mode("append").format(fmt).save(f"{path.rstrip('/')}/{SEGMENTS}")
+
+
+def _bucketed(pairs: DataFrame, buckets: int) -> DataFrame:
+    return pairs.repartition(buckets, "source", "chunk_id").sortWithinPartitions("source", "chunk_id")
+
+
+def compact_pairs(spark: SparkSession, path: str, fmt: str = "json", buckets: int = PAIR_BUCKETS) -> None:
+    """Rewrite all segments of a pair log as one of ``buckets`` files.
+
+    The new segment is written beside the old ones and put in place by two renames.
+    A run that stops between them leaves the new segment under its own name, complete;
+    the next call (of this or of ``recover_pairs``) finishes the exchange.  Not to be
+    run while another job appends.
+    """
+    recover_pairs(spark, path)
+    root = path.rstrip("/")
+    fs, at = _file_system(spark, root)
+    if not fs.exists(at(f"{root}/{SEGMENTS}")):
+        return
+    old = f"{root}/_old-{uuid.uuid4().hex}"
+    new = f"{root}/_next-{uuid.uuid4().hex}"
+    held = spark.read.schema(QA_PAIR_SCHEMA).format(fmt).load(f"{root}/{SEGMENTS}")
+    _bucketed(held, buckets).write.format(fmt).save(new)
+    _rename(fs, at(f"{root}/{SEGMENTS}"), at(old))
+    _rename(fs, at(new), at(f"{root}/{SEGMENTS}"))
+    fs.delete(at(old), True)
+
+
+def recover_pairs(spark: SparkSession, path: str) -> None:
+    """Finish the exchange of a compaction that was stopped between its renames."""
+    root = path.rstrip("/")
+    fs, at = _file_system(spark, root)
+    if not fs.exists(at(root)) or fs.exists(at(f"{root}/{SEGMENTS}")):
+        return
+    ready = [s.getPath() for s in fs.listStatus(at(root)) if s.getPath().getName().startswith("_next-")]
+    ready = [p for p in ready if fs.exists(at(f"{p.toString()}/_SUCCESS"))]
+    if ready:
+        _rename(fs, ready[0], at(f"{root}/{SEGMENTS}"))
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and its path factory."""
+    sc = spark.sparkContext
+    at = sc._jvm.org.apache.hadoop.fs.Path
+    return at(path).getFileSystem(sc._jsc.hadoopConfiguration()), at
+
+
+def _rename(fs, old, new) -> None:
+    if not fs.rename(old, new):
+        raise OSError(f"cannot rename {old.toString()} to {new.toString()}")
 
 
 def write_training_json(records: DataFrame, path: str) -> None:

@@ -523,6 +523,10 @@ def qa_generation_resumed() -> str:
     FROM (SELECT * FROM ex UNION ALL SELECT * FROM new) GROUP BY ALL"""
 
 
+def qa_generation_restarted() -> str:
+    return f"SELECT question, answer, source, chunk_id, chunk FROM ({qa_generation()})"
+
+
 def images_present() -> str:
     return f"""SELECT doc_id::BIGINT AS doc_id, file_name FROM {MANIFEST} m
                WHERE EXISTS (SELECT 1 FROM {IMAGES} i WHERE i.rel_path = m.file_name)"""

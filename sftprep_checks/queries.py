@@ -542,6 +542,21 @@ def qa_generation_resumed(spark: SparkSession, sf: str) -> DataFrame:
     return flat(RS.pairs_per_chunk(res.pairs))
 
 
+def qa_generation_restarted(spark: SparkSession, sf: str) -> DataFrame:
+    """Program A stopped after its first wave of calls and run again: the pairs of the sink."""
+    from sftprep.plans.qa import run_generation
+    from sftprep.sources.files import read_pairs_or_empty
+
+    docs = read_table(spark, sf, "documents").withColumn(
+        "name", F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")))
+    path = _folder(spark, "restarted")
+    opts = dict(source=source_id(F.col("name")), chunk_size=FX.CHUNK_SIZE, overlap=FX.CHUNK_OVERLAP,
+                generate_num=FX.GENERATE_NUM, fmt="parquet", wave_chunks=20_000)
+    run_generation(docs, make_client, path, max_waves=1, **opts)
+    run_generation(docs, make_client, path, **opts)
+    return flat(read_pairs_or_empty(spark, path, "parquet"))
+
+
 def images_present(spark: SparkSession, sf: str) -> DataFrame:
     """F2 without bytes: manifest rows whose image file exists (left-semi on names)."""
     man = image_manifest(spark, sf)
@@ -583,13 +598,15 @@ def _pairs_of_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pairs_sink_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Pairs appended in two runs and read back."""
+    """Pairs appended in three runs, in both layouts, compacted in between and read back."""
     from sftprep.sources.files import read_pairs_or_empty
-    from sftprep.sources.sinks import append_pairs
+    from sftprep.sources.sinks import append_pairs, compact_pairs
 
     pairs, path = _pairs_of_documents(spark, sf), _folder(spark, "pairs")
-    append_pairs(pairs.filter("chunk_id % 2 = 0"), path)
-    append_pairs(pairs.filter("chunk_id % 2 = 1"), path)
+    append_pairs(pairs.filter("chunk_id % 3 = 0"), path)
+    append_pairs(pairs.filter("chunk_id % 3 = 1"), path, buckets=8)
+    compact_pairs(spark, path, buckets=4)
+    append_pairs(pairs.filter("chunk_id % 3 = 2"), path, buckets=8)
     return flat(read_pairs_or_empty(spark, path))
 
 
