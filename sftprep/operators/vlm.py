@@ -1,7 +1,7 @@
 """image/text manifests joined with image files.
 
 Images are never decoded: F3 is a header (magic-byte) predicate on the
-first 12 bytes.  The manifest side is broadcast only after measuring it;
+first bytes (``operators.images``, which also holds the keys-first join of files).  The manifest side is broadcast only after measuring it;
 otherwise both sides shuffle on the file name.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from sftprep.functions.chat import image_part, text_part
 from sftprep.functions.templates import fill
+from sftprep.operators.images import detected_format
 
 # ---------------------------------------------------------------------------
 # Fixed values.
@@ -21,30 +22,12 @@ DEFAULT_VLM_INSTRUCTION = "Describe the image in detail."
 VENDOR_SYSTEM_PROMPT = "This is a chat between a user and an artificial intelligence assistant. The assistant gives helpful, detailed, and polite answers to the user's questions based on the context. The assistant should also indicate when the answer cannot be found in the context."  # noqa: E501
 VENDOR_USER_PROMPT = "{question}"
 VENDOR_KEYS = {"question": "question", "answer": "answer", "image": "image", "label": "answer"}
-# Image header signatures (public file-format constants), as upper-case hex.
-IMAGE_SIGNATURES = (
-    ("png", 0, "89504E470D0A1A0A"),
-    ("jpeg", 0, "FFD8FF"),
-    ("gif", 0, "474946383761"),
-    ("gif", 0, "474946383961"),
-    ("bmp", 0, "424D"),
-    ("tiff", 0, "49492A00"),
-    ("tiff", 0, "4D4D002A"),
-    ("webp", 8, "57454250"),  # "WEBP" after "RIFF" + size
-)
 # ---------------------------------------------------------------------------
 
 
 def image_format(content: Column) -> Column:
     """F3 helper: detected format name from the header bytes, NULL if none."""
-    head = F.hex(F.substring(content, 1, 12))
-    fmt = F.lit(None).cast("string")
-    for name, offset, sig in reversed(IMAGE_SIGNATURES):
-        hit = F.substring(head, 2 * offset + 1, len(sig)) == F.lit(sig)
-        if name == "webp":
-            hit = hit & (F.substring(head, 1, 8) == F.lit("52494646"))
-        fmt = F.when(hit, F.lit(name)).otherwise(fmt)
-    return fmt
+    return detected_format(content)
 
 
 def _estimate_bytes(df: DataFrame) -> int:
@@ -228,15 +211,21 @@ def vlm_conversation(rows: DataFrame, system_prompt: str = DEFAULT_VLM_INSTRUCTI
 def vendor_rows(joined: DataFrame, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """(question, answer, image_path, image) rows; rows without an
     instruction are skipped; rows without text are returned as errors."""
+    image = image_struct(F.col("content"), F.col("image_path")).alias("image")
+    return _vendor_split(joined, [*keep], [image])
+
+
+def vendor_keys(located: DataFrame, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """P16 before the image is read: the same rows without ``image``."""
+    return _vendor_split(located, [*keep], [])
+
+
+def _vendor_split(rows: DataFrame, keep: list, last: list) -> tuple[DataFrame, DataFrame]:
     has_q = F.col("instruction").isNotNull()
-    good = joined.filter(has_q & F.col("text").isNotNull()).select(
-        *keep,
-        F.col("instruction").alias("question"),
-        F.col("text").alias("answer"),
-        F.col("image_path"),
-        image_struct(F.col("content"), F.col("image_path")).alias("image"),
+    good = rows.filter(has_q & F.col("text").isNotNull()).select(
+        *keep, F.col("instruction").alias("question"), F.col("text").alias("answer"), F.col("image_path"), *last
     )
-    bad = joined.filter(has_q & F.col("text").isNull()).select(
+    bad = rows.filter(has_q & F.col("text").isNull()).select(
         "file_name", "image_path", F.lit("missing text").alias("error")
     )
     return good, bad

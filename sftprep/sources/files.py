@@ -1,13 +1,13 @@
 """Document, training-JSON, manifest and image scans; resume scan.
 
-File listings use Spark's ``binaryFile`` source; ``content`` is only read
-when a later step selects it (column pruning), so listing and filtering
-file names never touches file bodies.
+Files are listed in tasks (``sources.listing``) and filtered by name; the bodies
+of those that stay are read by path, dealt to tasks by their listed lengths.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sftprep.operators.chunking import chunk_documents
+from sftprep.operators.images import with_content
+from sftprep.sources.listing import list_files, located_path
 
 # ---------------------------------------------------------------------------
 # Fixed values.
@@ -90,26 +92,26 @@ def scan_documents(spark: SparkSession, path: str, extensions: Sequence[str] = D
     begin with '_' or '.' are documents like any other.  No matching file is an
     error.
     """
-    root, is_dir = _located(spark, path)
-    listing = _all_files(spark, root, is_dir, recursive=False).select("path", "content")
+    root, is_dir = located_path(spark, path)
+    listing = list_files(spark, root, is_dir).select("path", "length")
     if is_dir:
-        listing = listing.filter(~F.col("path").rlike(_nested_pattern(root)))
         listing = listing.filter(has_document_extension(base_name(F.col("path")), extensions))
+    if listing.isEmpty():
+        raise ValueError(f"No valid documents found in input path: ({path})")
+    is_text = extension(base_name(F.col("path"))).isin(*TEXT_EXTENSIONS)
+    full = with_content(listing.filter(is_text), "path", "length").unionByName(
+        listing.filter(~is_text).withColumn("content", F.lit(None).cast("binary"))
+    )
     name = base_name(F.col("path"))
-    ext = extension(name)
     raw = F.col("content").cast("string")  # bytes as-is; repaired below, never an error
-    is_text = ext.isin(*TEXT_EXTENSIONS)
-    out = listing.select(
+    return full.select(
         "path",
         name.alias("name"),
-        ext.alias("ext"),
+        extension(name).alias("ext"),
         source_id(F.col("path")).alias("source"),
-        F.when(is_text, F.make_valid_utf8(raw)).alias("text"),
-        F.when(is_text, F.is_valid_utf8(raw)).alias("valid_utf8"),
+        F.make_valid_utf8(raw).alias("text"),
+        F.is_valid_utf8(raw).alias("valid_utf8"),
     )
-    if out.select("path").limit(1).count() == 0:
-        raise ValueError(f"No valid documents found in input path: ({path})")
-    return out
 
 
 def unreadable_documents(docs: DataFrame) -> DataFrame:
@@ -117,61 +119,6 @@ def unreadable_documents(docs: DataFrame) -> DataFrame:
     return docs.filter(F.col("text").isNull()).drop("text")
 
 
-def _located(spark: SparkSession, path: str) -> tuple[str, bool]:
-    """The path as Spark lists it (scheme and authority filled in), and whether it is a folder.
-
-    The path's own Hadoop file system is asked, so ``/docs``, ``file:///docs``
-    and ``hdfs:///docs`` are all understood the way the readers do.
-    """
-    sc = spark.sparkContext
-    p = sc._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
-    p = fs.makeQualified(p)
-    if not fs.exists(p):
-        raise FileNotFoundError(path)
-    return p.toString().rstrip("/"), fs.getFileStatus(p).isDirectory()
-
-
-def _hidden_files(spark: SparkSession, root: str, recursive: bool) -> list[tuple[str, int]]:
-    """(path, length) of the files that Spark's listing leaves out: a name begins with '_' or '.'."""
-    sc = spark.sparkContext
-    p = sc._jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
-    found, files = [], fs.listFiles(p, recursive)
-    while files.hasNext():
-        status = files.next()
-        full = status.getPath().toString()
-        names = full[len(root) :].strip("/").split("/") if full != root else [full.rsplit("/", 1)[-1]]
-        if any(n.startswith(("_", ".")) for n in names) and not full.endswith(".crc"):
-            found.append((full, int(status.getLen())))
-    return found
-
-
-def _all_files(spark: SparkSession, root: str, is_dir: bool, recursive: bool) -> DataFrame:
-    """``path, length, content`` of a file, or of a folder's files whatever their names.
-
-    Files that Spark's listing hides are listed through Hadoop and read by
-    path in tasks; all others stay in the ``binaryFile`` scan.
-    """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
-    hidden = _hidden_files(spark, root, recursive)
-    if not is_dir and hidden:
-        seen = None
-    else:
-        seen = reader.load(root).select("path", "length", "content")
-    if not hidden:
-        return seen
-    from sftprep.operators.vlm import read_by_path
-
-    listed = spark.createDataFrame(hidden, "path string, length long")
-    rest = read_by_path(listed)
-    return rest if seen is None else seen.unionByName(rest)
-
-
-def _nested_pattern(root: str) -> str:
-    return "\\Q" + root + "/\\E[^/]+/"
-
-
 def load_chunks(
     spark: SparkSession, path: str, chunk_size: int = 1000, overlap: int = 200
 ) -> DataFrame:
@@ -234,20 +181,36 @@ def read_manifest(
     )
 
 
-def scan_images(spark: SparkSession, image_dir: str) -> DataFrame:
-    """``rel_path, path, length, content`` of every file under ``image_dir``.
+def list_images(spark: SparkSession, image_dir: str) -> DataFrame:
+    """S7 without bytes: ``rel_path, path, length`` of every file under ``image_dir``.
 
     ``rel_path`` (the join key with manifest ``file_name``) is the path
-    relative to the directory.  ``content`` is read lazily.
+    relative to the directory.
     """
-    root, is_dir = _located(spark, image_dir)
-    listing = _all_files(spark, root, is_dir, recursive=True)
+    root, is_dir = located_path(spark, image_dir)
+    listing = list_files(spark, root, is_dir, recursive=True)
     # a listed path outside the folder is an error, not an empty name
     inside = F.startswith(F.col("path"), F.lit(root + "/"))
     rel = F.when(inside, F.substring(F.col("path"), len(root) + 2, 1 << 30)).otherwise(
         F.raise_error(F.concat(F.lit(f"not below {root}: "), F.col("path")))
     )
-    return listing.select(rel.alias("rel_path"), "path", "length", "content")
+    return listing.select(rel.alias("rel_path"), "path", "length")
+
+
+def scan_images(spark: SparkSession, image_dir: str) -> DataFrame:
+    """``list_images`` with every file's ``content``, read only if a later step selects it.
+
+    Spark's ``binaryFile`` source prunes the column; the files that it leaves out
+    (hidden names, empty files) are read by path.  Where no bytes are wanted, or only
+    those of few files, ``list_images`` also spares the driver the file index.
+    """
+    listing = list_images(spark, image_dir)
+    root, _ = located_path(spark, image_dir)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    rel = F.substring(F.col("path"), len(root) + 2, 1 << 30)
+    seen = reader.select(rel.alias("rel_path"), "path", "length", "content")
+    rest = listing.join(seen.select("path"), "path", "left_anti").select("rel_path", "path", "length")
+    return seen if rest.isEmpty() else seen.unionByName(with_content(rest, "path", "length"))
 
 
 def read_pairs_or_empty(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
@@ -257,11 +220,13 @@ def read_pairs_or_empty(spark: SparkSession, path: str, fmt: str = "json") -> Da
     per source, and bucketed segments.
     """
     root = path.rstrip("/")
-    parts = [_pairs_in(spark, f"{root}/source=*", fmt, root), _pairs_in(spark, f"{root}/{SEGMENTS}", fmt)]
-    found = [p for p in parts if p is not None]
-    if not found:
-        return spark.createDataFrame([], QA_PAIR_SCHEMA)
-    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
+    found = [_pairs_in(spark, f"{root}/{SEGMENTS}", fmt)]
+    if found[0] is None:
+        found = [_pairs_in(spark, root, fmt)]
+    else:  # folders per source, and files without a folder, of runs before the segments
+        found += [_pairs_in(spark, f"{root}/source=*", fmt, root), _pairs_in(spark, f"{root}/part-*", fmt)]
+    found = [p for p in found if p is not None]
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], QA_PAIR_SCHEMA)
 
 
 def _pairs_in(spark: SparkSession, path: str, fmt: str, base: str | None = None) -> DataFrame | None:

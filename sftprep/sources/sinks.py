@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sftprep.operators.ranking import assign_shards, shard_file_name, shard_manifest
+from sftprep.session import cut_lineage, ensure_library_on_workers
 from sftprep.sources.files import QA_PAIR_SCHEMA, SEGMENTS
+from sftprep.sources.listing import file_system
 
 
 #: files of one append to the bucketed pair log
@@ -129,3 +133,82 @@ def write_sharded_parquet(
             f"{out_dir.rstrip('/')}/shard_file={r['file_name']}"
         )
     return manifest
+
+
+def write_shard_files(
+    df: DataFrame, out_dir: str, name: str, num_shards: int, order: list, drop: tuple = (), late: Callable | None = None
+) -> DataFrame:
+    """S12 with A3: exactly ``num_shards`` files ``<name>-0000i-of-0000n.parquet``, contiguous in ``order``.
+
+    Positions are taken on ``df`` as given; ``late`` (record batch -> record batches)
+    may add what should not be sorted or shuffled, such as image bytes, in the writing
+    task.  A task streams each of its shards, row group by row group, to a staging file
+    named by its attempt and renames the finished file into place: a retried task
+    writes the same file again, and no reader sees half of one.  Empty shards get
+    a file with the schema.  Older files of the same name pattern are removed at the end.
+    Returns the manifest of all shards with row counts.
+    """
+    spark = df.sparkSession
+    ensure_library_on_workers(spark)
+    row = F.struct(*[F.col(c) for c in df.columns if c not in drop])
+    keyed = df.select(row.alias("_row"), *[F.col(c).alias(f"_order{i}") for i, c in enumerate(order)])
+    ranked, _ = assign_shards(keyed, [f"_order{i}" for i in range(len(order))], num_shards)
+    # one marker row per shard, first in order: every shard reaches a task, also an empty one
+    rows = ranked.select("shard", "row_idx", "_row")
+    markers = spark.range(num_shards).select(F.col("id").cast("int").alias("shard"), F.lit(-1).cast("long").alias("row_idx"), F.lit(None).cast(rows.schema["_row"].dataType).alias("_row"))
+    dealt = rows.unionByName(markers).repartitionById(num_shards, F.col("shard")).sortWithinPartitions("shard", "row_idx")
+    staging, final = f"{out_dir.rstrip('/')}/_staging-{uuid.uuid4().hex}", out_dir.rstrip("/")
+
+    def write(batches):
+        import pyarrow as pa
+        import pyarrow.compute  # noqa: F401
+        import pyarrow.parquet as pq
+        from pyarrow import fs as pafs
+        from pyspark import TaskContext
+
+        attempt = TaskContext.get().taskAttemptId()
+        filesystem, staged = file_system(staging)
+        _, target = file_system(final)
+        filesystem.create_dir(staged, recursive=True)
+        writer, shard, n = None, None, 0
+
+        def finished():
+            writer.close()
+            file = f"{name}-{shard:05d}-of-{num_shards:05d}.parquet"
+            if filesystem.get_file_info(f"{target}/{file}").type != pafs.FileType.NotFound:
+                filesystem.delete_file(f"{target}/{file}")
+            filesystem.move(f"{staged}/{shard}.{attempt}", f"{target}/{file}")
+            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([file]), pa.array([n], pa.int64())], names=["shard", "file_name", "n_rows"])
+
+        for batch in batches:
+            at = batch.column(0).to_numpy()
+            cuts = [0, *((at[1:] != at[:-1]).nonzero()[0] + 1).tolist(), len(at)]
+            for x, y in zip(cuts, cuts[1:]):
+                if x == y:
+                    continue
+                if at[x] != shard and writer is not None:
+                    yield finished()
+                    writer = None
+                shard = int(at[x])
+                part = batch.slice(x, y - x)
+                part = part.filter(pa.compute.greater_equal(part.column(1), 0))
+                plain = pa.RecordBatch.from_struct_array(part.column(2))
+                for piece in late(plain) if late else [plain]:
+                    if writer is None:
+                        writer, n = pq.ParquetWriter(f"{staged}/{shard}.{attempt}", piece.schema, filesystem=filesystem), 0
+                    if len(piece):
+                        writer.write_batch(piece)
+                        n += len(piece)
+        if writer is not None:
+            yield finished()
+
+    manifest = cut_lineage(dealt.mapInArrow(write, "shard int, file_name string, n_rows long"))
+    fs, at = _file_system(spark, final)
+    fs.delete(at(staging), True)
+    pattern = re.compile(re.escape(name) + r"-\d{5}-of-(\d{5})\.parquet")
+    for status in fs.listStatus(at(final)):
+        old = pattern.fullmatch(status.getPath().getName())
+        if old and int(old[1]) != num_shards:
+            fs.delete(status.getPath(), False)
+    return manifest
+

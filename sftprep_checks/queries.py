@@ -611,13 +611,14 @@ def pairs_sink_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sharded_sink_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Contiguous shards written and read back; a column named with '_' stays."""
-    from sftprep.sources.sinks import write_sharded_parquet
+    """Contiguous shards written as exactly named files and read back; a column named with '_' stays."""
+    from sftprep.sources.files import base_name
+    from sftprep.sources.sinks import write_shard_files
 
     path = _folder(spark, "shards")
     rows = read_table(spark, sf, "documents").select("doc_id", F.col("lang").alias("_label"), "n_chars")
-    write_sharded_parquet(rows, path, "train", FX.SHARDS, ["doc_id"])
-    return flat(spark.read.parquet(path))
+    write_shard_files(rows, path, "train", FX.SHARDS, ["doc_id"])
+    return flat(spark.read.parquet(path).withColumn("shard_file", base_name(F.input_file_name())))
 
 
 def document_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -659,18 +660,28 @@ def write_files(files: DataFrame, folder: str) -> None:
 
 
 def image_files_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Image files in sub-folders, some with hidden names, scanned and joined by name."""
-    from sftprep.sources.files import scan_images
+    """S7/F2/F3/P17 on files: names joined, headers read by range, bodies read last.
+
+    Some files have hidden names, some manifest names are spelled with './' or as
+    absolute paths, and the files of one language are no images.
+    """
+    from sftprep.operators import images as I
+    from sftprep.sources.files import list_images
+    from sftprep.sources.listing import located_path
 
     path = _folder(spark, "images")
     docs = read_table(spark, sf, "documents")
     lead = F.when(F.col("doc_id") % 7 == 1, "_").when(F.col("doc_id") % 7 == 2, ".").otherwise("")
     name = F.concat(F.col("source"), F.lit("/"), lead, F.col("doc_id").cast("string"), F.lit(".png"))
-    files = docs.select(name.alias("name"), F.concat(F.unhex(F.lit("89504E470D0A1A0A")), F.col("text").cast("binary")).alias("content"))
+    magic = F.unhex(F.when(F.col("lang") == "fr", "4E4F").when(F.col("lang") == "de", "0000001C667479706D696631000000006D696631617669666D696166").otherwise("89504E470D0A1A0A"))
+    files = docs.select(name.alias("name"), F.concat(magic, F.col("text").cast("binary")).alias("content"))
     write_files(files, path)
-    manifest = docs.select("doc_id", name.alias("file_name"), F.lit(None).cast("string").alias("instruction"), F.col("lang").alias("text"))
-    good, _ = V.split_valid_images(V.join_images(manifest, scan_images(spark, path)))
-    rows = V.image_text_rows(good)
+    root, _ = located_path(spark, path)
+    spelled = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("./"), name)).when(F.col("doc_id") % 3 == 1, F.concat(F.lit(root + "/"), name)).otherwise(name)
+    manifest = docs.select("doc_id", spelled.alias("file_name"), F.lit(None).cast("string").alias("instruction"), F.col("lang").alias("text"))
+    located = I.locate_images(manifest, list_images(spark, path), root=root)
+    good, _ = I.split_by_format(located, I.read_formats(located))
+    rows = V.image_text_rows(I.with_content(good))
     relative = F.regexp_extract("image_path", r"/(src[0-9]+/[^/]+)$", 1)
     return rows.select(relative.alias("name"), "text", F.length(F.col("image.bytes")).cast("long").alias("n_bytes"))
 

@@ -81,7 +81,9 @@ def test_vendor_dataset_in_line_order(spark, tmp_path):
         for f, q, a in lines), encoding="utf-8")
     shards, bad = create_vendor_dataset(spark, str(tmp_path), num_shards=3)
     assert sorted((r.shard, r.n_rows) for r in shards.collect()) == [(0, 2), (1, 2), (2, 0)]
-    data = spark.read.parquet(str(tmp_path / "data")).orderBy("shard_file", "question").collect()
+    assert sorted(os.listdir(tmp_path / "data")) == [f"train-0000{i}-of-00003.parquet" for i in range(3)]
+    named = spark.read.parquet(str(tmp_path / "data")).withColumn("shard_file", F.element_at(F.split(F.input_file_name(), "/"), -1))
+    data = named.orderBy("shard_file", "question").collect()
     assert "row_idx" not in data[0].asDict() and [r.question for r in data] == ["q1", "q2", "q1", "q3"]
     assert data[0].shard_file == "train-00000-of-00003.parquet" and data[0].image.bytes[:2] == b"\xff\xd8"
     assert bad.count() == 0
