@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
+
+from sftprep.session import cut_lineage, ensure_library_on_workers
 
 KEYS = ("source", "chunk_id")
 
@@ -47,7 +52,8 @@ def skip_done_chunks(
 
     Placed *before* any model call.  The done-key side is broadcast only
     after measuring it (rows and key bytes) against the budget; beyond the
-    budget both sides shuffle on the chunk key.
+    budget a Bloom filter of the done keys keeps the chunk rows where they were
+    scanned (``_skip_by_filter``).
 
     With ``partitions`` the result comes out hash-partitioned on the keys into
     exactly that many partitions (the model-call spread), and a shuffled join
@@ -85,7 +91,74 @@ def skip_done_chunks(
             .filter(F.col("_done").isNull())
             .drop("_done")
         )
-    return chunks.join(done, on=keys, how="left_anti")
+    return _skip_by_filter(chunks, cut_lineage(done), int(size["rows"]), keys, max(budget, 1))
+
+
+def _skip_by_filter(chunks: DataFrame, done: DataFrame, n_done: int, keys: list[str], budget: int) -> DataFrame:
+    """Chunks that are not done, without a shuffle of chunk rows where that is possible.
+
+    A Bloom filter of the done keys, of at most FILTER_BYTES, tells which chunks may be done; all
+    others stay where they were scanned.  Of the possible ones only the keys are joined
+    with the exact keys, which leaves the filter's few mistakes.  If these fit the
+    broadcast budget, chunk rows meet them by broadcast; if a filter of bounded size
+    makes too many, the possible rows go through a shuffled join.
+    """
+    maybe = bloom_filter(done, n_done, keys)
+    tagged = chunks.withColumn("_maybe", maybe(*[F.col(k) for k in keys]))
+    mistakes = cut_lineage(tagged.filter("_maybe").select(*keys).distinct().join(done, keys, "left_anti"))
+    size = mistakes.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.length(F.col(keys[0]).cast("string"))), F.lit(0)).alias("bytes")).first()
+    if int(size["bytes"]) + 48 * int(size["rows"]) <= budget:
+        # null keys match nothing that is done
+        flags = F.broadcast(mistakes.withColumn("_todo", F.lit(True)))
+        match = [F.col(f"c.{k}").eqNullSafe(F.col(f"m.{k}")) for k in keys]
+        both = tagged.alias("c").join(flags.alias("m"), reduce(lambda x, y: x & y, match), "left")
+        return both.filter(~F.col("_maybe") | F.col("_todo").isNotNull()).select(*[F.col(f"c.{c}") for c in chunks.columns])
+    rest = tagged.filter("_maybe").join(done, keys, "left_anti")
+    return tagged.filter("NOT _maybe").unionByName(rest.select(*tagged.columns)).drop("_maybe")
+
+
+#: bits per key and hash functions of the resume filter (1 % mistakes), and its largest size
+FILTER_BITS, FILTER_HASHES, FILTER_BYTES = 10, 7, 64 * 1024 * 1024
+
+
+def bloom_filter(keys_df: DataFrame, n: int, keys: Sequence[str], max_bytes: int = FILTER_BYTES) -> Callable[..., Column]:
+    """A Bloom filter built by Spark over the key columns; returns ``maybe(*columns)``, true for every key that is in it.
+
+    Its 64-bit words are or-ed together map-side and by word, so what reaches the
+    driver is bounded by ``max_bytes`` whatever the number of keys; beyond that size the
+    filter makes more mistakes, never misses.
+    """
+    spark = keys_df.sparkSession
+    ensure_library_on_workers(spark)
+    words = max(16, min(n * FILTER_BITS // 64 + 1, max_bytes // 8))
+    columns = [F.col(k) for k in keys]
+    ones = F.array(*[F.pmod(_hash(columns, i), F.lit(words * 64)) for i in range(FILTER_HASHES)])
+    bits = keys_df.select(F.explode(ones).alias("at"))
+    merged = bits.groupBy(F.floor(F.col("at") / 64).cast("long").alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("v")
+    )
+    table = np.zeros(words, dtype=np.int64)
+    for part in merged.select("w", "v").toArrow().to_batches():  # at most ``words`` rows
+        table[part.column(0).to_numpy()] = part.column(1).to_numpy()
+    shared = spark.sparkContext.broadcast(table.view(np.uint64))
+
+    @arrow_udf("boolean")
+    def held(hashes: pa.Array) -> pa.Array:
+        found = np.ones(len(hashes), dtype=bool)
+        flat = hashes.flatten().to_numpy().reshape(len(hashes), FILTER_HASHES)
+        for i in range(FILTER_HASHES):
+            at = flat[:, i]
+            found &= (shared.value[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1) == 1
+        return pa.array(found)
+
+    def maybe(*cols: Column) -> Column:
+        return held(F.array(*[F.pmod(_hash(cols, i), F.lit(words * 64)) for i in range(FILTER_HASHES)]))
+
+    return maybe
+
+
+def _hash(cols: Sequence[Column], i: int) -> Column:
+    return F.xxhash64(F.lit(i), *cols)
 
 
 def merge_pairs(*pair_sets: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Incremental ingest - new documents are chunked (and prompted) exactly once.
 
-A Structured Streaming file source over the document folder feeds
-``foreachBatch``.  Each micro-batch is chunked, turned into question prompts
+A Structured Streaming file source over the document folder (for document files
+our own, ``folder_source``, which also sees hidden names) feeds ``foreachBatch``.  Each micro-batch is chunked, turned into question prompts
 and written to its own ``run_id=<query>/batch_id=<epoch>`` folder with
 overwrite, so a batch replayed after a failure replaces its own output, nothing
 is written twice, and a query under another checkpoint never touches it; no
@@ -24,33 +24,38 @@ from pyspark.sql import types as T
 from sftprep.functions.prompts import question_prompt
 from sftprep.operators.chunking import chunk_documents
 from sftprep.operators.resume import skip_done_chunks
-from sftprep.sources.files import TEXT_EXTENSIONS, base_name, extension, read_pairs_or_empty, source_id
 from sftprep.session import ensure_library_on_workers, scratch_path
-
-BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+from sftprep.sources.files import TEXT_EXTENSIONS, read_pairs_or_empty, source_id
+from sftprep.sources.listing import located_path
+from sftprep.streaming.folder_source import folder_source
 
 
 def _source(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None) -> DataFrame:
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    if os.path.isfile(path):  # one file: watch its folder, only that name
-        reader = reader.option("pathGlobFilter", os.path.basename(path))
-        path = os.path.dirname(path)
+    path, is_dir = located_path(spark, path)
+    if not is_dir:  # one file: watch its folder, only that name
+        folder, _, name = path.rpartition("/")
+        reader = reader.option("pathGlobFilter", name)
+        path = folder
     return reader.parquet(path)
 
 
-def _documents(spark: SparkSession, path: str, max_files: int | None) -> DataFrame:
-    """S1/S2 as a stream: ``source, text`` of the text documents that arrive in a folder.
-
-    Spark's file stream leaves out names that begin with '_' or '.'.
-    """
-    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+def _documents(spark: SparkSession, path: str, checkpoint_path: str, max_files: int | None) -> DataFrame:
+    """S1/S2 as a stream: ``source, text`` of the text documents that arrive in a folder, whatever their names."""
+    root, is_dir = located_path(spark, path)
+    spark.dataSource.register(folder_source())
+    files = spark.readStream.format("sftprep_folder").option("path", root).option("log", _files_log(checkpoint_path))
+    if is_dir:
+        files = files.option("suffixes", ",".join(TEXT_EXTENSIONS))
     if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    name = base_name(F.col("path"))
-    files = reader.load(path).filter(extension(name).isin(*TEXT_EXTENSIONS))
-    return files.select(source_id(F.col("path")).alias("source"), F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
+        files = files.option("maxfiles", max_files)
+    return files.load().select(source_id(F.col("path")).alias("source"), F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
+
+
+def _files_log(checkpoint_path: str) -> str:
+    return checkpoint_path.rstrip("/") + ".files"
 
 
 def _existing(spark: SparkSession, sink: str) -> DataFrame | None:
@@ -96,7 +101,7 @@ def run_incremental(
         key_col, text_col = "source", "text"
     ensure_library_on_workers(spark)  # foreachBatch runs on another thread
     if schema is None:
-        stream = _documents(spark, source_path, max_files_per_trigger)
+        stream = _documents(spark, source_path, checkpoint_path, max_files_per_trigger)
     else:
         stream = _source(spark, source_path, schema, max_files_per_trigger).select(key_col, text_col)
 
@@ -121,15 +126,22 @@ def run_incremental(
                 ch = ch.join(prior, [key_col, "chunk_id"], "left_anti")
         ch.write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/run_id={run_id}/batch_id={epoch_id}")
 
-    q = (
-        stream.writeStream.foreachBatch(batch)
-        .option("checkpointLocation", checkpoint_path)
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+    def once() -> int:
+        """Everything that is planned now; the number of batches."""
+        q = (
+            stream.writeStream.foreachBatch(batch)
+            .option("checkpointLocation", checkpoint_path)
+            .trigger(availableNow=True)
+            .start()
+        )
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+        return sum(p["numInputRows"] > 0 for p in q.recentProgress)
+
+    # the folder source plans one batch a start, and a start after a failure replays the planned one first
+    while once() and schema is None:
+        pass
 
 
 def stream_chunks_once(

@@ -597,7 +597,7 @@ def calibration_messages_array() -> str:
 
 def incremental_documents() -> str:
     inner = plain_chunks_sql(
-        "SELECT 'd_' || doc_id || CASE lang WHEN 'en' THEN '_txt' ELSE '_MD' END AS doc_id, text FROM documents",
+        "SELECT CASE WHEN doc_id % 5 IN (1, 2) THEN '_' ELSE '' END || 'd_' || doc_id || CASE lang WHEN 'en' THEN '_txt' ELSE '_MD' END AS doc_id, text FROM documents",
         FX.CHUNK_SIZE, FX.CHUNK_OVERLAP, K.PLAIN_SEPS,
     )
     return f"""

@@ -744,13 +744,14 @@ def calibration_messages_array(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def incremental_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """T1 over document files: the chunks of every text file that arrived in a folder."""
+    """T1 over document files: the chunks of every text file that arrived in a folder, hidden names included."""
     import os
 
     from sftprep.streaming.incremental import run_incremental
 
     base = _folder(spark, "incremental-files")
-    name = F.concat(F.lit("d."), F.col("doc_id").cast("string"), F.when(F.col("lang") == "en", ".txt").otherwise(".MD"))
+    lead = F.when(F.col("doc_id") % 5 == 1, "_").when(F.col("doc_id") % 5 == 2, ".").otherwise("")
+    name = F.concat(lead, F.lit("d."), F.col("doc_id").cast("string"), F.when(F.col("lang") == "en", ".txt").otherwise(".MD"))
     docs = read_table(spark, sf, "documents")
     write_files(docs.select(name.alias("name"), F.col("text").cast("binary").alias("content")), os.path.join(base, "in"))
     sink = os.path.join(base, "sink")
