@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 from sftprep.operators.chunking import chunk_documents
 from sftprep.operators.images import with_content
+from sftprep.session import scratch_path
+from sftprep.sources.json_array import BLOCK_BYTES, json_array_records
 from sftprep.sources.listing import list_files, located_path
 
 # ---------------------------------------------------------------------------
@@ -128,12 +130,14 @@ def load_chunks(
 
 
 def read_training_json(
-    spark: SparkSession, path: str, schema: T.StructType = TRAINING_SCHEMA, multiline: bool | None = None
+    spark: SparkSession, path: str, schema: T.StructType | None = TRAINING_SCHEMA, multiline: bool | None = None, block: int = BLOCK_BYTES
 ) -> DataFrame:
-    """A JSON array file or JSON lines, explicit schema.
+    """A JSON array file or JSON lines.
 
     With ``multiline`` None the first non-blank character decides: '[' means
-    a JSON array.
+    a JSON array.  A single array file beyond ``block`` bytes is read by several
+    tasks (``sources.json_array``).  ``schema`` None keeps every field of the
+    records: the three training fields as strings, the others as Spark infers them.
     """
     if multiline is None:
         first = (
@@ -146,7 +150,21 @@ def read_training_json(
         if not first:
             raise ValueError(f"no records in {path}")
         multiline = first[0]["v"].startswith("[")
-    return spark.read.schema(schema).option("multiLine", multiline).option("mode", "FAILFAST").json(path)
+    if multiline:
+        root, is_dir = located_path(spark, path)
+        length = 0 if is_dir else list_files(spark, root, False).first()["length"]
+        if length > block:
+            # saved as JSON lines: line ends inside a record are white space
+            path, multiline = scratch_path(spark, "records"), False
+            json_array_records(spark, root, length, block).select(F.translate("value", "\r\n", "  ").alias("value")).write.text(path)
+    reader = spark.read.option("multiLine", multiline).option("mode", "FAILFAST")
+    return reader.schema(schema or _training_fields(reader.json(path).schema)).json(path)
+
+
+def _training_fields(found: T.StructType) -> T.StructType:
+    """The training fields as strings, then the other fields of the records."""
+    other = [f for f in found.fields if f.name not in TRAINING_SCHEMA.names]
+    return T.StructType([*TRAINING_SCHEMA.fields, *other])
 
 
 def load_training_dataset(
@@ -157,7 +175,7 @@ def load_training_dataset(
     if dataset_name:
         return spark.table(dataset_name)
     if dataset_path:
-        return read_training_json(spark, dataset_path)
+        return read_training_json(spark, dataset_path, schema=None)
     raise ValueError("dataset_name or dataset_path is required")
 
 

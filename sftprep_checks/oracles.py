@@ -572,6 +572,18 @@ def training_json_roundtrip() -> str:
     return "SELECT lang AS instruction, source AS input, text AS output FROM documents"
 
 
+def training_json_array() -> str:
+    return "SELECT lang AS instruction, source AS input, text AS output, doc_id, n_chars::BIGINT AS n_chars FROM documents"
+
+
+def load_chunks_of_files() -> str:
+    inner = plain_chunks_sql("SELECT 'd' || doc_id || '_txt' AS doc_id, text FROM documents", FX.CHUNK_SIZE, FX.CHUNK_OVERLAP, K.PLAIN_SEPS)
+    return f"""
+    SELECT doc_id AS source, chunk_id::BIGINT AS chunk_id, s::BIGINT AS chunk_start, e::BIGINT AS chunk_end,
+           substring(text, s + 1, e - s) AS chunk
+    FROM ({inner})"""
+
+
 def manifest_roundtrip() -> str:
     return "SELECT source || '/' || doc_id AS file_name, lang AS instruction, text FROM documents"
 

@@ -551,7 +551,7 @@ def qa_generation_restarted(spark: SparkSession, sf: str) -> DataFrame:
         "name", F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")))
     path = _folder(spark, "restarted")
     opts = dict(source=source_id(F.col("name")), chunk_size=FX.CHUNK_SIZE, overlap=FX.CHUNK_OVERLAP,
-                generate_num=FX.GENERATE_NUM, fmt="parquet", wave_chunks=20_000)
+                generate_num=FX.GENERATE_NUM, fmt="parquet", wave_chunks=8_000, call_partitions=4)
     run_generation(docs, make_client, path, max_waves=1, **opts)
     run_generation(docs, make_client, path, **opts)
     return flat(read_pairs_or_empty(spark, path, "parquet"))
@@ -696,6 +696,44 @@ def training_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return load_training_dataset(spark, dataset_path=path)
 
 
+def write_array(records: DataFrame, path: str) -> None:
+    """One JSON array file of all records (``value``), streamed to one file partition by partition."""
+    from sftprep.sources.listing import file_system
+
+    filesystem, inner = file_system(path)
+    filesystem.create_dir(inner.rpartition("/")[0], recursive=True)
+    with filesystem.open_output_stream(inner) as f:
+        lead = b"[\n"
+        for row in records.toLocalIterator():
+            f.write(lead + row["value"].encode())
+            lead = b",\n"
+        f.write(b"\n]\n")
+
+
+def training_json_array(spark: SparkSession, sf: str) -> DataFrame:
+    """S5 on one array file read by many tasks: the records keep their other fields too."""
+    from sftprep.sources.files import read_training_json
+
+    path = _folder(spark, "array")
+    docs = read_table(spark, sf, "documents").repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id")
+    record = F.to_json(F.struct(F.col("lang").alias("instruction"), F.col("source").alias("input"), F.col("text").alias("output"),
+                                F.struct("doc_id", F.array("n_chars").alias("sizes")).alias("meta")))
+    write_array(docs.select(record.alias("value")), f"{path}/train.json")
+    out = read_training_json(spark, f"{path}/train.json", schema=None, block=200_000)
+    return flat(out.select("instruction", "input", "output", F.col("meta.doc_id").alias("doc_id"), F.col("meta.sizes")[0].alias("n_chars")))
+
+
+def load_chunks_of_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A folder of files straight to plain chunks."""
+    from sftprep.sources.files import load_chunks
+
+    path = _folder(spark, "chunk-files")
+    docs = read_table(spark, sf, "documents")
+    write_files(docs.select(F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"), F.col("text").cast("binary").alias("content")), path)
+    chunks = load_chunks(spark, path, chunk_size=FX.CHUNK_SIZE, overlap=FX.CHUNK_OVERLAP)
+    return flat(chunks.select("source", "chunk_id", "chunk_start", "chunk_end", "chunk"))
+
+
 def manifest_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """A manifest written as JSON lines and read back."""
     from sftprep.sources.files import read_manifest
