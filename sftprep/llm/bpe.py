@@ -40,6 +40,8 @@ END, WORD = b"\xff", b"\xfe"
 MARK = "\ue000"  # stands for END until the text is encoded; not a common letter
 #: remembered fragments and white-space separated strings per worker; then it starts anew
 REMEMBERED = 300_000
+#: words of the compact word table, which arrays of texts use
+TABLE = 1_500_000
 #: longest fragment that goes through the matrix; longer ones use a heap
 MATRIX_WIDTH = 48
 #: characters of text that are split into words at once
@@ -103,6 +105,7 @@ class Vocabulary:
             self.joined[b[:-1], b[1:]] = True
         self.joined[END[0], :] = self.joined[:, END[0]] = True
         self.words: dict[str, bytes] = {}
+        self._clear_table()
         self.fragments: dict[bytes, bytes] = {}  # a fragment that ends its piece has END at its end
 
     def _merge_table(self, merges: list) -> None:
@@ -239,6 +242,12 @@ class Vocabulary:
         return b"".join(bytes(map(self.value.__getitem__, p)) + END for p, _ in pieces) + WORD
 
     def _learn_words(self, words: list[str]) -> None:
+        words, ids, upto = self._ids_of_words(words)
+        ends = upto.tolist()
+        self.words.update(zip(words, [ids[x:y] for x, y in zip([0, *ends[:-1]], ends)]))
+
+    def _ids_of_words(self, words: list[str]) -> tuple[list[str], bytes, np.ndarray]:
+        """The words in another order, all their ids, and where each word's ids end (in bytes)."""
         if len(self.fragments) > REMEMBERED:
             self.fragments.clear()
         rare = [] if COMMON.fullmatch("".join(words)) else [w for w in words if not COMMON.fullmatch(w)]
@@ -258,8 +267,7 @@ class Vocabulary:
         ids = list(map(self.fragments.__getitem__, fragments))
         joined = b"".join(ids)
         ends = np.cumsum(np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)))
-        upto = ends[np.searchsorted(bounds, word_ends, side="right") - 1].tolist()
-        self.words.update(zip([*common, *rare], [joined[x:y] for x, y in zip([0, *upto[:-1]], upto)]))
+        return [*common, *rare], joined, ends[np.searchsorted(bounds, word_ends, side="right") - 1]
 
     def _plain(self, segments: list[str]) -> list[bytes]:
         split = [WORDS.findall(s) if SEPARATORS.search(s) else s.split() for s in segments]
@@ -310,6 +318,65 @@ class Vocabulary:
         flush()
         return [b"".join(parts) for parts in out]
 
+    def _table_places(self, distinct: pa.Array) -> np.ndarray:
+        """Places of some distinct words in the word table; unknown words are encoded and appended."""
+        import pyarrow.compute as pc
+
+        if len(self.table_words) + len(distinct) > TABLE:
+            self._clear_table()
+        found = pc.index_in(distinct, value_set=self.table_words)
+        missing = found.is_null()
+        new = distinct.filter(missing)
+        place = pc.fill_null(found, -1).to_numpy(zero_copy_only=False).copy()
+        if not len(new):
+            return place
+        words, ids, upto = self._ids_of_words(new.to_pylist())
+        ends = upto // self.kind.itemsize
+        sizes = np.diff(ends, prepend=0)
+        self.table_begins = np.concatenate([self.table_begins, len(self.table_ids) + ends - sizes])
+        self.table_sizes = np.concatenate([self.table_sizes, sizes])
+        self.table_ids = np.concatenate([self.table_ids, np.frombuffer(ids, dtype=self.kind)])
+        known, ordered = len(self.table_words), pa.array(words, pa.large_string())
+        self.table_words = pa.concat_arrays([self.table_words, ordered])
+        place[missing.to_numpy(zero_copy_only=False)] = known + pc.index_in(new, value_set=ordered).to_numpy()
+        return place
+
+    def _clear_table(self) -> None:
+        """The word table holds the empty string only (what splitting leaves beside white space)."""
+        self.table_words = pa.array([""], pa.large_string())
+        self.table_begins, self.table_sizes = np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
+        self.table_ids = np.empty(0, dtype=self.kind)
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, where each text's ids end): every distinct word of the array is looked up once."""
+        import pyarrow.compute as pc
+
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        # special strings, the separators that are no white space here, and long texts go one by one
+        apart = pc.or_(pc.match_substring_regex(texts, "[\x1c-\x1f]"), pc.greater(pc.binary_length(texts), SEGMENT))
+        for special in self.special:
+            apart = pc.or_(apart, pc.match_substring(texts, special))
+        plain = texts.filter(pc.invert(apart))
+        words = pc.utf8_split_whitespace(plain)
+        coded = words.flatten().dictionary_encode()
+        place = self._table_places(coded.dictionary)
+        begins, sizes, flat = self.table_begins[place], self.table_sizes[place], self.table_ids
+        at = coded.indices.to_numpy()
+        lengths = sizes[at]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = flat[np.repeat(begins[at] - ends + lengths, lengths) + np.arange(total)]
+        bounds = np.cumsum(pc.list_value_length(words).to_numpy())
+        stops = np.concatenate([[0], ends])[bounds]
+        rare = np.flatnonzero(apart.to_numpy(zero_copy_only=False))
+        if not rare.size:
+            return ids, stops
+        pieces = np.split(ids, stops[:-1]) if len(stops) else []
+        order = iter(pieces)
+        special_ids = dict(zip(rare.tolist(), self.encode([texts[int(i)].as_py() for i in rare])))
+        each = [np.frombuffer(special_ids[i], dtype=self.kind) if i in special_ids else next(order) for i in range(len(texts))]
+        return np.concatenate(each), np.cumsum([len(x) for x in each])
+
     def decode(self, ids: np.ndarray) -> str:
         """Token strings joined by a space: what a file without a decoder gives."""
         return " ".join(map(self.tokens.__getitem__, ids.tolist()))

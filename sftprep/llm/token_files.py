@@ -1,8 +1,9 @@
 """Operator 6: token ids in files, coded by a static range asymmetric numeral system.
 
-The corpus is tokenized once into blocks of whole documents in ascending id
-order.  One frequency table, counted over all blocks and scaled to 2**PRECISION,
-is shared by every block, so blocks are coded and decoded independently.  Inside
+The corpus is tokenized once, where its texts are scanned; only the ids, two bytes
+each for vocabularies below 65,536 tokens, are stored and then ordered by document
+id into blocks of whole documents.  One frequency table, counted over all ids and scaled to
+2**PRECISION, is shared by every block, so blocks are coded and decoded independently.  Inside
 a block LANES coders are interleaved: symbol i belongs to lane i % LANES, and a
 step moves all lanes at once.  A block holds its coded words, a checkpoint
 (states and word position) every CHECKPOINT steps, from which decoding may start,
@@ -13,7 +14,7 @@ block, first, docs, lengths, coded), both Parquet.  ``first`` counts the ids of
 the shard before the block; a shard is a range of document ids.
 
 Defined results: a null or empty text is its end id alone; rows that share a
-doc_id are documents of their own, ordered by text; null ids come first; a text
+doc_id are documents of their own, ordered by a digest of their ids; null ids come first; a text
 of any length is one document of one block; an empty table gives no rows.
 """
 
@@ -38,6 +39,8 @@ BLOCK = 1 << 18
 LANES = 1024
 CHECKPOINT = 128
 PRECISION = 20
+#: bytes of text that are tokenized at once
+TEXTS = 16_000_000
 LOW = np.uint64(1 << 31)
 HEAD = struct.Struct("<4sIIIIII")  # magic, ids, lanes, steps, checkpoint interval, words, checksum
 MAGIC = b"RNS1"
@@ -138,76 +141,85 @@ def decode_block(raw: bytes, t: FrequencyTable, start: int = 0, stop: int | None
 
 
 def tokenized(docs: DataFrame, path: str, key: str, text: str, end_id: int) -> DataFrame:
-    """(shard, block, first, docs, lengths, ids): whole documents in ascending order of their ids."""
-    spark = docs.sparkSession
-    file = bpe.shared_file(spark, path)
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """(k, ids, null) for every document, and (null, null, counts by token) for every task."""
+    file = bpe.shared_file(docs.sparkSession, path)
 
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = bpe.loaded(file.value)
-        end = np.array([end_id], dtype=vocabulary.kind).tobytes()
+        kind = vocabulary.kind
+        total = np.zeros(max(len(vocabulary.tokens), end_id + 1), dtype="<i8")
+        for batch in batches:
+            for start, stop in bpe.slices(column(batch, "t"), TEXTS):
+                ids, ends = vocabulary.encode_array(column(batch, "t").slice(start, stop - start))
+                ids = np.insert(ids, ends, end_id).astype(kind)  # an end id after each document
+                total += np.bincount(ids, minlength=len(total))
+                offsets = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]) * kind.itemsize
+                data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets.astype("<i8")), pa.py_buffer(ids.tobytes())])
+                yield pa.RecordBatch.from_arrays([column(batch, "k").slice(start, stop - start), data.cast(pa.binary()), pa.nulls(len(ends), pa.binary())], names=["k", "ids", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.tobytes()], pa.binary())], names=["k", "ids", "counts"])
+
+    rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
+    return rows.mapInArrow(encoded, "k long, ids binary, counts binary")
+
+
+def in_blocks(encoded: DataFrame, kind: str, frequency) -> DataFrame:
+    """(shard, block, first, docs, lengths, coded): whole documents in ascending order of their ids."""
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = FrequencyTable(frequency.value)
         shard, block, first, held = TaskContext.get().partitionId(), 0, 0, 0
         names, parts, lengths = [], [], []
 
         def out() -> pa.RecordBatch:
+            coded = encode_block(np.frombuffer(b"".join(parts), dtype=kind), t)
             columns = [pa.array([shard], pa.int32()), pa.array([block], pa.int32()), pa.array([first], pa.int64()), pa.array([names], pa.list_(pa.int64()))]
-            return pa.RecordBatch.from_arrays([*columns, list_array([np.array(lengths)], pa.int32()), pa.array([b"".join(parts)], pa.binary())], names=["shard", "block", "first", "docs", "lengths", "ids"])
+            return pa.RecordBatch.from_arrays([*columns, list_array([np.array(lengths)], pa.int32()), pa.array([coded], pa.binary())], names=["shard", "block", "first", "docs", "lengths", "coded"])
 
+        size = np.dtype(kind).itemsize
         for batch in batches:
-            for start, stop in bpe.slices(column(batch, "t")):
-                ids = vocabulary.encode(column(batch, "t").slice(start, stop - start).to_pylist())
-                for name, i in zip(column(batch, "k").slice(start, stop - start).to_pylist(), ids):
-                    names.append(name)
-                    parts += [i, end]
-                    lengths.append(len(i) // vocabulary.kind.itemsize + 1)
-                    held += lengths[-1]
-                    if held >= BLOCK:
-                        yield out()
-                        first, block, held = first + held, block + 1, 0
-                        names, parts, lengths = [], [], []
+            for name, ids in zip(column(batch, "k").to_pylist(), column(batch, "ids")):
+                names.append(name)
+                parts.append(ids.as_py())
+                lengths.append(len(parts[-1]) // size)
+                held += lengths[-1]
+                if held >= BLOCK:
+                    yield out()
+                    first, block, held = first + held, block + 1, 0
+                    names, parts, lengths = [], [], []
         if names:
             yield out()
 
-    rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
-    ordered = rows.repartitionByRange(shards, "k").sortWithinPartitions("k", "t")
-    return ordered.mapInArrow(blocks, "shard int, block int, first long, docs array<long>, lengths array<int>, ids binary")
+    shards = int(encoded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the digest deals out rows of one id (or without one) among shards, and orders them
+    rows = encoded.select("k", "ids", F.md5("ids").alias("tie"))
+    ordered = rows.repartitionByRange(shards, "k", "tie").sortWithinPartitions("k", "tie")
+    return ordered.select("k", "ids").mapInArrow(blocks, "shard int, block int, first long, docs array<long>, lengths array<int>, coded binary")
 
 
 def write_tokens(docs: DataFrame, folder: str, path: str, key: str = "doc_id", text: str = "text", end_id: int = END_ID) -> None:
     """Tokenize ``docs`` and write the files below ``folder``."""
     spark = docs.sparkSession
     ship(spark)
-    blocks = stored(tokenized(docs, path, key, text, end_id), "token-blocks", "zstd")
+    encoded = stored(tokenized(docs, path, key, text, end_id), "token-ids", "zstd")
     with open(path, "rb") as f:
         vocabulary = bpe.loaded(f.read())
-    kind, size = vocabulary.kind.str, len(vocabulary.tokens)
+    total = np.zeros(max(len(vocabulary.tokens), end_id + 1), dtype=np.int64)
 
-    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, dtype=np.int64)
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine = np.zeros(len(total), dtype="<i8")
         for batch in batches:
-            for ids in column(batch, "ids"):
-                total += np.bincount(np.frombuffer(ids.as_py(), dtype=kind), minlength=size)
-        held = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["token", "n"])
-
-    seen = blocks.select("ids").mapInArrow(counts, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    total = np.zeros(size, dtype=np.int64)
-    for row in seen.collect():  # at most one row per vocabulary token
+            for part in column(batch, "counts"):
+                mine += np.frombuffer(part.as_py(), dtype="<i8")
+        held = np.flatnonzero(mine)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(mine[held])], names=["token", "n"])
+
+    seen = encoded.select("counts").filter("counts IS NOT NULL").mapInArrow(summed, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    for row in seen.toLocalIterator():  # at most one row per vocabulary token
         total[row.token] = row.n
     scaled = FrequencyTable.scaled(total)
     rows = [(int(k), int(scaled[k])) for k in np.flatnonzero(scaled)]
     spark.createDataFrame(rows, "token long, frequency long").coalesce(1).write.parquet(f"{folder}/table")
-    shared = spark.sparkContext.broadcast(scaled)
-
-    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = FrequencyTable(shared.value)
-        for batch in batches:
-            for i, ids in enumerate(column(batch, "ids")):
-                data = encode_block(np.frombuffer(ids.as_py(), dtype=kind), t)
-                yield pa.RecordBatch.from_arrays([column(batch, c).slice(i, 1) for c in names[:-1]] + [pa.array([data], pa.binary())], names=names)
-
-    names = ["shard", "block", "first", "docs", "lengths", "coded"]
-    blocks.mapInArrow(coded, "shard int, block int, first long, docs array<long>, lengths array<int>, coded binary").write.parquet(f"{folder}/blocks")
+    in_blocks(encoded.filter("ids IS NOT NULL"), vocabulary.kind.str, spark.sparkContext.broadcast(scaled)).write.parquet(f"{folder}/blocks")
 
 
 def read_tokens(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFrame:

@@ -37,6 +37,16 @@ def test_ids_equal_the_library(text):
     assert VOCABULARY.decode(np.array(ids, dtype=int)) == LIBRARY.decode(ids, skip_special_tokens=False)
 
 
+def test_arrays_equal_single_texts(monkeypatch):
+    import pyarrow as pa
+
+    texts = ["", None, "a  b ", " lead", "x\x1cy z", "é <|endoftext|> İ", "same same same", "\n", "Long text " * 40, "\u200b zero", "１２ ½"]
+    monkeypatch.setattr(B, "SEGMENT", 100)
+    for part in (texts, texts[:4], [None], ["plain", "words"], ["x\x1cy"], []):
+        ids, ends = VOCABULARY.encode_array(pa.array(part, pa.string()))
+        assert [p.tolist() for p in np.split(ids, ends[:-1])][: len(part)] == [library_ids(t) for t in part]
+
+
 def test_documents_equal_the_library(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     want = {r.doc_id: library_ids(r.text) for r in docs.collect()}
