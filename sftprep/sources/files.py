@@ -50,8 +50,8 @@ QA_PAIR_SCHEMA = T.StructType(
     ]
 )
 
-#: folder of the bucketed segments of a pair sink
-SEGMENTS = "segments"
+#: folder of the bucketed segments of a pair sink; named like a partition, so that plain readers of the sink find it
+SEGMENTS = "layout=buckets"
 
 
 def base_name(path: Column) -> Column:
@@ -158,7 +158,14 @@ def read_training_json(
             path, multiline = scratch_path(spark, "records"), False
             json_array_records(spark, root, length, block).select(F.translate("value", "\r\n", "  ").alias("value")).write.text(path)
     reader = spark.read.option("multiLine", multiline).option("mode", "FAILFAST")
-    return reader.schema(schema or _training_fields(reader.json(path).schema)).json(path)
+    if schema is None:
+        try:
+            schema = _training_fields(reader.json(path).schema)
+        except AnalysisException as exc:  # files without any record show no fields
+            if exc.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            schema = TRAINING_SCHEMA
+    return reader.schema(schema).json(path)
 
 
 def _training_fields(found: T.StructType) -> T.StructType:

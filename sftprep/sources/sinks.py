@@ -27,7 +27,7 @@ def append_pairs(pairs: DataFrame, path: str, fmt: str = "json", buckets: int |
     first, so each task holds a contiguous run of sources.
 
     With ``buckets`` the append is one segment of at most that many files below
-    ``<path>/segments``, hashed on ``(source, chunk_id)`` (a source holding a third of
+    ``<path>/layout=buckets``, hashed on ``(source, chunk_id)`` (a source holding a third of
     the rows fills all of them) and sorted, however many sources there are.
     ``read_pairs_or_empty`` reads both layouts; ``compact_pairs`` joins segments.
     """
