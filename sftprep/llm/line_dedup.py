@@ -34,9 +34,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.functions import arrow_udf
+from pyspark.sql import types as T
 
-from sftprep.llm.common import column, list_array, ship, stored, table, utf8_values
+from sftprep.llm.bpe import slices
+from sftprep.llm.common import column, ship, stored, table, utf8_values
 
 MIN_LENGTH = 10
 SHARDS = 64
@@ -227,10 +228,23 @@ class LineIndex:
         return lost.groupBy("doc").agg(F.collect_list("k1").alias("k1s"), F.collect_list("k2").alias("k2s"))
 
     def clean(self, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-        """The rows of ``docs`` as (row, r): the row unchanged, and r = struct<kept, n_lines, n_dropped>."""
+        """The rows of ``docs`` as (row, r): the row with its text moved to r = struct<kept, n_lines, n_dropped>; a null text stays null."""
         rows = docs.select(F.struct("*").alias("row"), document(F.col(key)).alias("doc"))
-        both = rows.join(self.dropped(), "doc", "left")
-        return both.select("row", without(F.col("row")[text], F.col("k1s"), F.col("k2s"), self.min_length).alias("r"))
+        both = rows.join(self.dropped(), "doc", "left").select("row", "k1s", "k2s")
+        shape = T.StructType([both.schema["row"], T.StructField("r", T.StructType.fromDDL("kept string, n_lines bigint, n_dropped bigint"))])
+        min_length = self.min_length
+
+        def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for start, stop in slices(column(batch, "row").field(text)):
+                    part = batch.slice(start, stop - start)
+                    row = column(part, "row")
+                    r = without(row.field(text), column(part, "k1s"), column(part, "k2s"), min_length)
+                    kinds = [row.type.field(i) for i in range(row.type.num_fields)]
+                    fields = [pa.nulls(len(row), f.type) if f.name == text else row.field(f.name) for f in kinds]
+                    yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(fields, fields=kinds), r], names=["row", "r"])
+
+        return both.mapInArrow(cleaned, shape)
 
 
 def counted(postings: DataFrame) -> DataFrame:
@@ -321,39 +335,31 @@ def probe(rows: DataFrame, filters: DataFrame, extra: str) -> DataFrame:
     return both.mapInArrow(probed, f"shard int, k1 long, k2 long, {extra}, hit boolean").drop("need")
 
 
-def without(text: Column, k1s: Column, k2s: Column, min_length: int) -> Column:
-    """The text without the lines of the given keys, and the numbers of lines before and dropped."""
-
-    @arrow_udf("struct<kept:string,n_lines:bigint,n_dropped:bigint>")
-    def kept(texts: pa.Array, a: pa.Array, b: pa.Array) -> pa.Array:
-        lines_of, before, lost = [], [], []
-        for t, x, y in zip(utf8_values(texts), a, b):
-            gone = np.stack([x.values.to_numpy(), y.values.to_numpy()], 1).astype("<i8").tobytes() if x.is_valid else b""
-            if gone:
-                out = {gone[i : i + 16] for i in range(0, len(gone), 16)}
-                lines, keys = line_keys(t, min_length)
-                stay = [line for line, k in zip(lines, keys) if k not in out]
-                n, t = len(lines), b"\n".join(stay)
-                lost.append(n - len(stay))
-            else:
-                n = t.count(b"\n") + 1
-                lost.append(0)
-            lines_of.append(t)
-            before.append(n)
-        fields = [pa.array(lines_of, pa.binary()).cast(pa.string()), pa.array(before, pa.int64()), pa.array(lost, pa.int64())]
-        return pa.StructArray.from_arrays(fields, names=["kept", "n_lines", "n_dropped"])
-
-    return kept(text, k1s, k2s)
+def without(texts: pa.Array, k1s: pa.Array, k2s: pa.Array, min_length: int) -> pa.StructArray:
+    """The texts without the lines of the given keys, and the numbers of lines before and dropped."""
+    kept, before, lost = [], [], []
+    for t, valid, x, y in zip(utf8_values(texts), texts.is_valid(), k1s, k2s):
+        gone = np.stack([x.values.to_numpy(), y.values.to_numpy()], 1).astype("<i8").tobytes() if x.is_valid else b""
+        n, dropped = t.count(b"\n") + 1, 0
+        if gone:
+            out = {gone[i : i + 16] for i in range(0, len(gone), 16)}
+            lines, keys = line_keys(t, min_length)
+            stay = [line for line, k in zip(lines, keys) if k not in out]
+            t, dropped = b"\n".join(stay), n - len(stay)
+        kept.append(t if valid.as_py() else None)
+        before.append(n)
+        lost.append(dropped)
+    fields = [pa.array(kept, pa.binary()).cast(pa.string()), pa.array(before, pa.int64()), pa.array(lost, pa.int64())]
+    return pa.StructArray.from_arrays(fields, names=["kept", "n_lines", "n_dropped"])
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", length: str | None = None) -> DataFrame:
     """``docs`` with repeated lines gone, columns unchanged; ``length`` names a column to hold the new text's length."""
     index = LineIndex.empty(docs.sparkSession).insert(docs, key, text)
     cleaned = index.clean(docs, key, text)
-    new = F.when(F.col("row")[text].isNull(), F.col("row")[text]).otherwise(F.col("r.kept"))
-    fields = {text: new}
+    fields = {text: F.col("r.kept")}
     if length:
-        fields[length] = F.length(new).cast(docs.schema[length].dataType)
+        fields[length] = F.length("r.kept").cast(docs.schema[length].dataType)
     return cleaned.select(*[fields.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
@@ -362,8 +368,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     index = LineIndex.empty(spark).insert(docs)
     return index.clean(docs).select(
-        F.col("row.doc_id").alias("doc_id"), F.col("r.n_lines").alias("n_lines"), F.col("r.n_dropped").alias("n_dropped"),
-        F.sha2(F.col("r.kept").cast("binary"), 256).alias("kept_sha256"),
+        "row.doc_id", "r.n_lines", "r.n_dropped", F.sha2(F.coalesce("r.kept", F.lit("")).cast("binary"), 256).alias("kept_sha256")
     )
 
 

@@ -9,19 +9,22 @@ a distance is above its limit.  All words that are not common share one bin, so
 even a text without any common word stays near the references by its words; the
 share of common words is therefore measured on its own, as a fraction of the
 distance that a text without them has, and rejected beyond half of it (a share above
-the reference's is never divergent).  Prose of a language without reference has few
-common words, so it is rejected like other divergent text.  Short documents are guarded: below
-``min_words`` words no divergence verdict is given.
+the reference's is never divergent).  A document that declares a language without a word
+list is compared by its character classes only, with its own language's texts among the
+references: no verdict on words is given without a reference for them.  Short documents are
+guarded: below ``min_words`` words no divergence verdict is given.
 
 Defined results: null text counts as empty; empty text has no words and fails
-the base rule; a null or unknown language only means that the document adds to
-no reference; without any reference (empty table) the base rule decides alone;
+the base rule; a null language, or one that is no language tag, only means that the document adds to
+no reference and is judged by all that have words; without any reference (empty table) the base rule decides alone;
 repeated rows each give a row; texts are taken whole.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +32,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from sftprep.llm.common import ship, stored, table, utf8_values
+from sftprep.llm.bpe import slices
+from sftprep.llm.common import column, list_array, ship, stored, table, utf8_values
 
 #: common words of the reference languages (fixed values)
 COMMON_WORDS = {
@@ -38,6 +42,8 @@ COMMON_WORDS = {
     "de": "der die das und zu in den von mit sich ist nicht ein eine als auf im dem für auch",
     "es": "el la los las de y que en un una por con para se del al es no como su",
 }
+#: a declared language: its primary subtag (at most 26**2 + 26**3 of them) names the reference
+TAG = re.compile("([a-z]{2,3})(?:[-_][a-z0-9]{1,8})*")
 MIN_WORDS = 50
 MAX_CLASS_DISTANCE = 0.30
 MAX_WORD_DISTANCE = 0.50
@@ -109,15 +115,29 @@ def features_of(text: bytes) -> tuple:
     return (len(words), code_points - int(counts[3]), symbols, len(lines) - len(set(lines)), repeat_words(words), counts.tolist(), bins)
 
 
-def features(text: Column) -> Column:
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "classes", "words"]
+FEATURE_NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+FEATURE_TYPE = pa.struct([*[pa.field(n, pa.int64()) for n in FEATURE_NAMES], pa.field("classes", pa.list_(pa.int64())), pa.field("words", pa.list_(pa.int64()))])
+
+
+def measured_texts(texts: pa.Array) -> np.ndarray:
+    """Features of each text as one row of numbers: the base counts, the class counts, the word bins."""
+    width = len(FEATURE_NAMES) + len(CLASS_NAMES) + N_BINS
+    out = np.zeros((len(texts), width), dtype=np.int64)
+    for i, t in enumerate(utf8_values(texts)):
+        f = features_of(t)
+        out[i, :5], out[i, 5 : 5 + len(CLASS_NAMES)], out[i, 5 + len(CLASS_NAMES) :] = f[:5], f[5], f[6]
+    return out
+
 
+def features(text: Column) -> Column:
     @arrow_udf(FEATURES)
     def of(texts: pa.Array) -> pa.Array:
-        rows = [dict(zip(names, features_of(t))) for t in utf8_values(texts)]
-        numbers = [pa.field(n, pa.int64()) for n in names[:5]]
-        lists = [pa.field(n, pa.list_(pa.int64())) for n in names[5:]]
-        return pa.array(rows, type=pa.struct(numbers + lists))
+        numbers = measured_texts(texts)
+        lists = []
+        for part in (numbers[:, 5 : 5 + len(CLASS_NAMES)], numbers[:, 5 + len(CLASS_NAMES) :]):
+            offsets = np.arange(len(texts) + 1, dtype=np.int32) * part.shape[1]
+            lists.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(part.ravel())))
+        return pa.StructArray.from_arrays([*[pa.array(numbers[:, c]) for c in range(5)], *lists], fields=list(FEATURE_TYPE))
 
     return of(text)
 
@@ -126,17 +146,44 @@ def base_failed(f: Column) -> Column:
     return (f["n_words"] < 20) | (100 * f["n_repeat_words"] > 30 * f["n_words"])
 
 
+def tag_of(lang: str | None) -> str | None:
+    """The primary subtag of a declared language, or None."""
+    found = TAG.fullmatch((lang or "").strip(" ").lower())
+    return found[1] if found else None
+
+
 def references(measured: DataFrame, lang: str = "lang", f: str = "f") -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Summed histograms by language: at most one row for each known language reaches the driver."""
+    """Summed histograms by language: one row for each declared primary subtag reaches the driver."""
     c = F.col(f)
     sums = [F.sum(c["classes"][i]).alias(f"c{i}") for i in range(len(CLASS_NAMES))]
     sums += [F.sum(c["words"][i]).alias(f"w{i}") for i in range(N_BINS)]
-    known = measured.filter(F.col(lang).isin(list(COMMON_WORDS)) & ~base_failed(c))
-    out = {}
-    for row in known.groupBy(lang).agg(*sums).collect():
-        values = np.array(row[1:], dtype=float)
-        out[row[0]] = (values[: len(CLASS_NAMES)], values[len(CLASS_NAMES) :])
-    return out
+    tag = F.regexp_extract(F.lower(F.trim(lang)), f"^{TAG.pattern}$", 1)
+    known = measured.filter(~base_failed(c)).groupBy(tag.alias("tag")).agg(*sums).filter("tag <> ''")
+    return _split({row[0]: np.array(row[1:], dtype=float) for row in known.collect()})
+
+
+def _split(sums: dict[str, np.ndarray]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    return {k: (v[: len(CLASS_NAMES)], v[len(CLASS_NAMES) :]) for k, v in sums.items()}
+
+
+def references_of_texts(docs: DataFrame, lang: str, text: str) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """The same straight from the texts: a task keeps one sum per declared language and emits nothing else."""
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for start, stop in slices(column(batch, "t")):
+                numbers = measured_texts(column(batch, "t").slice(start, stop - start))
+                good = (numbers[:, 0] >= 20) & (100 * numbers[:, 4] <= 30 * numbers[:, 0])
+                tags = np.array([tag_of(x) or "" for x in column(batch, "l").slice(start, stop - start).to_pylist()])
+                for k in set(tags[good].tolist()) - {""}:
+                    total[k] = total.get(k, 0) + numbers[good & (tags == k), 5:].sum(0)
+        held = list(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.string()), list_array([total[k] for k in held], pa.int64())], names=["l", "v"])
+
+    rows = docs.select(F.col(lang).cast("string").alias("l"), F.col(text).alias("t")).mapInArrow(summed, "l string, v array<bigint>")
+    each = [F.sum(F.col("v")[i]).alias(f"s{i}") for i in range(len(CLASS_NAMES) + N_BINS)]
+    return _split({r[0]: np.array(r[1:], dtype=float) for r in rows.groupBy("l").agg(*each).collect()})
 
 
 def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -158,27 +205,49 @@ def share_distance(words: np.ndarray, ref: np.ndarray) -> np.ndarray:
     return np.where(rarer, js_distance(p, q) / (none or 1), 0.0)
 
 
-def distances(f: Column, refs: dict[str, tuple[np.ndarray, np.ndarray]]) -> Column:
+def divergence(classes: np.ndarray, words: np.ndarray, langs: list, refs: dict[str, tuple[np.ndarray, np.ndarray]]) -> tuple[list, np.ndarray]:
+    """By row: the nearest language, and the three distances to it.
+
+    Rows that declare a language without a word list have distances of words of 0.
+    """
+    out, d = [None] * len(langs), np.zeros((3, len(langs)))
+    tags = [tag_of(x) for x in langs]
+    full = sorted(k for k in refs if k in COMMON_WORDS)
+    usual = np.array([t is None or t in COMMON_WORDS for t in tags], dtype=bool)
+    own = np.flatnonzero(usual)
+    if full and own.size:
+        dc = np.stack([js_distance(classes[own], refs[k][0]) for k in full])
+        dw = np.stack([js_distance(words[own], refs[k][1]) for k in full])
+        ds = np.stack([share_distance(words[own], refs[k][1]) for k in full])
+        at = (dc + dw).argmin(0)
+        d[:, own] = np.stack([x[at, np.arange(len(at))] for x in (dc, dw, ds)])
+        for i, k in zip(own.tolist(), at.tolist()):
+            out[i] = full[k]
+    for tag in {t for t, u in zip(tags, usual) if not u}:
+        own = np.array([i for i, t in enumerate(tags) if t == tag])
+        near = [*full, tag] if tag in refs else full
+        if not near:
+            continue
+        dc = np.stack([js_distance(classes[own], refs[k][0]) for k in near])
+        d[0, own] = dc.min(0)
+        for i, k in zip(own.tolist(), dc.argmin(0).tolist()):
+            out[i] = near[k]
+    return out, d
+
+
+def distances(f: Column, lang: Column, refs: dict[str, tuple[np.ndarray, np.ndarray]]) -> Column:
     """Distances to the nearest language: struct<language, class_distance, word_distance, share_distance>."""
-    langs = sorted(refs)
 
     @arrow_udf("struct<language:string,class_distance:double,word_distance:double,share_distance:double>")
-    def nearest(classes: pa.Array, words: pa.Array) -> pa.Array:
-        n = len(classes)
+    def measured(classes: pa.Array, words: pa.Array, langs: pa.Array) -> pa.Array:
         names = ["class_distance", "word_distance", "share_distance"]
         kind = pa.struct([("language", pa.string()), *[(k, pa.float64()) for k in names]])
-        if not n or not langs:
-            return pa.array([{"language": None} | dict.fromkeys(names, 0.0)] * n, type=kind)
-        c = np.array(classes.to_pylist(), dtype=float)
-        w = np.array(words.to_pylist(), dtype=float)
-        dc = np.stack([js_distance(c, refs[k][0]) for k in langs])
-        dw = np.stack([js_distance(w, refs[k][1]) for k in langs])
-        ds = np.stack([share_distance(w, refs[k][1]) for k in langs])
-        at = (dc + dw).argmin(0)
-        each = np.arange(n)
-        return pa.StructArray.from_arrays([pa.array([langs[i] for i in at]), *[pa.array(d[at, each]) for d in (dc, dw, ds)]], fields=list(kind))
+        c = np.array(classes.to_pylist(), dtype=float).reshape(len(langs), len(CLASS_NAMES))
+        w = np.array(words.to_pylist(), dtype=float).reshape(len(langs), N_BINS)
+        language, d = divergence(c, w, langs.to_pylist(), refs)
+        return pa.StructArray.from_arrays([pa.array(language, pa.string()), *map(pa.array, d)], fields=list(kind))
 
-    return nearest(f["classes"], f["words"])
+    return measured(f["classes"], f["words"], lang.cast("string"))
 
 
 def rejected(f: Column, d: Column, min_words: int = MIN_WORDS, max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE, max_share: float = MAX_SHARE_DISTANCE) -> Column:
@@ -192,7 +261,7 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     ship(docs.sparkSession)
     rows = docs.select(F.col(key).alias("k"), F.col(lang).alias("lang"), features(F.col(text)).alias("f"))
     measured = stored(rows, "quality-features")  # counts only: the texts are read once
-    d = distances(F.col("f"), references(measured))
+    d = distances(F.col("f"), F.col("lang"), references(measured))
     out = measured.withColumn("d", d)
     return out.select(
         F.col("k").alias(key),
@@ -206,12 +275,31 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     )
 
 
-def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", **limits) -> DataFrame:
-    """The rows of ``docs`` that are not rejected, all columns unchanged; no row is shuffled."""
+def keep_good(
+    docs: DataFrame, text: str = "text", lang: str = "lang", min_words: int = MIN_WORDS, max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE, max_share: float = MAX_SHARE_DISTANCE
+) -> DataFrame:
+    """The rows of ``docs`` that are not rejected, all columns unchanged; no row is shuffled.
+
+    Two scans: the first leaves a few sums by language, the second measures and filters
+    slices of bounded bytes, whose rows pass through unread but for the text.
+    """
     ship(docs.sparkSession)
-    refs = references(docs.select(F.col(lang).alias("lang"), features(F.col(text)).alias("f")))
-    rows = docs.select(F.struct("*").alias("row"), features(F.col(text)).alias("f"))
-    return rows.withColumn("d", distances(F.col("f"), refs)).filter(~rejected(F.col("f"), F.col("d"), **limits)).select("row.*")
+    refs = references_of_texts(docs, lang, text)
+    limits = np.array([max_class, max_word, max_share])[:, None]
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = column(batch, "row").field(text)
+            for start, stop in slices(texts):
+                numbers = measured_texts(texts.slice(start, stop - start))
+                out = (numbers[:, 0] < 20) | (100 * numbers[:, 4] > 30 * numbers[:, 0])
+                langs = column(batch, "row").field(lang).slice(start, stop - start).cast(pa.string()).to_pylist()
+                _, d = divergence(numbers[:, 5 : 5 + len(CLASS_NAMES)].astype(float), numbers[:, 5 + len(CLASS_NAMES) :].astype(float), langs, refs)
+                out |= (numbers[:, 0] >= min_words) & (d > limits).any(0)
+                yield batch.slice(start, stop - start).filter(pa.array(~out))
+
+    rows = docs.select(F.struct("*").alias("row"))
+    return rows.mapInArrow(kept, rows.schema).select("row.*")
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -152,3 +152,19 @@ def test_url_edges(spark):
     assert U.judge(empty).count() == 0
     one = spark.createDataFrame([(1, "http://a.com/x"), (1, "http://a.com/x"), (None, "http://a.com/" + "y/" * 5000)], "page_id long, url string")
     assert [r.verdict for r in U.judge(one).collect()] == ["allow"] * 3
+
+
+def test_prose_of_a_language_without_word_list_stays(spark):
+    import random
+
+    rng = random.Random(4)
+    italian = "il lo la gli una che non per con della sono anche questo come nella casa strada tempo parola giorno vita mondo uomo notte sempre ancora dove quando".split()
+    rows = [(k, " ".join(rng.choice(italian) for _ in range(80)) + ".", lang, "s", 1) for k, lang in enumerate(["it", "IT", "it-IT", "it_ch"] * 20)]
+    english = "the of and to in is that it was for cat dog house man stone river light".split()
+    rows += [(1000 + k, " ".join(rng.choice(english) for _ in range(80)) + ".", "en", "s", 1) for k in range(5)]
+    rows += [(2000, " ".join(chr(0x4E00 + i) + "##" for i in range(200)), "it", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in Q.keep_good(docs).collect()}
+    assert {k for k in range(80)} <= kept and 2000 not in kept
+    assert {r.doc_id for r in Q.judge(docs).filter("kept").collect()} == kept
+    assert Q.tag_of("it-IT") == "it" and Q.tag_of("klingon!") is None and Q.tag_of(None) is None
