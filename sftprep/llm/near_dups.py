@@ -110,7 +110,7 @@ def fingerprints(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, size: int) -> DataFrame:
-    """(id, f1, set) for rows (id, t)."""
+    """(id, f1, f2, set) for rows (id, t)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -121,10 +121,11 @@ def sets_of(docs: DataFrame, size: int) -> DataFrame:
             for start in range(0, len(ids), 200):
                 part = column(batch, "t").slice(start, 200)
                 items = [shingles(words.of(t.lower().split()), size) for t in utf8_values(part)]
-                first = [int.from_bytes(xxhash.xxh3_128_digest(i.tobytes())[:8], "little", signed=True) for i in items]
-                yield pa.RecordBatch.from_arrays([ids.slice(start, 200), pa.array(first, pa.int64()), list_array(items, pa.int64())], names=["id", "f1", "set"])
+                both = np.frombuffer(b"".join(xxhash.xxh3_128_digest(i.tobytes()) for i in items), dtype="<i8").reshape(-1, 2)
+                arrays = [ids.slice(start, 200), pa.array(both[:, 0]), pa.array(both[:, 1]), list_array(items, pa.int64())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["id", "f1", "f2", "set"])
 
-    return docs.mapInArrow(rows, "id long, f1 long, set array<long>")
+    return docs.mapInArrow(rows, "id long, f1 long, f2 long, set array<long>")
 
 
 def matrix(sigs: pa.Array) -> np.ndarray:
@@ -316,17 +317,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     ship(docs.sparkSession)
     prints = stored(fingerprints(docs, key, text, shingle), "fingerprints")
     whole = prints.filter("n > 0 and id is not null")
-    # one node for each different set, under the smallest id that has it
+    # one node for each different set, with a number of its own: one id may hold several sets
     groups = whole.groupBy("f1", "f2", "n").agg(F.min("id").alias("rep"), F.first("sig").alias("sig"))
-    groups = stored(groups, "sets")
-    nodes = groups.groupBy(F.col("rep").alias("id")).agg(F.min_by(F.struct("f1", "n", "sig"), F.struct("f1", "f2")).alias("s")).select("id", "s.*")
+    groups = stored(groups.withColumn("node", F.monotonically_increasing_id()), "sets")
+    nodes = groups.select(F.col("node").alias("id"), "f1", "n", "sig")
     keys = filed(nodes)
     heads = keys.groupBy("key").agg(F.min("id").alias("head"), F.max("id").alias("top")).filter("head < top")
     shared = stored(keys.join(heads.select("key", "head"), "key"), "shared-keys")
-    needed = shared.select("id").distinct().join(nodes.select("id", "f1"), "id")
-    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")).join(needed.select("id"), "id", "left_semi")
-    sets = sets_of(texts, shingle).join(needed, ["id", "f1"], "left_semi").dropDuplicates(["id"]).drop("f1")
-    sets = stored(sets, "candidate-sets")
+    needed = shared.select(F.col("id").alias("node")).distinct().join(groups.select("node", "rep", "f1", "f2"), "node")
+    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")).join(needed.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
+    sets = sets_of(texts, shingle).join(needed.withColumnRenamed("rep", "id"), ["id", "f1", "f2"]).select(F.col("node").alias("id"), "set")
+    sets = stored(sets.dropDuplicates(["id"]), "candidate-sets")
 
     alone = shared.select(F.col("id"), F.col("id").alias("comp")).distinct()
     star = shared.filter("id <> head").select(F.col("id").alias("x"), F.col("head").alias("comp")).distinct()
@@ -335,11 +336,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     comps = stored(alone.join(found.withColumnRenamed("comp", "c"), "id", "left").select("id", F.coalesce("c", "id").alias("comp")), "first-components")
     combos = stored(crossing(shared, comps, nodes), "crossing")
     second = stored(linked(combos, comps, sets, percent), "second-links")
-    final = components(first.union(second)).withColumnRenamed("id", "rep")
-
-    placed = prints.join(groups.select("f1", "f2", "n", "rep"), ["f1", "f2", "n"], "left").join(final, "rep", "left")
-    component = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.coalesce("comp", "rep")).otherwise(F.col("id"))
-    return placed.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
+    final = components(first.union(second)).toDF("node", "comp")
+    final = final.union(final.select("comp", "comp")).distinct()  # the smallest node is of its component too
+
+    # a component goes by the smallest id of its sets
+    placed = groups.select("f1", "f2", "n", "rep", "node").join(final, "node", "left")
+    named = placed.filter("comp is not null").groupBy("comp").agg(F.min("rep").alias("smallest"))
+    placed = placed.join(named, "comp", "left").select("f1", "f2", "n", F.coalesce("smallest", "rep").alias("component"))
+    out = prints.select("id", "n", "f1", "f2").join(placed, ["f1", "f2", "n"], "left")
+    component = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component")).otherwise(F.col("id"))
+    return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True))
     )
 

@@ -79,3 +79,11 @@ def test_drop_keeps_columns_and_one_document(spark):
     df = edge_documents(spark, [(7, "same text of some words here", "en", "a", 1), (8, "same text of some words here", "en", "a", 1), (9, "other words that stand alone", None, None, None)])
     out = M.drop_near_duplicates(df)
     assert out.columns == df.columns and sorted(r.doc_id for r in out.collect()) == [7, 9]
+
+
+def test_texts_that_share_an_id_are_all_searched(spark):
+    words = [f"w{i}" for i in range(100)]
+    a, b, near = " ".join(f"a{i}" for i in range(90)), " ".join(words), " ".join(words[:97] + ["x", "y", "z"])
+    for rows in ([(1, a), (1, b), (2, near)], [(1, b), (1, a), (2, near)], [(3, a), (1, a), (1, b), (2, near)]):
+        out = M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert {r.doc_id: r.component_id for r in out} == {k: 1 for k, _ in rows}
