@@ -76,7 +76,8 @@ def presence(rows: DataFrame) -> DataFrame:
                 lists = [word_ids(t, hashes) for t in utf8_values(column(batch, "text").slice(i, 200))]
                 yield pa.RecordBatch.from_arrays([column(batch, c).slice(i, 200) for c in ("id", "label", "mixed")] + [list_array(lists, pa.int64())], names=["id", "label", "mixed", "words"])
 
-    return rows.select("id", "label", "mixed", "text").mapInArrow(words, "id long, label int, mixed boolean, words array<long>")
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.select("id", "label", "mixed", "text").mapInArrow(words, f"id {kind}, label int, mixed boolean, words array<long>")
 
 
 def sample(labels: DataFrame, positives: int, unlabelled: int) -> DataFrame:

@@ -1,5 +1,7 @@
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from llm_helpers import edge_documents, labels, no_documents
 from sftprep.llm import quality_model as QM
 from sftprep.llm import toxicity as TX
@@ -80,3 +82,10 @@ def test_quality_edges(spark):
     for known in (labels(spark, [(0, None, None), (None, 1, 1)]), labels(spark, [(k, 1, 0) for k in range(8)]), labels(spark, [(k, k % 2, 0) for k in range(8)] * 2)):
         rows = QM.classify(df, known).collect()
         assert len(rows) == 9 and all(r.score is not None for r in rows)
+
+
+def test_toxicity_with_string_ids(spark):
+    docs = spark.read.parquet(f"/root/testdata/sf0.001/documents.parquet").select(F.concat(F.lit("d"), "doc_id").alias("doc_id"), "text")
+    marks = spark.read.parquet(f"/root/testdata/sf0.001/labels.parquet").select(F.concat(F.lit("d"), "doc_id").alias("doc_id"), "toxic")
+    out = TX.score_documents(docs, marks)
+    assert out.filter("score between 0 and 1").count() == docs.count() and out.schema["doc_id"].dataType.simpleString() == "string"
