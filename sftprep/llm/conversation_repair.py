@@ -258,6 +258,7 @@ def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     fields = [(c, pa.int64()) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
     chosen_type = pa.list_(pa.struct([("part", pa.int32()), ("block", pa.int32()), ("s", pa.string()), ("t", pa.string()), ("cost", pa.int64()), ("audit", pa.string())]))
     schema = pa.schema([("conv", pa.string()), *fields, ("audit", pa.string()), ("chosen", chosen_type)])
+    out, size = [], 0
     for batch in batches:
         for i in range(len(batch)):
             conv, blocks = column(batch, "conv")[i].as_py(), column(batch, "blocks")[i].as_py()
@@ -274,17 +275,25 @@ def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             whole["chosen"] = [
                 {"part": b["part"], "block": b["block"], "s": s, "t": t, "cost": w[s, t][0], "audit": w[s, t][1]} for b, w, (s, t) in zip(blocks, ways, unfolded(span, levels))
             ]
-            yield pa.RecordBatch.from_pylist([{"conv": conv} | whole], schema=schema)
+            out.append({"conv": conv} | whole)
+            size += len(whole["audit"])
+            if len(out) >= 1000 or size >= BLOCK_CHARS:
+                yield pa.RecordBatch.from_pylist(out, schema=schema)
+                out, size = [], 0
+    if out:
+        yield pa.RecordBatch.from_pylist(out, schema=schema)
 
 
 def _messages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())]))
     schema = pa.schema([("conv", pa.string()), ("part", pa.int32()), ("block", pa.int32()), ("messages", kind)])
     for batch in batches:
-        for r in (batch.slice(i, 1).to_pylist()[0] for i in range(len(batch))):
-            rows, _ = replay(r["roles"], r["texts"], r["audit"], r["s"])
-            line = {k: r[k] for k in ("conv", "part", "block")} | {"messages": [{"role": a, "text": b} for a, b in rows]}
-            yield pa.RecordBatch.from_pylist([line], schema=schema)
+        for i in range(0, len(batch), 100):
+            out = []
+            for r in batch.slice(i, 100).to_pylist():
+                rows, _ = replay(r["roles"], r["texts"], r["audit"], r["s"])
+                out.append({k: r[k] for k in ("conv", "part", "block")} | {"messages": [{"role": a, "text": b} for a, b in rows]})
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
 
 
 def repair(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> tuple[DataFrame, DataFrame]:
