@@ -1,21 +1,23 @@
-"""Operator 2: benchmark decontamination by TF-IDF retrieval.
+"""Operator 2: benchmark decontamination by latent semantic retrieval.
 
 Benchmark items are cut into pieces of at most PIECE words, documents into
 passages of WINDOW words every STRIDE words.  Pieces and passages are TF-IDF
 vectors over the benchmark's words; document frequencies are counted over the
 passages of all documents.  A distributed randomised SVD finds the latent
 space: every task adds up its share of A'(A R) for a fixed random R of RANDOM
-columns, and the shares are summed by word.  The left singular vectors of that
-sum beside the weighted benchmark rows span the space: the benchmark's own span
-and the corpus's strongest directions, for SPACE pieces each.  As the space holds
-every benchmark row, the cosines in it equal those of the plain TF-IDF vectors;
-the corpus's directions change none.  All passages of all
-documents are compared with all pieces by cosine, in blocks, inside the scan.
+columns, the shares are summed by word, and the left singular vectors of the sum are the
+corpus's strongest directions.  Every passage of every document is compared with
+every piece in two ways, in blocks, inside the scan: by the plain cosine, and by the
+same product taken in the latent directions, where words that often occur together in the corpus
+stand for each other.  A candidate has by either at least MIN_PART of the
+cosine that an exact copy of the piece's length is expected to have.  Texts are split
+into words once: the places of the benchmark's words are saved beside each text, and
+the later scans read those.
 
 Each candidate is then checked on the words themselves: the longest common
 subsequence of the item and a stretch of the document of about its length, and
-the item's answer (its ``answer`` column if named, else its last sentence).  A
-stretch is ``verbatim`` from 80 % of the item's words, and a ``paraphrase`` from
+the item's answer (its ``answer`` column if named, else its last sentence).  Every
+stretch is judged by itself.  A stretch is ``verbatim`` from 80 % of the item's words, and a ``paraphrase`` from
 60 % with at least 80 % of the answer.
 
 What reaches the driver grows with the benchmark, not with the corpus: its
@@ -38,18 +40,24 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from sftprep.llm.common import column, ship, stored, table
+from sftprep.llm.common import column, list_array, ship, stored, table
 
 PIECE, WINDOW, STRIDE = 40, 80, 40
 SPACE, RANDOM = 128, 24
+#: directions that are kept of those: the others only make the first ones exact
+RANK = 16
 GROUP = 8
 #: a word weighs nothing if it is in more than this share of all passages ...
 MAX_FREQUENCY = 0.02
 #: ... and in LEAKED times more of them than the rarest words (this quantile) of each piece that has it
 LEAKED, RAREST = 3, 0.2
+#: at least this share of a piece's different words keep their weight
+KEPT = 0.5
 MIN_WEIGHT = 0.5
-MIN_COSINE = 0.35
+#: a passage is checked from this part of the cosine that an exact copy of the piece is expected to have in it
+MIN_PART = 0.5
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.6, 0.8
 PUNCTUATION = b".,;:!?\"'()[]{}<>|#*$%&=+-_/\\@~`^"
 SPACED = bytes.maketrans(PUNCTUATION, b" " * len(PUNCTUATION))
@@ -70,6 +78,8 @@ class Space:
 
     def __init__(self, pieces: list[tuple[int, list[bytes]]], names: list[bytes]):
         self.items = np.array([i for i, _ in pieces])
+        # n words among WINDOW of like weight have a cosine of about sqrt(n / WINDOW) with the whole passage
+        self.floor = MIN_PART * np.sqrt(np.array([min(1.0, len(w) / WINDOW) for _, w in pieces], dtype=np.float32))
         self.at = {w: k for k, w in enumerate(names)}
         self.pieces = pieces
         self.idf = self.basis = self.latent = self.own = None
@@ -82,7 +92,7 @@ class Space:
         allowed = np.full(len(df), MAX_FREQUENCY * n)
         for _, words in self.pieces:
             at = [self.at[w] for w in set(words)]
-            allowed[at] = np.maximum(allowed[at], LEAKED * np.quantile(df[at], RAREST))
+            allowed[at] = np.maximum(allowed[at], max(LEAKED * np.quantile(df[at], RAREST), np.quantile(df[at], KEPT)))
         self.idf = np.where(df > allowed, 0, idf).astype(np.float32)
         self.at = {w: k for w, k in self.at.items() if self.idf[k] > 0}
         rows = np.zeros((len(self.pieces), len(self.idf)), dtype=np.float32)
@@ -96,50 +106,85 @@ class Space:
         return np.random.default_rng(len(self.idf)).standard_normal((len(self.idf), RANDOM)).astype(np.float32)
 
     def solve(self, share: np.ndarray, passages: int) -> None:
-        """The basis of the weighted benchmark rows and the corpus share of A'(A R)."""
-        scale = np.sqrt(max(1, passages))
-        total = np.concatenate([scale * self.rows.T.astype(float), share / scale], 1)
-        u, s, _ = np.linalg.svd(total, full_matrices=False)
-        self.basis = u[:, s > s[0] * 1e-12].astype(np.float32) if s.size and s[0] > 0 else np.zeros((len(self.idf), 1), np.float32)
+        """The corpus's strongest directions, from its share of A'A R, and the pieces in them."""
+        u, s, _ = np.linalg.svd(share / np.sqrt(max(1, passages)), full_matrices=False)
+        held = s > s[0] * 1e-6 if s.size and s[0] > 0 else np.zeros(len(s), dtype=bool)
+        self.basis = u[:, :RANK][:, held[:RANK]].astype(np.float32)
         self.latent = self.rows @ self.basis
+        # the pieces that hold each word, for the plain cosine
+        word, piece = np.nonzero(self.rows.T)
+        self.first = np.searchsorted(word, np.arange(len(self.idf) + 1))
+        self.piece, self.value = piece, self.rows[piece, word]
         self.rows = None
 
 
-def places_of(at: dict[bytes, int], docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document, position and number of every word of some documents that ``at`` knows."""
-    places, found, owner = [], [], []
-    for d, words in enumerate(docs):
-        ids = np.fromiter(map(at.get, words, repeat(-1)), dtype=np.int32, count=len(words))
-        here = np.flatnonzero(ids >= 0)
-        places.append(here)
-        found.append(ids[here])
-        owner.append(np.full(len(here), d))
-    return tuple(np.concatenate(x) if x else np.empty(0, np.int64) for x in (owner, places, found))
-
-
-def passage_rows(space: Space, owner: np.ndarray, at: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The space's words in the passages of some documents, from the places of all known words.
-
-    Returns, by passage: its document, its first word, where its entries start;
-    and by entry: the word and its weight, scaled to unit length by passage.
-    """
-    ids = space.own[ids]
-    here = ids >= 0
-    owner, at, ids = owner[here], at[here], ids[here]
-    step = at // STRIDE  # a word lies in the passage that starts at its step, and in the one before
-    back = step > 0
-    window = np.concatenate([step, step[back] - 1])
-    owner, ids = np.concatenate([owner, owner[back]]), np.concatenate([ids, ids[back]])
-    order = np.lexsort((window, owner))
-    window, owner, ids = window[order], owner[order], ids[order]
-    new = np.ones(len(ids), dtype=bool)
-    new[1:] = (window[1:] != window[:-1]) | (owner[1:] != owner[:-1])
-    starts = np.flatnonzero(new)
-    weight = space.idf[ids]
-    if len(starts):
-        norm = np.sqrt(np.add.reduceat(weight.astype(float) ** 2, starts))
-        weight = (weight / np.repeat(norm, np.diff(np.append(starts, len(ids))))).astype(np.float32)
-    return owner[starts], window[starts] * STRIDE, starts, ids, weight
+def places_of(places: pa.Array, words: pa.Array, number: np.ndarray, limit: int = 400_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, end row, row, position, number) of the weighty words, for runs of rows with about ``limit`` known words."""
+    offsets = places.offsets.to_numpy()
+    where, known = places.values.to_numpy(), words.values.to_numpy()
+    start, n = 0, len(places)
+    while start < n:
+        stop = min(n, max(start + 1, int(np.searchsorted(offsets, offsets[start] + limit, side="right")) - 1))
+        ids = number[known[offsets[start] : offsets[stop]]]
+        owner = np.repeat(np.arange(start, stop), np.diff(offsets[start : stop + 1]))
+        here = ids >= 0
+        yield start, stop, owner[here], where[offsets[start] : offsets[stop]][here], ids[here]
+        start = stop
+
+
+class Passages:
+    """The weighty words of some documents by blocks of STRIDE words, and the passages of two blocks each."""
+
+    def __init__(self, space: Space, owner: np.ndarray, at: np.ndarray, ids: np.ndarray):
+        ids = space.own[ids]
+        here = ids >= 0
+        owner, step, self.ids = owner[here], at[here] // STRIDE, ids[here]
+        new = np.ones(len(step), dtype=bool)
+        new[1:] = (step[1:] != step[:-1]) | (owner[1:] != owner[:-1])
+        self.starts = np.flatnonzero(new)
+        self.block = np.cumsum(new) - 1
+        self.weight = space.idf[self.ids]
+        owner, step = owner[self.starts], step[self.starts]
+        n = len(owner)
+        square = np.bincount(self.block, self.weight.astype(float) ** 2, minlength=n)
+        follows = np.zeros(n, dtype=bool)
+        follows[1:] = (owner[1:] == owner[:-1]) & (step[1:] == step[:-1] + 1)
+        # a passage for each block and the next; and one that ends in a block whose predecessor holds no word
+        lone = np.flatnonzero(~follows & (step > 0))
+        self.pair = np.flatnonzero(follows) - 1
+        self.first = np.concatenate([np.arange(n), lone])
+        self.owner, self.begin = owner[self.first], np.concatenate([step, step[lone] - 1]) * STRIDE
+        both = square[self.first]
+        both[self.pair] += square[self.pair + 1]
+        self.norm = np.sqrt(both).astype(np.float32)[:, None]
+
+    def scaled(self, of_blocks: np.ndarray) -> np.ndarray:
+        """Sums by block to sums by passage of unit length."""
+        out = of_blocks[self.first]
+        out[self.pair] += of_blocks[self.pair + 1]
+        return out / self.norm
+
+    def shared(self, of_passages: np.ndarray) -> np.ndarray:
+        """For each block the sum over the passages that hold it."""
+        scaled = of_passages / self.norm
+        n = len(self.starts)
+        out = scaled[:n].copy()
+        out[self.pair + 1] += scaled[self.pair]
+        out[self.first[n:]] += scaled[n:]
+        return out
+
+    def images(self, directions: np.ndarray) -> np.ndarray:
+        """Each block's words in some directions."""
+        return np.add.reduceat(directions[self.ids] * self.weight[:, None], self.starts)
+
+    def dots(self, space: Space) -> np.ndarray:
+        """Each block's product with every piece, through the pieces that hold its words."""
+        count = space.first[self.ids + 1] - space.first[self.ids]
+        entry = np.repeat(np.arange(len(self.ids)), count)
+        at = np.arange(len(entry)) - np.repeat(np.cumsum(count) - count - space.first[self.ids], count)
+        pieces = len(space.items)
+        where = self.block[entry] * pieces + space.piece[at]
+        return np.bincount(where, self.weight[entry] * space.value[at], minlength=len(self.starts) * pieces).astype(np.float32).reshape(-1, pieces)
 
 
 def grouped(texts: pa.Array, limit: int = 400_000) -> Iterator[tuple[int, list[list[bytes]]]]:
@@ -173,19 +218,30 @@ def masks(words: list[bytes]) -> dict[bytes, int]:
     return dict(out)
 
 
-def checked(item: tuple[list[bytes], list[bytes]], doc: list[bytes], start: int) -> tuple[float, float]:
-    """Best share of the item, and of its answer there, in stretches of the document around a passage."""
+def accepted(lcs: float, share: float) -> bool:
+    return lcs >= VERBATIM or lcs >= PARAPHRASE and share >= ANSWER
+
+
+def checked(item: tuple[list[bytes], list[bytes]], doc: list[bytes], start: int) -> tuple[float, float] | None:
+    """Share of the item, and of its answer there, in the best accepted stretch of the document around a passage.
+
+    Every stretch is judged by itself: one with more of the item but not its answer
+    hides no other.
+    """
     words, answer = item
     n = len(words)
     item_mask, answer_mask = masks(words), masks(answer)
     stretch = n + max(2, n // 5)
     lo, hi = max(0, start - n), min(len(doc), start + WINDOW + n)
-    best = (0.0, 0.0)
+    best = None
     for s in range(lo, max(lo + 1, hi - stretch + max(1, n // 8)), max(1, n // 8)):
         part = doc[s : s + stretch]
         share = common_length(item_mask, n, part) / n
-        if share > best[0]:
-            best = (share, common_length(answer_mask, len(answer), part) / max(1, len(answer)))
+        if share < PARAPHRASE or best and share <= best[0]:
+            continue
+        told = common_length(answer_mask, len(answer), part) / max(1, len(answer))
+        if accepted(share, told):
+            best = (share, told)
     return best
 
 
@@ -222,25 +278,45 @@ def _search(rows: DataFrame, pieces: list, items: dict, item_kind: str) -> DataF
     spaces = [Space(p, n) for p, n in zip(parts, names)]
     known = spark.sparkContext.broadcast({w: k for k, w in enumerate(dict.fromkeys(w for n in names for w in n))})
 
-    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def known_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each row with the places of the words that the benchmark has; at the end the passages that hold each word."""
         at = known.value
-        seen, passages = np.zeros(len(at) + 1, dtype=np.int64), 0
+        seen, passages = np.zeros(len(at) + 1, dtype="<i8"), 0
+        names = ["k", "t", "at", "w", "seen"]
         for batch in batches:
-            for _, docs in grouped(column(batch, "t")):
-                ids, blocks = [], []
+            for first, docs in grouped(column(batch, "t")):
+                ids, blocks, places = [], [], []
                 for words in docs:
-                    found = np.fromiter(map(at.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-                    ids.append(found)
-                    blocks.append(passages + np.arange(len(words)) // STRIDE)
+                    found = np.fromiter(map(at.get, words, repeat(-1)), dtype=np.int32, count=len(words))
+                    here = np.flatnonzero(found >= 0)
+                    places.append(here)
+                    ids.append(found[here])
+                    blocks.append(passages + here // STRIDE)
                     passages += -(-len(words) // STRIDE)
-                ids, blocks = np.concatenate(ids), np.concatenate(blocks)
-                once = np.unique(blocks[ids >= 0] * (len(at) + 1) + ids[ids >= 0])
+                once = np.unique(np.concatenate(blocks) * (len(at) + 1) + np.concatenate(ids))
                 seen += np.bincount(once % (len(at) + 1), minlength=len(at) + 1)
+                same = [column(batch, c).slice(first, len(docs)) for c in ("k", "t")]
+                yield pa.RecordBatch.from_arrays([*same, list_array(places, pa.int32()), list_array(ids, pa.int32()), pa.nulls(len(docs), pa.binary())], names=names)
         seen[-1] = passages
-        held = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(seen[held])], names=["w", "n"])
+        empty = list_array([np.empty(0)], pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, keys), pa.nulls(1, pa.string()), empty, empty, pa.array([seen.tobytes()], pa.binary())], names=names)
+
+    kind = rows.schema["k"].dataType.simpleString()
+    keys = to_arrow_type(rows.schema["k"].dataType)
+    places = stored(rows.mapInArrow(known_words, f"k {kind}, t string, at array<int>, w array<int>, seen binary"), "known-words")
+    size = len(known.value) + 1
 
-    counts = {r.w: r.n for r in rows.select("t").mapInArrow(frequencies, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")).toLocalIterator()}
+    def summed_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, dtype="<i8")
+        for batch in batches:
+            for part in column(batch, "seen"):
+                total += np.frombuffer(part.as_py(), dtype="<i8")
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["w", "n"])
+
+    tasks = places.select("seen").filter("seen IS NOT NULL")
+    places = places.filter("seen IS NULL")
+    counts = {r.w: r.n for r in tasks.mapInArrow(summed_up, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")).toLocalIterator()}
     passages = counts.pop(len(known.value), 0)
     seen = {w: counts.get(k, 0) for w, k in known.value.items()}
     for s in spaces:
@@ -248,7 +324,8 @@ def _search(rows: DataFrame, pieces: list, items: dict, item_kind: str) -> DataF
     weighty = list(dict.fromkeys(w for s in spaces for w in s.at))
     for s in spaces:
         s.own = np.array([s.at.get(w, -1) for w in weighty], dtype=np.int32)
-    numbers = spark.sparkContext.broadcast({w: k for k, w in enumerate(weighty)})
+    place = {w: k for k, w in enumerate(weighty)}
+    number = np.array([place.get(w, -1) for w in known.value] or [-1], dtype=np.int32)  # known word to weighty word
     weighed = spark.sparkContext.broadcast(spaces)
 
     def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,19 +333,14 @@ def _search(rows: DataFrame, pieces: list, items: dict, item_kind: str) -> DataF
         randoms = [s.random() for s in spaces]
         sums = [np.zeros(r.shape, dtype=np.float32) for r in randoms]
         for batch in batches:
-            for _, docs in grouped(column(batch, "t")):
-                places = places_of(numbers.value, docs)
+            for _, _, *found in places_of(column(batch, "at"), column(batch, "w"), number):
                 for s, r, total in zip(spaces, randoms, sums):
-                    _, _, starts, ids, weight = passage_rows(s, *places)
-                    for a in range(0, len(starts), 20_000):
-                        cut = starts[a : a + 20_000]
-                        stop = starts[a + 20_000] if a + 20_000 < len(starts) else len(ids)
-                        i, w = ids[cut[0] : stop], weight[cut[0] : stop, None]
-                        image = np.add.reduceat(r[i] * w, cut - cut[0])
-                        order = np.argsort(i, kind="stable")
-                        back = (np.repeat(image, np.diff(np.append(cut, stop)), axis=0) * w)[order]
-                        words, first = np.unique(i[order], return_index=True)
-                        total[words] += np.add.reduceat(back, first)
+                    p = Passages(s, *found)
+                    if len(p.starts):
+                        back = p.shared(p.scaled(p.images(r)))[p.block] * p.weight[:, None]
+                        order = np.argsort(p.ids, kind="stable")
+                        words, first = np.unique(p.ids[order], return_index=True)
+                        total[words] += np.add.reduceat(back[order], first)
         for k, total in enumerate(sums):
             held = np.flatnonzero(total.any(1))
             for a in range(0, len(held), 2_000):
@@ -294,7 +366,7 @@ def _search(rows: DataFrame, pieces: list, items: dict, item_kind: str) -> DataF
         if held is not None:
             yield _share(held, total)
 
-    partial = rows.select("t").mapInArrow(shares, "s long, w long, v array<float>")
+    partial = places.select("at", "w").mapInArrow(shares, "s long, w long, v array<float>")
     sums = [np.zeros((len(s.idf), RANDOM)) for s in spaces]
     if pieces:
         dealt = partial.repartition("s", "w").sortWithinPartitions("s", "w")
@@ -307,31 +379,31 @@ def _search(rows: DataFrame, pieces: list, items: dict, item_kind: str) -> DataF
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spaces, items = solved.value
         for batch in batches:
-            keys = column(batch, "k")
-            for first, docs in grouped(column(batch, "t")):
+            texts = column(batch, "t")
+            for first, stop, *found in places_of(column(batch, "at"), column(batch, "w"), number):
                 best: dict[tuple[int, int], tuple] = {}
-                places = places_of(numbers.value, docs)
+                words: dict[int, list[bytes]] = {}  # of rows with a candidate only
                 for s in spaces:
-                    owner, begin, starts, ids, weight = passage_rows(s, *places)
-                    for a in range(0, len(starts), 8_000):
-                        cut = starts[a : a + 8_000]
-                        stop = starts[a + 8_000] if a + 8_000 < len(starts) else len(ids)
-                        z = np.add.reduceat(s.basis[ids[cut[0] : stop]] * weight[cut[0] : stop, None], cut - cut[0])
-                        cosine = z @ s.latent.T
-                        for p, q in zip(*np.nonzero(cosine >= MIN_COSINE)):
-                            d, item = int(owner[a + p]), int(s.items[q])
-                            _, words, answer = items[item]
-                            lcs, share = checked((words, answer), docs[d], int(begin[a + p]))
-                            if lcs >= VERBATIM or lcs >= PARAPHRASE and share >= ANSWER:
-                                best[d, item] = max(best.get((d, item), (0.0,)), (lcs, float(cosine[p, q]), share))
+                    passage = Passages(s, *found)
+                    if not len(passage.starts):
+                        continue
+                    cosine = passage.scaled(passage.dots(s))
+                    # the same product through the corpus's directions: words that occur together stand for each other
+                    latent = passage.scaled(passage.images(s.basis)) @ s.latent.T
+                    for p, q in zip(*np.nonzero((cosine >= s.floor) | (latent >= s.floor))):
+                        d, item = int(passage.owner[p]), int(s.items[q])
+                        if d not in words:
+                            words[d] = words_of(texts[d].as_py())
+                        hit = checked(items[item][1:], words[d], int(passage.begin[p]))
+                        if hit:
+                            best[d, item] = max(best.get((d, item), (0.0,)), (hit[0], float(cosine[p, q]), hit[1]))
                 if best:
-                    at = pa.array([first + d for d, _ in best])
+                    at = pa.array([d for d, _ in best])
                     names = pa.array([items[i][0] for _, i in best])
                     columns = [pa.array([b[c] for b in best.values()], pa.float64()) for c in (1, 0, 2)]
-                    yield pa.RecordBatch.from_arrays([keys.take(at), names, *columns], names=["k", "item", "cosine", "lcs", "answer_share"])
+                    yield pa.RecordBatch.from_arrays([column(batch, "k").take(at), names, *columns], names=["k", "item", "cosine", "lcs", "answer_share"])
 
-    kind = rows.schema["k"].dataType.simpleString()
-    return rows.mapInArrow(search, f"k {kind}, item {item_kind}, cosine double, lcs double, answer_share double")
+    return places.select("k", "t", "at", "w").mapInArrow(search, f"k {kind}, item {item_kind}, cosine double, lcs double, answer_share double")
 
 
 def _share(at: tuple, total: np.ndarray) -> pa.RecordBatch:

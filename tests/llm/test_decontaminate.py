@@ -77,3 +77,64 @@ def test_more_items_than_a_space(spark, monkeypatch):
     docs = spark.createDataFrame([(k, f"{filler(k)} {t} {filler(k + 100)}") for k, t in items], "doc_id long, text string")
     out = M.leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
     assert sorted((r.doc_id, r.item_id) for r in out) == [(k, k) for k in range(40)]
+
+
+def test_each_stretch_is_judged_by_itself(spark):
+    words = [f"k{i}" for i in range(30)]
+    item = " ".join(words[:24]) + ". " + " ".join(words[24:])  # the last sentence is the answer
+    more = words[:23] + ["zz"] * 7  # more of the item, none of its answer
+    less = [w if i % 2 else f"n{i}" for i, w in enumerate(words[:20])] + words[20:]  # 20 of 30 words with the answer
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(1, f"{filler(1)} {' '.join(less)} {filler(2)}"), (2, f"{filler(3)} {' '.join(more)} {' '.join(less)} {filler(4)}"), (3, f"{filler(5)} {' '.join(more)} {filler(6)}")]
+    out = M.leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert sorted((r.doc_id, r.kind) for r in out) == [(1, "paraphrase"), (2, "paraphrase")]
+
+
+def test_recall_of_edited_copies(spark):
+    import random
+
+    rng = random.Random(11)
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").filter("length(text) > 2000").limit(60).collect()
+    bench = spark.read.parquet(f"{SF001}/benchmark.parquet")
+    items = [(r.item_id, r.text.split()) for r in bench.collect() if len(r.text.split()) >= 8]
+    rows, want = [], set()
+    for n, (item, words) in enumerate(items * 3):
+        kept = [w if rng.random() < 0.88 or i >= len(words) - 6 else f"other{n}x{i}" for i, w in enumerate(words)]
+        if sum(a == b for a, b in zip(kept, words)) < 0.8 * len(words):
+            continue
+        host = docs[n % len(docs)].text.split()
+        at = rng.randrange(len(host))
+        rows.append((n, " ".join(host[:at] + kept + host[at:])))
+        want.add((n, item))
+    found = {(r.doc_id, r.item_id) for r in M.leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert len(want) > 50 and len(want & found) >= 0.98 * len(want)
+
+
+def test_a_paraphrase_that_only_the_latent_directions_find(spark, monkeypatch):
+    # the corpus uses rare words and their synonyms together; the paraphrase has the synonyms, and of the
+    # item only words that half of the corpus has
+    frequent = [f"c{i}" for i in range(9)]
+    rare, synonyms = [f"r{i}" for i in range(6)], [f"s{i}" for i in range(6)]
+    item = " ".join(w for pair in zip(frequent, rare) for w in pair) + " " + " ".join(frequent[6:]) + ". " + "ans0 ans1"
+    others = [" ".join(f"o{k}x{j}" for j in range(10)) for k in range(40)]
+    bench = spark.createDataFrame([(1, item), (2, " ".join(synonyms)), *((10 + k, t) for k, t in enumerate(others))], "item_id long, text string")
+    close = item
+    for a, b in zip(rare, synonyms):
+        close = close.replace(a, b)
+    rows = [(k, " ".join(rare + synonyms)) for k in range(30)] + [(1000 + k, " ".join(["ans1", "ans0", *reversed(frequent)])) for k in range(1500)]
+    rows += [(3000 + k, others[k % 40]) for k in range(400)]
+    rows += [(5000, f"{filler(1)} {close} {' '.join(synonyms * 3)} {filler(2)}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(M, "MAX_FREQUENCY", 1.0)
+    both = {(r.doc_id, r.item_id) for r in M.leaks(docs, bench).collect()}
+    monkeypatch.setattr(M.Space, "solve", plain_only(M.Space.solve))
+    plain = {(r.doc_id, r.item_id) for r in M.leaks(docs, bench).collect()}
+    assert (5000, 1) in both and (5000, 1) not in plain and plain <= both
+
+
+def plain_only(solve):
+    def without(self, share, passages):
+        solve(self, share, passages)
+        self.latent = self.latent * 0
+
+    return without
