@@ -40,7 +40,7 @@ LANES = 1024
 CHECKPOINT = 128
 PRECISION = 20
 #: bytes of text that are tokenized at once
-TEXTS = 16_000_000
+TEXTS = 8_000_000
 LOW = np.uint64(1 << 31)
 HEAD = struct.Struct("<4sIIIIII")  # magic, ids, lanes, steps, checkpoint interval, words, checksum
 MAGIC = b"RNS1"
