@@ -4,13 +4,15 @@ A byte range of the file cannot be parsed before it is known whether it begins
 inside a string and how deep it is nested.  Both follow from a prefix scan: every
 task reports for its range the parity of its quotes and its change of depth, once for
 each way the range may begin; the driver composes these few numbers (one row per
-range) and hands every task its state.  A record belongs to the range in which its
-opening brace lies; its task reads on to the closing one.
+task) and hands every task its state.  A task's range is a run of neighbouring
+blocks, read one after the other, so the tasks are bounded by the file's bytes and
+a task's memory by the block.  A record belongs to the block in which its opening
+brace lies; its task reads on to the closing one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -73,10 +75,11 @@ class _File:
         return run
 
 
-def _records(file: _File, start: int, n: int, inside: bool, depth: int) -> Iterator[str]:
-    """The array's records that begin in a range, whole."""
+def _records(file: _File, start: int, n: int, inside: bool, depth: int) -> Generator[str, None, tuple[bool, int]]:
+    """The array's records that begin in a block, whole; returns the state after the block."""
     data = file.bytes(start, n)
-    outside = ~_inside(data, file.run_before(start), inside)
+    run = file.run_before(start)
+    outside = ~_inside(data, run, inside)
     levels = depth + np.cumsum(_steps(data, outside), dtype=np.int64)  # after each byte
     opened = outside & (data == OPEN[0]) & (levels == 2)
     closed = outside & (data == CLOSE[0]) & (levels == 1)
@@ -90,8 +93,9 @@ def _records(file: _File, start: int, n: int, inside: bool, depth: int) -> Itera
     raw = data.tobytes()
     for a, b in zip(begins, ends):
         yield raw[a : b + 1].decode("utf-8")
-    if len(begins) > len(ends):  # the last one goes on behind the range
+    if len(begins) > len(ends):  # the last one goes on behind the block
         yield _whole(file, start + int(begins[-1]))
+    return inside ^ bool(len(_quotes(data, run)) % 2), int(levels[-1]) if len(levels) else depth
 
 
 def _whole(file: _File, start: int) -> str:
@@ -111,36 +115,49 @@ def json_array_records(spark: SparkSession, path: str, length: int, block: int =
     """The objects of a JSON array file as text, one ``value`` a row; a file that is no array of objects fails."""
     ensure_library_on_workers(spark)
     blocks = max(1, -(-length // block))
-    ranges = spark.range(blocks).select(F.col("id").alias("block")).repartitionById(blocks, F.col("block").cast("int"))
+    tasks = min(blocks, max(4 * spark.sparkContext.defaultParallelism, -(-length // BLOCK_BYTES)))
+    share = -(-blocks // tasks)  # blocks of a task
+    spans = -(-blocks // share)
+    ranges = spark.range(0, spans, 1, spans).select(F.col("id").alias("span"))
+
+    def starts(span: int) -> range:
+        return range(span * share * block, min((span + 1) * share, blocks) * block, block)
 
     def measure(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
             rows = []
-            for b in batch.column(0).to_pylist():
-                file = _File(path)
-                data = file.bytes(b * block, block)
-                run = file.run_before(b * block)
-                row = [b, len(_quotes(data, run)) % 2]
-                rows.append(row + [int(_steps(data, ~_inside(data, run, entry)).sum(dtype=np.int64)) for entry in (False, True)])
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["block", "odd", "plain", "quoted"])
+            for span in batch.column(0).to_pylist():
+                file, odd, steps = _File(path), 0, [0, 0]
+                for start in starts(span):
+                    data, run = file.bytes(start, block), file.run_before(start)
+                    for entry in (0, 1):
+                        steps[entry] += int(_steps(data, ~_inside(data, run, bool(entry ^ odd))).sum(dtype=np.int64))
+                    odd ^= len(_quotes(data, run)) % 2
+                rows.append([span, odd, *steps])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)] or [pa.array([], pa.int64())] * 4, names=["span", "odd", "plain", "quoted"])
 
     inside, depth, states = False, 0, []
-    for r in sorted(ranges.mapInArrow(measure, "block long, odd long, plain long, quoted long").collect()):  # one row per range
-        states.append((r.block, inside, depth))
+    for r in sorted(ranges.mapInArrow(measure, "span long, odd long, plain long, quoted long").collect()):  # one row per task
+        states.append((r.span, inside, depth))
         depth += r.quoted if inside else r.plain
         inside ^= bool(r.odd)
     if inside or depth:
         raise ValueError(f"{path} is no complete JSON array")
 
+    def records(span: int, inside: bool, depth: int) -> Iterator[str]:
+        file = _File(path)
+        for start in starts(span):
+            inside, depth = yield from _records(file, start, block, inside, depth)
+
     def cut(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            for b, inside, depth in zip(*(c.to_pylist() for c in batch.columns)):
+            for state in zip(*(c.to_pylist() for c in batch.columns)):
                 held, size = [], 0
-                for record in _records(_File(path), b * block, block, inside, depth):
+                for record in records(*state):
                     held.append(record)
                     size += len(record)
                     if size >= 4_000_000:
@@ -148,5 +165,5 @@ def json_array_records(spark: SparkSession, path: str, length: int, block: int =
                         held, size = [], 0
                 yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], names=["value"])
 
-    known = spark.createDataFrame(states, "block long, inside boolean, depth long").repartitionById(blocks, F.col("block").cast("int"))
+    known = spark.createDataFrame(states, "span long, inside boolean, depth long").repartitionById(spans, F.col("span").cast("int"))
     return known.mapInArrow(cut, "value string")

@@ -697,17 +697,52 @@ def training_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def write_array(records: DataFrame, path: str) -> None:
-    """One JSON array file of all records (``value``), streamed to one file partition by partition."""
-    from sftprep.sources.listing import file_system
+    """One JSON array file of all records (``value``): tasks write pieces in order, then copy them to their places in the file.
 
+    On a file system that does not write at an offset the pieces are streamed one after the other.
+    """
+    from pyarrow import fs as pafs
+    from sftprep.sources.listing import file_system, list_files, located_path
+
+    spark = records.sparkSession
+    records.select(F.concat(F.lit(","), "value").alias("value")).write.text(f"{path}.pieces")
+    root, _ = located_path(spark, f"{path}.pieces")
+    found = list_files(spark, root).filter(F.col("path").rlike("/part-[^/]*$") & (F.col("length") > 0))
+    places, at = [], 1  # every record begins with a comma: the first one's gives way to the bracket
+    for r in sorted(found.select("path", "length").toLocalIterator()):  # one row per task
+        places.append((len(places), r.path, int(not places), at))
+        at += r.length - int(len(places) == 1)
     filesystem, inner = file_system(path)
-    filesystem.create_dir(inner.rpartition("/")[0], recursive=True)
+
+    def copy(source: str, skip: int, f) -> None:
+        pieces, name = file_system(source)
+        with pieces.open_input_file(name) as piece:
+            piece.seek(skip)
+            while data := piece.read(8 << 20):
+                f.write(data)
+
+    def place(batches):
+        for batch in batches:
+            for _, source, skip, start in zip(*(c.to_pylist() for c in batch.columns)):
+                with open(inner, "r+b") as f:
+                    f.seek(start)
+                    copy(source, skip, f)
+            yield batch.slice(0, 0)
+
+    local = isinstance(filesystem, pafs.LocalFileSystem)
     with filesystem.open_output_stream(inner) as f:
-        lead = b"[\n"
-        for row in records.toLocalIterator():
-            f.write(lead + row["value"].encode())
-            lead = b",\n"
-        f.write(b"\n]\n")
+        f.write(b"[")
+        if not local:
+            for _, source, skip, _start in places:
+                copy(source, skip, f)
+            f.write(b"]\n")
+    if local:
+        if places:
+            schema = "piece int, source string, skip int, start long"
+            spark.createDataFrame(places, schema).repartitionById(len(places), "piece").mapInArrow(place, schema).write.format("noop").mode("overwrite").save()
+        with open(inner, "r+b") as f:
+            f.seek(at)
+            f.write(b"]\n")
 
 
 def training_json_array(spark: SparkSession, sf: str) -> DataFrame:
@@ -715,7 +750,7 @@ def training_json_array(spark: SparkSession, sf: str) -> DataFrame:
     from sftprep.sources.files import read_training_json
 
     path = _folder(spark, "array")
-    docs = read_table(spark, sf, "documents").repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id")
+    docs = read_table(spark, sf, "documents").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     record = F.to_json(F.struct(F.col("lang").alias("instruction"), F.col("source").alias("input"), F.col("text").alias("output"),
                                 F.struct("doc_id", F.array("n_chars").alias("sizes")).alias("meta")))
     write_array(docs.select(record.alias("value")), f"{path}/train.json")
