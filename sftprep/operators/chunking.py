@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sftprep.session import ensure_library_on_workers, ensure_parallelism
+from sftprep.session import byte_slices, ensure_library_on_workers, ensure_parallelism
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference behaviour).
@@ -248,7 +248,8 @@ def chunk_documents(
     0-based half-open code-point offsets.  Runs as ``mapInArrow``: each Arrow
     batch of documents becomes a batch of flat chunk rows, the ``keep``
     columns carried with an Arrow ``take`` (no pandas conversion, no nested
-    result to explode).  A NULL text yields no chunk.
+    result to explode).  A batch is cut a few MB of text at a time, so a
+    worker's memory does not grow with its rows.  A NULL text yields no chunk.
     """
     _check_params(chunk_size, overlap)
     src = docs.select(*keep, F.col(text_col).alias("_text"))
@@ -278,7 +279,7 @@ def chunk_documents(
     def cut(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in byte_slices(whole, len(keep))):
             texts = batch.column(len(keep)).to_pylist()
             rows, ids, starts, ends, pieces = [], [], [], [], []
             for i, text in enumerate(texts):

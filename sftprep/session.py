@@ -122,6 +122,22 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     return df.repartition(want)
 
 
+#: bytes of a column's values that a Python step holds at once
+SLICE_BYTES = 4 * 1024 * 1024
+
+
+def byte_slices(batch, column: int, limit: int = SLICE_BYTES):
+    """A record batch in slices whose values in a string or binary column have about ``limit`` bytes; a row is never cut."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(lengths, dtype=np.int64) // limit
+    cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(batch)]
+    for start, end in zip(cuts, cuts[1:]):
+        yield batch.slice(start, end - start)
+
+
 def factory_key(factory) -> str:
     """Cache key of a user factory, computed on the driver: a digest of its pickled form.
 
