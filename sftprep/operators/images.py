@@ -21,8 +21,8 @@ from sftprep.session import ensure_library_on_workers
 
 #: bytes of a file's first range read, and boxes of a container that are looked at
 HEAD, MAX_BOXES = 64, 8
-#: image bytes that one task holds at once, and that one writing task should read in all
-READ_BYTES, TASK_BYTES = 64 * 1024 * 1024, 256 * 1024 * 1024
+#: file bytes that one task holds at once (or one file), and the bytes and files that one task should read in all
+READ_BYTES, TASK_BYTES, TASK_FILES = 4 * 1024 * 1024, 64 * 1024 * 1024, 5_000
 
 
 class Signature(NamedTuple):
@@ -218,11 +218,12 @@ def bodies(path_col: str, out_col: str = "content") -> Callable:
 def with_content(rows: DataFrame, path_col: str = "image_path", length_col: str = "image_length") -> DataFrame:
     """``rows`` with ``content``, read last: rows (without bytes) are first dealt to tasks by count.
 
-    The number of tasks follows the listed lengths, about TASK_BYTES each.
+    The number of tasks follows the listed lengths and the number of files, about
+    TASK_BYTES or TASK_FILES each.
     """
     spark = rows.sparkSession
     ensure_library_on_workers(spark)
-    total = rows.agg(F.sum(F.coalesce(F.col(length_col), F.lit(1 << 20)))).first()[0] or 0
+    total, n = rows.agg(F.sum(F.coalesce(F.col(length_col), F.lit(1 << 20))), F.count(F.lit(1))).first()
     read = bodies(path_col)
 
     def run(batches: Iterator) -> Iterator:
@@ -230,6 +231,6 @@ def with_content(rows: DataFrame, path_col: str = "image_path", length_col: str
             yield from read(batch)
 
     schema = T.StructType([*rows.schema.fields, T.StructField("content", T.BinaryType())])
-    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(total / TASK_BYTES))
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil((total or 0) / TASK_BYTES), math.ceil(n / TASK_FILES))
     return rows.repartition(tasks).mapInArrow(run, schema)
 

@@ -633,30 +633,45 @@ def document_files(spark: SparkSession, sf: str) -> DataFrame:
     return scan_documents(spark, path).select("name", "ext", "source", "text")
 
 
+#: files that one task of ``write_files`` writes
+TASK_FILES = 2_000
+
+
 def write_files(files: DataFrame, folder: str) -> None:
-    """One file per row (name, content) below ``folder``, written by the tasks through pyarrow."""
+    """One file per row (name, content) below ``folder``, written by the tasks through pyarrow.
+
+    A file costs more than its bytes, so rows are dealt to tasks by their number.
+    """
     from sftprep.operators.vlm import _local_or_uri
+    from sftprep.session import byte_slices, ensure_library_on_workers
 
-    sc = files.sparkSession.sparkContext
+    spark = files.sparkSession
+    ensure_library_on_workers(spark)
+    sc = spark.sparkContext
     p = sc._jvm.org.apache.hadoop.fs.Path(folder)
     p.getFileSystem(sc._jsc.hadoopConfiguration()).mkdirs(p)
+    files = files.select("name", "content")
+    tasks = max(sc.defaultParallelism, -(-files.count() // TASK_FILES))
 
     def write(batches):
-        import pandas as pd
+        import pyarrow as pa
         from pyarrow import fs as pafs
 
         target = _local_or_uri(folder)
         filesystem, inner = pafs.FileSystem.from_uri(target) if "://" in target else (pafs.LocalFileSystem(), target)
-        n = 0
-        for pdf in batches:
-            for name, content in zip(pdf["name"], pdf["content"]):
-                filesystem.create_dir(f"{inner}/{name}".rpartition("/")[0])
+        n, made = 0, set()
+        for batch in (part for whole in batches for part in byte_slices(whole, 1)):
+            for name, content in zip(*(c.to_pylist() for c in batch.columns)):
+                parent = f"{inner}/{name}".rpartition("/")[0]
+                if parent not in made:
+                    filesystem.create_dir(parent)
+                    made.add(parent)
                 with filesystem.open_output_stream(f"{inner}/{name}") as f:
                     f.write(content)
-            n += len(pdf)
-        yield pd.DataFrame({"n": [n]})
+            n += len(batch)
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
 
-    files.mapInPandas(write, "n long").write.format("noop").mode("overwrite").save()
+    files.repartition(tasks).mapInArrow(write, "n long").write.format("noop").mode("overwrite").save()
 
 
 def image_files_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
