@@ -104,7 +104,7 @@ def _local_or_uri(path: str) -> str:
     return path
 
 
-READ_BYTES = 64 * 1024 * 1024
+READ_BYTES = 4 * 1024 * 1024
 
 
 def _read_files(batches):

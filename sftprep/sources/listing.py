@@ -8,7 +8,10 @@ files, are listed like any other.
 
 from __future__ import annotations
 
+import os
+import stat
 from collections.abc import Iterator
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +21,7 @@ from sftprep.session import ensure_library_on_workers, scratch_path
 LISTED = "path string, length long, modified timestamp, is_dir boolean"
 #: rows of one record batch of a listing
 BATCH = 10_000
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
 def located_path(spark: SparkSession, path: str) -> tuple[str, bool]:
@@ -50,12 +54,30 @@ def _entries(path: str, of_file: bool) -> Iterator[tuple]:
     from pyarrow import fs as pafs
 
     filesystem, inner = file_system(path)
+    if isinstance(filesystem, pafs.LocalFileSystem) and not of_file:
+        yield from _local_entries(path, inner)
+        return
     found = [filesystem.get_file_info(inner)] if of_file else filesystem.get_file_info(pafs.FileSelector(inner))
     for info in found:
         is_dir = info.type == pafs.FileType.Directory
         yield path + info.path[len(inner) :], None if is_dir else info.size, info.mtime, is_dir
 
 
+def _local_entries(path: str, inner: str) -> Iterator[tuple]:
+    """``_entries`` of a local folder, one at a time: pyarrow would hold the whole folder."""
+    with os.scandir(inner) as entries:
+        for entry in entries:
+            name = path.rstrip("/") + "/" + entry.name
+            try:
+                found = entry.stat()
+            except FileNotFoundError:  # a link to nothing, or a file that went away meanwhile
+                yield name, None, None, False
+                continue
+            is_dir = stat.S_ISDIR(found.st_mode)
+            size = found.st_size if stat.S_ISREG(found.st_mode) else None
+            yield name, size, EPOCH + timedelta(microseconds=found.st_mtime_ns // 1000), is_dir
+
+
 def _listed(of_file: bool):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 SCHEMA = "path string, length long, content binary"
 #: file bytes of one record batch, and of one task
-READ_BYTES, TASK_BYTES = 64 * 1024 * 1024, 256 * 1024 * 1024
+READ_BYTES, TASK_BYTES = 4 * 1024 * 1024, 64 * 1024 * 1024
 #: files of one task
 TASK_FILES = 1_000
 
