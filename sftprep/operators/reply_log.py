@@ -1,9 +1,9 @@
 """Durable replies, an append-only log keyed by ``request_id``, and bounded waves of calls.
 
 A long generation run is cut into waves.  Every wave's usable replies are
-appended to the log as soon as the wave's calls end, so a run that stops in
-any wave loses at most that wave's calls; the next run looks its requests up
-first and calls the model only for the rest.
+appended to the log as soon as the wave's calls end, so a run that stops
+loses at most the calls of the waves then in flight; the next run looks its
+requests up first and calls the model only for the rest.
 
 The chunks to do are written once, where they were computed, without a shuffle:
 a task's rows are dealt to slices of ``rows_per_task`` rows, and ``tasks_per_wave``
@@ -105,6 +105,14 @@ class Waves:
     def __iter__(self):
         return iter(sorted(self.sizes))
 
+    def in_flight(self) -> int:
+        """Waves to run at once: as many as have twice the cluster's slots in tasks."""
+        try:
+            slots = self.rows.sparkSession.sparkContext.defaultParallelism
+        except Exception:  # noqa: BLE001 - no SparkContext view (Connect)
+            return 1
+        return max(1, -(-2 * slots // self.tasks_per_wave))
+
     def chunks(self, wave: tuple[int, int]) -> DataFrame:
         """The chunks of one wave, in about ``tasks_per_wave`` tasks."""
         rows = of_wave(self.rows, wave)

@@ -13,9 +13,12 @@ generation stages, so no join back to the chunk table is needed.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -237,6 +240,33 @@ def _without_text(named: DataFrame) -> DataFrame:
     )
 
 
+def _run_waves(spark, run_wave: Callable, waves: list, in_flight: int) -> None:
+    """``run_wave(number, wave)`` for every wave, ``in_flight`` at once; after a failure no other one begins."""
+    if in_flight == 1 or len(waves) < 2:
+        for number, wave in enumerate(waves):
+            run_wave(number, wave)
+        return
+    failed = threading.Event()
+
+    def one(number: int, wave: tuple[int, int]) -> None:
+        if failed.is_set():
+            return
+        try:
+            run_wave(number, wave)
+        except BaseException:
+            failed.set()
+            raise
+
+    with ThreadPoolExecutor(in_flight) as pool:
+        tasks = [pool.submit(inheritable_thread_target(spark)(one), *item) for item in enumerate(waves)]
+        try:
+            for task in as_completed(tasks):
+                task.result()
+        except BaseException:  # also an interrupt of the caller: waves in flight end, no other begins
+            failed.set()
+            raise
+
+
 def run_generation(
     docs: DataFrame,
     client_factory: Callable,
@@ -267,7 +297,9 @@ def run_generation(
     its calls end, then its pairs to the sink.  A run that stops anywhere is
     continued by running it again: requests that the log answers are never
     sent again, pairs that the sink holds are not appended again, and at most
-    the calls of one unfinished stage of one wave are repeated.  ``max_waves``
+    the calls of the unfinished stages of the waves in flight are repeated.  A wave
+    has ``call_partitions`` tasks; so many waves run at once that their tasks are
+    twice the cluster's slots (with the default, one wave).  ``max_waves``
     ends a run early on purpose (a budget); the next one goes on.
 
     With ``train_path`` the merged training set (all sources) is rewritten as
@@ -286,9 +318,11 @@ def run_generation(
     waves = Waves(todo, wave_chunks, call_partitions or _default_call_partitions(spark))
     log = ReplyLog(spark, log_dir or f"{pairs_dir.rstrip('/')}.replies")
     known = log.known(waves.rows)
+    # waves with a reply in the log (at most one row a wave); the others need neither it nor the pairs held
+    logged = set() if known is None else {(r["grp"], r["slice"]) for r in known.select(*WAVE).distinct().collect()}
     # pairs of unfinished chunks, by wave: only asked for pairs that come from the log
     held = None
-    if known is not None:
+    if logged:
         keys = waves.rows.select("source", "chunk_id", *WAVE)
         held = by_wave(existing.select("source", "chunk_id", "question").join(keys, ["source", "chunk_id"]).distinct(), "held-pairs")
     opts = {"max_tokens": max_tokens, "temperature": temperature}
@@ -296,23 +330,26 @@ def run_generation(
     empty = spark.createDataFrame([], PAIR_ROW_SCHEMA), spark.createDataFrame([], ERROR_SCHEMA)
     for df, name in zip(empty, ("pairs", "errors")):  # a run without waves has a result too
         df.write.parquet(f"{done}/{name}/wave=-1")
-    for number, wave in enumerate(waves):
-        if max_waves is not None and number >= max_waves:
-            break
+    appending = threading.Lock()  # two jobs that append to one folder would remove each other's unfinished files
+
+    def run_wave(number: int, wave: tuple[int, int]) -> None:
         q, a = _ask(
             waves.chunks(wave), client_factory, generate_num, opts, cut_lineage,
-            known=None if known is None else of_wave(known, wave),
-            logged=lambda kind, replies, n=number: log.append(replies, kind, n),
+            known=of_wave(known, wave) if wave in logged else None,
+            logged=lambda kind, replies: log.append(replies, kind, number),
         )
         pairs = _pairs_of(a, "reused")
-        if held is not None:
+        if wave in logged:
             old = of_wave(held, wave)
             again = pairs.filter("reused").join(old, ["source", "chunk_id", "question"], "left_anti")
             pairs = pairs.filter("NOT reused").unionByName(again)
         pairs.drop("reused").write.parquet(f"{done}/pairs/wave={number}")
         mine = spark.read.schema(PAIR_ROW_SCHEMA).parquet(f"{done}/pairs/wave={number}")
-        append_pairs(mine.select(*P.QA_PAIR_COLUMNS), pairs_dir, fmt, buckets=min(PAIR_BUCKETS, 1 + waves.sizes[wave][0] * generate_num // PAIRS_PER_FILE))
+        with appending:
+            append_pairs(mine.select(*P.QA_PAIR_COLUMNS), pairs_dir, fmt, buckets=min(PAIR_BUCKETS, 1 + waves.sizes[wave][0] * generate_num // PAIRS_PER_FILE))
         _call_errors(q, a).write.parquet(f"{done}/errors/wave={number}")
+
+    _run_waves(spark, run_wave, list(waves)[:max_waves], waves.in_flight())
     new_pairs = spark.read.schema(PAIR_ROW_SCHEMA).parquet(f"{done}/pairs").select(*empty[0].columns)
     errors = spark.read.schema(ERROR_SCHEMA).parquet(f"{done}/errors").select(*empty[1].columns).unionByName(_without_text(named))
     if errors_path:  # failed calls and documents without text, run after run
