@@ -156,7 +156,8 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = edges.union(edges.select("lo", "hi")).toDF("u", "v")
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        # stored, as it is read three times: else one plan holds each part of it as often
+        large = stored(both.join(least, "u").filter("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct(), "large-star")
         low = large.groupBy("hi").agg(F.min("lo").alias("m"))
         others = large.join(low, "hi").filter("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         edges = stored(others.union(low.select("hi", "m")).toDF("hi", "lo").distinct(), "links")
@@ -250,9 +251,10 @@ def crossing(shared: DataFrame, comps: DataFrame, nodes: DataFrame) -> DataFrame
     sizes = comps.groupBy("comp").agg(F.count("*").alias("size"))
     placed = shared.join(comps.join(sizes, "comp"), "id")
     mixed_keys = placed.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.max(F.struct("size", "comp"))["comp"].alias("core")).filter("c1 <> c2")
-    rows = placed.join(mixed_keys.select("key", "core"), "key").withColumn("inner", F.col("comp") == F.col("core"))
+    # stored (only keys of several components): counted, and dealt out in three ways, from there
+    rows = stored(placed.join(mixed_keys.select("key", "core"), "key").withColumn("inner", F.col("comp") == F.col("core")).drop("core"), "mixed-keys")
     counts = rows.groupBy("key").agg(F.count_if("inner").alias("nc"), F.count_if(~F.col("inner")).alias("ns"))
-    blocks = counts.select("key", F.ceil(F.col("nc") / BLOCK).alias("bc"), F.ceil(F.col("ns") / BLOCK).alias("bs"))
+    blocks = stored(counts.select("key", F.ceil(F.col("nc") / BLOCK).alias("bc"), F.ceil(F.col("ns") / BLOCK).alias("bs")), "blocks")
     rows = rows.join(blocks, "key").join(nodes.select("id", "sig"), "id")
     upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
     own = F.pmod(F.xxhash64("id"), F.when(F.col("inner"), F.col("bc")).otherwise(F.col("bs")))
@@ -337,7 +339,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     combos = stored(crossing(shared, comps, nodes), "crossing")
     second = stored(linked(combos, comps, sets, percent), "second-links")
     final = components(first.union(second)).toDF("node", "comp")
-    final = final.union(final.select("comp", "comp")).distinct()  # the smallest node is of its component too
+    final = stored(final.union(final.select("comp", "comp")).distinct(), "members")  # the smallest node is of its component too
 
     # a component goes by the smallest id of its sets
     placed = groups.select("f1", "f2", "n", "rep", "node").join(final, "node", "left")

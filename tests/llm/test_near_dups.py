@@ -1,6 +1,7 @@
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from llm_helpers import LONG, edge_documents, no_documents
 from sftprep.llm import near_dups as M
@@ -87,3 +88,12 @@ def test_texts_that_share_an_id_are_all_searched(spark):
     for rows in ([(1, a), (1, b), (2, near)], [(1, b), (1, a), (2, near)], [(3, a), (1, a), (1, b), (2, near)]):
         out = M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
         assert {r.doc_id: r.component_id for r in out} == {k: 1 for k, _ in rows}
+
+
+def test_shared_parts_are_planned_once(spark):
+    """op1: a part that several branches read is stored, so no plan holds it as often (driver memory)."""
+    shared = spark.createDataFrame([(1, 1), (1, 2), (1, 3), (2, 2), (2, 3)], "key long, id long")
+    comps = spark.createDataFrame([(1, 1), (2, 1), (3, 3)], "id long, comp long")
+    nodes = spark.range(1, 4).select("id", F.lit(b"\0" * 2 * M.SIGNATURE).alias("sig"))
+    plan = M.crossing(shared, comps, nodes)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") <= 6
