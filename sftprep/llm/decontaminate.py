@@ -11,13 +11,14 @@ every piece in two ways, in blocks, inside the scan: by the plain cosine, and by
 same product taken in the latent directions, where words that often occur together in the corpus
 stand for each other.  A candidate has by either at least MIN_PART of the
 cosine that an exact copy of the piece's length is expected to have.  Texts are split
-into words once: the places of the benchmark's words are saved beside each text, and
-the later scans read those.
+into words once: the places of the words of the items and answers are saved, without the text, and
+the later scans and checks read those.
 
 Each candidate is then checked on the words themselves: the longest common
 subsequence of the item and a stretch of the document of about its length, and
 the item's answer (its ``answer`` column if named, else its last sentence).  Every
-stretch is judged by itself.  A stretch is ``verbatim`` from 80 % of the item's words, and a ``paraphrase`` from
+stretch is judged by itself; one with fewer words of the item than an accepted or better subsequence
+needs is passed over.  A stretch is ``verbatim`` from 80 % of the item's words, and a ``paraphrase`` from
 60 % with at least 80 % of the answer.
 
 What reaches the driver grows with the benchmark, not with the corpus: its
@@ -32,8 +33,9 @@ not read.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Hashable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -200,7 +202,7 @@ def grouped(texts: pa.Array, limit: int = 400_000) -> Iterator[tuple[int, list[l
         yield start, held
 
 
-def common_length(mask: dict[bytes, int], n: int, words: list[bytes]) -> int:
+def common_length(mask: dict[Hashable, int], n: int, words: list) -> int:
     """Length of the longest common subsequence, one bit of an integer for each item word."""
     v = full = (1 << n) - 1
     for w in words:
@@ -211,8 +213,8 @@ def common_length(mask: dict[bytes, int], n: int, words: list[bytes]) -> int:
     return n - v.bit_count()
 
 
-def masks(words: list[bytes]) -> dict[bytes, int]:
-    out: dict[bytes, int] = defaultdict(int)
+def masks(words: list) -> dict[Hashable, int]:
+    out: dict[Hashable, int] = defaultdict(int)
     for i, w in enumerate(words):
         out[w] |= 1 << i
     return dict(out)
@@ -222,24 +224,42 @@ def accepted(lcs: float, share: float) -> bool:
     return lcs >= VERBATIM or lcs >= PARAPHRASE and share >= ANSWER
 
 
-def checked(item: tuple[list[bytes], list[bytes]], doc: list[bytes], start: int) -> tuple[float, float] | None:
+class Item:
+    """An item for checks: the masks of its words and of its answer's, by the numbers of the words."""
+
+    def __init__(self, name: object, words: list[bytes], answer: list[bytes], number: dict[bytes, int]):
+        self.name, self.size, self.answer_size = name, len(words), len(answer)
+        self.mask, self.answer_mask = (masks([number[w] for w in part]) for part in (words, answer))
+
+
+def checked(item: Item, at: np.ndarray, words: np.ndarray, length: int, start: int) -> tuple[float, float] | None:
     """Share of the item, and of its answer there, in the best accepted stretch of the document around a passage.
 
-    Every stretch is judged by itself: one with more of the item but not its answer
-    hides no other.
+    The document of ``length`` words has the known ``words`` at the places ``at``;
+    no other word is in a common subsequence.  Every stretch is judged by itself:
+    one with more of the item but not its answer hides no other.
     """
-    words, answer = item
-    n = len(words)
-    item_mask, answer_mask = masks(words), masks(answer)
-    stretch = n + max(2, n // 5)
-    lo, hi = max(0, start - n), min(len(doc), start + WINDOW + n)
+    n = item.size
+    stretch, step = n + max(2, n // 5), max(1, n // 8)
+    lo, hi = max(0, start - n), min(length, start + WINDOW + n)
+    stop = max(lo + 1, hi - stretch + step)
+    a, b = np.searchsorted(at, (lo, stop - 1 + stretch))
+    known, places = words[a:b].tolist(), at[a:b].tolist()
+    here = [i for i, w in enumerate(known) if w in item.mask]
+    if len(here) / n < PARAPHRASE:
+        return None
+    where, own = [places[i] for i in here], [known[i] for i in here]
     best = None
-    for s in range(lo, max(lo + 1, hi - stretch + max(1, n // 8)), max(1, n // 8)):
-        part = doc[s : s + stretch]
-        share = common_length(item_mask, n, part) / n
+    for s in range(lo, stop, step):
+        i, j = bisect_left(where, s), bisect_left(where, s + stretch)
+        # the subsequence has at most j - i words
+        if (j - i) / n < PARAPHRASE or best and (j - i) / n <= best[0]:
+            continue
+        share = common_length(item.mask, n, own[i:j]) / n
         if share < PARAPHRASE or best and share <= best[0]:
             continue
-        told = common_length(answer_mask, len(answer), part) / max(1, len(answer))
+        part = known[bisect_left(places, s) : bisect_left(places, s + stretch)]
+        told = common_length(item.answer_mask, item.answer_size, part) / max(1, item.answer_size)
         if accepted(share, told):
             best = (share, told)
     return best
@@ -276,13 +296,16 @@ def _search(rows: DataFrame, pieces: list, items: dict, item_kind: str) -> DataF
     parts = [pieces[i : i + SPACE] for i in range(0, len(pieces), SPACE)]
     names = [list(dict.fromkeys(w for _, words in p for w in words)) for p in parts]
     spaces = [Space(p, n) for p, n in zip(parts, names)]
-    known = spark.sparkContext.broadcast({w: k for k, w in enumerate(dict.fromkeys(w for n in names for w in n))})
+    # after the words of the spaces those that only checks ask for: of an item's other pieces, of answers
+    searched = dict.fromkeys(w for n in names for w in n)
+    known = spark.sparkContext.broadcast({w: k for k, w in enumerate(searched | dict.fromkeys(w for i in items.values() for part in i[1:] for w in part))})
+    items = {i: Item(*item, known.value) for i, item in items.items()}
 
     def known_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each row with the places of the words that the benchmark has; at the end the passages that hold each word."""
+        """Each row's length and the places of the words that the benchmark has; at the end the passages that hold each word."""
         at = known.value
         seen, passages = np.zeros(len(at) + 1, dtype="<i8"), 0
-        names = ["k", "t", "at", "w", "seen"]
+        names = ["k", "n", "at", "w", "seen"]
         for batch in batches:
             for first, docs in grouped(column(batch, "t")):
                 ids, blocks, places = [], [], []
@@ -295,15 +318,15 @@ def _search(rows: DataFrame, pieces: list, items: dict, item_kind: str) -> DataF
                     passages += -(-len(words) // STRIDE)
                 once = np.unique(np.concatenate(blocks) * (len(at) + 1) + np.concatenate(ids))
                 seen += np.bincount(once % (len(at) + 1), minlength=len(at) + 1)
-                same = [column(batch, c).slice(first, len(docs)) for c in ("k", "t")]
-                yield pa.RecordBatch.from_arrays([*same, list_array(places, pa.int32()), list_array(ids, pa.int32()), pa.nulls(len(docs), pa.binary())], names=names)
+                sizes = pa.array([len(words) for words in docs], pa.int32())
+                yield pa.RecordBatch.from_arrays([column(batch, "k").slice(first, len(docs)), sizes, list_array(places, pa.int32()), list_array(ids, pa.int32()), pa.nulls(len(docs), pa.binary())], names=names)
         seen[-1] = passages
         empty = list_array([np.empty(0)], pa.int32())
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, keys), pa.nulls(1, pa.string()), empty, empty, pa.array([seen.tobytes()], pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, keys), pa.nulls(1, pa.int32()), empty, empty, pa.array([seen.tobytes()], pa.binary())], names=names)
 
     kind = rows.schema["k"].dataType.simpleString()
     keys = to_arrow_type(rows.schema["k"].dataType)
-    places = stored(rows.mapInArrow(known_words, f"k {kind}, t string, at array<int>, w array<int>, seen binary"), "known-words")
+    places = stored(rows.mapInArrow(known_words, f"k {kind}, n int, at array<int>, w array<int>, seen binary"), "known-words")
     size = len(known.value) + 1
 
     def summed_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -379,10 +402,10 @@ def _search(rows: DataFrame, pieces: list, items: dict, item_kind: str) -> DataF
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spaces, items = solved.value
         for batch in batches:
-            texts = column(batch, "t")
-            for first, stop, *found in places_of(column(batch, "at"), column(batch, "w"), number):
+            at, words, length = column(batch, "at"), column(batch, "w"), column(batch, "n").to_numpy()
+            starts, where, what = at.offsets.to_numpy(), at.values.to_numpy(), words.values.to_numpy()
+            for _, _, *found in places_of(at, words, number):
                 best: dict[tuple[int, int], tuple] = {}
-                words: dict[int, list[bytes]] = {}  # of rows with a candidate only
                 for s in spaces:
                     passage = Passages(s, *found)
                     if not len(passage.starts):
@@ -392,18 +415,17 @@ def _search(rows: DataFrame, pieces: list, items: dict, item_kind: str) -> DataF
                     latent = passage.scaled(passage.images(s.basis)) @ s.latent.T
                     for p, q in zip(*np.nonzero((cosine >= s.floor) | (latent >= s.floor))):
                         d, item = int(passage.owner[p]), int(s.items[q])
-                        if d not in words:
-                            words[d] = words_of(texts[d].as_py())
-                        hit = checked(items[item][1:], words[d], int(passage.begin[p]))
+                        own = slice(starts[d], starts[d + 1])
+                        hit = checked(items[item], where[own], what[own], int(length[d]), int(passage.begin[p]))
                         if hit:
                             best[d, item] = max(best.get((d, item), (0.0,)), (hit[0], float(cosine[p, q]), hit[1]))
                 if best:
-                    at = pa.array([d for d, _ in best])
-                    names = pa.array([items[i][0] for _, i in best])
+                    rows = pa.array([d for d, _ in best])
+                    names = pa.array([items[i].name for _, i in best])
                     columns = [pa.array([b[c] for b in best.values()], pa.float64()) for c in (1, 0, 2)]
-                    yield pa.RecordBatch.from_arrays([column(batch, "k").take(at), names, *columns], names=["k", "item", "cosine", "lcs", "answer_share"])
+                    yield pa.RecordBatch.from_arrays([column(batch, "k").take(rows), names, *columns], names=["k", "item", "cosine", "lcs", "answer_share"])
 
-    return places.select("k", "t", "at", "w").mapInArrow(search, f"k {kind}, item {item_kind}, cosine double, lcs double, answer_share double")
+    return places.select("k", "n", "at", "w").mapInArrow(search, f"k {kind}, item {item_kind}, cosine double, lcs double, answer_share double")
 
 
 def _share(at: tuple, total: np.ndarray) -> pa.RecordBatch:

@@ -90,6 +90,62 @@ def test_each_stretch_is_judged_by_itself(spark):
     assert sorted((r.doc_id, r.kind) for r in out) == [(1, "paraphrase"), (2, "paraphrase")]
 
 
+def test_checks_count_words_before_subsequences_and_equal_every_stretch(monkeypatch):
+    """The saved places give the result of the whole words, and few stretches reach the subsequence."""
+    import random
+
+    import numpy as np
+
+    rng, real, calls, stretches, hits = random.Random(3), M.common_length, [0], 0, 0
+
+    def counted(*args):
+        calls[0] += 1
+        return real(*args)
+
+    monkeypatch.setattr(M, "common_length", counted)
+    for _ in range(300):
+        words = [b"w%d" % rng.randrange(40) for _ in range(rng.randint(1, 60))]
+        answer = [b"w%d" % rng.randrange(45) for _ in range(rng.randint(0, 5))]
+        doc = [b"w%d" % rng.randrange(400) for _ in range(rng.randint(1, 300))]
+        if rng.random() < 0.6:
+            at = rng.randrange(len(doc))
+            doc[at:at] = [w for w in words + answer if rng.random() < 0.85]
+        start = rng.randrange(0, len(doc), 40)
+        number = {w: k for k, w in enumerate(dict.fromkeys(words + answer))}
+        places = [i for i, w in enumerate(doc) if w in number]
+        got = M.checked(M.Item(1, words, answer, number), np.array(places, dtype=int), np.array([number[doc[i]] for i in places], dtype=int), len(doc), start)
+        n, best = len(words), None
+        stretch, step = n + max(2, n // 5), max(1, n // 8)
+        lo, hi = max(0, start - n), min(len(doc), start + M.WINDOW + n)
+        for s in range(lo, max(lo + 1, hi - stretch + step), step):
+            stretches += 1
+            part = doc[s : s + stretch]
+            share = real(M.masks(words), n, part) / n
+            told = real(M.masks(answer), len(answer), part) / max(1, len(answer))
+            if M.accepted(share, told) and not (best and share <= best[0]):
+                best = (share, told)
+        assert got == best
+        hits += best is not None
+    assert hits > 50 and calls[0] < stretches / 4
+
+
+def test_no_text_is_saved_between_the_scans(spark, bench, monkeypatch):
+    saved, real = [], M.stored
+    monkeypatch.setattr(M, "stored", lambda df, name, *rest: (saved.append(df), real(df, name, *rest))[1])
+    docs = spark.createDataFrame([(1, f"{filler(1)} {ITEM} {filler(2)}")], "doc_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in M.leaks(docs, bench).collect()] == [(1, 1)]
+    assert len(saved) == 1 and "string" not in [t for _, t in saved[0].dtypes]
+
+
+def test_an_answer_column_with_words_that_no_item_has(spark):
+    words = [f"k{i}" for i in range(24)]
+    bench = spark.createDataFrame([(1, " ".join(words), "Zeta Omega")], "item_id long, text string, reply string")
+    near = " ".join(w if i % 3 else f"n{i}" for i, w in enumerate(words))  # two thirds of the item
+    rows = [(1, f"{filler(1)} {near} zeta omega {filler(2)}"), (2, f"{filler(3)} {near} {filler(4)}")]
+    out = M.leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench, answer="reply").collect()
+    assert [(r.doc_id, r.kind, r.answer_share) for r in out] == [(1, "paraphrase", 1.0)]
+
+
 def test_recall_of_edited_copies(spark):
     import random
 
