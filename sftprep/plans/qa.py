@@ -21,14 +21,16 @@ from dataclasses import dataclass
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sftprep.functions import prompts as P
 from sftprep.operators.chunking import chunk_documents
-from sftprep.operators.generate import attach_replies, dedupe_replies, generate_replies, request_id, unanswered
+from sftprep.operators.generate import attach_replies, dedupe_replies, generate_replies, request_id, short_id, unanswered
 from sftprep.operators.reply_log import WAVE, ReplyLog, Waves, by_wave, of_wave, with_known
 from sftprep.operators.resume import merge_pairs, skip_done_chunks
 from sftprep.session import cut_lineage, scratch_path
 from sftprep.sources.files import read_pairs_or_empty, source_id
+from sftprep.sources.saved_rows import can_fetch, dealt_by_place, fetch, place, save_rows
 from sftprep.sources.sinks import PAIR_BUCKETS, append_pairs, recover_pairs, write_training_json
 
 
@@ -69,8 +71,8 @@ def question_requests(chunks: DataFrame, generate_num: int) -> DataFrame:
     )
 
 
-def answer_requests(questions: DataFrame) -> DataFrame:
-    """P2 prompts for every (chunk, question), keyed like ``question_requests``."""
+def answer_requests(questions: DataFrame, *extra: str) -> DataFrame:
+    """P2 prompts for every (chunk, question), keyed like ``question_requests``; ``extra`` columns pass through."""
     prompt = P.answer_prompt(F.col("chunk"), F.col("question"))
     return questions.select(
         "source",
@@ -80,6 +82,7 @@ def answer_requests(questions: DataFrame) -> DataFrame:
         "question",
         request_id(F.lit("a"), "source", "chunk_id", "question_no", F.md5(prompt)).alias("request_id"),
         P.user_message(prompt).alias("messages"),
+        *extra,
     )
 
 
@@ -87,6 +90,42 @@ def answer_requests(questions: DataFrame) -> DataFrame:
 # For replies produced outside Spark (a batch inference service): export the
 # requests, let the service answer them, and join the replies back on
 # ``request_id``.  Replies are de-duplicated first (a service may answer twice).
+#
+# Saved requests hold a chunk's text once: prompts are made from it when they
+# are read, an answer request knows the place of its chunk, and replies are
+# joined with ids and places, so no shuffle carries the text.
+
+
+@dataclass
+class SavedRequests:
+    """Exported requests, lineage cut: ``requests`` has the columns of ``question_requests`` or ``answer_requests``."""
+
+    requests: DataFrame
+    saved: DataFrame  # the saved rows, without prompts
+    by_place: bool  # else replies are joined with ``requests``, chunk and all
+
+
+CHUNK_KEYS = ["source", "chunk_id", "chunk"]
+
+
+def _columns(df: DataFrame, names: list[str]) -> T.StructType:
+    return T.StructType([df.schema[n] for n in names])
+
+
+def save_question_requests(requests: DataFrame, generate_num: int) -> SavedRequests:
+    """The requests of ``question_requests`` saved; prompts are made again from the saved chunks."""
+    saved = save_rows(requests.drop("messages"), "question-requests")
+    prompt = P.question_prompt(F.col("chunk"), generate_num)
+    whole = saved.withColumn("messages", P.user_message(prompt)).select(*requests.columns)
+    return SavedRequests(whole, saved, can_fetch(requests.sparkSession))
+
+
+def _attach_saved(saved: DataFrame, replies: DataFrame, columns: list[str], partitions: int | None = None) -> DataFrame:
+    """J2 over saved rows: ``columns, place, response``; only ids, places and replies are shuffled."""
+    asked = saved.select(short_id(F.col("request_id")).alias("request_id"), place().alias("place"))
+    once = dedupe_replies(replies.select(short_id(F.col("request_id")).alias("request_id"), "response"))
+    found = attach_replies(asked, once)
+    return fetch(dealt_by_place(found.drop("request_id"), "place", partitions), _columns(saved, columns), "place")
 
 
 def offline_question_requests(
@@ -102,20 +141,45 @@ def offline_question_requests(
     return question_requests(skip_done_chunks(chunks, existing, generate_num), generate_num)
 
 
-def offline_answer_requests(q_requests: DataFrame, q_replies: DataFrame) -> DataFrame:
-    """J2 + P3/P4 + P2: answer requests from question replies (``request_id, response``)."""
-    replies = dedupe_replies(q_replies.select("request_id", "response"))
-    joined = attach_replies(q_requests.drop("messages"), replies)
-    return answer_requests(P.explode_questions(joined, "response", keep=["source", "chunk_id", "chunk"]))
+def offline_answer_requests(q_requests: DataFrame | SavedRequests, q_replies: DataFrame) -> DataFrame:
+    """J2 + P3/P4 + P2: answer requests from question replies (``request_id, response``).
+
+    Of saved question requests that were read by place, each also tells its chunk's ``place``.
+    """
+    if isinstance(q_requests, SavedRequests) and q_requests.by_place:
+        # as many tasks as model calls get: the requests are saved by them and read that way
+        parts = _default_call_partitions(q_replies.sparkSession)
+        joined = _attach_saved(q_requests.saved, q_replies, CHUNK_KEYS, parts)
+        return answer_requests(P.explode_questions(joined, "response", keep=[*CHUNK_KEYS, "place"]), "place")
+    requests = q_requests.requests if isinstance(q_requests, SavedRequests) else q_requests
+    joined = attach_replies(requests.drop("messages"), dedupe_replies(q_replies.select("request_id", "response")))
+    return answer_requests(P.explode_questions(joined, "response", keep=CHUNK_KEYS))
+
+
+def save_answer_requests(requests: DataFrame, q_requests: SavedRequests) -> SavedRequests:
+    """The requests of ``offline_answer_requests`` saved without their chunks, which ``q_requests`` has."""
+    if q_requests.by_place:
+        rows = requests.select("question_no", "question", "request_id", F.col("place").alias("chunk_place"))
+        saved = save_rows(rows, "answer-requests")
+        whole = fetch(saved, _columns(requests, CHUNK_KEYS), "chunk_place")
+    else:
+        whole = saved = save_rows(requests.drop("messages"), "answer-requests")
+    prompt = P.answer_prompt(F.col("chunk"), F.col("question"))
+    whole = whole.withColumn("messages", P.user_message(prompt)).select(*[c for c in requests.columns if c != "place"])
+    return SavedRequests(whole, saved, q_requests.by_place)
 
 
-def offline_pairs(a_requests: DataFrame, a_replies: DataFrame) -> DataFrame:
+def offline_pairs(a_requests: DataFrame | SavedRequests, a_replies: DataFrame) -> DataFrame:
     """J2 + P5: QA pairs from answer replies (``request_id, response``).
 
     Requests without a usable reply give no pair; ``offline_unanswered`` lists them.
     """
-    replies = dedupe_replies(a_replies.select("request_id", "response"))
-    joined = attach_replies(a_requests.drop("messages"), replies)
+    if isinstance(a_requests, SavedRequests) and a_requests.by_place:
+        answered = _attach_saved(a_requests.saved, a_replies, ["question", "chunk_place"])
+        joined = fetch(answered, _columns(a_requests.requests, CHUNK_KEYS), "chunk_place")
+    else:
+        requests = a_requests.requests if isinstance(a_requests, SavedRequests) else a_requests
+        joined = attach_replies(requests.drop("messages"), dedupe_replies(a_replies.select("request_id", "response")))
     return P.qa_pair(joined.withColumnRenamed("response", "answer"))
 
 

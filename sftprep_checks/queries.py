@@ -567,17 +567,19 @@ def images_present(spark: SparkSession, sf: str) -> DataFrame:
 def qa_generation_offline(spark: SparkSession, sf: str) -> DataFrame:
     """J2 offline path: exported requests answered by a separate batch job, joined back by request_id."""
     from sftprep.operators.generate import generate_replies
-    from sftprep.plans.qa import offline_answer_requests, offline_pairs, offline_question_requests
-    from sftprep.session import cut_lineage
+    from sftprep.plans.qa import (
+        offline_answer_requests, offline_pairs, offline_question_requests, save_answer_requests, save_question_requests,
+    )
+    from sftprep.sources.saved_rows import save_rows
 
     docs = read_table(spark, sf, "documents").withColumn(
         "name", F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")))
-    qreq = cut_lineage(offline_question_requests(
+    qreq = save_question_requests(offline_question_requests(
         docs, source=source_id(F.col("name")), chunk_size=FX.CHUNK_SIZE, overlap=FX.CHUNK_OVERLAP,
-        generate_num=FX.GENERATE_NUM))
-    qrep = cut_lineage(generate_replies(qreq, make_client, carry=["request_id"]))  # the "service"
-    areq = cut_lineage(offline_answer_requests(qreq, qrep))
-    arep = cut_lineage(generate_replies(areq, make_client, carry=["request_id"]))
+        generate_num=FX.GENERATE_NUM), FX.GENERATE_NUM)
+    qrep = save_rows(generate_replies(qreq.requests, make_client, carry=["request_id"]), "question-replies")  # the "service"
+    areq = save_answer_requests(offline_answer_requests(qreq, qrep), qreq)
+    arep = save_rows(generate_replies(areq.requests, make_client, carry=["request_id"]), "answer-replies")
     pairs = offline_pairs(areq, arep)
     return flat(pairs.select("source", "chunk_id", "question", "answer", "chunk"))
 
